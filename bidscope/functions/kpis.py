@@ -9,6 +9,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def sql_number(value: float | None) -> str:
+    return "CAST(NULL AS DOUBLE)" if value is None else f"CAST('{value!r}' AS DOUBLE)"
+
+
 @dataclass(frozen=True)
 class KPI:
     """A KPI and its aggregate as a Spark SQL expression.
@@ -31,9 +35,9 @@ class KPI:
     notes: str = field(default="", compare=False)
 
     def value(self, columns: Sequence[str]) -> Column:
-        if set(self.inputs) <= set(columns):
-            return F.expr(self.measure).cast("double")
-        return F.lit(self.fallback).cast("double")
+        """The KPI as an aggregate over a frame with the given columns."""
+        measure = self.measure if set(self.inputs) <= set(columns) else sql_number(self.fallback)
+        return F.expr(f"CAST({measure} AS DOUBLE) AS `{self.name}`")
 
 
 # Names, units, targets and thresholds of the eight KPIs.
@@ -131,15 +135,17 @@ def pick_kpis(names: Sequence[str] | None) -> tuple[KPI, ...]:
     return REGISTRY if names is None else tuple(BY_NAME[name] for name in names)
 
 
-def status_of(kpi: KPI, value: Column) -> Column:
+def status_of(kpi: KPI, value: str) -> str:
     """``alert`` past the threshold, else on or below target, ``ok`` where neither is known."""
     if kpi.alert_threshold is None:
-        return F.lit("ok")
-    threshold = F.lit(kpi.alert_threshold)
-    breached = value < threshold if kpi.higher_is_better else value > threshold
-    status = F.when(value.isNull(), F.lit("ok")).when(breached, F.lit("alert"))
-    if kpi.target is None:
-        return status.otherwise(F.lit("ok"))
-    target = F.lit(kpi.target)
-    reached = value >= target if kpi.higher_is_better else value <= target
-    return status.when(reached, F.lit("on_target")).otherwise(F.lit("below_target"))
+        return "'ok'"
+    worse, reaches = ("<", ">=") if kpi.higher_is_better else (">", "<=")
+    reached = (
+        "'ok'"
+        if kpi.target is None
+        else f"CASE WHEN {value} {reaches} {sql_number(kpi.target)} THEN 'on_target' ELSE 'below_target' END"
+    )
+    return (
+        f"CASE WHEN {value} IS NULL THEN 'ok' "
+        f"WHEN {value} {worse} {sql_number(kpi.alert_threshold)} THEN 'alert' ELSE {reached} END"
+    )

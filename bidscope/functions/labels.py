@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bidscope.functions.columns import listed, put
 from bidscope.schemas import RELEASE_DATE, RELEASE_PLACEMENTS
 
 # Upper depth bounds with the labels of the analysis and of the warehouse query.
@@ -18,26 +19,22 @@ DEPTH_LEVELS = [
 ]
 
 
-def depth_bin(depth: Column) -> Column:
+def depth_bin(depth: str) -> Column:
     """Half-open bins from 0 to 100; a depth outside them has no bin."""
-    label = F.when(depth <= 0, F.lit(None).cast("string"))
-    for upper, name in DEPTH_BINS:
-        label = label.when(depth <= upper, F.lit(name))
-    return label
+    bins = " ".join(f"WHEN {depth} <= {upper} THEN '{name}'" for upper, name in DEPTH_BINS)
+    return F.expr(f"CASE WHEN {depth} <= 0 THEN NULL {bins} END")
 
 
-def depth_level(depth: Column) -> Column:
+def depth_level(depth: str) -> Column:
     """Five levels without an upper end; an unknown depth falls in the last, as in SQL."""
     *bounded, (_, last) = DEPTH_LEVELS
-    label = F.when(F.lit(False), F.lit(last))
-    for upper, name in bounded:
-        label = label.when(depth <= upper, F.lit(name))
-    return label.otherwise(F.lit(last))
+    levels = " ".join(f"WHEN {depth} <= {upper} THEN '{name}'" for upper, name in bounded)
+    return F.expr(f"CASE {levels} ELSE '{last}' END")
 
 
-def floor_step(floor_usd: Column) -> Column:
+def floor_step(floor_usd: str) -> Column:
     """Nearest step of five cents."""
-    return F.round(floor_usd * 20) / 20
+    return F.expr(f"round({floor_usd} * 20) / 20")
 
 
 def release_labels(
@@ -46,12 +43,13 @@ def release_labels(
     placements: list[str] | None = None,
 ) -> DataFrame:
     """Period before or after a release, whether the row got the feature, and its version."""
-    after = F.col("timestamp") >= F.lit(release_date).cast("timestamp_ntz")
-    treated = after & F.col("placement_type").isin(placements or RELEASE_PLACEMENTS)
-    return df.withColumns(
+    after = f"`timestamp` >= timestamp_ntz '{release_date} 00:00:00'"
+    treated = f"{after} AND placement_type IN ({listed(placements or RELEASE_PLACEMENTS)})"
+    return put(
+        df,
         {
-            "release_period": F.when(after, F.lit("post")).otherwise(F.lit("pre")),
-            "treatment": F.coalesce(treated, F.lit(False)).cast("int"),
-            "feature_version": F.when(treated, F.lit("v2.0")).otherwise(F.lit("v1.0")),
-        }
+            "release_period": f"CASE WHEN {after} THEN 'post' ELSE 'pre' END",
+            "treatment": f"CASE WHEN {treated} THEN 1 ELSE 0 END",
+            "feature_version": f"CASE WHEN {treated} THEN 'v2.0' ELSE 'v1.0' END",
+        },
     )

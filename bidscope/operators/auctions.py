@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bidscope.functions.labels import DEPTH_BINS, depth_bin
-from bidscope.functions.numbers import ratio
+from bidscope.functions.numbers import ratio, round_mean
 from bidscope.functions.timebins import fill_empty_bins, time_bin
 from bidscope.operators.quantiles import grouped_quantiles
 from bidscope.session import one_row
@@ -24,7 +24,7 @@ def filled_only(auctions: DataFrame) -> DataFrame:
 
 
 def _rounded(df: DataFrame, names: Sequence[str], digits: int) -> DataFrame:
-    return df.withColumns({name: F.round(name, digits) for name in names})
+    return df.withColumns({name: round_mean(F.col(name), digits) for name in names})
 
 
 def bid_spread_summary(auctions: DataFrame, by: Sequence[str] = ("placement_type",)) -> DataFrame:
@@ -61,17 +61,17 @@ def bid_spread_over_time(auctions: DataFrame, freq: str = "D") -> DataFrame:
 
 
 def depth_by_bucket(auctions: DataFrame) -> DataFrame:
-    rows = auctions.withColumn("depth_bucket", depth_bin(F.col("auction_depth")))
+    rows = auctions.withColumn("depth_bucket", depth_bin("auction_depth"))
     order = F.array_position(F.array(*[F.lit(label) for _, label in DEPTH_BINS]), F.col("depth_bucket"))
     return (
         rows.where(F.col("depth_bucket").isNotNull())
         .groupBy("depth_bucket")
         .agg(
             F.count("auction_id").alias("n_auctions"),
-            F.round(F.avg("filled"), 4).alias("fill_rate"),
+            round_mean(F.avg("filled"), 4).alias("fill_rate"),
             F.round(F.avg("ecpm"), 4).alias("avg_ecpm"),
             F.round(F.avg("winning_bid_usd"), 4).alias("avg_winning_bid"),
-            F.round(F.avg("bid_spread"), 4).alias("avg_bid_spread"),
+            round_mean(F.avg("bid_spread"), 4).alias("avg_bid_spread"),
         )
         .orderBy(order)
     )
@@ -104,7 +104,7 @@ def fill_rate_analysis(
         .groupBy(*by)
         .agg(
             F.count("auction_id").alias("n_auctions"),
-            F.round(F.avg("filled"), 4).alias("fill_rate"),
+            round_mean(F.avg("filled"), 4).alias("fill_rate"),
             F.round(F.avg("bid_floor_usd"), 4).alias("avg_floor_usd"),
             F.round(F.avg("winning_bid_usd"), 4).alias("avg_winning_bid"),
             F.round(F.sum("revenue_usd"), 4).alias("revenue_usd"),
@@ -117,7 +117,7 @@ def fill_rate_over_time(auctions: DataFrame, freq: str = "D") -> DataFrame:
     binned = (
         auctions.withColumn("_bin", time_bin(F.col("timestamp"), freq))
         .groupBy("_bin")
-        .agg(F.round(F.avg("filled"), 4).alias("fill_rate"), F.count("filled").alias("n_auctions"))
+        .agg(round_mean(F.avg("filled"), 4).alias("fill_rate"), F.count("filled").alias("n_auctions"))
     )
     return (
         fill_empty_bins(binned, "_bin", freq, zero=["n_auctions"])
@@ -163,9 +163,9 @@ def simulate_floor_change(
         F.struct(
             F.lit(float(multiplier)).alias("floor_multiplier"),
             F.lit(placement or "all").alias("placement"),
-            F.round("fill", 4).alias("baseline_fill_rate"),
-            F.round(f"fill_{i}", 4).alias("simulated_fill_rate"),
-            F.round(F.col(f"fill_{i}") - F.col("fill"), 4).alias("fill_rate_delta"),
+            round_mean(F.col("fill"), 4).alias("baseline_fill_rate"),
+            round_mean(F.col(f"fill_{i}"), 4).alias("simulated_fill_rate"),
+            round_mean(F.col(f"fill_{i}") - F.col("fill"), 4).alias("fill_rate_delta"),
             F.round("revenue", 2).alias("baseline_revenue_usd"),
             F.round(f"revenue_{i}", 2).alias("simulated_revenue_usd"),
             F.coalesce(
@@ -189,6 +189,6 @@ def simulate_format_change(
         F.round(paid, 2).alias("baseline_revenue_usd"),
         F.round(bid, 2).alias("simulated_revenue_usd"),
         F.round((ratio(bid, paid) - 1) * 100, 2).alias("revenue_lift_pct"),
-        F.round(F.avg("bid_spread"), 4).alias("avg_bid_spread"),
+        round_mean(F.avg("bid_spread"), 4).alias("avg_bid_spread"),
         F.lit(FORMAT_NOTE).alias("note"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bidscope.functions.numbers import ratio
+from bidscope.functions.numbers import ratio, round_mean
 from bidscope.functions.timebins import fill_empty_bins, time_bin
 
 # Names of the metrics and the columns behind them.
@@ -115,8 +115,8 @@ def diff_in_diff(
     )
     return tested.select(
         F.lit(metric).alias("metric"),
-        *[F.round(name, 4).alias(name) for name in ("pre_control", "post_control", "pre_treated", "post_treated")],
-        F.round("_did", 4).alias("did_estimate"),
+        *[round_mean(F.col(name), 4).alias(name) for name in ("pre_control", "post_control", "pre_treated", "post_treated")],
+        round_mean(F.col("_did"), 4).alias("did_estimate"),
         F.coalesce(F.round(ratio(F.col("_did"), F.col("pre_treated")) * 100, 2), F.lit(0.0)).alias(
             "relative_lift_pct"
         ),
@@ -145,6 +145,6 @@ def adoption_curve(auctions: DataFrame, freq: str = "D") -> DataFrame:
         auctions.where("release_period = 'post'")
         .withColumn("period", time_bin(F.col("timestamp"), freq))
         .groupBy("period")
-        .agg(F.round(F.avg("treatment"), 4).alias("adoption_rate"), F.count("treatment").alias("n_events"))
+        .agg(round_mean(F.avg("treatment"), 4).alias("adoption_rate"), F.count("treatment").alias("n_events"))
     )
     return fill_empty_bins(binned, "period", freq, zero=["n_events"]).orderBy("period")

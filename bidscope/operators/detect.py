@@ -17,7 +17,7 @@ IQR_MULTIPLIER = 2.0
 BID_Z_THRESHOLD = 3.0
 MIN_STD = 1e-9
 ROLLING_ROWS = 1000
-CHUNK_ROWS = 100_000
+CHUNK_ROWS = 20_000
 
 
 def _attach(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
@@ -160,7 +160,9 @@ def rolling_baseline(auctions: DataFrame, rows_back: int = ROLLING_ROWS, chunk_r
 
     A window per placement would put a whole placement in one task. The rows are numbered in the
     order of placement and time and cut into chunks; the last ``rows_back`` rows of a chunk are
-    also given to the next one, so every row finds all its predecessors in its own chunk.
+    also given to the next one, so every row finds all its predecessors in its own chunk. Within
+    a chunk a row costs the same whatever its look-back: the sums over the rows before it are
+    differences of running totals, taken around the chunk's mean to keep their digits.
     """
     if rows_back > chunk_rows:
         raise ValueError("A chunk must be at least as long as the rows looked back.")
@@ -171,19 +173,50 @@ def rolling_baseline(auctions: DataFrame, rows_back: int = ROLLING_ROWS, chunk_r
         [F.col("placement_type"), F.col("timestamp"), F.col("auction_id")],
         "_position",
     )
-    home = F.expr(f"_position div {chunk_rows}")
-    shared = F.col("_position") % chunk_rows >= chunk_rows - rows_back
-    chunks = placed.withColumn("_home", home).withColumn(
-        "_chunk",
-        F.explode(F.when(shared, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))),
+    chunks = placed.selectExpr("*", f"_position div {chunk_rows} AS _home").selectExpr(
+        "*",
+        f"explode(CASE WHEN _position % {chunk_rows} >= {chunk_rows - rows_back} "
+        "THEN array(_home, _home + 1) ELSE array(_home) END) AS _chunk",
     )
-    before = Window.partitionBy("_chunk", "placement_type").orderBy("_position").rowsBetween(-rows_back, -1)
-    bid = F.col("winning_bid_usd")
+    group = "PARTITION BY _chunk, placement_type"
+    ordered = f"({group} ORDER BY _position)"
+    so_far = f"OVER ({group} ORDER BY _position ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+    def before(total: str) -> str:
+        """What a running total grew by over the rows looked back on."""
+        return f"lag({total}, 1, 0) OVER {ordered} - lag({total}, {rows_back + 1}, 0) OVER {ordered}"
+
+    centered = chunks.selectExpr(
+        "*",
+        f"avg(winning_bid_usd) OVER ({group}) AS _center",
+        f"CAST(NOT winning_bid_usd <=> lag(winning_bid_usd) OVER {ordered} AS INT) AS _change",
+    ).selectExpr("*", "winning_bid_usd - _center AS _x")
+    totals = centered.selectExpr(
+        "*",
+        f"count(_x) {so_far} AS _n",
+        f"CAST(coalesce(sum(_x) {so_far}, 0) AS DOUBLE) AS _s",
+        f"CAST(coalesce(sum(_x * _x) {so_far}, 0) AS DOUBLE) AS _ss",
+        f"sum(_change) {so_far} AS _changes",
+    )
+    sums = totals.selectExpr(
+        "*",
+        f"{before('_n')} AS _rows",
+        f"{before('_s')} AS _sum",
+        f"{before('_ss')} AS _squares",
+        f"lag(_changes, 1) OVER {ordered} - coalesce(lag(_changes, {rows_back}) OVER {ordered}, "
+        f"first(_changes) {so_far}) AS _varied",
+    )
+    variance = "(_squares - _sum * _sum / _rows) / nullif(_rows - 1, 0)"
+    spread = f"CASE WHEN _rows < 2 THEN NULL WHEN _varied = 0 THEN 0D ELSE sqrt(greatest({variance}, 0D)) END"
     return (
-        chunks.withColumns(
-            {"rolling_mean": F.avg(bid).over(before), "rolling_std": F.stddev_samp(bid).over(before)}
+        sums.where("_chunk = _home")
+        .selectExpr(
+            "auction_id",
+            "placement_type",
+            "`timestamp`",
+            "winning_bid_usd",
+            "_center + _sum / nullif(_rows, 0) AS rolling_mean",
+            f"{spread} AS rolling_std",
         )
-        .where("_chunk = _home")
-        .withColumn("rolling_z", ratio(bid - F.col("rolling_mean"), F.col("rolling_std")))
-        .drop("_position", "_home", "_chunk")
+        .selectExpr("*", "(winning_bid_usd - rolling_mean) / nullif(rolling_std, 0) AS rolling_z")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bidscope.functions.numbers import ratio
+from bidscope.functions.columns import put
 from bidscope.schemas import REQUIRED_AUCTION_COLUMNS, require_columns
 from bidscope.session import one_row, stage_table
 
@@ -13,36 +13,34 @@ Z_LIMIT = 3.0
 
 
 def derive_auction_columns(raw: DataFrame) -> DataFrame:
-    """The columns that need nothing but their own row: one projection, no shuffle."""
+    """The columns that need nothing but their own row: projections only, no shuffle."""
     require_columns(raw, REQUIRED_AUCTION_COLUMNS)
-    ts, bid, price = F.col("timestamp"), F.col("winning_bid_usd"), F.col("clearing_price_usd")
 
-    def flag(name: str):
-        return F.coalesce(F.col(name) != 0, F.lit(False)) if name in raw.columns else F.lit(False)
+    def flag(name: str) -> str:
+        return f"coalesce({name} <> 0, false)" if name in raw.columns else "false"
 
-    df = raw.withColumn("timestamp", ts.cast("timestamp_ntz")).withColumns(
-        {
-            "date": F.to_date(ts),
-            "hour": F.hour(ts),
-            "day_of_week": F.date_format(ts, "EEEE"),
-            "week": F.weekofyear(ts),
-            "month": F.month(ts),
-            "is_weekend": F.weekday(ts) >= 5,
-            "bid_spread": F.round(F.coalesce(ratio(bid - price, bid), F.lit(0.0)), 4),
-            "margin_usd": F.round(bid - price, 4),
-            "has_click": flag("clicked"),
-            "has_conversion": flag("converted"),
-        }
-    )
-    df = df.withColumns(
-        {
-            "ctr": F.when(F.col("filled") == 1, F.col("has_click").cast("double")),
-            "cvr": F.when(F.col("has_click"), F.col("has_conversion").cast("double")),
-        }
-    )
+    margin = "winning_bid_usd - clearing_price_usd"
+    derived = {
+        "date": "to_date(`timestamp`)",
+        "hour": "hour(`timestamp`)",
+        "day_of_week": "date_format(`timestamp`, 'EEEE')",
+        "week": "weekofyear(`timestamp`)",
+        "month": "month(`timestamp`)",
+        "is_weekend": "weekday(`timestamp`) >= 5",
+        # The last addend keeps decimal ties on their upper side, as in round_mean.
+        "bid_spread": f"round(coalesce(({margin}) / nullif(winning_bid_usd, 0), 0) + 1e-10, 4)",
+        "margin_usd": f"round({margin} + 1e-10, 4)",
+        "has_click": flag("clicked"),
+        "has_conversion": flag("converted"),
+    }
     if "bid_floor_usd" in raw.columns:
-        df = df.withColumn("below_floor", F.coalesce(bid < F.col("bid_floor_usd"), F.lit(False)))
-    return df
+        derived["below_floor"] = "coalesce(winning_bid_usd < bid_floor_usd, false)"
+    rates = {
+        "ctr": "CASE WHEN filled = 1 THEN CAST(has_click AS DOUBLE) END",
+        "cvr": "CASE WHEN has_click THEN CAST(has_conversion AS DOUBLE) END",
+    }
+    timed = put(raw, {"timestamp": "CAST(`timestamp` AS timestamp_ntz)"})
+    return put(put(timed, derived), rates)
 
 
 def add_bid_zscore(df: DataFrame) -> DataFrame:
@@ -52,20 +50,21 @@ def add_bid_zscore(df: DataFrame) -> DataFrame:
     placement in one task. They are staged, so a small set is broadcast and the fact table is
     neither shuffled nor aggregated again by later passes.
     """
-    bid = F.col("winning_bid_usd")
     stats = stage_table(
         df.dropna(subset=["placement_type"])
         .groupBy("placement_type")
-        .agg(F.avg(bid).alias("_mean"), F.stddev_samp(bid).alias("_std")),
+        .agg(
+            F.avg("winning_bid_usd").alias("_mean"),
+            F.stddev_samp("winning_bid_usd").alias("_std"),
+        ),
         "placement-bids",
     )
-    z = F.round(ratio(bid - F.col("_mean"), F.col("_std")), 3)
-    return (
-        df.join(stats, "placement_type", "left")
-        .withColumn("bid_z_score", z)
-        .withColumn("is_bid_anomaly", F.coalesce(F.abs("bid_z_score") > Z_LIMIT, F.lit(False)))
-        .drop("_mean", "_std")
+    scored = put(
+        df.join(stats, "placement_type", "left"),
+        {"bid_z_score": "round((winning_bid_usd - _mean) / nullif(_std, 0), 3)"},
     )
+    flagged = put(scored, {"is_bid_anomaly": f"coalesce(abs(bid_z_score) > {Z_LIMIT}, false)"})
+    return flagged.drop("_mean", "_std")
 
 
 def enrich_auctions(raw: DataFrame) -> DataFrame:
@@ -73,14 +72,17 @@ def enrich_auctions(raw: DataFrame) -> DataFrame:
 
 
 def enrich_supply(raw: DataFrame) -> DataFrame:
-    ts, fill, floor = F.col("timestamp"), F.col("fill_rate"), F.col("floor_price_usd")
     top_floor = one_row(raw.agg(F.max("floor_price_usd").alias("floor"))).getField("floor")
-    return raw.withColumn("timestamp", ts.cast("timestamp_ntz")).withColumns(
+    timed = put(raw, {"timestamp": "CAST(`timestamp` AS timestamp_ntz)"}).withColumn("_top_floor", top_floor)
+    return put(
+        timed,
         {
-            "date": F.to_date(ts),
-            "hour": F.hour(ts),
-            "day_of_week": F.date_format(ts, "EEEE"),
-            "monetized_slots": F.round(F.col("available_slots") * fill, 2),
-            "supply_health": F.round(fill * 0.7 + (1 - ratio(floor, top_floor)) * 0.3, 4),
-        }
-    )
+            "date": "to_date(`timestamp`)",
+            "hour": "hour(`timestamp`)",
+            "day_of_week": "date_format(`timestamp`, 'EEEE')",
+            "monetized_slots": "round(available_slots * fill_rate, 2)",
+            "supply_health": (
+                "round(fill_rate * 7e-1 + (1 - floor_price_usd / nullif(_top_floor, 0)) * 3e-1, 4)"
+            ),
+        },
+    ).drop("_top_floor")

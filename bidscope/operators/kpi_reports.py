@@ -7,12 +7,19 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bidscope.functions.kpis import BY_NAME, CORE_KPIS, KPI, REGISTRY, pick_kpis, status_of
+from bidscope.functions.columns import quoted
+from bidscope.functions.kpis import BY_NAME, CORE_KPIS, KPI, REGISTRY, pick_kpis, sql_number, status_of
 from bidscope.functions.timebins import fill_empty_bins, time_bin
 
 
 def measures(kpis: Sequence[KPI], columns: Sequence[str]) -> list[Column]:
-    return [kpi.value(columns).alias(kpi.name) for kpi in kpis]
+    return [kpi.value(columns) for kpi in kpis]
+
+
+def text(value: str) -> str:
+    """An SQL string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def in_segment(df: DataFrame, segment: Mapping[str, object] | None) -> DataFrame:
@@ -34,21 +41,14 @@ def scorecard(
         F.count(F.lit(1)).alias("n_samples"), *measures(kpis, auctions.columns)
     )
     cards = [
-        F.struct(
-            F.lit(kpi.name).alias("kpi"),
-            F.round(F.col(kpi.name), 6).alias("value"),
-            F.lit(kpi.unit).alias("unit"),
-            F.lit(kpi.target).cast("double").alias("target"),
-            F.lit(kpi.alert_threshold).cast("double").alias("alert_threshold"),
-            status_of(kpi, F.col(kpi.name)).alias("status"),
-            F.lit(kpi.category).alias("category"),
-            F.lit(kpi.higher_is_better).alias("higher_is_better"),
-            F.lit(kpi.description).alias("description"),
-            F.col("n_samples").alias("n_samples"),
-        )
+        f"named_struct('kpi', {text(kpi.name)}, 'value', round({kpi.name}, 6), 'unit', {text(kpi.unit)}, "
+        f"'target', {sql_number(kpi.target)}, 'alert_threshold', {sql_number(kpi.alert_threshold)}, "
+        f"'status', {status_of(kpi, kpi.name)}, 'category', {text(kpi.category)}, "
+        f"'higher_is_better', {str(kpi.higher_is_better).lower()}, 'description', {text(kpi.description)}, "
+        "'n_samples', n_samples)"
         for kpi in kpis
     ]
-    return totals.where("n_samples > 0").select(F.inline(F.array(*cards)))
+    return totals.where("n_samples > 0").selectExpr(f"inline(array({', '.join(cards)}))")
 
 
 def core_scorecard(auctions: DataFrame) -> DataFrame:
@@ -68,14 +68,10 @@ def by_segment(auctions: DataFrame, column: str, kpi_names: Sequence[str] | None
         .agg(F.count(F.lit(1)).alias("n_samples"), *measures(kpis, auctions.columns))
     )
     cells = [
-        F.struct(
-            F.lit(kpi.name).alias("kpi"),
-            F.round(F.col(kpi.name), 6).alias("value"),
-            F.lit(kpi.unit).alias("unit"),
-        )
+        f"named_struct('kpi', {text(kpi.name)}, 'value', round({kpi.name}, 6), 'unit', {text(kpi.unit)})"
         for kpi in kpis
     ]
-    return grouped.select(column, F.inline(F.array(*cells)), "n_samples").select(
+    return grouped.selectExpr(quoted(column), "n_samples", f"inline(array({', '.join(cells)}))").select(
         column, "kpi", "value", "unit", "n_samples"
     )
 

@@ -10,62 +10,32 @@ and ``percentile_cont`` define it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from bidscope.functions.columns import quoted
 from bidscope.session import stage_table
 
 BUCKETS_PER_E_FOLD = 64
 SUB_BUCKETS = 4096
 RANKED_ROWS = 1_000_000
 
-
-def _log_bucket(value: Column) -> Column:
-    """A bucket number that never falls as the value rises, for either sign and any magnitude."""
-    magnitude = F.floor(F.log1p(F.abs(value) * 1e4) * BUCKETS_PER_E_FOLD)
-    return F.when(value < 0, -magnitude).otherwise(magnitude)
-
-
-def _even_bucket(value: Column, low: Column, high: Column) -> Column:
-    """Equal steps between two distinct bounds."""
-    return F.least(F.floor((value - low) / (high - low) * SUB_BUCKETS), F.lit(SUB_BUCKETS - 1))
-
-
-def _same_keys(left: str, right: str, keys: list[str]) -> Column:
-    match = F.lit(True)
-    for key in keys:
-        match = match & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
-    return match
-
-
-def _histogram(rows: DataFrame, groups: list[str], bucket: Column, base: Column) -> DataFrame:
-    """Rows, least and greatest value per bucket, and the rows of the key in front of the bucket.
-
-    ``base`` is an aggregate: the rows of the key in front of the first bucket.
-    """
-    counted = (
-        rows.withColumn("_bucket", bucket)
-        .groupBy(*groups, "_bucket")
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min("_value").alias("_min"),
-            F.max("_value").alias("_max"),
-            base.alias("_base"),
-        )
-    )
-    ordered = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return counted.withColumn("_ahead", F.col("_base") + F.coalesce(F.sum("_n").over(ordered), F.lit(0)))
-
-
-def _holds(rank: Column, ahead: Column, count: Column) -> Column:
-    return (rank >= ahead) & (rank < ahead + count)
+# A bucket number that never falls as the value rises, for either sign and any magnitude.
+_LOG_BUCKET = (
+    f"CASE WHEN _value < 0 THEN -floor(ln(1 - _value * 1e4) * {BUCKETS_PER_E_FOLD}) "
+    f"ELSE floor(ln(1 + _value * 1e4) * {BUCKETS_PER_E_FOLD}) END"
+)
+# Equal steps between two distinct bounds.
+_EVEN_BUCKET = f"least(floor((_value - _low) / (_high - _low) * {SUB_BUCKETS}), {SUB_BUCKETS - 1})"
 
 
 def grouped_quantiles(
     df: DataFrame,
-    keys: list[str],
+    keys: Sequence[str],
     value: str,
-    probabilities: dict[str, float],
+    probabilities: Mapping[str, float],
     keep_null_keys: bool = False,
     ranked_rows: int = RANKED_ROWS,
 ) -> DataFrame:
@@ -74,123 +44,141 @@ def grouped_quantiles(
     With no keys the result is the single row of the whole frame. Null values are left out. A
     bucket of up to ``ranked_rows`` rows is ranked directly, a larger one is narrowed further.
     """
-    wanted_keys = keys or ["_all"]
-    source = df if keys else df.withColumn("_all", F.lit(0))
-    rows = source.select(*wanted_keys, F.col(value).cast("double").alias("_value")).where(
-        F.col("_value").isNotNull()
-    )
+    groups = [quoted(key) for key in keys] or ["_all"]
+    rows = df.selectExpr(*(groups if keys else ["0 AS _all"]), f"CAST({quoted(value)} AS DOUBLE) AS _value")
+    rows = rows.where("_value IS NOT NULL")
     if keys and not keep_null_keys:
-        rows = rows.dropna(subset=keys)
-
-    targets = stage_table(_first_targets(rows, wanted_keys, probabilities), "quantiles")
-    while True:
-        largest = targets.where("_low < _high").agg(F.max("_n").alias("n")).first()["n"]
-        if largest is None:
-            found = targets.withColumn("_found", F.col("_low"))
-            break
-        if largest <= ranked_rows:
-            found = _rank(rows, wanted_keys, targets)
-            break
-        targets = stage_table(_narrow(rows, wanted_keys, targets, ranked_rows), "quantiles")
-
-    lower = F.max(F.when(~F.col("_upper"), F.col("_found")))
-    upper = F.max(F.when(F.col("_upper"), F.col("_found")))
-    per_name = found.groupBy(*wanted_keys, "_name").agg(
-        (lower + (upper - lower) * F.max("_fraction")).alias("_quantile")
-    )
-    result = per_name.groupBy(*wanted_keys).agg(
-        *[F.max(F.when(F.col("_name") == name, F.col("_quantile"))).alias(name) for name in probabilities]
+        rows = rows.dropna(subset=list(keys))
+
+    targets, largest = _stage(_first_targets(rows, groups, probabilities))
+    while largest is not None and largest > ranked_rows:
+        targets, largest = _stage(_narrow(rows, groups, targets, ranked_rows))
+    if largest is None:
+        found = targets.withColumnRenamed("_low", "_found")
+    else:
+        found = _rank(rows, groups, targets)
+
+    def read(name: str, upper: bool, column: str = "_found") -> str:
+        return f"max(CASE WHEN _name = '{name}' AND _upper = {str(upper).lower()} THEN {column} END)"
+
+    result = found.groupBy(*[F.col(g) for g in groups]).agg(
+        *[
+            F.expr(
+                f"{read(name, False)} + ({read(name, True)} - {read(name, False)}) "
+                f"* {read(name, False, '_fraction')} AS {quoted(name)}"
+            )
+            for name in probabilities
+        ]
     )
     return result if keys else result.drop("_all")
 
 
-def _first_targets(rows: DataFrame, keys: list[str], probabilities: dict[str, float]) -> DataFrame:
+def _stage(targets: DataFrame) -> tuple[DataFrame, int | None]:
+    """Write the targets down, and learn how many rows the largest unresolved bucket has."""
+    seen = Observation()
+    largest = F.expr("max(CASE WHEN _low < _high THEN _n END) AS n")
+    staged = stage_table(targets.observe(seen, largest), "quantiles")
+    return staged, seen.get["n"]
+
+
+def _histogram(rows: DataFrame, groups: list[str], bucket: str, base: str) -> DataFrame:
+    """Rows, least and greatest value per bucket, and the rows of the key in front of the bucket.
+
+    ``base`` is an aggregate: the rows of the key in front of the first bucket.
+    """
+    counted = (
+        rows.selectExpr("*", f"{bucket} AS _bucket")
+        .groupBy(*[F.col(g) for g in groups], "_bucket")
+        .agg(
+            F.expr("count(*) AS _n"),
+            F.expr("min(_value) AS _min"),
+            F.expr("max(_value) AS _max"),
+            F.expr(f"{base} AS _base"),
+        )
+    )
+    ordered = f"PARTITION BY {', '.join(groups)} ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    return counted.selectExpr("*", f"_base + coalesce(sum(_n) OVER ({ordered}), 0) AS _ahead")
+
+
+def _first_targets(rows: DataFrame, groups: list[str], probabilities: Mapping[str, float]) -> DataFrame:
     """Every wanted rank with the bucket that holds it."""
-    histogram = _histogram(rows, keys, _log_bucket(F.col("_value")), F.min(F.lit(0)))
-    total = F.sum("_n").over(Window.partitionBy(*keys))
-    wanted = F.array(
-        *[F.struct(F.lit(name).alias("name"), F.lit(float(p)).alias("p")) for name, p in probabilities.items()]
+    wanted = ", ".join(
+        f"named_struct('_name', '{name}', '_p', {float(p)!r}D, '_upper', {upper})"
+        for name, p in probabilities.items()
+        for upper in ("false", "true")
     )
-    position = F.col("_want.p") * (F.col("_total") - 1)
+    total = f"sum(_n) OVER (PARTITION BY {', '.join(groups)}) AS _total"
+    kept = [*groups, "_ahead", "_n", "_min AS _low", "_max AS _high"]
     return (
-        histogram.withColumn("_total", total)
-        .withColumn("_want", F.explode(wanted))
-        .withColumn("_floor", F.floor(position))
-        .withColumn("_fraction", position - F.col("_floor"))
-        .withColumn("_upper", F.explode(F.array(F.lit(False), F.lit(True))))
-        .withColumn(
-            "_rank",
-            F.when(F.col("_upper"), F.least(F.col("_floor") + 1, F.col("_total") - 1)).otherwise(F.col("_floor")),
-        )
-        .where(_holds(F.col("_rank"), F.col("_ahead"), F.col("_n")))
-        .select(
-            *keys,
-            F.col("_want.name").alias("_name"),
+        _histogram(rows, groups, _LOG_BUCKET, "0 * count(*)")
+        .selectExpr("*", total)
+        .selectExpr(*kept, "_total", f"inline(array({wanted}))")
+        .selectExpr("*", "floor(_p * (_total - 1)) AS _floor")
+        .selectExpr(
+            *[column.split(" AS ")[-1] for column in kept],
+            "_name",
             "_upper",
-            "_fraction",
-            "_rank",
-            "_ahead",
-            "_n",
-            F.col("_min").alias("_low"),
-            F.col("_max").alias("_high"),
+            "_p * (_total - 1) - _floor AS _fraction",
+            "CASE WHEN _upper THEN least(_floor + 1, _total - 1) ELSE _floor END AS _rank",
         )
+        .where("_rank >= _ahead AND _rank < _ahead + _n")
     )
 
 
-def _rows_within(rows: DataFrame, keys: list[str], intervals: DataFrame) -> DataFrame:
-    """The rows inside the intervals of their key; an interval set this small is broadcast."""
-    inside = _same_keys("r", "i", keys) & F.col("r._value").between(F.col("i._low"), F.col("i._high"))
-    return rows.alias("r").join(intervals.alias("i"), inside).select(
-        *[F.col(f"i.{key}").alias(key) for key in keys], "i._low", "i._high", "i._ahead", "r._value"
-    )
+def _same(left: str, right: str, columns: Sequence[str]) -> str:
+    return " AND ".join(f"{left}.{column} <=> {right}.{column}" for column in columns)
 
 
-def _intervals(targets: DataFrame, keys: list[str]) -> DataFrame:
-    return targets.select(*keys, "_low", "_high", "_ahead").distinct()
+def _rows_within(rows: DataFrame, groups: list[str], targets: DataFrame) -> DataFrame:
+    """The rows inside the target intervals of their key; an interval set this small is broadcast."""
+    intervals = targets.selectExpr(*groups, "_low", "_high", "_ahead").distinct()
+    inside = f"{_same('r', 'i', groups)} AND r._value BETWEEN i._low AND i._high"
+    return (
+        rows.alias("r")
+        .join(intervals.alias("i"), F.expr(inside))
+        .selectExpr(*[f"i.{g}" for g in groups], "i._low", "i._high", "i._ahead", "r._value")
+    )
 
 
-def _target_in(targets: DataFrame, keys: list[str], buckets: DataFrame) -> DataFrame:
+def _meet(targets: DataFrame, groups: list[str], buckets: DataFrame) -> DataFrame:
     """Join targets with the buckets of their interval that hold their rank."""
-    same = (
-        _same_keys("t", "b", keys)
-        & (F.col("t._low") == F.col("b._low"))
-        & (F.col("t._high") == F.col("b._high"))
-        & _holds(F.col("t._rank"), F.col("b._ahead"), F.col("b._n"))
+    holds = (
+        f"{_same('t', 'b', groups)} AND t._low = b._low AND t._high = b._high "
+        "AND t._rank >= b._ahead AND t._rank < b._ahead + b._n"
     )
-    return targets.alias("t").join(buckets.alias("b"), same)
+    return targets.alias("t").join(buckets.alias("b"), F.expr(holds))
 
 
-def _narrow(rows: DataFrame, keys: list[str], targets: DataFrame, ranked_rows: int) -> DataFrame:
+def _narrow(rows: DataFrame, groups: list[str], targets: DataFrame, ranked_rows: int) -> DataFrame:
     """Replace every too large bucket by the part of it that holds the wanted rank."""
-    large = (F.col("_n") > ranked_rows) & (F.col("_low") < F.col("_high"))
+    large = f"_n > {ranked_rows} AND _low < _high"
     open_targets = targets.where(large)
-    inside = _rows_within(rows, keys, _intervals(open_targets, keys))
-    sub_bucket = _even_bucket(F.col("_value"), F.col("_low"), F.col("_high"))
-    buckets = _histogram(inside, [*keys, "_low", "_high"], sub_bucket, F.min("_ahead"))
-    narrowed = _target_in(open_targets, keys, buckets).select(
-        *[f"t.{c}" for c in [*keys, "_name", "_upper", "_fraction", "_rank"]],
+    inside = _rows_within(rows, groups, open_targets)
+    buckets = _histogram(inside, [*groups, "_low", "_high"], _EVEN_BUCKET, "min(_ahead)")
+    narrowed = _meet(open_targets, groups, buckets).selectExpr(
+        *[f"t.{c}" for c in [*groups, "_name", "_upper", "_fraction", "_rank"]],
         "b._ahead",
         "b._n",
-        F.col("b._min").alias("_low"),
-        F.col("b._max").alias("_high"),
+        "b._min AS _low",
+        "b._max AS _high",
     )
-    return targets.where(~large).unionByName(narrowed)
+    return targets.where(f"NOT ({large})").unionByName(narrowed)
 
 
-def _rank(rows: DataFrame, keys: list[str], targets: DataFrame) -> DataFrame:
+def _rank(rows: DataFrame, groups: list[str], targets: DataFrame) -> DataFrame:
     """Read the wanted values off the distinct values of the remaining, bounded buckets."""
     open_targets = targets.where("_low < _high")
-    groups = [*keys, "_low", "_high"]
+    interval = [*groups, "_low", "_high"]
     counted = (
-        _rows_within(rows, keys, _intervals(open_targets, keys))
-        .groupBy(*groups, "_ahead", "_value")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        _rows_within(rows, groups, open_targets)
+        .groupBy(*[F.col(c) for c in interval], "_ahead", "_value")
+        .agg(F.expr("count(*) AS _n"))
     )
-    ordered = Window.partitionBy(*groups).orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = counted.withColumn("_ahead", F.col("_ahead") + F.coalesce(F.sum("_n").over(ordered), F.lit(0)))
-    columns = [*keys, "_name", "_upper", "_fraction"]
-    read_off = _target_in(open_targets, keys, ranked).select(
-        *[f"t.{c}" for c in columns], F.col("b._value").alias("_found")
+    ordered = f"PARTITION BY {', '.join(interval)} ORDER BY _value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    ranked = counted.selectExpr(
+        *interval, "_value", "_n", f"_ahead + coalesce(sum(_n) OVER ({ordered}), 0) AS _ahead"
     )
-    known = targets.where("_low = _high").select(*columns, F.col("_low").alias("_found"))
+    kept = [*groups, "_name", "_upper", "_fraction"]
+    read_off = _meet(open_targets, groups, ranked).selectExpr(*[f"t.{c}" for c in kept], "b._value AS _found")
+    known = targets.where("_low = _high").selectExpr(*kept, "_low AS _found")
     return known.unionByName(read_off)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bidscope.functions.numbers import ratio
+from bidscope.functions.numbers import ratio, round_mean
 from bidscope.operators.quantiles import grouped_quantiles
 
 DAILY_GRAIN = ["date", "placement_type", "device_type", "ad_format"]
@@ -48,11 +48,11 @@ def kpi_snapshot(
         snapshot = snapshot.join(exact, grain, "left")
     return snapshot.withColumns(
         {
-            "fill_rate": F.round(ratio(F.col("filled_auctions"), F.col("total_auctions")), 4),
-            "ctr": F.round(ratio(F.col("total_clicks"), F.col("filled_auctions")), 4),
-            "cvr": F.round(ratio(F.col("total_conversions"), F.col("total_clicks")), 4),
-            "cpc_usd": F.round(ratio(F.col("total_revenue_usd"), F.col("total_clicks")), 4),
-            "rpm_usd": F.round(ratio(F.col("total_revenue_usd"), F.col("total_auctions")) * 1000, 4),
+            "fill_rate": round_mean(ratio(F.col("filled_auctions"), F.col("total_auctions")), 4),
+            "ctr": round_mean(ratio(F.col("total_clicks"), F.col("filled_auctions")), 4),
+            "cvr": round_mean(ratio(F.col("total_conversions"), F.col("total_clicks")), 4),
+            "cpc_usd": round_mean(ratio(F.col("total_revenue_usd"), F.col("total_clicks")), 4),
+            "rpm_usd": round_mean(ratio(F.col("total_revenue_usd"), F.col("total_auctions")) * 1000, 4),
         }
     )
 

@@ -67,9 +67,9 @@ def supply_demand_balance(supply: DataFrame, auctions: DataFrame | None) -> Data
         offered.join(requested, by, "full")
         .withColumns(
             {
-                "fill_rate": F.round(ratio(F.col("filled_requests"), F.col("auction_requests")), 4),
-                "monetization_rate": F.round(ratio(F.col("revenue_usd"), F.col("available_slots")), 4),
-                "demand_supply_ratio": F.round(ratio(F.col("auction_requests"), F.col("supply_events")), 2),
+                "fill_rate": round_mean(ratio(F.col("filled_requests"), F.col("auction_requests")), 4),
+                "monetization_rate": round_mean(ratio(F.col("revenue_usd"), F.col("available_slots")), 4),
+                "demand_supply_ratio": round_mean(ratio(F.col("auction_requests"), F.col("supply_events")), 2),
             }
         )
         .orderBy(*by)
@@ -132,7 +132,7 @@ def floor_sensitivity(auctions: DataFrame | None, placement: str = "top_of_searc
         .select(
             F.col("_met").alias("_index"),
             F.round(_floor_at(F.col("_met") - 1), 4).alias("floor_usd"),
-            F.round("_fill", 4).alias("fill_rate"),
+            round_mean(F.col("_fill"), 4).alias("fill_rate"),
             F.round(ratio(F.col("_paid"), F.col("_priced")) * F.col("_fill"), 6).alias("expected_rev_per_auction"),
         )
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bidscope.functions.columns import put
 from bidscope.operators import auctions as auction_ops
 from bidscope.operators import causal, detect, kpi_reports, quality, ranking, snapshots
 from bidscope.operators import supply as supply_ops
@@ -19,10 +20,18 @@ from bidscope.sources import star
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Money of a single row has at most nine decimals.
+ROW_DIGITS = 9
+# Moves values off decimal ties, which engines break differently.
+OFF_TIE = "1.234567e-9"
+
+
 def shown(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles as reported: the order of summation must not show in the last digits."""
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({name: F.round(name, digits) for name in doubles}) if doubles else df
+    nudge = f" + {OFF_TIE}" if digits < ROW_DIGITS else ""
+    rounded = {name: f"round(`{name}`{nudge}, {digits})" for name in doubles}
+    return put(df, rounded).select(df.columns) if doubles else df
 
 
 def raw_auctions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,8 +145,8 @@ def star_by_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     a = auctions
     return {
-        "auctions_enriched": _on(enriched, lambda df: df.select(ENRICHED_COLUMNS), 6),
-        "supply_enriched": _on(supply, lambda df: df, 6),
+        "auctions_enriched": _on(enriched, lambda df: df.select(ENRICHED_COLUMNS), ROW_DIGITS),
+        "supply_enriched": _on(supply, lambda df: df, ROW_DIGITS),
         "release_labels": _on(a, release_summary),
         "kpi_scorecard": _on(a, kpi_reports.scorecard),
         "kpi_scorecard_segment": _on(
@@ -210,10 +219,10 @@ def queries() -> dict[str, Query]:
         "detect_zscore": _on(
             a,
             lambda df: detect.detect(df, "winning_bid_usd").select("auction_id", "winning_bid_usd", "is_anomaly"),
-            6,
+            ROW_DIGITS,
         ),
         "detect_iqr": _on(
-            a, lambda df: detect.detect(df, "ecpm", "iqr").select("auction_id", "ecpm", "is_anomaly"), 6
+            a, lambda df: detect.detect(df, "ecpm", "iqr").select("auction_id", "ecpm", "is_anomaly"), ROW_DIGITS
         ),
         "detect_zscore_keyed": _on(
             a,
@@ -229,9 +238,9 @@ def queries() -> dict[str, Query]:
             lambda df: df.select(
                 "auction_id", "placement_type", "winning_bid_usd", "bid_z_score", "bid_is_anomaly"
             ),
-            6,
+            ROW_DIGITS,
         ),
-        "top_bid_anomalies": _on(scored, detect.top_bid_anomalies, 6),
+        "top_bid_anomalies": _on(scored, detect.top_bid_anomalies, ROW_DIGITS),
         "dash_bid_anomaly_share": _on(scored, detect.anomaly_share),
         "dash_score_histogram": _on(enriched, lambda df: detect.score_histogram(df, "bid_z_score")),
         "bid_rolling_baseline": _on(
@@ -252,6 +261,6 @@ def queries() -> dict[str, Query]:
         "dq_orphans": dq_orphans,
         "dim_date": _on(raw_auctions, quality.dim_date),
         "dim_placement": _on(raw_auctions, quality.dim_placement),
-        "dim_advertiser": lambda spark, sf_dir: shown(star.dim_advertiser(apply_runtime_conf(spark), sf_dir)),
-        "dim_campaign": lambda spark, sf_dir: shown(star.dim_campaign(apply_runtime_conf(spark), sf_dir)),
+        "dim_advertiser": lambda spark, sf_dir: shown(star.dim_advertiser(apply_runtime_conf(spark), sf_dir), ROW_DIGITS),
+        "dim_campaign": lambda spark, sf_dir: shown(star.dim_campaign(apply_runtime_conf(spark), sf_dir), ROW_DIGITS),
     }

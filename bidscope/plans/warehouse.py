@@ -64,7 +64,7 @@ def depth_buckets(auctions: DataFrame) -> DataFrame:
     by = ["placement_type", "depth_bucket"]
     day = ["date", "placement_type"]
     parts = (
-        auctions.withColumn("depth_bucket", depth_level(F.col("auction_depth")))
+        auctions.withColumn("depth_bucket", depth_level("auction_depth"))
         .groupBy("date", *by)
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -262,7 +262,7 @@ def fill_rolling(auctions: DataFrame) -> DataFrame:
 def floor_buckets(auctions: DataFrame, min_rows: int = 100) -> DataFrame:
     by = ["placement_type", "floor_bucket"]
     return (
-        auctions.withColumn("floor_bucket", floor_step(F.col("bid_floor_usd")))
+        auctions.withColumn("floor_bucket", floor_step("bid_floor_usd"))
         .groupBy(*by)
         .agg(_count(), _mean("filled", 4).alias("fill_rate"), _sum("revenue_usd").alias("revenue_usd"))
         .where(F.col("n_auctions") >= min_rows)
@@ -420,8 +420,8 @@ def star_by_tier(auctions: DataFrame, advertisers: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("n_advertisers"),
             F.sum("n").alias("n_auctions"),
-            F.round(ratio(F.sum("fills"), F.sum("n")), 4).alias("fill_rate"),
-            F.round(ratio(F.sum("bids"), F.sum("n")), 4).alias("avg_winning_bid"),
+            round_mean(ratio(F.sum("fills"), F.sum("n")), 4).alias("fill_rate"),
+            round_mean(ratio(F.sum("bids"), F.sum("n")), 4).alias("avg_winning_bid"),
             F.round(F.sum("revenue"), 2).alias("revenue_usd"),
         )
         .orderBy("tier", "bidding_strategy")

@@ -14,6 +14,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
+START_CONF = {
+    # Recording the call site of every column costs more than planning the query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
 
 
 def build_session(
@@ -25,7 +29,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **(conf or {})}.items():
+    for key, value in {**START_CONF, **RUNTIME_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -1,124 +1,97 @@
 """Auction facts and dimensions as views over the order tables.
 
 The order tables hold no auction log, so every fact column is a fixed expression over a line
-item, its part, an event or a supplier. ``checks/oracles.py`` states the same expressions in SQL.
+item, its part, an event or a supplier. ``checks/oracles.py`` states the same expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from bidscope.functions.columns import one_of, put
 from bidscope.functions.labels import release_labels
 from bidscope.schemas import AD_FORMATS, ADVERTISER_TIERS, BIDDING_STRATEGIES, DEVICE_TYPES, PLACEMENT_TYPES
 
-SECONDS_IN_RANGE = 90 * 86400
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(index: Column, names: list[str]) -> Column:
-    """``names[index % len(names)]`` as a chain of conditions."""
-    slot = index % F.lit(len(names))
-    chain = F.when(slot == 0, F.lit(names[0]))
-    for position, name in enumerate(names[1:], start=1):
-        chain = chain.when(slot == position, F.lit(name))
-    return chain
-
-
 def auctions_from(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """One auction per line item; the bid is five times higher on every 97th order."""
-    order, line, item, supplier = (
-        F.col("l_orderkey"),
-        F.col("l_linenumber"),
-        F.col("l_partkey"),
-        F.col("l_suppkey"),
+    """One auction per line item, over 90 days; the bid is five times higher on every 97th order."""
+    spike = "CASE WHEN l_orderkey % 97 = 0 THEN 5e0 ELSE 1e0 END"
+    seconds = "(l_orderkey * 1103 + l_linenumber * 7919 + l_partkey * 31) % 7776000"
+    bids = lineitem.join(part, lineitem["l_partkey"] == part["p_partkey"]).selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS auction_id",
+        f"timestampadd(SECOND, CAST({seconds} AS INT), timestamp_ntz '2024-01-01 00:00:00') AS `timestamp`",
+        f"{one_of(PLACEMENT_TYPES, 'l_partkey')} AS placement_type",
+        f"{one_of(DEVICE_TYPES, 'l_suppkey')} AS device_type",
+        f"{one_of(AD_FORMATS, 'l_linenumber')} AS ad_format",
+        "p_brand AS category",
+        "CAST(l_partkey AS STRING) AS campaign_id",
+        "CAST(l_suppkey AS STRING) AS advertiser_id",
+        "CAST(2 + l_orderkey % 11 AS INT) AS auction_depth",
+        "5e-2 + l_quantity * 12e-3 AS bid_floor_usd",
+        f"l_extendedprice / 100000e0 * ({spike}) AS winning_bid_usd",
+        "97e-2 - l_discount AS _price_share",
+        f"l_extendedprice / 100e0 * (p_size / 50e0) * ({spike}) AS ecpm",
+        "CAST(l_orderkey % 20 = 0 AS INT) AS clicked",
+        "CAST(l_orderkey % 60 = 0 AS INT) AS converted",
     )
-    spike = F.when(order % 97 == 0, F.lit(5.0)).otherwise(F.lit(1.0))
-    seconds = (order * 1103 + line * 7919 + item * 31) % SECONDS_IN_RANGE
-    bids = lineitem.join(part, item == F.col("p_partkey")).select(
-        F.concat_ws("-", *[c.cast("string") for c in (order, line, item, supplier)]).alias("auction_id"),
-        F.timestamp_add("SECOND", seconds.cast("int"), F.expr("timestamp_ntz '2024-01-01 00:00:00'")).alias(
-            "timestamp"
-        ),
-        _pick(item, PLACEMENT_TYPES).alias("placement_type"),
-        _pick(supplier, DEVICE_TYPES).alias("device_type"),
-        _pick(line, AD_FORMATS).alias("ad_format"),
-        F.col("p_brand").alias("category"),
-        item.cast("string").alias("campaign_id"),
-        supplier.cast("string").alias("advertiser_id"),
-        (order % 11 + 2).cast("int").alias("auction_depth"),
-        (F.lit(5e-2) + F.col("l_quantity") * F.lit(12e-3)).alias("bid_floor_usd"),
-        (F.col("l_extendedprice") / F.lit(1e5) * spike).alias("winning_bid_usd"),
-        (F.lit(0.97) - F.col("l_discount")).alias("_price_share"),
-        (F.col("l_extendedprice") / F.lit(1e2) * (F.col("p_size") / F.lit(50.0)) * spike).alias("ecpm"),
-        (order % 20 == 0).cast("int").alias("clicked"),
-        (order % 60 == 0).cast("int").alias("converted"),
-    )
-    filled = F.col("winning_bid_usd") >= F.col("bid_floor_usd")
-    priced = bids.withColumns(
+    price = "CASE WHEN winning_bid_usd >= bid_floor_usd THEN winning_bid_usd * _price_share ELSE 0e0 END"
+    priced = put(
+        bids,
         {
-            "date": F.to_date("timestamp"),
-            "hour": F.hour("timestamp"),
-            "filled": filled.cast("int"),
-            "clearing_price_usd": F.when(filled, F.col("winning_bid_usd") * F.col("_price_share")).otherwise(
-                F.lit(0.0)
-            ),
-        }
-    ).withColumn("revenue_usd", F.col("clearing_price_usd") * F.col("filled"))
-    return release_labels(priced.drop("_price_share"))
+            "date": "to_date(`timestamp`)",
+            "hour": "hour(`timestamp`)",
+            "filled": "CAST(winning_bid_usd >= bid_floor_usd AS INT)",
+            "clearing_price_usd": price,
+            "revenue_usd": price,
+        },
+    ).drop("_price_share")
+    return release_labels(priced)
 
 
 def supply_from(events: DataFrame) -> DataFrame:
-    event, user, value = F.col("event_id"), F.col("user_id"), F.col("value")
-    return events.select(
-        event.cast("string").alias("supply_event_id"),
-        F.col("ts").alias("timestamp"),
-        F.to_date("ts").alias("date"),
-        _pick(user, PLACEMENT_TYPES).alias("placement_type"),
-        _pick(event, DEVICE_TYPES).alias("device_type"),
-        (event % 5 + 1).cast("int").alias("available_slots"),
-        (value / (value + F.lit(10.0))).alias("fill_rate"),
-        (F.lit(5e-2) + (event % 80) * F.lit(1e-2)).alias("floor_price_usd"),
-        ((event * 37) % 2950 + 50).cast("int").alias("page_load_ms"),
+    return events.selectExpr(
+        "CAST(event_id AS STRING) AS supply_event_id",
+        "ts AS `timestamp`",
+        "to_date(ts) AS `date`",
+        f"{one_of(PLACEMENT_TYPES, 'user_id')} AS placement_type",
+        f"{one_of(DEVICE_TYPES, 'event_id')} AS device_type",
+        "CAST(1 + event_id % 5 AS INT) AS available_slots",
+        "value / (value + 10e0) AS fill_rate",
+        "5e-2 + (event_id % 80) * 1e-2 AS floor_price_usd",
+        "CAST(50 + (event_id * 37) % 2950 AS INT) AS page_load_ms",
     )
 
 
 def advertisers_from(supplier: DataFrame, nation: DataFrame) -> DataFrame:
-    key, balance = F.col("s_suppkey"), F.col("s_acctbal")
     small, mid, large, enterprise = ADVERTISER_TIERS
-    tier = (
-        F.when(balance < 2000, F.lit(small))
-        .when(balance < 5000, F.lit(mid))
-        .when(balance < 8000, F.lit(large))
-        .otherwise(F.lit(enterprise))
-    )
-    return supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        key.cast("string").alias("advertiser_id"),
-        tier.alias("tier"),
-        F.col("n_name").alias("category"),
-        (balance + F.lit(1000.0)).alias("daily_budget_usd"),
-        _pick(key, BIDDING_STRATEGIES).alias("bidding_strategy"),
-        (F.lit(1e-1) + (key % 50) * F.lit(1e-2)).alias("target_cpc_usd"),
-        (F.lit(3.0) + (key % 70) * F.lit(1e-1)).alias("quality_score"),
-        ((key % 100) * F.lit(1e-2)).alias("identity_match_rate"),
+    return supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"]).selectExpr(
+        "CAST(s_suppkey AS STRING) AS advertiser_id",
+        f"CASE WHEN s_acctbal < 2000 THEN '{small}' WHEN s_acctbal < 5000 THEN '{mid}' "
+        f"WHEN s_acctbal < 8000 THEN '{large}' ELSE '{enterprise}' END AS tier",
+        "n_name AS category",
+        "s_acctbal + 1000e0 AS daily_budget_usd",
+        f"{one_of(BIDDING_STRATEGIES, 's_suppkey')} AS bidding_strategy",
+        "1e-1 + (s_suppkey % 50) * 1e-2 AS target_cpc_usd",
+        "3e0 + (s_suppkey % 70) * 1e-1 AS quality_score",
+        "(s_suppkey % 100) * 1e-2 AS identity_match_rate",
     )
 
 
 def campaigns_from(part: DataFrame, lineitem: DataFrame) -> DataFrame:
-    key = F.col("p_partkey")
-    owners = lineitem.groupBy("l_partkey").agg(F.min("l_suppkey").alias("owner"))
-    return part.join(owners, key == F.col("l_partkey")).select(
-        key.cast("string").alias("campaign_id"),
-        F.col("owner").cast("string").alias("advertiser_id"),
-        _pick(key, AD_FORMATS).alias("ad_format"),
-        F.col("p_brand").alias("category"),
-        F.col("p_retailprice").alias("daily_budget_usd"),
-        (F.col("p_retailprice") / F.lit(1000.0)).alias("target_bid_usd"),
-        (F.col("p_size") / F.lit(5.0)).alias("quality_score"),
-        ((key % 100) * F.lit(1e-2)).alias("relevance_score"),
+    owners = lineitem.groupBy("l_partkey").agg({"l_suppkey": "min"})
+    return part.join(owners, part["p_partkey"] == owners["l_partkey"]).selectExpr(
+        "CAST(p_partkey AS STRING) AS campaign_id",
+        "CAST(`min(l_suppkey)` AS STRING) AS advertiser_id",
+        f"{one_of(AD_FORMATS, 'p_partkey')} AS ad_format",
+        "p_brand AS category",
+        "p_retailprice AS daily_budget_usd",
+        "p_retailprice / 1000e0 AS target_bid_usd",
+        "p_size / 5e0 AS quality_score",
+        "(p_partkey % 100) * 1e-2 AS relevance_score",
     )
 
 

@@ -56,8 +56,8 @@ a AS (
     CASE WHEN treatment = 1 THEN 'v2.0' ELSE 'v1.0' END AS feature_version,
     dayname("timestamp") AS day_of_week, CAST(week("timestamp") AS INT) AS week,
     CAST(month("timestamp") AS INT) AS month, isodow("timestamp") >= 6 AS is_weekend,
-    round(coalesce((winning_bid_usd - clearing_price_usd)/nullif(winning_bid_usd,0),0),4) AS bid_spread,
-    round(winning_bid_usd - clearing_price_usd,4) AS margin_usd,
+    round(coalesce((winning_bid_usd - clearing_price_usd)/nullif(winning_bid_usd,0),0) + 1e-10,4) AS bid_spread,
+    round(winning_bid_usd - clearing_price_usd + 1e-10,4) AS margin_usd,
     clicked <> 0 AS has_click, converted <> 0 AS has_conversion,
     CASE WHEN filled = 1 THEN CAST(clicked <> 0 AS DOUBLE) END AS ctr,
     CASE WHEN clicked <> 0 THEN CAST(converted <> 0 AS DOUBLE) END AS cvr,
@@ -118,11 +118,11 @@ BID_QUANTILES = """,
   percentile_cont(0.9) WITHIN GROUP (ORDER BY winning_bid_usd) AS p90_winning_bid,
   percentile_cont(0.99) WITHIN GROUP (ORDER BY winning_bid_usd) AS p99_winning_bid"""
 RATIOS = """
-  round(filled_auctions/nullif(total_auctions,0),4) AS fill_rate,
-  round(total_clicks/nullif(filled_auctions,0),4) AS ctr,
-  round(total_conversions/nullif(total_clicks,0),4) AS cvr,
-  round(rev/nullif(total_clicks,0),4) AS cpc_usd,
-  round(rev/nullif(total_auctions,0)*1000,4) AS rpm_usd"""
+  round(filled_auctions/nullif(total_auctions,0)+1e-9,4) AS fill_rate,
+  round(total_clicks/nullif(filled_auctions,0)+1e-9,4) AS ctr,
+  round(total_conversions/nullif(total_clicks,0)+1e-9,4) AS cvr,
+  round(rev/nullif(total_clicks,0)+1e-9,4) AS cpc_usd,
+  round(rev/nullif(total_auctions,0)*1000+1e-9,4) AS rpm_usd"""
 
 
 def snapshot(grain: str, quantiles: bool = True, shown: bool = True) -> str:
@@ -130,8 +130,8 @@ def snapshot(grain: str, quantiles: bool = True, shown: bool = True) -> str:
     means = ["avg_winning_bid", "avg_clearing_price", "avg_bid_spread", "avg_ecpm", "avg_auction_depth"]
     if quantiles:
         means += ["p50_winning_bid", "p90_winning_bid", "p99_winning_bid"]
-    columns = ", ".join(f"round({m},6) AS {m}" if shown else m for m in means)
-    revenue = "round(rev,6)" if shown else "rev"
+    columns = ", ".join(f"round({m}+1.234567e-9,6) AS {m}" if shown else m for m in means)
+    revenue = "round(rev+1.234567e-9,6)" if shown else "rev"
     return (
         f"SELECT {grain}, total_auctions, filled_auctions, total_clicks, total_conversions, "
         f"{revenue} AS total_revenue_usd, {columns}, {RATIOS} FROM ({inner})"
@@ -235,10 +235,10 @@ d AS (SELECT *, (post_treated - pre_treated) - (post_control - pre_control) AS d
   CAST(n1 + n0 - 2 AS DOUBLE) AS f FROM c)"""
     if part == "cells":
         return base + """
-SELECT 'Control (pre)' AS "group", round(pre_control,4) AS value FROM d
-UNION ALL SELECT 'Control (post)', round(post_control,4) FROM d
-UNION ALL SELECT 'Treated (pre)', round(pre_treated,4) FROM d
-UNION ALL SELECT 'Treated (post)', round(post_treated,4) FROM d"""
+SELECT 'Control (pre)' AS "group", round(pre_control+1e-9,4) AS value FROM d
+UNION ALL SELECT 'Control (post)', round(post_control+1e-9,4) FROM d
+UNION ALL SELECT 'Treated (pre)', round(pre_treated+1e-9,4) FROM d
+UNION ALL SELECT 'Treated (post)', round(post_treated+1e-9,4) FROM d"""
     # The tail of Student's t by the midpoint rule after x = |t| + u/(1-u).
     return base + f""",
 tail AS (
@@ -246,8 +246,8 @@ tail AS (
       - (f+1)/2*ln(1 + pow(abs(t) + u/(1-u), 2)/f)) / pow(1-u, 2) / 200000e0)) AS p
   FROM d, (SELECT (range + 0.5e0)/200000e0 AS u FROM range(200000))
 )
-SELECT '{metric}' AS metric, round(pre_control,4) AS pre_control, round(post_control,4) AS post_control,
-  round(pre_treated,4) AS pre_treated, round(post_treated,4) AS post_treated, round(did,4) AS did_estimate,
+SELECT '{metric}' AS metric, round(pre_control+1e-9,4) AS pre_control, round(post_control+1e-9,4) AS post_control,
+  round(pre_treated+1e-9,4) AS pre_treated, round(post_treated+1e-9,4) AS post_treated, round(did+1e-9,4) AS did_estimate,
   coalesce(round(did/nullif(pre_treated,0)*100,2),0) AS relative_lift_pct, round(t,3) AS t_statistic,
   round(p,4) AS p_value, p < 0.05 AS significant_at_5pct
 FROM d, tail"""
@@ -362,9 +362,9 @@ def orphans(child: str, source: str, column: str, parent: str) -> str:
 
 
 ENRICHED_COLUMNS = """auction_id, "timestamp", "date", "hour", day_of_week, week, month, is_weekend, placement_type,
-  device_type, ad_format, category, campaign_id, advertiser_id, auction_depth, round(bid_floor_usd,6) AS bid_floor_usd,
-  round(winning_bid_usd,6) AS winning_bid_usd, round(clearing_price_usd,6) AS clearing_price_usd, bid_spread,
-  margin_usd, round(ecpm,6) AS ecpm, filled, clicked, converted, round(revenue_usd,6) AS revenue_usd, has_click,
+  device_type, ad_format, category, campaign_id, advertiser_id, auction_depth, round(bid_floor_usd,9) AS bid_floor_usd,
+  round(winning_bid_usd,9) AS winning_bid_usd, round(clearing_price_usd,9) AS clearing_price_usd, bid_spread,
+  margin_usd, round(ecpm,9) AS ecpm, filled, clicked, converted, round(revenue_usd,9) AS revenue_usd, has_click,
   has_conversion, ctr, cvr, bid_z_score, is_bid_anomaly, below_floor"""
 
 BASELINES = f"""
@@ -389,7 +389,7 @@ def scan(method: str) -> str:
     }[method]
     return f"""WITH {AUCTIONS}, {SERIES},
 filled_in AS (SELECT *, coalesce(value, median(value) OVER (PARTITION BY kpi)) AS x FROM series)
-SELECT "timestamp", kpi, round(value,6) AS value, coalesce({mark}, false) AS is_anomaly,
+SELECT "timestamp", kpi, round(value+1.234567e-9,6) AS value, coalesce({mark}, false) AS is_anomaly,
   round(abs((value - avg(value) OVER k)/nullif(stddev_samp(value) OVER k,0)),3) AS anomaly_score
 FROM filled_in WINDOW k AS (PARTITION BY kpi)"""
 
@@ -407,7 +407,7 @@ def trend(kpi: str, freq: str, group: str | None = None) -> str:
     return f"""WITH {AUCTIONS},
 w AS (SELECT {keys}{bin_of(freq)} AS b, {KPI_VALUES} FROM a GROUP BY ALL),
 sp AS {bins}
-SELECT {shown}sp.b AS "timestamp", round(CAST(w.{kpi} AS DOUBLE),6) AS value,
+SELECT {shown}sp.b AS "timestamp", round(CAST(w.{kpi} AS DOUBLE)+1.234567e-9,6) AS value,
   round(avg(w.{kpi}) OVER ({part}ORDER BY sp.b ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),6) AS rolling_avg,
   '{kpi}' AS kpi
 FROM sp LEFT JOIN w ON {on}"""
@@ -419,8 +419,8 @@ def floor_changes(multipliers: list[float], placement: str | None) -> str:
     for m in multipliers:
         meets = f"winning_bid_usd >= bid_floor_usd*{m!r}e0"
         lines.append(f"""SELECT {m!r}e0 AS floor_multiplier, '{placement or 'all'}' AS placement,
-  round(avg(filled),4) AS baseline_fill_rate, round(avg(CAST({meets} AS INT)),4) AS simulated_fill_rate,
-  round(avg(CAST({meets} AS INT)) - avg(filled),4) AS fill_rate_delta, round(sum(revenue_usd),2) AS baseline_revenue_usd,
+  round(avg(filled)+1e-9,4) AS baseline_fill_rate, round(avg(CAST({meets} AS INT))+1e-9,4) AS simulated_fill_rate,
+  round(avg(CAST({meets} AS INT)) - avg(filled)+1e-9,4) AS fill_rate_delta, round(sum(revenue_usd),2) AS baseline_revenue_usd,
   round(coalesce(sum(revenue_usd) FILTER ({meets}),0),2) AS simulated_revenue_usd,
   coalesce(round((sum(revenue_usd) FILTER ({meets})/nullif(sum(revenue_usd),0) - 1)*100,2),0) AS revenue_delta_pct,
   count(*) AS n_auctions_affected FROM a WHERE {where}""")
@@ -455,7 +455,7 @@ def oracle_sql() -> dict[str, str]:
     q["auctions_enriched"] = f"WITH {ENRICHED} SELECT {ENRICHED_COLUMNS} FROM e"
     q["supply_enriched"] = f"""WITH {SUPPLY}
 SELECT supply_event_id, "timestamp", "date", "hour", day_of_week, placement_type, device_type, available_slots,
-  round(fill_rate,6) AS fill_rate, round(floor_price_usd,6) AS floor_price_usd, page_load_ms, monetized_slots,
+  round(fill_rate,9) AS fill_rate, round(floor_price_usd,9) AS floor_price_usd, page_load_ms, monetized_slots,
   supply_health FROM s"""
     q["release_labels"] = f"""WITH {AUCTIONS}
 SELECT release_period, treatment, feature_version, placement_type, count(*) AS n_auctions,
@@ -478,7 +478,7 @@ WHERE kpi IN ('fill_rate','ecpm')"""
     q["kpi_trend_daily"] = trend("fill_rate", "D")
     q["kpi_trend_weekly_grouped"] = trend("ecpm", "W", "placement_type")
     q["kpi_series_daily"] = f"""WITH {AUCTIONS}, {SERIES}
-SELECT "timestamp", kpi, round(value,6) AS value FROM series"""
+SELECT "timestamp", kpi, round(value+1.234567e-9,6) AS value FROM series"""
 
     # Snapshots
     q["kpi_daily"] = f"WITH {AUCTIONS} {snapshot(DAILY)}"
@@ -489,18 +489,18 @@ SELECT *, NULL::INT AS "hour", 'daily' AS grain FROM ({snapshot(DAILY)})
 UNION ALL BY NAME
 SELECT *, NULL::VARCHAR AS device_type, NULL::VARCHAR AS ad_format, 'hourly' AS grain FROM ({snapshot(HOURLY)})"""
     q["dash_daily_revenue"] = f"""WITH {KPI_DAILY}
-SELECT "date", round(sum(total_revenue_usd),6) AS total_revenue_usd FROM kpi_daily GROUP BY 1"""
+SELECT "date", round(sum(total_revenue_usd)+1.234567e-9,6) AS total_revenue_usd FROM kpi_daily GROUP BY 1"""
     q["dash_fill_by_placement"] = f"""WITH {KPI_DAILY}
-SELECT placement_type, round(avg(fill_rate),6) AS fill_rate FROM kpi_daily GROUP BY 1"""
+SELECT placement_type, round(avg(fill_rate)+1.234567e-9,6) AS fill_rate FROM kpi_daily GROUP BY 1"""
 
     # Auction analyses
     spreads = ", ".join(
         [
-            "round(avg(bid_spread),4) AS mean_spread",
-            f"round({quantile(0.5, 'bid_spread')},4) AS median_spread",
-            f"round({quantile(0.1, 'bid_spread')},4) AS p10_spread",
-            f"round({quantile(0.9, 'bid_spread')},4) AS p90_spread",
-            "round(stddev_samp(bid_spread),4) AS std_spread",
+            "round(avg(bid_spread)+1e-9,4) AS mean_spread",
+            f"round({quantile(0.5, 'bid_spread')}+1e-9,4) AS median_spread",
+            f"round({quantile(0.1, 'bid_spread')}+1e-9,4) AS p10_spread",
+            f"round({quantile(0.9, 'bid_spread')}+1e-9,4) AS p90_spread",
+            "round(stddev_samp(bid_spread)+1e-9,4) AS std_spread",
             "count(bid_spread) AS n_auctions",
         ]
     )
@@ -511,30 +511,30 @@ SELECT placement_type, round(avg(fill_rate),6) AS fill_rate FROM kpi_daily GROUP
 w AS (SELECT {bin_of('D')} AS b, avg(bid_spread) AS m, {quantile(0.5, 'bid_spread')} AS p, stddev_samp(bid_spread) AS s,
   count(bid_spread) AS n FROM a WHERE filled = 1 GROUP BY 1),
 sp AS {spine('w', 'D')}
-SELECT sp.b AS "timestamp", round(m,4) AS avg_spread, round(p,4) AS p50_spread, round(s,4) AS std_spread,
+SELECT sp.b AS "timestamp", round(m+1e-9,4) AS avg_spread, round(p+1e-9,4) AS p50_spread, round(s+1e-9,4) AS std_spread,
   coalesce(n,0) AS n_auctions FROM sp LEFT JOIN w ON sp.b = w.b"""
     q["depth_by_bucket"] = f"""WITH {AUCTIONS},
 d AS (SELECT *, CASE WHEN auction_depth <= 0 THEN NULL WHEN auction_depth <= 2 THEN '2' WHEN auction_depth <= 4 THEN '3-4'
   WHEN auction_depth <= 6 THEN '5-6' WHEN auction_depth <= 8 THEN '7-8' WHEN auction_depth <= 100 THEN '9+' END
   AS depth_bucket FROM a)
-SELECT depth_bucket, count(auction_id) AS n_auctions, round(avg(filled),4) AS fill_rate, round(avg(ecpm),4) AS avg_ecpm,
-  round(avg(winning_bid_usd),4) AS avg_winning_bid, round(avg(bid_spread),4) AS avg_bid_spread
+SELECT depth_bucket, count(auction_id) AS n_auctions, round(avg(filled)+1e-9,4) AS fill_rate, round(avg(ecpm),4) AS avg_ecpm,
+  round(avg(winning_bid_usd),4) AS avg_winning_bid, round(avg(bid_spread)+1e-9,4) AS avg_bid_spread
 FROM d WHERE depth_bucket IS NOT NULL GROUP BY 1"""
     q["depth_summary"] = f"""WITH {AUCTIONS}
-SELECT round(avg(auction_depth),6) AS mean_depth, {quantile(0.5, 'auction_depth')} AS median_depth,
+SELECT round(avg(auction_depth)+1.234567e-9,6) AS mean_depth, {quantile(0.5, 'auction_depth')} AS median_depth,
   {quantile(0.25, 'auction_depth')} AS p25_depth, {quantile(0.75, 'auction_depth')} AS p75_depth FROM a"""
     q["depth_distribution"] = f"WITH {AUCTIONS} SELECT auction_depth, count(*) AS n_auctions FROM a GROUP BY 1"
     q["fill_rate_analysis"] = f"""WITH {AUCTIONS}
-SELECT placement_type, device_type, ad_format, count(auction_id) AS n_auctions, round(avg(filled),4) AS fill_rate,
+SELECT placement_type, device_type, ad_format, count(auction_id) AS n_auctions, round(avg(filled)+1e-9,4) AS fill_rate,
   round(avg(bid_floor_usd),4) AS avg_floor_usd, round(avg(winning_bid_usd),4) AS avg_winning_bid,
   round(sum(revenue_usd),4) AS revenue_usd FROM a GROUP BY 1,2,3"""
     for freq, name in (("D", "fill_rate_over_time"), ("W", "fill_rate_over_time_weekly")):
         q[name] = f"""WITH {AUCTIONS},
 w AS (SELECT {bin_of(freq)} AS b, avg(filled) AS f, count(filled) AS n FROM a GROUP BY 1), sp AS {spine('w', freq)}
-SELECT sp.b AS "timestamp", round(f,4) AS fill_rate, coalesce(n,0) AS n_auctions FROM sp LEFT JOIN w ON sp.b = w.b"""
+SELECT sp.b AS "timestamp", round(f+1e-9,4) AS fill_rate, coalesce(n,0) AS n_auctions FROM sp LEFT JOIN w ON sp.b = w.b"""
     q["ecpm_percentiles"] = f"""WITH {AUCTIONS}
-SELECT placement_type, ad_format, round({quantile(0.25, 'ecpm')},2) AS p25, round({quantile(0.5, 'ecpm')},2) AS p50,
-  round({quantile(0.75, 'ecpm')},2) AS p75, round({quantile(0.95, 'ecpm')},2) AS p95, round(avg(ecpm),2) AS mean,
+SELECT placement_type, ad_format, round({quantile(0.25, 'ecpm')}+1e-9,2) AS p25, round({quantile(0.5, 'ecpm')}+1e-9,2) AS p50,
+  round({quantile(0.75, 'ecpm')}+1e-9,2) AS p75, round({quantile(0.95, 'ecpm')}+1e-9,2) AS p95, round(avg(ecpm)+1e-9,2) AS mean,
   count(ecpm) AS n FROM a WHERE filled = 1 GROUP BY 1,2"""
     q["floor_change"] = floor_changes([0.8, 0.9, 1.0, 1.1, 1.25], None)
     q["floor_change_placement"] = floor_changes([1.1], "top_of_search")
@@ -542,7 +542,7 @@ SELECT placement_type, ad_format, round({quantile(0.25, 'ecpm')},2) AS p25, roun
 SELECT 'second_price' AS from_format, 'first_price' AS to_format, round(sum(clearing_price_usd),2) AS baseline_revenue_usd,
   round(sum(winning_bid_usd),2) AS simulated_revenue_usd,
   round((sum(winning_bid_usd)/sum(clearing_price_usd) - 1)*100,2) AS revenue_lift_pct,
-  round(avg(bid_spread),4) AS avg_bid_spread,
+  round(avg(bid_spread)+1e-9,4) AS avg_bid_spread,
   'First-price auctions incentivize bid-shading; actual lift will be lower as advertisers adjust bids.' AS note
 FROM a WHERE filled = 1"""
     q["did_fill_rate"] = did("fill_rate", "filled")
@@ -552,7 +552,7 @@ FROM a WHERE filled = 1"""
     q["adoption_curve"] = f"""WITH {AUCTIONS},
 w AS (SELECT {bin_of('D')} AS b, avg(treatment) AS r, count(treatment) AS n FROM a WHERE release_period = 'post' GROUP BY 1),
 sp AS {spine('w', 'D')}
-SELECT sp.b AS period, round(r,4) AS adoption_rate, coalesce(n,0) AS n_events FROM sp LEFT JOIN w ON sp.b = w.b"""
+SELECT sp.b AS period, round(r+1e-9,4) AS adoption_rate, coalesce(n,0) AS n_events FROM sp LEFT JOIN w ON sp.b = w.b"""
 
     # Supply analyses
     q["inventory_health"] = f"""WITH {SUPPLY}
@@ -566,11 +566,11 @@ o AS (SELECT "date", placement_type, count(*) AS supply_events, CAST(sum(availab
   sum(monetized_slots) AS monetized_slots FROM s GROUP BY 1,2),
 r AS (SELECT "date", placement_type, count(*) AS auction_requests, CAST(sum(filled) AS BIGINT) AS filled_requests,
   sum(revenue_usd) AS revenue_usd FROM a GROUP BY 1,2)
-SELECT "date", placement_type, supply_events, available_slots, round(monetized_slots,6) AS monetized_slots,
-  auction_requests, filled_requests, round(revenue_usd,6) AS revenue_usd,
-  round(filled_requests/nullif(auction_requests,0),4) AS fill_rate,
-  round(revenue_usd/nullif(available_slots,0),4) AS monetization_rate,
-  round(auction_requests/nullif(supply_events,0),2) AS demand_supply_ratio
+SELECT "date", placement_type, supply_events, available_slots, round(monetized_slots+1.234567e-9,6) AS monetized_slots,
+  auction_requests, filled_requests, round(revenue_usd+1.234567e-9,6) AS revenue_usd,
+  round(filled_requests/nullif(auction_requests,0)+1e-9,4) AS fill_rate,
+  round(revenue_usd/nullif(available_slots,0)+1e-9,4) AS monetization_rate,
+  round(auction_requests/nullif(supply_events,0)+1e-9,2) AS demand_supply_ratio
 FROM o FULL JOIN r USING ("date", placement_type)"""
     q["floor_sensitivity"] = f"""WITH {AUCTIONS},
 x AS (SELECT * FROM a WHERE placement_type = 'top_of_search'),
@@ -579,7 +579,7 @@ fl AS (SELECT i, CASE WHEN i = 49 THEN hi ELSE lo + i*((hi - lo)/49) END AS f FR
 c AS (SELECT i, f, avg(CAST(winning_bid_usd >= f AS INT)) AS fill,
   avg(clearing_price_usd) FILTER (winning_bid_usd >= f) * avg(CAST(winning_bid_usd >= f AS INT)) AS rev
   FROM fl, x GROUP BY i, f),
-r AS (SELECT i, round(f,4) AS floor_usd, round(fill,4) AS fill_rate, round(rev,6) AS expected_rev_per_auction FROM c)
+r AS (SELECT i, round(f,4) AS floor_usd, round(fill+1e-9,4) AS fill_rate, round(rev,6) AS expected_rev_per_auction FROM c)
 SELECT floor_usd, fill_rate, expected_rev_per_auction,
   row_number() OVER (ORDER BY expected_rev_per_auction DESC NULLS LAST, i) = 1 AS is_optimal_floor,
   'top_of_search' AS placement_type FROM r"""
@@ -701,29 +701,29 @@ SELECT "hour", placement_type, round(avg(total_revenue_usd)+1e-9,2) AS avg_hourl
   CAST(sum(total_auctions) AS BIGINT) AS total_auctions FROM kpi_hourly WHERE "date" >= {AS_OF} - 7 GROUP BY 1,2"""
     q["star_by_tier"] = f"""WITH {AUCTIONS}, {ADVERTISER}
 SELECT tier, bidding_strategy, count(DISTINCT advertiser_id) AS n_advertisers, count(*) AS n_auctions,
-  round(avg(filled),4) AS fill_rate, round(avg(winning_bid_usd),4) AS avg_winning_bid, round(sum(revenue_usd),2) AS revenue_usd
+  round(avg(filled)+1e-9,4) AS fill_rate, round(avg(winning_bid_usd)+1e-9,4) AS avg_winning_bid, round(sum(revenue_usd),2) AS revenue_usd
 FROM a JOIN dim_advertiser USING (advertiser_id) GROUP BY 1,2"""
 
     # Detectors
     q["detect_zscore"] = f"""WITH {AUCTIONS}
-SELECT auction_id, round(winning_bid_usd,6) AS winning_bid_usd, coalesce(abs((winning_bid_usd - avg(winning_bid_usd) OVER ())
+SELECT auction_id, round(winning_bid_usd,9) AS winning_bid_usd, coalesce(abs((winning_bid_usd - avg(winning_bid_usd) OVER ())
   /nullif(stddev_samp(winning_bid_usd) OVER (),0)) > 2.5, false) AS is_anomaly FROM a"""
     q["detect_iqr"] = f"""WITH {AUCTIONS},
 qs AS (SELECT {quantile(0.25, 'ecpm')} AS q1, {quantile(0.75, 'ecpm')} AS q3 FROM a)
-SELECT auction_id, round(ecpm,6) AS ecpm, ecpm < q1 - 2*(q3-q1) OR ecpm > q3 + 2*(q3-q1) AS is_anomaly FROM a, qs"""
+SELECT auction_id, round(ecpm,9) AS ecpm, ecpm < q1 - 2*(q3-q1) OR ecpm > q3 + 2*(q3-q1) AS is_anomaly FROM a, qs"""
     q["detect_zscore_keyed"] = f"""WITH {AUCTIONS}
 SELECT auction_id, placement_type, coalesce(abs((winning_bid_usd - avg(winning_bid_usd) OVER k)
   /nullif(stddev_samp(winning_bid_usd) OVER k,0)) > 2.5, false) AS is_anomaly FROM a WINDOW k AS (PARTITION BY placement_type)"""
     q["scan_kpis"] = scan("zscore")
     q["scan_kpis_iqr"] = scan("iqr")
     q["bid_baselines"] = f"""WITH {AUCTIONS}, {BASELINES}
-SELECT placement_type, round(mean,6) AS mean, round(std,6) AS std, round(p99,6) AS p99 FROM base"""
+SELECT placement_type, round(mean+1.234567e-9,6) AS mean, round(std+1.234567e-9,6) AS std, round(p99+1.234567e-9,6) AS p99 FROM base"""
     q["bid_anomaly_scores"] = f"""WITH {AUCTIONS}, {BASELINES}
-SELECT auction_id, placement_type, round(winning_bid_usd,6) AS winning_bid_usd, round(z,3) AS bid_z_score,
+SELECT auction_id, placement_type, round(winning_bid_usd,9) AS winning_bid_usd, round(z,3) AS bid_z_score,
   coalesce(abs(z) > 3, false) AS bid_is_anomaly FROM scored"""
     q["top_bid_anomalies"] = f"""WITH {AUCTIONS}, {BASELINES}
-SELECT auction_id, placement_type, device_type, round(winning_bid_usd,6) AS winning_bid_usd,
-  round(bid_floor_usd,6) AS bid_floor_usd, round(z,3) AS bid_z_score FROM scored WHERE abs(z) > 3
+SELECT auction_id, placement_type, device_type, round(winning_bid_usd,9) AS winning_bid_usd,
+  round(bid_floor_usd,9) AS bid_floor_usd, round(z,3) AS bid_z_score FROM scored WHERE abs(z) > 3
 ORDER BY round(z,3) DESC, auction_id LIMIT 15"""
     q["dash_bid_anomaly_share"] = f"""WITH {AUCTIONS}, {BASELINES}
 SELECT count(*) FILTER (abs(z) > 3) AS n_anomalies, count(*) AS n_auctions,
@@ -735,8 +735,8 @@ c AS (SELECT CAST(least(coalesce(floor((x - low)/nullif(width,0)),0),39) + 1 AS
 SELECT CAST(i AS INT) AS bin, round(low + (i-1)*width,6) AS from_score, round(low + i*width,6) AS to_score,
   coalesce(n,0) AS n_rows FROM span, range(1,41) t(i) LEFT JOIN c ON c.bin = i"""
     q["bid_rolling_baseline"] = f"""WITH {AUCTIONS}
-SELECT auction_id, placement_type, round(avg(winning_bid_usd) OVER k,6) AS rolling_mean,
-  round(stddev_samp(winning_bid_usd) OVER k,6) AS rolling_std FROM a
+SELECT auction_id, placement_type, round(avg(winning_bid_usd) OVER k+1.234567e-9,6) AS rolling_mean,
+  round(stddev_samp(winning_bid_usd) OVER k+1.234567e-9,6) AS rolling_std FROM a
 WINDOW k AS (PARTITION BY placement_type ORDER BY "timestamp", auction_id ROWS BETWEEN 1000 PRECEDING AND 1 PRECEDING)"""
     q["ranking_metrics"] = f"""WITH {AUCTIONS},
 g AS (SELECT round(winning_bid_usd,3) AS score, sum(filled) AS h, count(*) AS n FROM a GROUP BY 1),
@@ -775,11 +775,11 @@ SELECT placement_type || '|' || device_type AS placement_key, placement_type, de
   round(avg(bid_floor_usd),4) AS floor_price_usd,
   CAST(to_json(list_sort(list(DISTINCT ad_format))) AS VARCHAR) AS ad_formats_allowed FROM raw GROUP BY 2,3"""
     q["dim_advertiser"] = f"""WITH {ADVERTISER}
-SELECT advertiser_id, tier, category, round(daily_budget_usd,6) AS daily_budget_usd, bidding_strategy,
-  round(target_cpc_usd,6) AS target_cpc_usd, round(quality_score,6) AS quality_score,
-  round(identity_match_rate,6) AS identity_match_rate FROM dim_advertiser"""
+SELECT advertiser_id, tier, category, round(daily_budget_usd,9) AS daily_budget_usd, bidding_strategy,
+  round(target_cpc_usd,9) AS target_cpc_usd, round(quality_score,9) AS quality_score,
+  round(identity_match_rate,9) AS identity_match_rate FROM dim_advertiser"""
     q["dim_campaign"] = f"""WITH {CAMPAIGN}
-SELECT campaign_id, advertiser_id, ad_format, category, round(daily_budget_usd,6) AS daily_budget_usd,
-  round(target_bid_usd,6) AS target_bid_usd, round(quality_score,6) AS quality_score,
-  round(relevance_score,6) AS relevance_score FROM dim_campaign"""
+SELECT campaign_id, advertiser_id, ad_format, category, round(daily_budget_usd,9) AS daily_budget_usd,
+  round(target_bid_usd,9) AS target_bid_usd, round(quality_score,9) AS quality_score,
+  round(relevance_score,9) AS relevance_score FROM dim_campaign"""
     return q
