@@ -9,13 +9,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidscope.functions.columns import put
+from bidscope.functions.kpis import REGISTRY
 from bidscope.operators import auctions as auction_ops
 from bidscope.operators import causal, detect, kpi_reports, quality, ranking, snapshots
 from bidscope.operators import supply as supply_ops
+from bidscope.operators import forest as forest_ops
 from bidscope.operators.enrich import derive_auction_columns, enrich_auctions, enrich_supply
+from bidscope.operators.merge import merge_rows
+from bidscope.operators.models import EcpmModel, FillModel
 from bidscope.plans import warehouse
-from bidscope.session import apply_runtime_conf, stage_table
+from bidscope.plans.etl import run_etl
+from bidscope.session import apply_runtime_conf, scratch_path, stage_table
 from bidscope.sources import star
+from bidscope.sources.csv_files import read_csv, write_csv
+from bidscope.sources.warehouse import Warehouse
+from bidscope.streaming import kpi_windows
+from bidscope.streaming.bids import score_bid_stream
+from bidscope.streaming.runs import run_append, run_update, table_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -142,6 +152,166 @@ def star_by_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.star_by_tier(auctions(spark, sf_dir), star.dim_advertiser(spark, sf_dir))
 
 
+def own_database(spark: SparkSession) -> Warehouse:
+    """A database of its own in the shared folder."""
+    location = scratch_path(spark, "database")
+    return Warehouse(spark, f"bidscope_{location.rsplit('-', 1)[1]}", location)
+
+
+def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw facts through a folder of CSV files and back."""
+    folder = scratch_path(spark, "csv")
+    write_csv({"auctions": raw_auctions(spark, sf_dir)}, folder)
+    return shown(read_csv(spark, folder, "auctions"), ROW_DIGITS)
+
+
+def sql_param_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    auctions(spark, sf_dir).createOrReplaceTempView("bidscope_auctions")
+    sql = (
+        "SELECT auction_id, placement_type, `date`, round(winning_bid_usd, 9) AS winning_bid_usd "
+        "FROM bidscope_auctions WHERE placement_type = ? AND auction_depth >= ? AND `date` >= CAST(? AS DATE)"
+    )
+    return Warehouse(spark).query(sql, ["off_amazon", 8, "2024-02-01"])
+
+
+def sink_append_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replace, then append the same rows: what the sink counted and what the table holds."""
+    store = own_database(spark)
+    rows = raw_supply(spark, sf_dir)
+    replaced = store.load(rows, "fact_supply", "replace")
+    appended = store.load(rows, "fact_supply", "append")
+    return store.table("fact_supply").agg(
+        F.lit(replaced).cast("long").alias("rows_replaced"),
+        F.lit(appended).cast("long").alias("rows_appended"),
+        F.count(F.lit(1)).alias("rows_in_table"),
+        F.sum("available_slots").alias("available_slots"),
+    )
+
+
+def loaded_tables(spark: SparkSession, sf_dir: str) -> Warehouse:
+    store = own_database(spark)
+    store.load_many(
+        {
+            "dim_advertiser": star.dim_advertiser(apply_runtime_conf(spark), sf_dir),
+            "dim_campaign": star.dim_campaign(spark, sf_dir),
+            "fact_supply": raw_supply(spark, sf_dir),
+        }
+    )
+    return store
+
+
+def etl_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run from raw frames to loaded tables."""
+    store = own_database(apply_runtime_conf(spark))
+    run_etl(
+        store,
+        {
+            "auctions": raw_auctions(spark, sf_dir),
+            "supply": raw_supply(spark, sf_dir),
+            "advertisers": star.dim_advertiser(spark, sf_dir),
+            "campaigns": star.dim_campaign(spark, sf_dir),
+        },
+    )
+    return store.table_info()
+
+
+def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Advertisers with raised budgets of the small tier and a copy of each enterprise account."""
+    old = star.dim_advertiser(apply_runtime_conf(spark), sf_dir)
+    raised = put(old.where("tier = 'small'"), {"daily_budget_usd": "daily_budget_usd * 2"})
+    copies = put(old.where("tier = 'enterprise'"), {"advertiser_id": "concat(advertiser_id, '-2')"})
+    new = raised.unionByName(copies.select(raised.columns)).select(old.columns)
+    return shown(merge_rows(old, new, ["advertiser_id"]), ROW_DIGITS)
+
+
+def auction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts from a stream of line items and the static parts."""
+    apply_runtime_conf(spark)
+    parts = star.read_table(spark, sf_dir, "part")
+    return derive_auction_columns(star.auctions_from(table_stream(spark, sf_dir, "lineitem"), parts))
+
+
+WINDOW_COLUMNS = ["window_start", "window_end", "n_samples", *[kpi.name for kpi in REGISTRY]]
+
+
+def stream_kpi_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    windows = run_update(
+        kpi_windows.windowed_kpis(auction_stream(spark, sf_dir)).drop("window"), "window_start", "kpi-windows"
+    )
+    return shown(kpi_windows.without_zone(windows).select(WINDOW_COLUMNS))
+
+
+def kpi_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    windows = kpi_windows.without_zone(kpi_windows.windowed_kpis(auctions(spark, sf_dir)))
+    return shown(windows.select(WINDOW_COLUMNS))
+
+
+def kpi_alerts_consecutive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    windows = kpi_windows.without_zone(kpi_windows.windowed_kpis(auctions(spark, sf_dir)))
+    return shown(kpi_windows.consecutive_alerts(kpi_windows.window_status(windows)))
+
+
+def stream_alerts_consecutive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    windows = kpi_windows.windowed_kpis(auction_stream(spark, sf_dir))
+    found = run_append(kpi_windows.consecutive_alert_stream(windows), "alerts")
+    return shown(found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
+
+
+def stream_bid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    baselines = stage_table(detect.bid_baselines(auctions(spark, sf_dir), quantiles=False), "baselines")
+    scored_bids = score_bid_stream(auction_stream(spark, sf_dir), baselines).select(
+        "auction_id", "placement_type", "winning_bid_usd", "bid_z_score", "bid_is_anomaly"
+    )
+    return shown(run_append(scored_bids, "bid-scores"), ROW_DIGITS)
+
+
+# Fitted models of this process, so that the queries about one model fit it once.
+_FITTED: dict[tuple, object] = {}
+
+
+def _fitted(kind: type, spark: SparkSession, sf_dir: str, source: Query):
+    at = (kind, spark.sparkContext.applicationId, sf_dir)
+    if at not in _FITTED:
+        _FITTED[at] = kind().fit(source(spark, sf_dir))
+    return _FITTED[at]
+
+
+def fill_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    metrics = _fitted(FillModel, spark, sf_dir, auctions).metrics
+    return spark.createDataFrame([metrics], "roc_auc double, avg_precision double, test_samples long, positive_rate double")
+
+
+def fill_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = _fitted(FillModel, spark, sf_dir, auctions)
+    return model.predict(auctions(spark, sf_dir)).select("auction_id", "filled", "fill_probability", "predicted_fill")
+
+
+def fill_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fitted(FillModel, spark, sf_dir, auctions).feature_importance()
+
+
+def ecpm_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    metrics = _fitted(EcpmModel, spark, sf_dir, auctions).metrics
+    return spark.createDataFrame([metrics], "mae_log double, r2 double, mae_ecpm double, test_samples long")
+
+
+def ecpm_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = _fitted(EcpmModel, spark, sf_dir, auctions)
+    return model.predict(auctions(spark, sf_dir)).select("auction_id", "ecpm", "predicted_ecpm")
+
+
+def forest_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fitted(forest_ops.AnomalyForest, spark, sf_dir, auctions).predict(auctions(spark, sf_dir))
+
+
+def iforest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fitted(forest_ops.AnomalyForest, spark, sf_dir, auctions).summary(auctions(spark, sf_dir))
+
+
+def anomaly_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest_ops.either_detector(forest_scored(spark, sf_dir), scored(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     a = auctions
     return {
@@ -256,6 +426,30 @@ def queries() -> dict[str, Query]:
                 df.withColumn("score", F.round("winning_bid_usd", 3)), "score", "filled"
             ),
         ),
+        "scan_csv": scan_csv,
+        "sql_param_scan": sql_param_scan,
+        "sink_append_counts": sink_append_counts,
+        "table_info": lambda spark, sf_dir: loaded_tables(spark, sf_dir).table_info(),
+        "warehouse_summary": lambda spark, sf_dir: loaded_tables(spark, sf_dir).summary(),
+        "etl_row_counts": etl_row_counts,
+        "upsert_merge": upsert_merge,
+        "kpi_5min": kpi_5min,
+        "stream_kpi_5min": stream_kpi_5min,
+        "kpi_alerts_consecutive": kpi_alerts_consecutive,
+        "stream_alerts_consecutive": stream_alerts_consecutive,
+        "stream_bid_scores": stream_bid_scores,
+        "iforest_scores": _on(
+            forest_scored, lambda df: df.select("auction_id", "anomaly_score", "is_anomaly")
+        ),
+        "iforest_summary": iforest_summary,
+        "iforest_flag_rate": _on(forest_scored, forest_ops.flag_rate),
+        "top_anomalies": _on(forest_scored, forest_ops.top_anomalies),
+        "anomaly_union": anomaly_union,
+        "fill_model_metrics": fill_model_metrics,
+        "fill_predictions": fill_predictions,
+        "fill_importance": fill_importance,
+        "ecpm_model_metrics": ecpm_model_metrics,
+        "ecpm_predictions": ecpm_predictions,
         "dq_checks": dq_checks,
         "dq_primary_keys": dq_primary_keys,
         "dq_orphans": dq_orphans,

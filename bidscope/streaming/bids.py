@@ -1,0 +1,15 @@
+"""Scoring of incoming bids."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from bidscope.operators.detect import BID_Z_THRESHOLD, score_bids
+
+
+def score_bid_stream(bids: DataFrame, baselines: DataFrame, z_threshold: float = BID_Z_THRESHOLD) -> DataFrame:
+    """Join a stream of bids with fitted baselines; no state and no shuffle of the stream.
+
+    The baselines are a staged table, so their size decides whether they are broadcast.
+    """
+    return score_bids(bids, baselines, z_threshold)

@@ -434,18 +434,18 @@ def windowed_kpis(minutes: int) -> str:
     return f"""WITH {AUCTIONS}
 SELECT time_bucket(INTERVAL {minutes} MINUTE, "timestamp") AS window_start,
   time_bucket(INTERVAL {minutes} MINUTE, "timestamp") + INTERVAL {minutes} MINUTE AS window_end, n_samples,
-  {', '.join(f'round(CAST({k} AS DOUBLE),6) AS {k}' for k in KPI_NAMES)}
+  {', '.join(f'round(CAST({k} AS DOUBLE)+1.234567e-9,6) AS {k}' for k in KPI_NAMES)}
 FROM (SELECT time_bucket(INTERVAL {minutes} MINUTE, "timestamp") AS "timestamp", {KPI_VALUES} FROM a GROUP BY 1)"""
 
 
-def consecutive_alerts(minutes: int) -> str:
+def consecutive_alerts(minutes: int, closed: str = "true") -> str:
     return f"""WITH {AUCTIONS}, {KPI_META},
 w AS (SELECT time_bucket(INTERVAL {minutes} MINUTE, "timestamp") AS b, {KPI_VALUES} FROM a GROUP BY 1),
 v AS ({long_kpis('w', 'b, ')}),
 st AS (SELECT b, kpi, value, {STATUS} AS status FROM v JOIN meta USING (kpi)),
 seq AS (SELECT *, lag(b) OVER k AS prev_b, lag(status) OVER k AS prev_status FROM st WINDOW k AS (PARTITION BY kpi ORDER BY b))
-SELECT kpi, b AS window_start, round(value,6) AS value FROM seq
-WHERE status = 'alert' AND prev_status = 'alert' AND prev_b = b - INTERVAL {minutes} MINUTE"""
+SELECT kpi, b AS window_start, round(value+1.234567e-9,6) AS value FROM seq
+WHERE {closed} AND status = 'alert' AND prev_status = 'alert' AND prev_b = b - INTERVAL {minutes} MINUTE"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -745,6 +745,49 @@ t AS (SELECT sum(h) AS hits, sum(n) AS total, sum((n-h)*(ha - h + h/2)) AS won,
 SELECT round(won/(CAST(hits AS DOUBLE)*(total-hits)),4) AS roc_auc, round(prec/hits,4) AS avg_precision,
   CAST(total AS BIGINT) AS test_samples, round(hits/total,4) AS positive_rate FROM t"""
 
+    # Sources and sinks
+    q["scan_csv"] = f"""WITH {RAW}
+SELECT auction_id, "timestamp", "date", "hour", placement_type, device_type, ad_format, category, campaign_id, advertiser_id,
+  auction_depth, round(bid_floor_usd,9) AS bid_floor_usd, round(winning_bid_usd,9) AS winning_bid_usd,
+  round(clearing_price_usd,9) AS clearing_price_usd, round(ecpm,9) AS ecpm, filled, clicked, converted,
+  round(revenue_usd,9) AS revenue_usd, release_period, treatment,
+  CASE WHEN treatment = 1 THEN 'v2.0' ELSE 'v1.0' END AS feature_version FROM raw"""
+    q["sql_param_scan"] = f"""WITH {RAW}
+SELECT auction_id, placement_type, "date", round(winning_bid_usd,9) AS winning_bid_usd FROM raw
+WHERE placement_type = 'off_amazon' AND auction_depth >= 8 AND "date" >= date '2024-02-01'"""
+    q["sink_append_counts"] = f"""WITH {SUPPLY_RAW}
+SELECT count(*) AS rows_replaced, count(*) AS rows_appended, 2*count(*) AS rows_in_table,
+  CAST(2*sum(available_slots) AS BIGINT) AS available_slots FROM sraw"""
+    counts = (
+        "SELECT 'dim_advertiser' AS \"table\", count(*) AS {n} FROM dim_advertiser UNION ALL "
+        "SELECT 'dim_campaign', count(*) FROM dim_campaign UNION ALL SELECT 'fact_supply', count(*) FROM sraw"
+    )
+    q["table_info"] = f"WITH {SUPPLY_RAW}, {ADVERTISER}, {CAMPAIGN} {counts.format(n='row_count')}"
+    q["warehouse_summary"] = f"WITH {SUPPLY_RAW}, {ADVERTISER}, {CAMPAIGN} {counts.format(n='rows')}"
+    q["etl_row_counts"] = f"""WITH {RAW}, {SUPPLY_RAW}, {ADVERTISER}, {CAMPAIGN} {counts.format(n='row_count')}
+UNION ALL SELECT 'fact_auctions', count(*) FROM raw
+UNION ALL SELECT 'kpi_daily', count(*) FROM (SELECT DISTINCT "date", placement_type, device_type, ad_format FROM raw)
+UNION ALL SELECT 'kpi_hourly', count(*) FROM (SELECT DISTINCT "date", "hour", placement_type FROM raw)"""
+    advertiser_columns = (
+        "tier, category, {budget} AS daily_budget_usd, bidding_strategy, round(target_cpc_usd,9) AS target_cpc_usd, "
+        "round(quality_score,9) AS quality_score, round(identity_match_rate,9) AS identity_match_rate"
+    )
+    plain = advertiser_columns.format(budget="round(daily_budget_usd,9)")
+    raised = advertiser_columns.format(
+        budget="round(CASE WHEN tier = 'small' THEN daily_budget_usd*2 ELSE daily_budget_usd END,9)"
+    )
+    q["upsert_merge"] = f"""WITH {ADVERTISER}
+SELECT advertiser_id, {raised} FROM dim_advertiser
+UNION ALL SELECT advertiser_id || '-2', {plain} FROM dim_advertiser WHERE tier = 'enterprise'"""
+
+    # Streams
+    q["kpi_5min"] = q["stream_kpi_5min"] = windowed_kpis(5)
+    q["kpi_alerts_consecutive"] = consecutive_alerts(5)
+    q["stream_alerts_consecutive"] = consecutive_alerts(
+        5, 'b + INTERVAL 5 MINUTE <= (SELECT max("timestamp") - INTERVAL 10 MINUTE FROM a)'
+    )
+    q["stream_bid_scores"] = q["bid_anomaly_scores"]
+
     # Quality and dimensions
     q["dq_checks"] = f"WITH {RAW}, {SUPPLY_RAW}, {ADVERTISER}, {CAMPAIGN} {DQ_RULES}"
     q["dq_primary_keys"] = f"""WITH {RAW}, {SUPPLY_RAW}, {ADVERTISER}, {CAMPAIGN},
