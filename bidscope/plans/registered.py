@@ -25,7 +25,7 @@ from bidscope.sources.csv_files import read_csv, write_csv
 from bidscope.sources.warehouse import Warehouse
 from bidscope.streaming import kpi_windows
 from bidscope.streaming.bids import score_bid_stream
-from bidscope.streaming.runs import run_append, run_update, table_stream
+from bidscope.streaming.runs import run_append, run_update, table_stream, write_append
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -252,8 +252,9 @@ def kpi_alerts_consecutive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_alerts_consecutive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    windows = kpi_windows.windowed_kpis(auction_stream(spark, sf_dir))
-    found = run_append(kpi_windows.consecutive_alert_stream(windows), "alerts")
+    windows = kpi_windows.windowed_kpis(auction_stream(spark, sf_dir)).drop("window")
+    closed = spark.readStream.schema(windows.schema).parquet(write_append(windows, "closed-windows"))
+    found = run_append(kpi_windows.consecutive_alert_stream(closed), "alerts")
     return shown(found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
 
 

@@ -93,9 +93,10 @@ def _runs(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Ite
 
 
 def consecutive_alert_stream(windows: DataFrame, kpis: Sequence[KPI] = REGISTRY) -> DataFrame:
-    """Stream form over finished windows: the state of a KPI is one timestamp.
+    """Stream form over a stream of finished windows: the state of a KPI is one timestamp.
 
-    A trigger hands a KPI the windows it closed, not events.
+    Spark keeps such state only upstream of aggregations, so the windows are a table that one job
+    appends to and this one follows. A trigger hands a KPI the windows it closed, not events.
     """
     breached = window_status(windows, kpis).where("status = 'alert'")
     return breached.groupBy("kpi").applyInPandasWithState(

@@ -25,8 +25,8 @@ def _is_file(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(target).isFile()
 
 
-def run_append(stream: DataFrame, label: str = "stream") -> DataFrame:
-    """Run an append stream over all there is, into parquet, and read that."""
+def write_append(stream: DataFrame, label: str = "stream") -> str:
+    """Run an append stream over all there is, into a folder of parquet files."""
     spark = stream.sparkSession
     path = scratch_path(spark, label)
     query = (
@@ -38,7 +38,12 @@ def run_append(stream: DataFrame, label: str = "stream") -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
+    return path
+
+
+def run_append(stream: DataFrame, label: str = "stream") -> DataFrame:
+    """The whole result of an append stream over all there is."""
+    return stream.sparkSession.read.schema(stream.schema).parquet(write_append(stream, label))
 
 
 def run_update(stream: DataFrame, key: str, label: str = "stream") -> DataFrame:
