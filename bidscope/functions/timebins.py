@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bidscope.functions.columns import quoted
+
 STEPS = {"h": "interval 1 hour", "D": "interval 1 day", "W": "interval 7 days"}
 
 
@@ -28,15 +30,25 @@ def fill_empty_bins(
 ) -> DataFrame:
     """Add the bins without rows between the first and last bin (of each key).
 
-    ``binned`` is an aggregate with one row per bin, so the spine is as long as the calendar is
-    and does not grow with the number of events. Counts named in ``zero`` become 0.
+    ``binned`` is an aggregate with one row per bin, as long as the calendar is whatever the number
+    of events. Each bin brings the empty bins that follow it, so nothing is joined and the events
+    are read once. Counts named in ``zero`` become 0.
     """
-    keys = keys or []
-    spine = (
-        binned.groupBy(*keys)
-        .agg(F.min(bin_col).alias("_first"), F.max(bin_col).alias("_last"))
-        .where(F.col("_first").isNotNull())
-        .select(*keys, F.explode(F.sequence("_first", "_last", F.expr(STEPS[freq]))).alias(bin_col))
+    group = ", ".join(quoted(key) for key in keys or []) or "0"
+    step, here = STEPS[freq], quoted(bin_col)
+    following = f"lead({here}) OVER (PARTITION BY {group} ORDER BY {here})"
+    spread = (
+        binned.where(f"{here} IS NOT NULL")
+        .selectExpr("*", f"coalesce({following} - {step}, {here}) AS _last")
+        .selectExpr("*", f"explode(sequence({here}, _last, {step})) AS _each")
+    )
+    values = [name for name in binned.columns if name not in {bin_col, *(keys or [])}]
+    return spread.selectExpr(
+        *[quoted(key) for key in keys or []],
+        f"_each AS {here}",
+        *[
+            f"CASE WHEN _each = {here} THEN {quoted(name)}{' ELSE 0' if name in (zero or []) else ''} END "
+            f"AS {quoted(name)}"
+            for name in values
+        ],
     )
-    filled = spine.join(binned, [*keys, bin_col], "left")
-    return filled.fillna(0, subset=zero) if zero else filled

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from bidscope.functions.numbers import ratio, round_mean
 from bidscope.operators.quantiles import grouped_quantiles
-from bidscope.session import stage_table
+from bidscope.session import spread, stage_table
 
 # Default features and settings.
 FEATURES = [
@@ -112,7 +112,7 @@ class AnomalyForest:
         self.scales = {name: (stats[f"mean_{name}"], stats[f"std_{name}"] or 1.0) for name in self.features}
         sample = self._tree_samples(doubles, id_col, stats["rows"])
         self._grow(sample, min(self.sample_rows, stats["rows"]))
-        scores = stage_table(df.select(self.score().alias("score")), "forest-scores")
+        scores = stage_table(spread(df).select(self.score().alias("score")), "forest-scores")
         limit = grouped_quantiles(scores, [], "score", {"limit": 1.0 - self.contamination})
         self.threshold = limit.first()["limit"]
         return self
@@ -121,7 +121,8 @@ class AnomalyForest:
         """Add ``anomaly_score`` (higher is stranger) and ``is_anomaly``."""
         self._check_fitted()
         return (
-            df.withColumn("_score", self.score())
+            spread(df)
+            .withColumn("_score", self.score())
             .withColumn("anomaly_score", F.round("_score", 4))
             .withColumn("is_anomaly", F.col("_score") > self.threshold)
             .drop("_score")
@@ -186,14 +187,18 @@ class AnomalyForest:
 
         # At most 2 * 256 nodes a tree, however large the data.
         nodes = sample.groupBy("tree").applyInPandas(grow, _NODES).toPandas()
-        size = 2 ** (levels + 1) - 1
-        tree, node = nodes["tree"].to_numpy(), nodes["node"].to_numpy()
-        feature = np.full((self.trees, size), -1, dtype=np.int32)
-        cut = np.full((self.trees, size), np.inf)
-        depth = np.zeros((self.trees, size))
-        feature[tree, node] = nodes["feature"]
-        cut[tree, node] = nodes["cut"]
-        depth[tree, node] = nodes["depth"]
+        inner = 2**levels - 1
+        feature = np.zeros((self.trees, inner), dtype=np.int32)
+        cut = np.full((self.trees, inner), np.inf)
+        depth = np.zeros((self.trees, inner + 1))
+        for tree, node, of, at, reached in nodes.itertuples(index=False):
+            if of >= 0:
+                feature[tree, node], cut[tree, node] = of, at
+                continue
+            # Nothing is beyond an infinite cut, so rows of a leaf fall to its leftmost place below.
+            while node < inner:
+                node = 2 * node + 1
+            depth[tree, node - inner] = reached
         self._nodes = (feature, cut, depth, levels)
         self._sampled = sampled
 
@@ -205,16 +210,14 @@ class AnomalyForest:
         @F.pandas_udf(T.DoubleType())
         def forest_score(*columns: pd.Series) -> pd.Series:
             x = np.column_stack([column.to_numpy(dtype="float64") for column in columns])
-            line = np.arange(len(x))
+            cells, row_start = x.ravel(), np.arange(len(x)) * x.shape[1]
             total = np.zeros(len(x))
             for of_tree, cut_at, depth_at in zip(feature, cut, depth):
                 at = np.zeros(len(x), dtype=np.int64)
                 for _ in range(levels):
-                    chosen = of_tree[at]
-                    inner = chosen >= 0
-                    step = 2 * at + 1 + (x[line, chosen] >= cut_at[at])
-                    at = np.where(inner, step, at)
-                total += depth_at[at]
+                    beyond = cells.take(row_start + of_tree.take(at)) >= cut_at.take(at)
+                    at = 2 * at + 1 + beyond
+                total += depth_at.take(at - len(of_tree))
             return pd.Series(np.exp2(-(total / len(feature)) / typical))
 
         return forest_score(*[self._scaled(name) for name in self.features])

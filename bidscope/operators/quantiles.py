@@ -108,10 +108,16 @@ def _first_targets(rows: DataFrame, groups: list[str], probabilities: Mapping[st
         for upper in ("false", "true")
     )
     total = f"sum(_n) OVER (PARTITION BY {', '.join(groups)}) AS _total"
+    # A bucket is of use if it holds one of the ranks next to a wanted position.
+    useful = " OR ".join(
+        f"({p!r}D * (_total - 1) < _ahead + _n AND {p!r}D * (_total - 1) >= _ahead - 1)"
+        for p in {float(p) for p in probabilities.values()}
+    )
     kept = [*groups, "_ahead", "_n", "_min AS _low", "_max AS _high"]
     return (
         _histogram(rows, groups, _LOG_BUCKET, "0 * count(*)")
         .selectExpr("*", total)
+        .where(useful)
         .selectExpr(*kept, "_total", f"inline(array({wanted}))")
         .selectExpr("*", "floor(_p * (_total - 1)) AS _floor")
         .selectExpr(

@@ -79,6 +79,15 @@ def stage_table(df: DataFrame, label: str = "staged") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Give every core a share of a frame that is read from fewer splits than there are cores.
+
+    A frame with as many partitions as cores, as any large one has, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *by)
+
+
 def one_row(df: DataFrame) -> Column:
     """The only row of ``df`` as a struct column, planned as a scalar subquery."""
     return df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row")).scalar()

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from bidscope.functions.columns import one_of, put
 from bidscope.functions.labels import release_labels
 from bidscope.schemas import AD_FORMATS, ADVERTISER_TIERS, BIDDING_STRATEGIES, DEVICE_TYPES, PLACEMENT_TYPES
+from bidscope.session import spread
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,11 +97,12 @@ def campaigns_from(part: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 
 def fact_auctions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return auctions_from(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part"))
+    lines = spread(read_table(spark, sf_dir, "lineitem"), "l_orderkey")
+    return auctions_from(lines, read_table(spark, sf_dir, "part"))
 
 
 def fact_supply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return supply_from(read_table(spark, sf_dir, "events"))
+    return supply_from(spread(read_table(spark, sf_dir, "events"), "event_id"))
 
 
 def dim_advertiser(spark: SparkSession, sf_dir: str) -> DataFrame:
