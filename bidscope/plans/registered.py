@@ -252,8 +252,8 @@ def kpi_alerts_consecutive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_alerts_consecutive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    windows = kpi_windows.windowed_kpis(auction_stream(spark, sf_dir)).drop("window")
-    closed = spark.readStream.schema(windows.schema).parquet(write_append(windows, "closed-windows"))
+    status = kpi_windows.closed_status(kpi_windows.windowed_kpis(auction_stream(spark, sf_dir)))
+    closed = spark.readStream.schema(status.schema).parquet(write_append(status, "closed-windows"))
     found = run_append(kpi_windows.consecutive_alert_stream(closed), "alerts")
     return shown(found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
 

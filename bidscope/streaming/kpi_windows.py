@@ -69,6 +69,11 @@ def consecutive_alerts(status: DataFrame) -> DataFrame:
     )
 
 
+def closed_status(windows: DataFrame, kpis: Sequence[KPI] = REGISTRY) -> DataFrame:
+    """Status rows of finished windows, those of a KPI and trigger together in one file."""
+    return window_status(windows, kpis).repartition("kpi")
+
+
 _ALERT = T.StructType(
     [
         T.StructField("kpi", T.StringType()),
@@ -76,29 +81,46 @@ _ALERT = T.StructType(
         T.StructField("value", T.DoubleType()),
     ]
 )
-_STATE = T.StructType([T.StructField("ended", T.TimestampType())])
+# Start, end and value of the breached windows of the last day.
+_STATE = T.StructType(
+    [
+        T.StructField("starts", T.ArrayType(T.LongType())),
+        T.StructField("ends", T.ArrayType(T.LongType())),
+        T.StructField("values", T.ArrayType(T.DoubleType())),
+    ]
+)
+_DAY = 86_400_000_000
+
+
+def _micros(times: pd.Series) -> list[int]:
+    return times.astype("datetime64[us]").astype("int64").tolist()
 
 
 def _runs(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Follow one KPI: keep where its last breach ended, report a breach that starts there."""
-    ended = pd.Timestamp(state.get[0]) if state.exists else None
+    """Follow one KPI: a breach is reported once the breach that ends where it starts is known."""
+    new = pd.concat(list(batches)).sort_values("window_start")
+    known = dict(zip(state.get[0], zip(state.get[1], state.get[2]))) if state.exists else {}
+    fresh = dict(zip(_micros(new["window_start"]), zip(_micros(new["window_end"]), new["value"].tolist())))
+    both = {**known, **fresh}
     found = []
-    rows = pd.concat(list(batches)).sort_values("window_start")
-    for start, end, value in zip(rows["window_start"], rows["window_end"], rows["value"]):
-        if ended is not None and start == ended:
-            found.append((key[0], start, value))
-        ended = end
-    state.update((ended.to_pydatetime(),))
+    for start in sorted(both):
+        end = both[start][0]
+        if end in both and (start in fresh or end in fresh):
+            found.append((key[0], pd.Timestamp(end, unit="us"), both[end][1]))
+    recent = [start for start in sorted(both) if start > max(both) - _DAY]
+    state.update((recent, [both[s][0] for s in recent], [both[s][1] for s in recent]))
     yield pd.DataFrame(found, columns=["kpi", "window_start", "value"])
 
 
-def consecutive_alert_stream(windows: DataFrame, kpis: Sequence[KPI] = REGISTRY) -> DataFrame:
-    """Stream form over a stream of finished windows: the state of a KPI is one timestamp.
+def consecutive_alert_stream(status: DataFrame) -> DataFrame:
+    """Stream form over a stream of ``closed_status`` rows.
 
-    Spark keeps such state only upstream of aggregations, so the windows are a table that one job
-    appends to and this one follows. A trigger hands a KPI the windows it closed, not events.
+    Spark keeps such state only upstream of aggregations, so the status rows are a table that one
+    job appends to and this one follows. A trigger hands a KPI the windows it closed, not events;
+    its state is the breaches of one day, so files read out of order are still joined up.
     """
-    breached = window_status(windows, kpis).where("status = 'alert'")
-    return breached.groupBy("kpi").applyInPandasWithState(
-        _runs, _ALERT, _STATE, "append", GroupStateTimeout.NoTimeout
+    return (
+        status.where("status = 'alert'")
+        .groupBy("kpi")
+        .applyInPandasWithState(_runs, _ALERT, _STATE, "append", GroupStateTimeout.NoTimeout)
     )
