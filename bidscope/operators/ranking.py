@@ -6,9 +6,12 @@ rows, each partition is sorted on its own, and the totals of the partitions in f
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bidscope.functions.columns import put, quoted
 from bidscope.functions.numbers import ratio
 from bidscope.session import one_row, stage_table
 
@@ -51,26 +54,55 @@ def with_position(df: DataFrame, order: list[Column], name: str = "position") ->
     )
 
 
+def _tile_of(place: str, total: str, tiles: int) -> str:
+    """The tile of a place: the first ``total % tiles`` tiles have one row more than the others."""
+    size, extra = f"({total} div {tiles})", f"({total} % {tiles})"
+    return (
+        f"CAST(CASE WHEN {place} < {extra} * ({size} + 1) THEN {place} div ({size} + 1) "
+        f"ELSE {extra} + ({place} - {extra} * ({size} + 1)) div nullif({size}, 0) END + 1 AS INT)"
+    )
+
+
 def with_tile(df: DataFrame, tiles: int, order: list[Column], name: str = "tile") -> DataFrame:
-    """``ntile`` over an order without ties: the first ``n % tiles`` tiles have one row more."""
+    """``ntile`` of every row over an order without ties."""
     placed = with_position(df, order, "_position")
     total = one_row(placed.agg(F.count(F.lit(1)).alias("n"))).getField("n")
-    size = F.expr(f"_total div {tiles}")
-    extra = F.col("_total") % tiles
-    place = F.col("_position")
-    in_larger = place < F.col("_extra") * (F.col("_size") + 1)
-    return (
-        placed.withColumn("_total", total)
-        .withColumn("_size", size)
-        .withColumn("_extra", extra)
-        .withColumn(
-            name,
-            F.when(in_larger, F.expr("_position div (_size + 1)") + 1)
-            .otherwise(F.expr("_extra + (_position - _extra * (_size + 1)) div nullif(_size, 0) + 1"))
-            .cast("int"),
-        )
-        .drop("_total", "_size", "_extra", "_position")
+    return put(placed.withColumn("_total", total), {name: _tile_of("_position", "_total", tiles)}).drop(
+        "_total", "_position"
+    )
+
+
+def tile_totals(
+    df: DataFrame, tiles: int, value: str, tie_break: str, sums: Sequence[str], name: str = "tile"
+) -> DataFrame:
+    """Row count and sums per ``ntile`` of the descending value, ties in the order of ``tie_break``.
+
+    Rows are summed per distinct value first. A value whose rows all fall in one tile needs
+    nothing more; only rows of the at most ``tiles - 1`` values that straddle a boundary are sorted.
+    """
+    known = df.where(f"{quoted(value)} IS NOT NULL")
+    totals = [F.sum(column).alias(column) for column in sums]
+    per_value = known.groupBy(F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_n"), *totals)
+    ranked = stage_table(running_totals(per_value, [F.desc("_value")], {"_to": F.col("_n")}), "tiles")
+    total = one_row(ranked.agg(F.sum("_n").alias("n"))).getField("n")
+    placed = put(
+        ranked.withColumn("_total", total),
+        {
+            "_first": _tile_of("(_to - _n)", "_total", tiles),
+            "_last": _tile_of("(_to - 1)", "_total", tiles),
+        },
     )
+    whole = placed.where("_first = _last").select(F.col("_first").alias(name), "_n", *sums)
+    split = stage_table(placed.where("_first < _last").selectExpr("_value", "_to - _n AS _before", "_total"), "split")
+    rows = known.select(F.col(value).alias("_value"), tie_break, *sums).join(split, "_value")
+    # Places among the sorted rows of the split values, moved to where each value begins.
+    sorted_rows = with_position(rows, [F.desc("_value"), F.asc(tie_break)], "_position")
+    starts = sorted_rows.groupBy("_value").agg(F.min("_position").alias("_start"))
+    tiled = put(
+        sorted_rows.join(F.broadcast(starts), "_value"),
+        {name: _tile_of("(_before + _position - _start)", "_total", tiles)},
+    ).select(name, F.lit(1).cast("long").alias("_n"), *sums)
+    return whole.unionByName(tiled).groupBy(name).agg(F.sum("_n").alias("n_rows"), *totals)
 
 
 def running_totals(df: DataFrame, order: list[Column], amounts: dict[str, Column]) -> DataFrame:

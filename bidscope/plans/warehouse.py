@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from bidscope.functions.labels import depth_level, floor_step
 from bidscope.functions.numbers import ratio, round_mean
 from bidscope.operators.quantiles import grouped_quantiles
-from bidscope.operators.ranking import with_tile
+from bidscope.operators.ranking import tile_totals
 
 AS_OF = "2024-03-31"
 
@@ -190,22 +190,20 @@ def spread_trend(auctions: DataFrame) -> DataFrame:
 
 def spread_deciles(auctions: DataFrame, tiles: int = 10) -> DataFrame:
     """Share of the surplus per decile of the spread; equal spreads are ordered by auction id."""
-    rows = auctions.where("filled = 1").select(
+    rows = auctions.where("filled = 1").selectExpr(
         "auction_id",
         "bid_spread",
-        (F.col("winning_bid_usd") - F.col("clearing_price_usd")).alias("margin_usd"),
+        "bid_spread AS spread",
+        "winning_bid_usd - clearing_price_usd AS margin_usd",
     )
-    order = [F.desc("bid_spread"), F.asc("auction_id")]
     return (
-        with_tile(rows, tiles, order, "spread_decile")
-        .groupBy("spread_decile")
-        .agg(_count(), _mean("bid_spread", 4).alias("avg_spread"), F.sum("margin_usd").alias("_surplus"))
-        .withColumn("pct_total_surplus", _share(F.col("_surplus"), []))
+        tile_totals(rows, tiles, "bid_spread", "auction_id", ["spread", "margin_usd"], "spread_decile")
+        .withColumn("pct_total_surplus", _share(F.col("margin_usd"), []))
         .select(
             "spread_decile",
-            "n_auctions",
-            "avg_spread",
-            F.round("_surplus", 2).alias("total_surplus_usd"),
+            F.col("n_rows").alias("n_auctions"),
+            round_mean(ratio(F.col("spread"), F.col("n_rows")), 4).alias("avg_spread"),
+            F.round("margin_usd", 2).alias("total_surplus_usd"),
             "pct_total_surplus",
         )
         .orderBy("spread_decile")

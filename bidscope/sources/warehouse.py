@@ -53,9 +53,9 @@ class Warehouse:
         if if_exists not in MODES:
             raise ValueError(f"Unknown mode: {if_exists}. Use one of {sorted(MODES)}.")
         written = Observation()
-        counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
-        if partition_by:
-            counted = counted.hint("rebalance", *partition_by)
+        balanced = df.hint("rebalance", *partition_by) if partition_by else df
+        # Counted in the writing tasks themselves, so a shuffle run twice is not counted twice.
+        counted = balanced.observe(written, F.count(F.lit(1)).alias("rows"))
         writer = counted.write.mode(MODES[if_exists])
         if partition_by:
             writer = writer.partitionBy(*partition_by)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from bidscope.operators.ranking import ranking_metrics, running_totals, with_position, with_tile
+from bidscope.operators.ranking import ranking_metrics, running_totals, tile_totals, with_position, with_tile
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +35,13 @@ def test_tile_is_ntile(frame, tiles):
     assert both.where("tile <> want").count() == 0 and both.count() == 3001
 
 
+@pytest.mark.parametrize("tiles", [1, 3, 10, 100])
+def test_tile_totals_are_those_of_ntile(frame, tiles):
+    window = Window.orderBy(*order())
+    want = frame.withColumn("tile", F.ntile(tiles).over(window)).groupBy("tile").agg(F.count(F.lit(1)), F.sum("n"))
+    assert sorted(tile_totals(frame, tiles, "x", "id", ["n"]).collect()) == sorted(want.collect())
+
+
 def test_running_totals(frame):
     window = Window.orderBy(*order()).rowsBetween(Window.unboundedPreceding, 0)
     both = running_totals(frame, order(), {"total": F.col("n")}).join(
