@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bidscope.functions.numbers import ratio
+from bidscope.functions.numbers import ratio, rounded
 from bidscope.operators.quantiles import grouped_quantiles
 from bidscope.operators.ranking import with_position
 from bidscope.session import one_row, stage_table
@@ -102,7 +102,7 @@ def score_bids(auctions: DataFrame, baselines: DataFrame, z_threshold: float = B
     return (
         auctions.join(fitted, "placement_type", "left")
         .withColumn("_z", (F.col("winning_bid_usd") - F.col("_mean")) / floor)
-        .withColumn("bid_z_score", F.round("_z", 3))
+        .withColumn("bid_z_score", F.expr(rounded("_z", 3)))
         .withColumn("bid_is_anomaly", _flag(F.abs("_z") > z_threshold))
         .drop("_mean", "_std", "_z")
     )

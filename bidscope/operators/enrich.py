@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bidscope.functions.columns import put
+from bidscope.functions.numbers import rounded
 from bidscope.schemas import REQUIRED_AUCTION_COLUMNS, require_columns
 from bidscope.session import one_row, stage_table
 
@@ -27,9 +28,8 @@ def derive_auction_columns(raw: DataFrame) -> DataFrame:
         "week": "weekofyear(`timestamp`)",
         "month": "month(`timestamp`)",
         "is_weekend": "weekday(`timestamp`) >= 5",
-        # The last addend keeps decimal ties on their upper side, as in round_mean.
-        "bid_spread": f"round(coalesce(({margin}) / nullif(winning_bid_usd, 0), 0) + 1e-10, 4)",
-        "margin_usd": f"round({margin} + 1e-10, 4)",
+        "bid_spread": rounded(f"coalesce(({margin}) / nullif(winning_bid_usd, 0), 0)", 4),
+        "margin_usd": rounded(margin, 4),
         "has_click": flag("clicked"),
         "has_conversion": flag("converted"),
     }
@@ -61,7 +61,7 @@ def add_bid_zscore(df: DataFrame) -> DataFrame:
     )
     scored = put(
         df.join(stats, "placement_type", "left"),
-        {"bid_z_score": "round((winning_bid_usd - _mean) / nullif(_std, 0), 3)"},
+        {"bid_z_score": rounded("(winning_bid_usd - _mean) / nullif(_std, 0)", 3)},
     )
     flagged = put(scored, {"is_bid_anomaly": f"coalesce(abs(bid_z_score) > {Z_LIMIT}, false)"})
     return flagged.drop("_mean", "_std")
@@ -80,9 +80,9 @@ def enrich_supply(raw: DataFrame) -> DataFrame:
             "date": "to_date(`timestamp`)",
             "hour": "hour(`timestamp`)",
             "day_of_week": "date_format(`timestamp`, 'EEEE')",
-            "monetized_slots": "round(available_slots * fill_rate, 2)",
-            "supply_health": (
-                "round(fill_rate * 7e-1 + (1 - floor_price_usd / nullif(_top_floor, 0)) * 3e-1, 4)"
+            "monetized_slots": rounded("available_slots * fill_rate", 2),
+            "supply_health": rounded(
+                "fill_rate * 7e-1 + (1 - floor_price_usd / nullif(_top_floor, 0)) * 3e-1", 4
             ),
         },
     ).drop("_top_floor")

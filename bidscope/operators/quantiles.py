@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from bidscope.functions.columns import quoted
 from bidscope.session import stage_table
 
-BUCKETS_PER_E_FOLD = 64
+BUCKETS_PER_E_FOLD = 16
 SUB_BUCKETS = 4096
-RANKED_ROWS = 1_000_000
+RANKED_ROWS = 2_000_000
 
 # A bucket number that never falls as the value rises, for either sign and any magnitude.
 _LOG_BUCKET = (

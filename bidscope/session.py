@@ -79,14 +79,14 @@ def stage_table(df: DataFrame, label: str = "staged") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *by: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Give every core a share of a frame that is read from fewer splits than there are cores.
 
     A frame with as many partitions as cores, as any large one has, is left as it is. Only for
     plain scans: to tell its partitions, a frame with joins would have to run their shuffles.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *by)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def one_row(df: DataFrame) -> Column:

@@ -30,7 +30,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _cell(value: object) -> str:
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else repr(value + 0.0)
+        return "nan" if math.isnan(value) else repr(value)
     return repr(value)
 
 

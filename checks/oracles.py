@@ -68,8 +68,8 @@ a AS (
 ENRICHED = AUCTIONS + """,
 st AS (SELECT placement_type, avg(winning_bid_usd) AS m, stddev_samp(winning_bid_usd) AS s FROM a GROUP BY 1),
 e AS (
-  SELECT a.*, round((winning_bid_usd - m)/nullif(s,0),3) AS bid_z_score,
-    coalesce(abs(round((winning_bid_usd - m)/nullif(s,0),3)) > 3, false) AS is_bid_anomaly
+  SELECT a.*, round((winning_bid_usd - m)/nullif(s,0) + 1e-10,3) + 0e0 AS bid_z_score,
+    coalesce(abs(round((winning_bid_usd - m)/nullif(s,0) + 1e-10,3)) > 3, false) AS is_bid_anomaly
   FROM a LEFT JOIN st USING (placement_type)
 )"""
 
@@ -84,8 +84,8 @@ sraw AS (
 SUPPLY = SUPPLY_RAW + """,
 s AS (
   SELECT *, CAST(extract(hour FROM "timestamp") AS INT) AS "hour", dayname("timestamp") AS day_of_week,
-    round(available_slots*fill_rate,2) AS monetized_slots,
-    round(fill_rate*0.7e0 + (1 - floor_price_usd/(SELECT max(floor_price_usd) FROM sraw))*0.3e0, 4) AS supply_health
+    round(available_slots*fill_rate + 1e-10,2) AS monetized_slots,
+    round(fill_rate*0.7e0 + (1 - floor_price_usd/(SELECT max(floor_price_usd) FROM sraw))*0.3e0 + 1e-10, 4) AS supply_health
   FROM sraw
 )"""
 
@@ -719,12 +719,12 @@ SELECT auction_id, placement_type, coalesce(abs((winning_bid_usd - avg(winning_b
     q["bid_baselines"] = f"""WITH {AUCTIONS}, {BASELINES}
 SELECT placement_type, round(mean+1.234567e-9,6) AS mean, round(std+1.234567e-9,6) AS std, round(p99+1.234567e-9,6) AS p99 FROM base"""
     q["bid_anomaly_scores"] = f"""WITH {AUCTIONS}, {BASELINES}
-SELECT auction_id, placement_type, round(winning_bid_usd,9) AS winning_bid_usd, round(z,3) AS bid_z_score,
+SELECT auction_id, placement_type, round(winning_bid_usd,9) AS winning_bid_usd, round(z + 1e-10,3) + 0e0 AS bid_z_score,
   coalesce(abs(z) > 3, false) AS bid_is_anomaly FROM scored"""
     q["top_bid_anomalies"] = f"""WITH {AUCTIONS}, {BASELINES}
 SELECT auction_id, placement_type, device_type, round(winning_bid_usd,9) AS winning_bid_usd,
-  round(bid_floor_usd,9) AS bid_floor_usd, round(z,3) AS bid_z_score FROM scored WHERE abs(z) > 3
-ORDER BY round(z,3) DESC, auction_id LIMIT 15"""
+  round(bid_floor_usd,9) AS bid_floor_usd, round(z + 1e-10,3) + 0e0 AS bid_z_score FROM scored WHERE abs(z) > 3
+ORDER BY round(z + 1e-10,3) + 0e0 DESC, auction_id LIMIT 15"""
     q["dash_bid_anomaly_share"] = f"""WITH {AUCTIONS}, {BASELINES}
 SELECT count(*) FILTER (abs(z) > 3) AS n_anomalies, count(*) AS n_auctions,
   round(count(*) FILTER (abs(z) > 3)/count(*),6) AS anomaly_share FROM scored"""
