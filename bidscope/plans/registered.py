@@ -19,7 +19,7 @@ from bidscope.operators.merge import merge_rows
 from bidscope.operators.models import EcpmModel, FillModel
 from bidscope.plans import warehouse
 from bidscope.plans.etl import run_etl
-from bidscope.session import apply_runtime_conf, scratch_path, stage_table
+from bidscope.session import apply_runtime_conf, scratch_path, spread, stage_table
 from bidscope.sources import star
 from bidscope.sources.csv_files import read_csv, write_csv
 from bidscope.sources.warehouse import Warehouse
@@ -53,6 +53,12 @@ def auctions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive_auction_columns(raw_auctions(spark, sf_dir))
 
 
+def spread_auctions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows for Python scoring: line items read from too few splits go to all cores."""
+    lines = spread(star.read_table(apply_runtime_conf(spark), sf_dir, "lineitem"))
+    return derive_auction_columns(star.auctions_from(lines, star.read_table(spark, sf_dir, "part")))
+
+
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_auctions(raw_auctions(spark, sf_dir))
 
@@ -302,11 +308,13 @@ def ecpm_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def forest_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fitted(forest_ops.AnomalyForest, spark, sf_dir, auctions).predict(auctions(spark, sf_dir))
+    rows = spread_auctions(spark, sf_dir)
+    return _fitted(forest_ops.AnomalyForest, spark, sf_dir, spread_auctions).predict(rows)
 
 
 def iforest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fitted(forest_ops.AnomalyForest, spark, sf_dir, auctions).summary(auctions(spark, sf_dir))
+    rows = spread_auctions(spark, sf_dir)
+    return _fitted(forest_ops.AnomalyForest, spark, sf_dir, spread_auctions).summary(rows)
 
 
 def anomaly_union(spark: SparkSession, sf_dir: str) -> DataFrame:
