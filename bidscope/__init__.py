@@ -1,3 +1,10 @@
 """bidscope: ad-auction analytics expressed as Spark DataFrame operators."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions go to the executors with their code, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
