@@ -136,9 +136,14 @@ def pick_kpis(names: Sequence[str] | None) -> tuple[KPI, ...]:
 
 
 def status_of(kpi: KPI, value: str) -> str:
-    """``alert`` past the threshold, else on or below target, ``ok`` where neither is known."""
+    """``alert`` past the threshold, else on or below target, ``ok`` where neither is known.
+
+    The value is compared at nine digits: a mean that equals its threshold must not pass it by the
+    last bit of a sum taken in another order.
+    """
     if kpi.alert_threshold is None:
         return "'ok'"
+    value = f"round({value}, 9)"
     worse, reaches = ("<", ">=") if kpi.higher_is_better else (">", "<=")
     reached = (
         "'ok'"

@@ -53,7 +53,7 @@ def detect(
         reach = (F.col("_q3") - F.col("_q1")) * iqr_multiplier
         marked = (x < F.col("_q1") - reach) | (x > F.col("_q3") + reach)
         return _attach(df, stats, keys).withColumn(flag, _flag(marked)).drop("_q1", "_q3")
-    raise ValueError(f"Unknown method: {method}. Use 'zscore' or 'iqr'.")
+    raise ValueError(f"A method is 'zscore' or 'iqr', not {method!r}")
 
 
 def scan_kpis(series: DataFrame, value: str = "value", method: str = "zscore") -> DataFrame:
@@ -63,7 +63,7 @@ def scan_kpis(series: DataFrame, value: str = "value", method: str = "zscore") -
     values that are there.
     """
     if method not in ("zscore", "iqr"):
-        raise ValueError(f"Unknown method: {method}. Use 'zscore' or 'iqr'.")
+        raise ValueError(f"A method is 'zscore' or 'iqr', not {method!r}")
     # Several statistics read the series, so it is computed once.
     series = stage_table(series, "series")
     medians = grouped_quantiles(series, ["kpi"], value, {"_median": 0.5})

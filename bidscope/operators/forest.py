@@ -223,7 +223,7 @@ class AnomalyForest:
 
     def _check_fitted(self) -> None:
         if self.threshold is None:
-            raise RuntimeError("Detector not fitted. Call .fit() first.")
+            raise RuntimeError("The forest has not been grown yet: fit it on training rows before scoring.")
 
 
 def top_anomalies(scored: DataFrame, k: int = 20) -> DataFrame:

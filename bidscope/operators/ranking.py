@@ -79,6 +79,7 @@ def tile_totals(
 
     Rows are summed per distinct value first. A value whose rows all fall in one tile needs
     nothing more; only rows of the at most ``tiles - 1`` values that straddle a boundary are sorted.
+    Rows without a value have no tile.
     """
     known = df.where(f"{quoted(value)} IS NOT NULL")
     totals = [F.sum(column).alias(column) for column in sums]

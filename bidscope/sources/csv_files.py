@@ -36,7 +36,7 @@ def read_csv(
         return reader.schema(by_name).csv(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"No CSV found at {path}") from error
+            raise FileNotFoundError(f"The table {table} has no file or folder {path}") from error
         raise
 
 

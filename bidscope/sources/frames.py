@@ -9,5 +9,5 @@ from pyspark.sql import DataFrame
 
 def frame(datasets: Mapping[str, DataFrame], table: str) -> DataFrame:
     if table not in datasets:
-        raise KeyError(f"Table '{table}' not in in-memory datasets")
+        raise KeyError(f"{table} is not among the given tables: {', '.join(sorted(datasets))}")
     return datasets[table]

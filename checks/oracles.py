@@ -179,9 +179,9 @@ def long_kpis(source: str, extra: str = "") -> str:
 
 
 STATUS = """CASE WHEN value IS NULL OR alert_threshold IS NULL THEN 'ok'
-  WHEN (higher_is_better AND value < alert_threshold) OR (NOT higher_is_better AND value > alert_threshold) THEN 'alert'
+  WHEN (higher_is_better AND round(value,9) < alert_threshold) OR (NOT higher_is_better AND round(value,9) > alert_threshold) THEN 'alert'
   WHEN target IS NULL THEN 'ok'
-  WHEN (higher_is_better AND value >= target) OR (NOT higher_is_better AND value <= target) THEN 'on_target'
+  WHEN (higher_is_better AND round(value,9) >= target) OR (NOT higher_is_better AND round(value,9) <= target) THEN 'on_target'
   ELSE 'below_target' END"""
 
 
