@@ -11,7 +11,6 @@ from bidscope.session import scratch_path, shared_dir
 from bidscope.sources import star
 from bidscope.sources.csv_files import list_csv, read_all_csv, read_csv, write_csv
 from bidscope.sources.frames import frame
-from bidscope.sources.warehouse import Warehouse
 from tests.conftest import SF_DIR, rows
 
 
