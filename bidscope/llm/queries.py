@@ -6,15 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bidscope.llm import decontaminate, simhash_dedup
+from bidscope.llm import decontaminate, fingerprint, html_text, langid, line_dedup, simhash_dedup, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html_text": html_text.op1_html_text,
+        "op2_line_dedup": line_dedup.op2_line_dedup,
+        "op3_fingerprints": fingerprint.op3_fingerprints,
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op7_simhash": simhash_dedup.op7_simhash,
+        "op8_langid": langid.op8_langid,
+        "op9_toxicity": toxicity.op9_toxicity,
+        "op10_warc": warc.op10_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontaminate": decontaminate.OP5_SQL}
+    return {"op2_line_dedup": line_dedup.OP2_SQL, "op5_decontaminate": decontaminate.OP5_SQL}
