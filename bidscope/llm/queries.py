@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bidscope.llm import decontaminate, fingerprint, html_text, langid, line_dedup, simhash_dedup, toxicity, warc
+import corpus_pipeline
+from bidscope.llm import (
+    decontaminate,
+    fingerprint,
+    html_text,
+    langid,
+    line_dedup,
+    mixing,
+    quality,
+    simhash_dedup,
+    toxicity,
+    warc,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,11 +26,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_html_text": html_text.op1_html_text,
         "op2_line_dedup": line_dedup.op2_line_dedup,
         "op3_fingerprints": fingerprint.op3_fingerprints,
+        "op4_quality": quality.op4_quality,
         "op5_decontaminate": decontaminate.op5_decontaminate,
+        "op6_mix": mixing.op6_mix,
         "op7_simhash": simhash_dedup.op7_simhash,
         "op8_langid": langid.op8_langid,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_warc": warc.op10_warc,
+        "pipeline": corpus_pipeline.run,
     }
 
 
