@@ -137,7 +137,8 @@ def dedup_lines(
     packed = docs.select(
         F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("body")
     ).withColumn("uid", F.xxhash64("body"))
-    joined = packed.join(runs, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("uid") == F.col("u")), "left")
+    # Merged at every size: a broadcast while the runs are few would only put off the shuffle of the texts.
+    joined = packed.join(runs.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("uid") == F.col("u")), "left")
     lines = F.split("body", "\n", -1)
     rest = F.filter(lines, lambda _, i: ~F.exists("runs", lambda r: (i >= r["first"]) & (i <= r["last"])))
     gone = F.aggregate("runs", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
