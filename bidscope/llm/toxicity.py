@@ -9,6 +9,7 @@ by full-batch descent with momentum on a bounded sample of labelled texts.
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +22,7 @@ from bidscope.llm.common import bounded_sample, crc_of_id, table
 from bidscope.session import stage_table
 
 #: Labelled texts the model is fitted on, at most.
-TRAIN_ROWS = 3_000
+TRAIN_ROWS = 2_000
 PASSAGE = 8
 BITS = 17
 BUCKETS = 1 << BITS
@@ -82,21 +83,24 @@ def word_scores(text: str | None, weights: np.ndarray) -> np.ndarray:
     return np.add.reduceat(total, opens) / np.maximum(np.add.reduceat(count, opens), 1)
 
 
-def subwords(words: list[str]) -> list[np.ndarray]:
-    """The buckets of each word's character n-grams, its ends marked."""
-    codes = _codes(" ".join(words))
-    number = np.cumsum(codes == 0) - 1
-    pairs = [(number[start], bucket) for start, bucket in _grams(codes)]
-    word = np.concatenate([p[0] for p in pairs])
-    order = np.argsort(word, kind="stable")
-    return np.split(np.concatenate([p[1] for p in pairs])[order], np.searchsorted(word[order], np.arange(1, len(words))))
+def subwords(words: list[str], chunk: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of the words' character n-grams, word by word, and where each word's begin."""
+    parts, sizes = [], [np.zeros(1, dtype=np.int64)]
+    for first in range(0, len(words), chunk):
+        own = words[first : first + chunk]
+        codes = _codes(" ".join(own))
+        number = (np.cumsum(codes == 0) - 1).astype(np.int32)
+        grams = _grams(codes)
+        word = np.concatenate([number[start] for start, _ in grams])
+        buckets = np.concatenate([bucket.astype(np.int32) for _, bucket in grams])
+        parts.append(buckets[np.argsort(word, kind="stable")])
+        sizes.append(np.bincount(word, minlength=len(own)))
+    return np.concatenate(parts), np.cumsum(np.concatenate(sizes))
 
 
-def passages(text: str | None) -> list[list[str]]:
-    """Each run of ``PASSAGE`` words."""
+def words_of(text: str | None) -> list[str]:
     codes = _codes(text or "")
-    words = "".join(map(chr, np.where(codes == 0, 32, codes).tolist())).split()
-    return [words[i : i + PASSAGE] for i in range(0, len(words), PASSAGE)]
+    return "".join(map(chr, np.where(codes == 0, 32, codes).tolist())).split()
 
 
 @dataclass
@@ -117,8 +121,9 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(odds, -500, 500))))
 
 
-def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    return np.add.reduceat(values, starts, axis=0)
+def _sums(values: np.ndarray, members: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the members' rows from each start to the next, a column at a time."""
+    return np.stack([np.add.reduceat(column[members], starts) for column in np.ascontiguousarray(values.T)], axis=1)
 
 
 def fit(texts: list[str | None], labels: list[int], prior: float | None = None) -> Model:
@@ -126,7 +131,7 @@ def fit(texts: list[str | None], labels: list[int], prior: float | None = None)
 
     Texts without words teach nothing. With one class only, or none, every score is near that class.
     """
-    pairs = [(t, y) for t, y in zip(texts, labels) if passages(t)]
+    pairs = [(t, y) for t, y in zip(texts, labels) if len(_codes(t or "")) > 1]
     texts, labels = [t for t, _ in pairs], [y for _, y in pairs]
     rng = np.random.default_rng(SEED)
     target = np.asarray(labels, dtype=np.float64)
@@ -134,20 +139,23 @@ def fit(texts: list[str | None], labels: list[int], prior: float | None = None)
     if share in (0.0, 1.0):
         return Model(np.zeros(BUCKETS), 20.0 * (2 * share - 1))
     number: dict[str, int] = {}
-    bags, owners = [], []
-    for owner, text in enumerate(texts):
-        for bag in passages(text):
-            bags.append([number.setdefault(w, len(number)) for w in bag])
-            owners.append(owner)
-    owner = np.array(owners)
-    opens = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-    in_bag = np.concatenate([np.asarray(b) for b in bags])
-    bag_size = np.array([len(b) for b in bags])
-    bag_at, bag_of = np.r_[0, np.cumsum(bag_size)[:-1]], np.repeat(np.arange(len(bags)), bag_size)
-    pieces, odds_of = _frequent(subwords(list(number)), bags, owner, target)
-    in_word = np.concatenate(pieces)
-    word_size = np.array([len(p) for p in pieces])
-    word_at, word_of = np.r_[0, np.cumsum(word_size)[:-1]], np.repeat(np.arange(len(pieces)), word_size)
+    tokens, lengths = array("i"), []
+    for text in texts:
+        words = words_of(text)
+        tokens.extend(number.setdefault(w, len(number)) for w in words)
+        lengths.append(len(words))
+    in_bag, length = np.frombuffer(tokens, dtype=np.int32), np.array(lengths)
+    text_at = np.r_[0, np.cumsum(length)]
+    bags = -(-length // PASSAGE)
+    owner = np.repeat(np.arange(len(texts)), bags)
+    opens = np.r_[0, np.cumsum(bags)[:-1]]
+    bag_at = text_at[owner] + PASSAGE * (np.arange(len(owner)) - opens[owner])
+    bag_size = np.diff(np.r_[bag_at, len(in_bag)])
+    bag_of = np.repeat(np.arange(len(bag_at), dtype=np.int32), bag_size)
+    in_word, word_at, odds_of = _frequent(*subwords(list(number)), in_bag, text_at, target)
+    del number
+    word_size = np.diff(word_at)
+    word_at, word_of = word_at[:-1], np.repeat(np.arange(len(word_size), dtype=np.int32), word_size)
 
     embed = rng.normal(0, 0.05, (BUCKETS, DIMENSIONS)).astype(np.float32)
     embed[:, 0] = odds_of
@@ -156,8 +164,8 @@ def fit(texts: list[str | None], labels: list[int], prior: float | None = None)
     bias = np.array([START / 2, -START / 2], dtype=np.float32)
     state = [np.zeros_like(p) for p in (embed, soft, bias)]
     for step in range(1, ROUNDS + 1):
-        words = _sums(embed[in_word], word_at) / word_size[:, None]
-        means = SCALE * _sums(words[in_bag], bag_at) / bag_size[:, None]
+        words = _sums(embed, in_word, word_at) / word_size[:, None]
+        means = SCALE * _sums(words, in_bag, bag_at) / bag_size[:, None]
         logits = means @ soft + bias
         odds = logits[:, 1] - logits[:, 0]
         # The softest maximum over a text's passages: each counts by its share of exp(odds).
@@ -170,7 +178,7 @@ def fit(texts: list[str | None], labels: list[int], prior: float | None = None)
         d_logits = np.stack([-slope, slope], axis=1)
         d_soft, d_bias = means.T @ d_logits, d_logits.sum(axis=0)
         d_means = (d_logits @ soft.T) * (SCALE / bag_size[:, None])
-        d_words = _transposed(d_means, bag_of, in_bag, len(pieces)) / word_size[:, None]
+        d_words = _transposed(d_means, bag_of, in_bag, len(word_size)) / word_size[:, None]
         d_embed = _transposed(d_words, word_of, in_word, BUCKETS)
         # One step length for a whole table: the n-grams that many texts agree on move, rare ones hardly do.
         rate = RATE * (1 - (step - 1) / ROUNDS)
@@ -190,21 +198,22 @@ def _log_odds(share: float) -> float:
 
 
 def _frequent(
-    pieces: list[np.ndarray], bags: list[list[int]], owner: np.ndarray, target: np.ndarray
-) -> tuple[list[np.ndarray], np.ndarray]:
-    """The pieces of each word that occur in ``MIN_TEXTS`` texts or more (bucket 0 alone where there are none), and
-    the log odds of each bucket, by the texts it occurs in: where learning starts."""
-    words: list[set[int]] = [set() for _ in target]
-    for bag, text in zip(bags, owner.tolist()):
-        words[text].update(bag)
+    pieces: np.ndarray, at: np.ndarray, tokens: np.ndarray, text_at: np.ndarray, target: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pieces of each word that occur in ``MIN_TEXTS`` texts or more (bucket 0 alone where there are none), where
+    each word's begin, and the log odds of each bucket by the texts it occurs in: where learning starts."""
     seen = np.zeros((2, BUCKETS))
-    for text, own in enumerate(words):
-        seen[int(target[text]), np.unique(np.concatenate([pieces[w] for w in own]))] += 1
+    for label, start, stop in zip(target.astype(int), text_at, text_at[1:]):
+        own = [pieces[at[w] : at[w + 1]] for w in np.unique(tokens[start:stop])]
+        seen[label, np.unique(np.concatenate(own))] += 1
     known = seen.sum(axis=0) >= MIN_TEXTS
     known[0] = False
     odds = np.log((seen[1] + 2) / (target.sum() + 4)) - np.log((seen[0] + 2) / ((1 - target).sum() + 4))
-    kept = [word[known[word]] for word in pieces]
-    return [word if len(word) else np.zeros(1, dtype=np.int64) for word in kept], np.where(known, odds, 0.0)
+    keep = known[pieces]
+    size = np.add.reduceat(keep, at[:-1], dtype=np.int64)
+    keep[at[:-1][size == 0]] = True
+    kept = np.where(known[pieces], pieces, 0)[keep]
+    return kept, np.r_[0, np.cumsum(np.maximum(size, 1))], np.where(known, odds, 0.0)
 
 
 def _transposed(values: np.ndarray, rows: np.ndarray, cols: np.ndarray, size: int) -> np.ndarray:
