@@ -18,6 +18,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from bidscope.llm.common import components, table
 from bidscope.session import stage_table
@@ -46,7 +47,7 @@ def simhash64(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > len(shingles)).view("<u8")[0])
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def _fingerprint(texts: pd.Series) -> pd.Series:
     return pd.Series(np.array([simhash64(t) for t in texts], dtype="<u8").view(np.int64))
 
