@@ -122,7 +122,7 @@ def identify(
     A null text, and one without letters, is ``und`` with score 0, and so is all where no language is known. Of
     languages equally near the alphabetically first wins. Repeated rows and null ids stay. Other columns are not read.
     """
-    names, matrix = list(known), np.array(list(known.values())).reshape(len(known), -1)
+    names, matrix = list(known), np.array(list(known.values())).reshape(len(known), dimensions)
 
     @F.pandas_udf("lang string, score double")
     def nearest(texts: pd.Series) -> pd.DataFrame:

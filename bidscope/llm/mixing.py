@@ -41,6 +41,8 @@ def classifier(labelled: DataFrame, domain_col: str, text_col: str = "text") ->
     bucket = F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int").alias("bucket")
     cells = words.groupBy("domain", bucket).agg(F.count(F.lit(1)).alias("n")).collect()  # domains x BUCKETS at most
     names = sorted({r["domain"] for r in cells})
+    if not names:
+        return {}
     counts = np.ones((len(names), BUCKETS))
     for r in cells:
         counts[names.index(r["domain"]), r["bucket"]] += r["n"]
