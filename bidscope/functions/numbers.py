@@ -16,10 +16,11 @@ def rounded(expression: str, digits: int) -> str:
 
     ``round`` goes through a decimal object per value, which at one value per auction costs more
     than all the arithmetic around it. The small addend keeps ties that binary doubles hold a
-    hair too low on their upper side.
+    hair too low on their upper side. ``rint`` stays a double, so NaN and large values stay what
+    they are; adding zero turns a negative zero into zero.
     """
     scale = f"1e{digits}"
-    return f"floor(({expression} + 1e-10) * {scale} + 5e-1) / {scale}"
+    return f"(rint(({expression} + 1e-10) * {scale}) / {scale} + 0e0)"
 
 
 def round_mean(mean: Column, digits: int) -> Column:

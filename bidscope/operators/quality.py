@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,18 +100,40 @@ FOREIGN_KEYS: list[tuple[str, str, str]] = [
 INFORMATIONAL = {"click_needs_fill"}
 
 
+def _applies(df: DataFrame, rule: Rule) -> bool:
+    try:
+        return bool(df.select(F.expr(rule.condition)).schema)
+    except AnalysisException as error:
+        if (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+            return False
+        raise
+
+
+def _severity(rule: Rule, skipped: set[str]) -> str:
+    if rule.name in skipped:
+        return "skipped"
+    return "info" if rule.name in INFORMATIONAL else "error"
+
+
 def check_rules(df: DataFrame, table: str, rules: Sequence[Rule] | None = None) -> DataFrame:
-    """Violations per rule, all rules in one pass; rules on absent columns are left out."""
-    chosen = [rule for rule in (rules if rules is not None else RULES[table])]
+    """Violations per rule, all rules in one pass.
+
+    A rule on a column the table lacks has the severity ``skipped`` and no count.
+    """
+    chosen = list(RULES[table] if rules is None else rules)
+    skipped = {rule.name for rule in chosen if not _applies(df, rule)}
     totals = df.agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(~F.expr(rule.condition)).alias(f"_rule_{i}") for i, rule in enumerate(chosen)],
+        *[
+            (F.lit(None).cast("long") if rule.name in skipped else F.count_if(~F.expr(rule.condition))).alias(f"_rule_{i}")
+            for i, rule in enumerate(chosen)
+        ],
     )
     lines = [
         F.struct(
             F.lit(table).alias("table_name"),
             F.lit(rule.name).alias("rule"),
-            F.lit("info" if rule.name in INFORMATIONAL else "error").alias("severity"),
+            F.lit(_severity(rule, skipped)).alias("severity"),
             F.col(f"_rule_{i}").alias("violations"),
             F.col("_rows").alias("n_rows"),
         )

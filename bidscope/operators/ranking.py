@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bidscope.functions.columns import put, quoted
+from bidscope.functions.columns import put
 from bidscope.functions.numbers import ratio
 from bidscope.session import one_row, stage_table
 
@@ -79,12 +79,11 @@ def tile_totals(
 
     Rows are summed per distinct value first. A value whose rows all fall in one tile needs
     nothing more; only rows of the at most ``tiles - 1`` values that straddle a boundary are sorted.
-    Rows without a value have no tile.
+    Rows without a value come last.
     """
-    known = df.where(f"{quoted(value)} IS NOT NULL")
     totals = [F.sum(column).alias(column) for column in sums]
-    per_value = known.groupBy(F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_n"), *totals)
-    ranked = stage_table(running_totals(per_value, [F.desc("_value")], {"_to": F.col("_n")}), "tiles")
+    per_value = df.groupBy(F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_n"), *totals)
+    ranked = stage_table(running_totals(per_value, [F.desc_nulls_last("_value")], {"_to": F.col("_n")}), "tiles")
     total = one_row(ranked.agg(F.sum("_n").alias("n"))).getField("n")
     placed = put(
         ranked.withColumn("_total", total),
@@ -94,13 +93,15 @@ def tile_totals(
         },
     )
     whole = placed.where("_first = _last").select(F.col("_first").alias(name), "_n", *sums)
-    split = stage_table(placed.where("_first < _last").selectExpr("_value", "_to - _n AS _before", "_total"), "split")
-    rows = known.select(F.col(value).alias("_value"), tie_break, *sums).join(split, "_value")
+    split = stage_table(placed.where("_first < _last").selectExpr("_value AS _split", "_to - _n AS _before", "_total"), "split")
+    rows = df.select(F.col(value).alias("_value"), tie_break, *sums).join(
+        split, F.col("_value").eqNullSafe(F.col("_split"))
+    )
     # Places among the sorted rows of the split values, moved to where each value begins.
-    sorted_rows = with_position(rows, [F.desc("_value"), F.asc(tie_break)], "_position")
-    starts = sorted_rows.groupBy("_value").agg(F.min("_position").alias("_start"))
+    sorted_rows = with_position(rows, [F.desc_nulls_last("_value"), F.asc(tie_break)], "_position")
+    starts = sorted_rows.groupBy(F.col("_value").alias("_of")).agg(F.min("_position").alias("_start"))
     tiled = put(
-        sorted_rows.join(F.broadcast(starts), "_value"),
+        sorted_rows.join(F.broadcast(starts), F.col("_value").eqNullSafe(F.col("_of"))),
         {name: _tile_of("(_before + _position - _start)", "_total", tiles)},
     ).select(name, F.lit(1).cast("long").alias("_n"), *sums)
     return whole.unionByName(tiled).groupBy(name).agg(F.sum("_n").alias("n_rows"), *totals)

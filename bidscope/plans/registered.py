@@ -25,7 +25,7 @@ from bidscope.sources.csv_files import read_csv, write_csv
 from bidscope.sources.warehouse import Warehouse
 from bidscope.streaming import kpi_windows
 from bidscope.streaming.bids import score_bid_stream
-from bidscope.streaming.runs import run_append, run_update, table_stream, write_append
+from bidscope.streaming.runs import run_append, run_update, table_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -230,21 +230,28 @@ def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(merge_rows(old, new, ["advertiser_id"]), ROW_DIGITS)
 
 
-def auction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: Files of the facts in one micro-batch; all files are read, in as many triggers as that takes.
+FILES_PER_TRIGGER = 1_000
+
+
+def auction_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """The facts from a stream of line items and the static parts."""
     apply_runtime_conf(spark)
     parts = star.read_table(spark, sf_dir, "part")
-    return derive_auction_columns(star.auctions_from(table_stream(spark, sf_dir, "lineitem"), parts))
+    return derive_auction_columns(star.auctions_from(table_stream(spark, sf_dir, "lineitem", files_per_trigger), parts))
 
 
 WINDOW_COLUMNS = ["window_start", "window_end", "n_samples", *[kpi.name for kpi in REGISTRY]]
 
 
+def streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest version of each window; event times come in no order, so there is no watermark."""
+    windows = kpi_windows.windowed_kpis(auction_stream(spark, sf_dir)).drop("window")
+    return kpi_windows.without_zone(run_update(windows, "window_start", "kpi-windows"))
+
+
 def stream_kpi_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
-    windows = run_update(
-        kpi_windows.windowed_kpis(auction_stream(spark, sf_dir)).drop("window"), "window_start", "kpi-windows"
-    )
-    return shown(kpi_windows.without_zone(windows).select(WINDOW_COLUMNS))
+    return shown(streamed_windows(spark, sf_dir).select(WINDOW_COLUMNS))
 
 
 def kpi_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,10 +265,8 @@ def kpi_alerts_consecutive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_alerts_consecutive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = kpi_windows.closed_status(kpi_windows.windowed_kpis(auction_stream(spark, sf_dir)))
-    closed = spark.readStream.schema(status.schema).parquet(write_append(status, "closed-windows"))
-    found = run_append(kpi_windows.consecutive_alert_stream(closed), "alerts")
-    return shown(found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
+    latest = stage_table(streamed_windows(spark, sf_dir), "latest-windows")
+    return shown(kpi_windows.consecutive_alerts(kpi_windows.window_status(latest)))
 
 
 def stream_bid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -404,7 +404,8 @@ def star_by_tier(auctions: DataFrame, advertisers: DataFrame) -> DataFrame:
     """Auction totals per advertiser tier and strategy.
 
     Facts are summed per advertiser before the join, so an advertiser with a third of all
-    auctions is one row when it meets its dimension row.
+    auctions is one row when it meets its dimension row. Auctions of no or an unknown advertiser
+    are the line without a tier, so the lines add up to the facts.
     """
     per_advertiser = auctions.groupBy("advertiser_id").agg(
         F.count(F.lit(1)).alias("n"),
@@ -413,10 +414,10 @@ def star_by_tier(auctions: DataFrame, advertisers: DataFrame) -> DataFrame:
         F.sum("winning_bid_usd").alias("bids"),
     )
     return (
-        per_advertiser.join(advertisers, "advertiser_id")
+        per_advertiser.join(advertisers, "advertiser_id", "left")
         .groupBy("tier", "bidding_strategy")
         .agg(
-            F.count(F.lit(1)).alias("n_advertisers"),
+            F.count("advertiser_id").alias("n_advertisers"),
             F.sum("n").alias("n_auctions"),
             round_mean(ratio(F.sum("fills"), F.sum("n")), 4).alias("fill_rate"),
             round_mean(ratio(F.sum("bids"), F.sum("n")), 4).alias("avg_winning_bid"),

@@ -5,12 +5,27 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bidscope.functions.columns import quoted
 from bidscope.schemas import RAW_TABLES
 
 
+# Wide enough for any 64-bit number, with room for the zeros behind its point.
+_WHOLE = T.DecimalType(38, 9)
+
+
+def _typed(field: T.StructField) -> Column:
+    column = F.col(quoted(field.name))
+    if not isinstance(field.dataType, T.IntegralType):
+        return column
+    fraction = F.raise_error(F.concat(F.lit(f"{field.name} is no whole number: "), column.cast("string")))
+    whole = F.when(column.isNull() | (column == F.floor(column)), column).otherwise(fraction.cast(_WHOLE))
+    return whole.cast(field.dataType).alias(field.name)
+
+
 def read_csv(
     spark: SparkSession,
     folder: str,
@@ -23,17 +38,22 @@ def read_csv(
     Columns are matched by name with ``schema``, or with the known schema of the table; columns
     it does not name are strings. Types are inferred, at the price of another pass, only for a
     table that has no schema.
+
+    Nothing is changed in silence: a cell that does not parse, a short row, a part file with another
+    header and a fraction in a column of whole numbers each end the read that meets them with an
+    error. ``3.0`` is a whole number. ``options`` are those of Spark's reader and come last.
     """
     path = f"{folder.rstrip('/')}/{table}.csv"
-    reader = spark.read.option("header", True).options(**options)
+    reader = spark.read.option("header", True).options(**{"enforceSchema": "false", "mode": "FAILFAST"} | options)
     known = schema or RAW_TABLES.get(table)
     try:
         if known is None:
             return reader.option("inferSchema", True).csv(path)
         header = reader.csv(path).columns
         types = {field.name: field.dataType for field in known.fields}
-        by_name = T.StructType([T.StructField(name, types.get(name, T.StringType()), True) for name in header])
-        return reader.schema(by_name).csv(path)
+        by_name = [T.StructField(name, types.get(name, T.StringType()), True) for name in header]
+        read_as = [T.StructField(f.name, _WHOLE if isinstance(f.dataType, T.IntegralType) else f.dataType) for f in by_name]
+        return reader.schema(T.StructType(read_as)).csv(path).select(*[_typed(field) for field in by_name])
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"The table {table} has no file or folder {path}") from error

@@ -69,9 +69,14 @@ class Warehouse:
         """Replace the rows whose key ``df`` has and add those it has new.
 
         The merged rows are written beside the table before they replace it, since a table
-        cannot be read and overwritten in one step.
+        cannot be read and overwritten in one step. The table keeps its partition columns. Keys that
+        ``df`` has more than once are a ValueError, and the table stays as it was.
         """
-        return self.load(stage_table(merge_rows(self.table(table), df, key), "merge"), table)
+        new = stage_table(df, "merge-new")
+        if not new.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
+            raise ValueError(f"The new rows of {table} repeat a key of {', '.join(key)}.")
+        layout = [column.name for column in self.spark.catalog.listColumns(self.name(table)) if column.isPartition]
+        return self.load(stage_table(merge_rows(self.table(table), new, key), "merge"), table, partition_by=layout)
 
     def execute(self, sql: str) -> None:
         """Run one statement."""

@@ -2,35 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from bidscope.functions.kpis import KPI, REGISTRY, status_of
 from bidscope.functions.columns import listed
 from bidscope.operators.kpi_reports import measures
 
 WINDOW = "5 minutes"
-WATERMARK = "10 minutes"
 
 
 def windowed_kpis(
     auctions: DataFrame,
     window: str = WINDOW,
-    watermark: str = WATERMARK,
+    watermark: str | None = None,
     kpis: Sequence[KPI] = REGISTRY,
 ) -> DataFrame:
     """The registered KPIs per window, of a stream or a batch.
 
-    Watermarks need a timestamp with a zone, so event time is cast in the session's zone and cast
-    back. Rows later than the watermark are dropped from a stream.
+    Event time is cast to a timestamp with the session's zone, as watermarks need one. Without a
+    watermark a stream keeps one row of state per window and every row counts, however late. A
+    watermark frees that state and drops the rows that are later: only for sources that come in
+    order but for that delay.
     """
     timed = auctions.withColumn("_event_time", F.col("timestamp").cast("timestamp"))
-    if auctions.isStreaming:
+    if auctions.isStreaming and watermark:
         timed = timed.withWatermark("_event_time", watermark)
     return (
         timed.groupBy(F.window("_event_time", window).alias("window"))
@@ -56,71 +54,13 @@ def window_status(windows: DataFrame, kpis: Sequence[KPI] = REGISTRY) -> DataFra
 
 
 def consecutive_alerts(status: DataFrame) -> DataFrame:
-    """Batch form: breaches whose KPI was also breached in the window that ends where this starts.
+    """Breaches whose KPI was also breached in the window that ends where this one starts.
 
-    A window without events breaks the run. A KPI has as many rows as there are windows.
+    A window without events breaks the run. Windows are joined on KPI and time, so neither side has
+    a hot key. For a stream, ``status`` is that of the latest version of each window
+    (``runs.run_update``), and late rows that change a window change its alerts.
     """
-    by_kpi = Window.partitionBy("kpi").orderBy("window_start")
     breached = status.where("status = 'alert'")
-    return (
-        breached.withColumn("_ended", F.lag("window_end").over(by_kpi))
-        .where("_ended = window_start")
-        .select("kpi", "window_start", "value")
-    )
-
-
-def closed_status(windows: DataFrame, kpis: Sequence[KPI] = REGISTRY) -> DataFrame:
-    """Status rows of finished windows, those of a KPI and trigger together in one file."""
-    return window_status(windows, kpis).repartition("kpi")
-
-
-_ALERT = T.StructType(
-    [
-        T.StructField("kpi", T.StringType()),
-        T.StructField("window_start", T.TimestampType()),
-        T.StructField("value", T.DoubleType()),
-    ]
-)
-# Start, end and value of the breached windows of the last day.
-_STATE = T.StructType(
-    [
-        T.StructField("starts", T.ArrayType(T.LongType())),
-        T.StructField("ends", T.ArrayType(T.LongType())),
-        T.StructField("values", T.ArrayType(T.DoubleType())),
-    ]
-)
-_DAY = 86_400_000_000
-
-
-def _micros(times: pd.Series) -> list[int]:
-    return times.astype("datetime64[us]").astype("int64").tolist()
-
-
-def _runs(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Follow one KPI: a breach is reported once the breach that ends where it starts is known."""
-    new = pd.concat(list(batches)).sort_values("window_start")
-    known = dict(zip(state.get[0], zip(state.get[1], state.get[2]))) if state.exists else {}
-    fresh = dict(zip(_micros(new["window_start"]), zip(_micros(new["window_end"]), new["value"].tolist())))
-    both = {**known, **fresh}
-    found = []
-    for start in sorted(both):
-        end = both[start][0]
-        if end in both and (start in fresh or end in fresh):
-            found.append((key[0], pd.Timestamp(end, unit="us"), both[end][1]))
-    recent = [start for start in sorted(both) if start > max(both) - _DAY]
-    state.update((recent, [both[s][0] for s in recent], [both[s][1] for s in recent]))
-    yield pd.DataFrame(found, columns=["kpi", "window_start", "value"])
-
-
-def consecutive_alert_stream(status: DataFrame) -> DataFrame:
-    """Stream form over a stream of ``closed_status`` rows.
-
-    Spark keeps such state only upstream of aggregations, so the status rows are a table that one
-    job appends to and this one follows. A trigger hands a KPI the windows it closed, not events;
-    its state is the breaches of one day, so files read out of order are still joined up.
-    """
-    return (
-        status.where("status = 'alert'")
-        .groupBy("kpi")
-        .applyInPandasWithState(_runs, _ALERT, _STATE, "append", GroupStateTimeout.NoTimeout)
-    )
+    ended = breached.select(F.col("kpi").alias("_kpi"), F.col("window_end").alias("_end"))
+    follows = (F.col("kpi") == F.col("_kpi")) & (F.col("window_start") == F.col("_end"))
+    return breached.join(ended, follows, "left_semi").select("kpi", "window_start", "value")

@@ -702,7 +702,7 @@ SELECT "hour", placement_type, round(avg(total_revenue_usd)+1e-9,2) AS avg_hourl
     q["star_by_tier"] = f"""WITH {AUCTIONS}, {ADVERTISER}
 SELECT tier, bidding_strategy, count(DISTINCT advertiser_id) AS n_advertisers, count(*) AS n_auctions,
   round(avg(filled)+1e-9,4) AS fill_rate, round(avg(winning_bid_usd)+1e-9,4) AS avg_winning_bid, round(sum(revenue_usd),2) AS revenue_usd
-FROM a JOIN dim_advertiser USING (advertiser_id) GROUP BY 1,2"""
+FROM a LEFT JOIN dim_advertiser USING (advertiser_id) GROUP BY 1,2"""
 
     # Detectors
     q["detect_zscore"] = f"""WITH {AUCTIONS}
@@ -782,10 +782,7 @@ UNION ALL SELECT advertiser_id || '-2', {plain} FROM dim_advertiser WHERE tier =
 
     # Streams
     q["kpi_5min"] = q["stream_kpi_5min"] = windowed_kpis(5)
-    q["kpi_alerts_consecutive"] = consecutive_alerts(5)
-    q["stream_alerts_consecutive"] = consecutive_alerts(
-        5, 'b + INTERVAL 5 MINUTE <= (SELECT max("timestamp") - INTERVAL 10 MINUTE FROM a)'
-    )
+    q["kpi_alerts_consecutive"] = q["stream_alerts_consecutive"] = consecutive_alerts(5)
     q["stream_bid_scores"] = q["bid_anomaly_scores"]
 
     # Quality and dimensions

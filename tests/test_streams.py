@@ -9,7 +9,7 @@ from bidscope.operators.enrich import derive_auction_columns
 from bidscope.session import stage_table
 from bidscope.streaming import kpi_windows
 from bidscope.streaming.bids import score_bid_stream
-from bidscope.streaming.runs import run_append, run_update, table_stream, write_append
+from bidscope.streaming.runs import run_append, run_update, table_stream
 from tests.conftest import rows
 
 KPIS = [BY_NAME["fill_rate"]]
@@ -41,10 +41,17 @@ def test_windows_of_a_stream_equal_those_of_a_batch(stream_of, make_auctions):
     assert sorted(map(tuple, stream.select(columns).collect())) == sorted(map(tuple, batch.select(columns).collect()))
 
 
-def test_late_rows_are_dropped(stream_of):
+def test_late_rows_are_dropped_only_behind_a_watermark(stream_of):
+    data = [at(1), at(50)], [at(55)], [at(2), at(56)]
+    late = kpi_windows.windowed_kpis(stream_of(*data), watermark="10 minutes").drop("window")
+    result = {r["window_start"].minute: r["n_samples"] for r in rows(run_update(late, "window_start"))}
+    assert result == {0: 1, 50: 1, 55: 2}
+
+
+def test_rows_in_any_order_all_count(stream_of):
     windows = kpi_windows.windowed_kpis(stream_of([at(1), at(50)], [at(55)], [at(2), at(56)])).drop("window")
     result = {r["window_start"].minute: r["n_samples"] for r in rows(run_update(windows, "window_start"))}
-    assert result == {0: 1, 50: 1, 55: 2}
+    assert result == {0: 2, 50: 1, 55: 2}
 
 
 def gap_rows():
@@ -58,23 +65,28 @@ def test_consecutive_alerts_batch(make_auctions):
     assert [r["window_start"].minute for r in found] == [15, 30]
 
 
-def test_consecutive_alerts_stream_remembers_between_triggers(spark, stream_of):
-    # The last row moves the watermark past all windows before it.
-    data = gap_rows()
-    stream = stream_of(data[:3], data[3:4], data[4:5], data[5:], [at(1, day=2)])
-    status = kpi_windows.closed_status(kpi_windows.windowed_kpis(stream, kpis=KPIS), KPIS)
-    closed = spark.readStream.schema(status.schema).option("maxFilesPerTrigger", 1).parquet(write_append(status))
-    found = rows(run_append(kpi_windows.consecutive_alert_stream(closed)).orderBy("window_start"))
-    assert [r["window_start"].minute for r in found] == [15, 30]
-
-
-def test_consecutive_alerts_stream_takes_files_in_any_order(spark, make_auctions, tmp_path):
-    status = kpi_windows.window_status(kpi_windows.windowed_kpis(make_auctions(gap_rows()), kpis=KPIS), KPIS)
-    for minute in (30, 15, 0, 25, 10, 5):
-        status.where(F.minute("window_start") == minute).coalesce(1).write.mode("append").parquet(str(tmp_path))
-    closed = spark.readStream.schema(status.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path))
-    found = rows(run_append(kpi_windows.consecutive_alert_stream(closed)).orderBy("window_start"))
-    assert [r["window_start"].minute for r in found] == [15, 30]
+@pytest.mark.parametrize("triggers", [1, 4, 16])
+def test_windows_and_alerts_of_a_stream_equal_the_batch_at_any_number_of_triggers(spark, make_auctions, stream_of, triggers):
+    # Event times in no order: neighbours in time are days and triggers apart.
+    data = [at(m, int(m % 3 == 0), day) for m in range(1, 60, 4) for day in (9, 1, 5)] + gap_rows()
+    data.sort(key=lambda row: row["timestamp"][::-1])
+    stream = kpi_windows.windowed_kpis(stream_of(*[data[i::triggers] for i in range(triggers)]), kpis=KPIS)
+    latest = kpi_windows.without_zone(run_update(stream.drop("window"), "window_start"))
+    batch = kpi_windows.without_zone(kpi_windows.windowed_kpis(make_auctions(data), kpis=KPIS))
+    columns = ["window_start", "n_samples", "fill_rate"]
+    assert sorted(map(tuple, latest.select(columns).collect())) == sorted(map(tuple, batch.select(columns).collect()))
+    found, wanted = (
+        sorted(map(tuple, kpi_windows.consecutive_alerts(kpi_windows.window_status(w, KPIS)).collect()))
+        for w in (latest, batch)
+    )
+    assert found == wanted and found
+
+
+def test_an_alert_joins_windows_whatever_came_between(stream_of):
+    late = stream_of([at(1, 0)], [at(1, 1, 9)], [at(6, 0)])
+    latest = run_update(kpi_windows.windowed_kpis(late, kpis=KPIS).drop("window"), "window_start")
+    found = rows(kpi_windows.consecutive_alerts(kpi_windows.window_status(latest, KPIS)))
+    assert [r["window_start"].minute for r in found] == [5]
 
 
 def test_bids_are_scored_as_in_a_batch(stream_of, make_auctions):

@@ -40,6 +40,27 @@ def test_csv_matches_columns_by_name(spark, tmp_path):
     assert row["page_load_ms"] == 70 and row["extra"] == "x" and row["timestamp"].hour == 3
 
 
+def test_whole_numbers_may_have_a_point(spark, tmp_path):
+    (tmp_path / "supply.csv").write_text("supply_event_id,page_load_ms\ns1,3.0\ns2,\ns3,4\n")
+    assert [r["page_load_ms"] for r in read_csv(spark, str(tmp_path), "supply").collect()] == [3, None, 4]
+
+
+@pytest.mark.parametrize("line", ["s1,abc,0.5", "s1,3.5,0.5", "s1,3,abc", "s1,3"])
+def test_cells_that_do_not_parse_end_the_read(spark, tmp_path, line):
+    (tmp_path / "supply.csv").write_text(f"supply_event_id,page_load_ms,fill_rate\n{line}\n")
+    with pytest.raises(Exception, match="page_load_ms|[Mm]alformed"):
+        read_csv(spark, str(tmp_path), "supply").collect()
+
+
+def test_part_files_in_another_column_order_end_the_read(spark, tmp_path):
+    folder = tmp_path / "supply.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("placement_type,device_type\ntop,mobile\n")
+    (folder / "b.csv").write_text("device_type,placement_type\nmobile,top\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(tmp_path), "supply").collect()
+
+
 def test_unknown_csv_is_inferred(spark, tmp_path):
     (tmp_path / "other.csv").write_text("a,b\n1,x\n2,y\n")
     assert read_csv(spark, str(tmp_path), "other").agg(F.sum("a")).first()[0] == 3
@@ -101,6 +122,17 @@ def test_merge_into_a_table(spark, store):
     assert {(r["k"], r["v"]) for r in rows(store.table("t"))} == {(1, "a"), (2, "B"), (3, "C")}
 
 
+def test_merge_keeps_the_layout_and_refuses_repeated_keys(spark, store):
+    store.load(spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k int, v string, d int"), "t", partition_by=["d"])
+    assert store.merge(spark.createDataFrame([(2, "B", 1)], "k int, v string, d int"), "t", ["k"]) == 2
+    assert [c.name for c in spark.catalog.listColumns(store.name("t")) if c.isPartition] == ["d"]
+    kept = {(1, "a", 1), (2, "B", 1)}
+    assert {(r["k"], r["v"], r["d"]) for r in rows(store.table("t"))} == kept
+    with pytest.raises(ValueError, match="repeat"):
+        store.merge(spark.createDataFrame([(3, "x", 1), (3, "y", 2)], "k int, v string, d int"), "t", ["k"])
+    assert {(r["k"], r["v"], r["d"]) for r in rows(store.table("t"))} == kept
+
+
 def test_merge_on_two_keys(spark):
     old = spark.createDataFrame([(1, "x", 1), (1, "y", 1)], "a int, b string, n int")
     new = spark.createDataFrame([(1, "y", 2)], "a int, b string, n int")
@@ -136,6 +168,12 @@ def test_rules_count_violations_but_not_unknowns(make_auctions):
     assert found["filled_0_1"] == 1 and found["placement_type_not_null"] == 1 and found["hour_0_23"] == 0
 
 
+def test_rules_on_absent_columns_are_reported_as_skipped(make_auctions):
+    lines = rows(quality.check_rules(make_auctions([{"auction_depth": 0}]).drop("treatment"), "fact_auctions"))
+    assert [(r["rule"], r["violations"]) for r in lines if r["severity"] == "skipped"] == [("treatment_0_1", None)]
+    assert {r["rule"]: r["violations"] for r in lines}["auction_depth_positive"] == 1
+
+
 def test_clicks_without_fill_are_information(make_auctions):
     df = make_auctions([{"clicked": 1, "filled": 0}])
     line = [r for r in rows(quality.check_rules(df, "fact_auctions")) if r["rule"] == "click_needs_fill"][0]
