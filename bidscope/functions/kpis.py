@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,14 +15,14 @@ def sql_number(value: float | None) -> str:
 
 @dataclass(frozen=True)
 class KPI:
-    """A KPI and its aggregate as a Spark SQL expression.
+    """A KPI and its aggregate, as a Spark SQL expression or a Column.
 
     ``inputs`` are the columns the measure reads. Where one is missing the KPI has ``fallback``
     as its value. A KPI of one's own is another instance passed to the reports.
     """
 
     name: str
-    measure: str
+    measure: str | Column
     unit: str
     category: str
     description: str
@@ -31,13 +31,12 @@ class KPI:
     alert_threshold: float | None = None
     higher_is_better: bool = True
     fallback: float | None = None
-    owner: str = field(default="analytics", compare=False)
-    notes: str = field(default="", compare=False)
 
     def value(self, columns: Sequence[str]) -> Column:
         """The KPI as an aggregate over a frame with the given columns."""
         measure = self.measure if set(self.inputs) <= set(columns) else sql_number(self.fallback)
-        return F.expr(f"CAST({measure} AS DOUBLE) AS `{self.name}`")
+        measure = F.expr(measure) if isinstance(measure, str) else measure
+        return measure.cast("double").alias(self.name)
 
 
 # Names, units, targets and thresholds of the eight KPIs.
@@ -59,7 +58,6 @@ REGISTRY: tuple[KPI, ...] = (
         unit="USD",
         category="revenue",
         description="Revenue per thousand auction requests, unfilled ones included.",
-        notes="Not the column ecpm, which values the bid before the auction.",
     ),
     KPI(
         name="bid_spread",
@@ -71,7 +69,6 @@ REGISTRY: tuple[KPI, ...] = (
         alert_threshold=0.20,
         higher_is_better=False,
         description="Mean distance of the winning bid from the clearing price, relative to the bid.",
-        notes="Unfilled auctions have no clearing price and count with a spread of 1.",
     ),
     KPI(
         name="ctr",
@@ -131,8 +128,9 @@ BY_NAME: dict[str, KPI] = {kpi.name: kpi for kpi in REGISTRY}
 CORE_KPIS = ("fill_rate", "ecpm", "bid_spread", "ctr", "cvr", "auction_depth")
 
 
-def pick_kpis(names: Sequence[str] | None) -> tuple[KPI, ...]:
-    return REGISTRY if names is None else tuple(BY_NAME[name] for name in names)
+def pick_kpis(chosen: Sequence[str | KPI] | None) -> tuple[KPI, ...]:
+    """KPIs by their registered name or as they are; all registered ones by default."""
+    return REGISTRY if chosen is None else tuple(BY_NAME[k] if isinstance(k, str) else k for k in chosen)
 
 
 def status_of(kpi: KPI, value: str) -> str:

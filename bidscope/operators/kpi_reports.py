@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bidscope.functions.columns import quoted
-from bidscope.functions.kpis import BY_NAME, CORE_KPIS, KPI, REGISTRY, pick_kpis, sql_number, status_of
+from bidscope.functions.kpis import CORE_KPIS, KPI, REGISTRY, pick_kpis, sql_number, status_of
 from bidscope.functions.timebins import fill_empty_bins, time_bin
 
 
@@ -31,19 +31,20 @@ def in_segment(df: DataFrame, segment: Mapping[str, object] | None) -> DataFrame
 def scorecard(
     auctions: DataFrame,
     segment: Mapping[str, object] | None = None,
-    kpis: Sequence[KPI] = REGISTRY,
+    kpis: Sequence[str | KPI] | None = None,
 ) -> DataFrame:
     """All KPIs of the data or a segment with their status: one scan, one aggregate.
 
     No rows in, no rows out.
     """
+    kpis = pick_kpis(kpis)
     totals = in_segment(auctions, segment).agg(
         F.count(F.lit(1)).alias("n_samples"), *measures(kpis, auctions.columns)
     )
     cards = [
-        f"named_struct('kpi', {text(kpi.name)}, 'value', round({kpi.name}, 6), 'unit', {text(kpi.unit)}, "
+        f"named_struct('kpi', {text(kpi.name)}, 'value', round({quoted(kpi.name)}, 6), 'unit', {text(kpi.unit)}, "
         f"'target', {sql_number(kpi.target)}, 'alert_threshold', {sql_number(kpi.alert_threshold)}, "
-        f"'status', {status_of(kpi, kpi.name)}, 'category', {text(kpi.category)}, "
+        f"'status', {status_of(kpi, quoted(kpi.name))}, 'category', {text(kpi.category)}, "
         f"'higher_is_better', {str(kpi.higher_is_better).lower()}, 'description', {text(kpi.description)}, "
         "'n_samples', n_samples)"
         for kpi in kpis
@@ -52,23 +53,27 @@ def scorecard(
 
 
 def core_scorecard(auctions: DataFrame) -> DataFrame:
-    return scorecard(auctions, kpis=pick_kpis(CORE_KPIS))
+    return scorecard(auctions, kpis=CORE_KPIS)
 
 
-def alerts(auctions: DataFrame) -> DataFrame:
-    return scorecard(auctions).where(F.col("status") == "alert")
+def alerts(
+    auctions: DataFrame,
+    segment: Mapping[str, object] | None = None,
+    kpis: Sequence[str | KPI] | None = None,
+) -> DataFrame:
+    return scorecard(auctions, segment, kpis).where(F.col("status") == "alert")
 
 
-def by_segment(auctions: DataFrame, column: str, kpi_names: Sequence[str] | None = None) -> DataFrame:
+def by_segment(auctions: DataFrame, column: str, kpis: Sequence[str | KPI] | None = None) -> DataFrame:
     """KPIs per value of a column, one row per value and KPI."""
-    kpis = pick_kpis(kpi_names)
+    kpis = pick_kpis(kpis)
     grouped = (
         auctions.dropna(subset=[column])
         .groupBy(column)
         .agg(F.count(F.lit(1)).alias("n_samples"), *measures(kpis, auctions.columns))
     )
     cells = [
-        f"named_struct('kpi', {text(kpi.name)}, 'value', round({kpi.name}, 6), 'unit', {text(kpi.unit)})"
+        f"named_struct('kpi', {text(kpi.name)}, 'value', round({quoted(kpi.name)}, 6), 'unit', {text(kpi.unit)})"
         for kpi in kpis
     ]
     return grouped.selectExpr(quoted(column), "n_samples", f"inline(array({', '.join(cells)}))").select(
@@ -93,17 +98,18 @@ def binned_kpis(
     return fill_empty_bins(binned, "_bin", freq, keys).withColumnRenamed("_bin", "timestamp")
 
 
-def trend(auctions: DataFrame, kpi_name: str, freq: str = "D", group: str | None = None) -> DataFrame:
-    """One KPI over time with the mean of its last seven bins.
+def trend(auctions: DataFrame, kpi: str | KPI, freq: str = "D", group: str | None = None) -> DataFrame:
+    """One KPI, by its registered name or one's own, over time with the mean of its last seven bins.
 
     The window runs over bins, of which a group has as many as the calendar, not over events.
     """
-    binned = binned_kpis(auctions, freq, group, [BY_NAME[kpi_name]]).withColumnRenamed(kpi_name, "value")
+    (wanted,) = pick_kpis([kpi])
+    binned = binned_kpis(auctions, freq, group, [wanted]).withColumnRenamed(wanted.name, "value")
     last_seven = Window.partitionBy(group or F.lit(0)).orderBy("timestamp").rowsBetween(-6, 0)
     return binned.withColumns(
         {
             "rolling_avg": F.round(F.avg("value").over(last_seven), 6),
-            "kpi": F.lit(kpi_name),
+            "kpi": F.lit(wanted.name),
         }
     ).orderBy(*([group] if group else []), "timestamp")
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bidscope.functions.kpis import KPI, REGISTRY, status_of
-from bidscope.functions.columns import listed
+from bidscope.functions.columns import listed, quoted
 from bidscope.operators.kpi_reports import measures
 
 WINDOW = "5 minutes"
@@ -47,7 +47,7 @@ def window_status(windows: DataFrame, kpis: Sequence[KPI] = REGISTRY) -> DataFra
     """One row per window and KPI with its status; KPIs that cannot alert are left out."""
     able = [kpi for kpi in kpis if kpi.alert_threshold is not None]
     cells = ", ".join(
-        f"named_struct('kpi', {listed([kpi.name])}, 'value', {kpi.name}, 'status', {status_of(kpi, kpi.name)})"
+        f"named_struct('kpi', {listed([kpi.name])}, 'value', {quoted(kpi.name)}, 'status', {status_of(kpi, quoted(kpi.name))})"
         for kpi in able
     )
     return windows.selectExpr("window_start", "window_end", f"inline(array({cells}))")
