@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from bidscope.functions.columns import quoted
@@ -20,6 +20,7 @@ from bidscope.session import stage_table
 
 BUCKETS_PER_E_FOLD = 16
 SUB_BUCKETS = 4096
+# Decides the plan only: a fuller bucket is narrowed down by another pass, with the same result.
 RANKED_ROWS = 2_000_000
 
 # A bucket number that never falls as the value rises, for either sign and any magnitude.
@@ -38,11 +39,13 @@ def grouped_quantiles(
     probabilities: Mapping[str, float],
     keep_null_keys: bool = False,
     ranked_rows: int = RANKED_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """One row per key with one exact quantile of ``value`` per entry of ``probabilities``.
 
     With no keys the result is the single row of the whole frame. Null values are left out. A
     bucket of up to ``ranked_rows`` rows is ranked directly, a larger one is narrowed further.
+    ``counted`` is the first histogram where the caller has it already, from ``count_buckets``.
     """
     groups = [quoted(key) for key in keys] or ["_all"]
     rows = df.selectExpr(*(groups if keys else ["0 AS _all"]), f"CAST({quoted(value)} AS DOUBLE) AS _value")
@@ -50,7 +53,7 @@ def grouped_quantiles(
     if keys and not keep_null_keys:
         rows = rows.dropna(subset=list(keys))
 
-    targets, largest = _stage(_first_targets(rows, groups, probabilities))
+    targets, largest = _stage(_first_targets(rows, groups, probabilities, counted))
     while largest is not None and largest > ranked_rows:
         targets, largest = _stage(_narrow(rows, groups, targets, ranked_rows))
     if largest is None:
@@ -73,6 +76,16 @@ def grouped_quantiles(
     return result if keys else result.drop("_all")
 
 
+def count_buckets(df: DataFrame, keys: Sequence[str], value: str, others: Sequence[Column] = ()) -> DataFrame:
+    """Rows, least and greatest ``value`` per key and bucket, with ``others`` aggregated in the same pass.
+
+    Rows without a value have the bucket null.
+    """
+    groups = [quoted(key) for key in keys]
+    rows = df.withColumn("_value", F.col(value).cast("double"))
+    return _counted(rows, groups, _LOG_BUCKET, "0 * count(*)", others)
+
+
 def _stage(targets: DataFrame) -> tuple[DataFrame, int | None]:
     """Write the targets down, and learn how many rows the largest unresolved bucket has."""
     seen = Observation()
@@ -86,7 +99,11 @@ def _histogram(rows: DataFrame, groups: list[str], bucket: str, base: str) -> Da
 
     ``base`` is an aggregate: the rows of the key in front of the first bucket.
     """
-    counted = (
+    return _with_ahead(_counted(rows, groups, bucket, base), groups)
+
+
+def _counted(rows: DataFrame, groups: list[str], bucket: str, base: str, others: Sequence[Column] = ()) -> DataFrame:
+    return (
         rows.selectExpr("*", f"{bucket} AS _bucket")
         .groupBy(*[F.col(g) for g in groups], "_bucket")
         .agg(
@@ -94,13 +111,19 @@ def _histogram(rows: DataFrame, groups: list[str], bucket: str, base: str) -> Da
             F.expr("min(_value) AS _min"),
             F.expr("max(_value) AS _max"),
             F.expr(f"{base} AS _base"),
+            *others,
         )
     )
+
+
+def _with_ahead(counted: DataFrame, groups: list[str]) -> DataFrame:
     ordered = f"PARTITION BY {', '.join(groups)} ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     return counted.selectExpr("*", f"_base + coalesce(sum(_n) OVER ({ordered}), 0) AS _ahead")
 
 
-def _first_targets(rows: DataFrame, groups: list[str], probabilities: Mapping[str, float]) -> DataFrame:
+def _first_targets(
+    rows: DataFrame, groups: list[str], probabilities: Mapping[str, float], counted: DataFrame | None = None
+) -> DataFrame:
     """Every wanted rank with the bucket that holds it."""
     wanted = ", ".join(
         f"named_struct('_name', '{name}', '_p', {float(p)!r}D, '_upper', {upper})"
@@ -114,8 +137,9 @@ def _first_targets(rows: DataFrame, groups: list[str], probabilities: Mapping[st
         for p in {float(p) for p in probabilities.values()}
     )
     kept = [*groups, "_ahead", "_n", "_min AS _low", "_max AS _high"]
+    counted = _counted(rows, groups, _LOG_BUCKET, "0 * count(*)") if counted is None else counted
     return (
-        _histogram(rows, groups, _LOG_BUCKET, "0 * count(*)")
+        _with_ahead(counted.where("_bucket IS NOT NULL"), groups)
         .selectExpr("*", total)
         .where(useful)
         .selectExpr(*kept, "_total", f"inline(array({wanted}))")

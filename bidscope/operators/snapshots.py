@@ -8,12 +8,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bidscope.functions.numbers import ratio, round_mean
-from bidscope.operators.quantiles import grouped_quantiles
+from bidscope.operators.quantiles import count_buckets, grouped_quantiles
+from bidscope.session import stage_table
 
 DAILY_GRAIN = ["date", "placement_type", "device_type", "ad_format"]
 HOURLY_GRAIN = ["date", "hour", "placement_type"]
 BID_QUANTILES = {"p50_winning_bid": 0.5, "p90_winning_bid": 0.9, "p99_winning_bid": 0.99}
 
+_SUMS = {
+    "filled_auctions": "filled",
+    "total_clicks": "clicked",
+    "total_conversions": "converted",
+    "total_revenue_usd": "revenue_usd",
+}
+_MEANS = {
+    "avg_winning_bid": "winning_bid_usd",
+    "avg_clearing_price": "clearing_price_usd",
+    "avg_bid_spread": "bid_spread",
+    "avg_ecpm": "ecpm",
+    "avg_auction_depth": "auction_depth",
+}
+
 
 def kpi_snapshot(
     auctions: DataFrame,
@@ -23,29 +38,32 @@ def kpi_snapshot(
 ) -> DataFrame:
     """Counts, sums, means, bid quantiles and ratios per grain.
 
-    Pass no ``quantiles`` where they are not read, or ``approximate`` for sketches in the same
+    The first pass counts and sums per grain and bucket of bids; all but the quantiles are totals of that, and a
+    second pass looks only at the buckets that hold one. Pass no ``quantiles`` where they are not read, or ``approximate`` for sketches in the same
     single pass.
     """
     grain = list(grain)
     rows = auctions.dropna(subset=grain)
-    aggregates = [
-        F.count("auction_id").alias("total_auctions"),
-        F.sum("filled").alias("filled_auctions"),
-        F.sum("clicked").alias("total_clicks"),
-        F.sum("converted").alias("total_conversions"),
-        F.sum("revenue_usd").alias("total_revenue_usd"),
-        F.avg("winning_bid_usd").alias("avg_winning_bid"),
-        F.avg("clearing_price_usd").alias("avg_clearing_price"),
-        F.avg("bid_spread").alias("avg_bid_spread"),
-        F.avg("ecpm").alias("avg_ecpm"),
-        F.avg("auction_depth").alias("avg_auction_depth"),
-    ]
-    if quantiles and approximate:
-        aggregates += [F.percentile_approx("winning_bid_usd", p, 10000).alias(n) for n, p in quantiles.items()]
-    snapshot = rows.groupBy(*grain).agg(*aggregates)
     if quantiles and not approximate:
-        exact = grouped_quantiles(rows, grain, "winning_bid_usd", dict(quantiles))
+        parts = [
+            F.count("auction_id").alias("total_auctions"),
+            *[F.sum(column).alias(name) for name, column in _SUMS.items()],
+            *[part(column).alias(f"{name}_{part.__name__}") for name, column in _MEANS.items() for part in (F.sum, F.count)],
+        ]
+        cells = stage_table(count_buckets(rows, grain, "winning_bid_usd", parts), "cells")
+        snapshot = cells.groupBy(*grain).agg(
+            *[F.sum(name).alias(name) for name in ["total_auctions", *_SUMS]],
+            *[ratio(F.sum(f"{name}_sum"), F.sum(f"{name}_count")).alias(name) for name in _MEANS],
+        )
+        exact = grouped_quantiles(rows, grain, "winning_bid_usd", dict(quantiles), counted=cells)
         snapshot = snapshot.join(exact, grain, "left")
+    else:
+        snapshot = rows.groupBy(*grain).agg(
+            F.count("auction_id").alias("total_auctions"),
+            *[F.sum(column).alias(name) for name, column in _SUMS.items()],
+            *[F.avg(column).alias(name) for name, column in _MEANS.items()],
+            *[F.percentile_approx("winning_bid_usd", p, 10000).alias(n) for n, p in quantiles.items()],
+        )
     return snapshot.withColumns(
         {
             "fill_rate": round_mean(ratio(F.col("filled_auctions"), F.col("total_auctions")), 4),
