@@ -1,7 +1,8 @@
 """Isolation forest (Liu, Ting and Zhou, 2008) with sampling and scoring spread over the cluster.
 
-Only the sample a forest is grown from, ``trees * sample_rows`` rows whatever the data, is ever
-grouped; one tree sees ``sample_rows`` rows. All rows are scored in Arrow batches.
+A row is drawn for a tree by a hash of its id and the tree, in the task that reads it; about
+``2 * sample_rows`` rows a tree, whatever the data, are ever grouped, and one tree grows on
+``sample_rows`` of them. All rows are scored in Arrow batches.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,8 +96,24 @@ class AnomalyForest:
         self._sampled = 0
 
     def fit(self, df: DataFrame, id_col: str = "auction_id") -> AnomalyForest:
+        """Grow the trees and set the threshold at the scores' quantile."""
+        doubles = self._grow_on(df, id_col)
+        self._limit(stage_table(doubles.select(self.score().alias("_score")), "forest-scores"))
+        return self
+
+    def fit_predict(self, df: DataFrame, id_col: str = "auction_id") -> DataFrame:
+        """``predict`` of the rows the forest is fitted on; each row is scored once."""
+        self._grow_on(df, id_col)
+        scored = stage_table(df.withColumn("_score", self.score()), "forest-scored")
+        self._limit(scored)
+        return self._flagged(scored)
+
+    def _grow_on(self, df: DataFrame, id_col: str) -> DataFrame:
+        """Medians, scales and trees of the rows; returns their id and features, staged."""
         self.features = [name for name in self.candidates if name in df.columns]
-        doubles = df.select(id_col, *[F.col(name).cast("double").alias(name) for name in self.features])
+        doubles = stage_table(
+            df.select(id_col, *[F.col(name).cast("double").alias(name) for name in self.features]), "forest-features"
+        )
         medians = grouped_quantiles(
             doubles.unpivot([id_col], self.features, "feature", "value"), ["feature"], "value", {"median": 0.5}
         )
@@ -112,35 +129,26 @@ class AnomalyForest:
         self.scales = {name: (stats[f"mean_{name}"], stats[f"std_{name}"] or 1.0) for name in self.features}
         sample = self._tree_samples(doubles, id_col, stats["rows"])
         self._grow(sample, min(self.sample_rows, stats["rows"]))
-        scores = stage_table(df.select(self.score().alias("score")), "forest-scores")
-        limit = grouped_quantiles(scores, [], "score", {"limit": 1.0 - self.contamination})
+        return doubles
+
+    def _limit(self, scored: DataFrame) -> None:
+        limit = grouped_quantiles(scored, [], "_score", {"limit": 1.0 - self.contamination})
         self.threshold = limit.first()["limit"]
-        return self
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Add ``anomaly_score`` (higher is stranger) and ``is_anomaly``."""
         self._check_fitted()
+        return self._flagged(df.withColumn("_score", self.score()))
+
+    def _flagged(self, scored: DataFrame) -> DataFrame:
         return (
-            df.withColumn("_score", self.score())
-            .withColumn("anomaly_score", F.round("_score", 4))
+            scored.withColumn("anomaly_score", F.round("_score", 4))
             .withColumn("is_anomaly", F.col("_score") > self.threshold)
             .drop("_score")
         )
 
     def summary(self, df: DataFrame) -> DataFrame:
-        by = ["placement_type", "device_type"]
-        return (
-            self.predict(df)
-            .dropna(subset=by)
-            .groupBy(*by)
-            .agg(
-                F.count("auction_id").alias("total"),
-                F.sum(F.col("is_anomaly").cast("int")).alias("anomalies"),
-                round_mean(F.avg(F.col("is_anomaly").cast("int")), 4).alias("anomaly_rate"),
-                round_mean(F.avg("anomaly_score"), 4).alias("avg_anomaly_score"),
-            )
-            .orderBy(F.desc("anomaly_rate"), *by)
-        )
+        return summarise(self.predict(df))
 
     def _scaled(self, name: str):
         """A feature with its missing values at the median of the training rows, standardised."""
@@ -149,30 +157,25 @@ class AnomalyForest:
         return ((filled - F.lit(mean)) / F.lit(std)).alias(name)
 
     def _tree_samples(self, doubles: DataFrame, id_col: str, rows: int) -> DataFrame:
-        """``sample_rows`` rows per tree, drawn by hash: first a pool for all trees, then per tree.
+        """About twice ``sample_rows`` rows per tree: by hash a pool for all trees, and from it each tree's.
 
-        Thresholds on the hash keep about twice the rows that are needed; only those are sorted.
+        Both are conditions on the row, so every task emits its own hits and nothing is sorted or cut.
         """
         span = 1 << 40
         pool_rows = self.trees * self.sample_rows
-        kept = min(1.0, 2.0 * pool_rows / rows)
-        draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(self.seed)), F.lit(span))
-        pool = (
-            doubles.withColumn("_draw", draw)
-            .where(F.col("_draw") < int(kept * span))
-            .orderBy("_draw", id_col)
-            .limit(pool_rows)
-        )
-        share = min(1.0, 2.0 * self.sample_rows / min(pool_rows, rows))
-        numbered = pool.select(
-            F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1))).alias("tree"),
-            id_col,
-            *[self._scaled(name) for name in self.features],
+        kept, share = min(1.0, pool_rows / rows), min(1.0, 2.0 * self.sample_rows / min(pool_rows, rows))
+
+        def draw(*salt: Column) -> Column:
+            return F.pmod(F.xxhash64(F.col(id_col), *salt, F.lit(self.seed)), F.lit(span))
+
+        trees = F.sequence(F.lit(0), F.lit(self.trees - 1))
+        hits = F.filter(
+            F.transform(trees, lambda t: F.struct(t.alias("tree"), draw(t).alias("_draw"))),
+            lambda hit: hit["_draw"] < int(share * span),
         )
-        drawn = numbered.withColumn(
-            "_draw", F.pmod(F.xxhash64(F.col(id_col), F.col("tree"), F.lit(self.seed)), F.lit(span))
-        ).where(F.col("_draw") < int(share * span))
-        return drawn.drop(id_col)
+        pool = doubles.where(draw() < int(kept * span))
+        drawn = pool.select(F.explode(hits).alias("_hit"), *[self._scaled(name) for name in self.features])
+        return drawn.select("_hit.*", *self.features)
 
     def _grow(self, sample: DataFrame, sampled: int) -> None:
         features, seed, wanted = list(self.features), self.seed, self.sample_rows
@@ -226,6 +229,22 @@ class AnomalyForest:
             raise RuntimeError("The forest has not been grown yet: fit it on training rows before scoring.")
 
 
+def summarise(scored: DataFrame) -> DataFrame:
+    """Flags and mean score per placement and device of scored rows."""
+    by = ["placement_type", "device_type"]
+    return (
+        scored.dropna(subset=by)
+        .groupBy(*by)
+        .agg(
+            F.count("auction_id").alias("total"),
+            F.sum(F.col("is_anomaly").cast("int")).alias("anomalies"),
+            round_mean(F.avg(F.col("is_anomaly").cast("int")), 4).alias("anomaly_rate"),
+            round_mean(F.avg("anomaly_score"), 4).alias("avg_anomaly_score"),
+        )
+        .orderBy(F.desc("anomaly_rate"), *by)
+    )
+
+
 def top_anomalies(scored: DataFrame, k: int = 20) -> DataFrame:
     return (
         scored.where("is_anomaly")
