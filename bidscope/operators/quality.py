@@ -72,6 +72,7 @@ RULES: dict[str, list[Rule]] = {
         *not_null(
             "timestamp",
             "date",
+            "hour",
             "placement_type",
             "device_type",
             "available_slots",
@@ -79,12 +80,23 @@ RULES: dict[str, list[Rule]] = {
             "floor_price_usd",
         ),
     ],
+    "dim_date": [
+        Rule("quarter_1_4", "quarter between 1 and 4"),
+        Rule("month_1_12", "month between 1 and 12"),
+        Rule("is_weekend_0_1", "is_weekend in (0, 1)"),
+        *not_null("year", "quarter", "month", "week", "day_of_week", "is_weekend", "is_holiday"),
+    ],
+    "dim_placement": not_null("placement_type", "device_type"),
+    "kpi_daily": not_null("date", "placement_type", "device_type", "ad_format"),
+    "kpi_hourly": not_null("date", "hour", "placement_type"),
 }
 
 # The keys of the warehouse tables.
 PRIMARY_KEYS: dict[str, list[str]] = {
     "dim_advertiser": ["advertiser_id"],
     "dim_campaign": ["campaign_id"],
+    "dim_date": ["date_key"],
+    "dim_placement": ["placement_key"],
     "fact_auctions": ["auction_id"],
     "fact_supply": ["supply_event_id"],
     "kpi_daily": ["date", "placement_type", "device_type", "ad_format"],

@@ -66,18 +66,38 @@ class Warehouse:
         return {table: self.load(df, table, **options) for table, df in datasets.items()}
 
     def merge(self, df: DataFrame, table: str, key: Sequence[str]) -> int:
-        """Replace the rows whose key ``df`` has and add those it has new.
+        """Replace the rows whose key ``df`` has and add those it has new; returns the rows written.
 
         The merged rows are written beside the table before they replace it, since a table
-        cannot be read and overwritten in one step. The table keeps its partition columns. Keys that
-        ``df`` has more than once are a ValueError, and the table stays as it was.
+        cannot be read and overwritten in one step. A partitioned table keeps its layout, and only partitions that lose
+        or gain a row are written; where one loses its last row, all are. Keys that ``df`` has more than once are a
+        ValueError, and the table stays as it was.
         """
         new = stage_table(df, "merge-new")
         if not new.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
             raise ValueError(f"The new rows of {table} repeat a key of {', '.join(key)}.")
         layout = [column.name for column in self.spark.catalog.listColumns(self.name(table)) if column.isPartition]
+        if layout:
+            replaced = self.table(table).join(new.select(*key), list(key), "left_semi").select(*layout)
+            touched = stage_table(replaced.union(new.select(*layout)).distinct(), "merge-partitions")
+            merged = stage_table(merge_rows(_within(self.table(table), touched, layout), new, key), "merge")
+            if _within(touched, merged.select(*layout).distinct(), layout, "left_anti").isEmpty():
+                return self._replace_partitions(merged, table, layout)
         return self.load(stage_table(merge_rows(self.table(table), new, key), "merge"), table, partition_by=layout)
 
+    def _replace_partitions(self, df: DataFrame, table: str, layout: Sequence[str]) -> int:
+        """Overwrite the partitions that ``df`` has rows of, and no others."""
+        written, setting = Observation(), "spark.sql.sources.partitionOverwriteMode"
+        ordered = df.select(self.table(table).columns).hint("rebalance", *layout)
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, "dynamic")
+        try:
+            counted = ordered.observe(written, F.count(F.lit(1)).alias("rows"))
+            counted.write.insertInto(self.name(table), overwrite=True)
+        finally:
+            self.spark.conf.set(setting, before)
+        return int(written.get["rows"] or 0)
+
     def execute(self, sql: str) -> None:
         """Run one statement."""
         self.spark.sql(sql)
@@ -103,3 +123,10 @@ class Warehouse:
     def summary(self) -> DataFrame:
         """Row counts, the largest table first."""
         return self.table_info().withColumnRenamed("row_count", "rows").orderBy(F.desc("rows"), "table")
+
+
+def _within(rows: DataFrame, partitions: DataFrame, layout: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """The rows of the listed partitions, or of all others; a null is a partition like any other."""
+    named = partitions.toDF(*[f"_at_{column}" for column in layout])
+    same = [rows[column].eqNullSafe(named[f"_at_{column}"]) for column in layout]
+    return rows.join(named, same, how)
