@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidscope.functions.columns import put
-from bidscope.functions.kpis import REGISTRY
+from bidscope.functions.kpis import KPI, REGISTRY
 from bidscope.operators import auctions as auction_ops
 from bidscope.operators import causal, detect, kpi_reports, quality, ranking, snapshots
 from bidscope.operators import supply as supply_ops
@@ -115,20 +115,41 @@ def dq_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
             "dim_advertiser": star.dim_advertiser(spark, sf_dir),
             "dim_campaign": star.dim_campaign(spark, sf_dir),
             "fact_auctions": raw_auctions(spark, sf_dir),
-            "fact_supply": raw_supply(spark, sf_dir),
+            "fact_supply": supply(spark, sf_dir),
+            "dim_date": quality.dim_date(raw_auctions(spark, sf_dir)),
+            "dim_placement": quality.dim_placement(raw_auctions(spark, sf_dir)),
+            "kpi_daily": kpi_daily(spark, sf_dir),
+            "kpi_hourly": kpi_hourly(spark, sf_dir),
         }
     )
 
 
+#: Days before this one are appended a second time.
+APPENDED_BEFORE = "2024-01-08"
+
+
+def dq_keys_after_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the stored daily snapshot after its first days were appended again by mistake."""
+    store = own_database(spark)
+    store.load(kpi_daily(spark, sf_dir), "kpi_daily")
+    again = kpi_daily(spark, sf_dir).where(F.col("date") < F.lit(APPENDED_BEFORE).cast("date"))
+    store.load(again, "kpi_daily", "append")
+    return quality.check_primary_key(store.table("kpi_daily"), "kpi_daily")
+
+
 def dq_primary_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = raw_auctions(spark, sf_dir)
+    store = own_database(spark)
+    store.load_many({"kpi_daily": kpi_daily(spark, sf_dir), "kpi_hourly": kpi_hourly(spark, sf_dir)})
     tables = {
         "dim_advertiser": star.dim_advertiser(spark, sf_dir),
         "dim_campaign": star.dim_campaign(spark, sf_dir),
         "fact_auctions": facts,
         "fact_supply": raw_supply(spark, sf_dir),
-        "kpi_daily": kpi_daily(spark, sf_dir),
-        "kpi_hourly": kpi_hourly(spark, sf_dir),
+        "dim_date": quality.dim_date(facts),
+        "dim_placement": quality.dim_placement(facts),
+        "kpi_daily": store.table("kpi_daily"),
+        "kpi_hourly": store.table("kpi_hourly"),
     }
     reports = [quality.check_primary_key(df, name) for name, df in tables.items()]
     result = reports[0]
@@ -230,6 +251,31 @@ def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(merge_rows(old, new, ["advertiser_id"]), ROW_DIGITS)
 
 
+def upsert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supply stored by date; events of the first day with one more slot, and copies of them, are merged in."""
+    store = own_database(spark)
+    rows = raw_supply(spark, sf_dir).select("supply_event_id", "placement_type", "available_slots", "date")
+    store.load(rows, "fact_supply", partition_by=["date"])
+    first = rows.agg(F.min("date")).first()[0]
+    raised = put(rows.where(F.col("date") == F.lit(first)), {"available_slots": "available_slots + 1"}).select(rows.columns)
+    copies = put(raised, {"supply_event_id": "concat(supply_event_id, '-2')"}).select(rows.columns)
+    store.merge(raised.unionByName(copies), "fact_supply", ["supply_event_id"])
+    return store.table("fact_supply")
+
+
+def own_kpi(auctions_: DataFrame) -> DataFrame:
+    """A KPI of one's own, given as a Column, per placement."""
+    margin = KPI(
+        name="win margin",
+        measure=F.avg(F.col("winning_bid_usd") - F.col("clearing_price_usd")),
+        unit="USD",
+        category="efficiency",
+        description="Mean of what the winner bid above the clearing price.",
+        inputs=("winning_bid_usd", "clearing_price_usd"),
+    )
+    return kpi_reports.by_segment(auctions_, "placement_type", [margin])
+
+
 #: Files of the facts in one micro-batch; all files are read, in as many triggers as that takes.
 FILES_PER_TRIGGER = 1_000
 
@@ -277,12 +323,18 @@ def stream_bid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(run_append(scored_bids, "bid-scores"), ROW_DIGITS)
 
 
-# Fitted models of this process, so that the queries about one model fit it once.
+# Boosted models of this process by the rows they were fitted on, so that the queries about one model fit it once.
 _FITTED: dict[tuple, object] = {}
 
 
+def _fingerprint(rows: DataFrame) -> tuple:
+    """Number and summed hash of the rows: another one as soon as the data differ."""
+    digest = F.xxhash64(*rows.columns).cast("decimal(38,0)")
+    return tuple(rows.agg(F.count(F.lit(1)), F.sum(digest)).first())
+
+
 def _fitted(kind: type, spark: SparkSession, sf_dir: str, source: Query):
-    at = (kind, spark.sparkContext.applicationId, sf_dir)
+    at = (kind, spark.sparkContext.applicationId, *_fingerprint(source(spark, sf_dir)))
     if at not in _FITTED:
         _FITTED[at] = kind().fit(source(spark, sf_dir))
     return _FITTED[at]
@@ -313,13 +365,8 @@ def ecpm_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def forest_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spread_auctions(spark, sf_dir)
-    return _fitted(forest_ops.AnomalyForest, spark, sf_dir, spread_auctions).predict(rows)
-
-
-def iforest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spread_auctions(spark, sf_dir)
-    return _fitted(forest_ops.AnomalyForest, spark, sf_dir, spread_auctions).summary(rows)
+    columns = dict.fromkeys(["auction_id", "placement_type", "device_type", *forest_ops.FEATURES])
+    return forest_ops.AnomalyForest().fit_predict(spread_auctions(spark, sf_dir).select(*columns))
 
 
 def anomaly_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -345,6 +392,7 @@ def queries() -> dict[str, Query]:
         "kpi_by_segment_subset": _on(
             a, lambda df: kpi_reports.by_segment(df, "device_type", ["fill_rate", "ecpm"])
         ),
+        "kpi_own_by_segment": _on(a, own_kpi),
         "kpi_trend_daily": _on(a, lambda df: kpi_reports.trend(df, "fill_rate"), 6),
         "kpi_trend_weekly_grouped": _on(
             a, lambda df: kpi_reports.trend(df, "ecpm", "W", "placement_type"), 6
@@ -447,6 +495,7 @@ def queries() -> dict[str, Query]:
         "warehouse_summary": lambda spark, sf_dir: loaded_tables(spark, sf_dir).summary(),
         "etl_row_counts": etl_row_counts,
         "upsert_merge": upsert_merge,
+        "upsert_partitioned": upsert_partitioned,
         "kpi_5min": kpi_5min,
         "stream_kpi_5min": stream_kpi_5min,
         "kpi_alerts_consecutive": kpi_alerts_consecutive,
@@ -455,7 +504,7 @@ def queries() -> dict[str, Query]:
         "iforest_scores": _on(
             forest_scored, lambda df: df.select("auction_id", "anomaly_score", "is_anomaly")
         ),
-        "iforest_summary": iforest_summary,
+        "iforest_summary": _on(forest_scored, forest_ops.summarise),
         "iforest_flag_rate": _on(forest_scored, forest_ops.flag_rate),
         "top_anomalies": _on(forest_scored, forest_ops.top_anomalies),
         "anomaly_union": anomaly_union,
@@ -466,6 +515,7 @@ def queries() -> dict[str, Query]:
         "ecpm_predictions": ecpm_predictions,
         "dq_checks": dq_checks,
         "dq_primary_keys": dq_primary_keys,
+        "dq_keys_after_append": dq_keys_after_append,
         "dq_orphans": dq_orphans,
         "dim_date": _on(raw_auctions, quality.dim_date),
         "dim_placement": _on(raw_auctions, quality.dim_placement),

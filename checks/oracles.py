@@ -335,8 +335,22 @@ DQ_RULES = " UNION ALL ".join(
                     "fill_rate",
                     "floor_price_usd",
                 ),
+                ("hour_not_null", 'extract(hour FROM "timestamp") IS NOT NULL'),
             ],
         ),
+        rules(
+            "dim_date",
+            "dd",
+            [
+                ("quarter_1_4", '"quarter" BETWEEN 1 AND 4'),
+                ("month_1_12", '"month" BETWEEN 1 AND 12'),
+                ("is_weekend_0_1", "is_weekend IN (0,1)"),
+                *filled("year", "quarter", "month", "week", "day_of_week", "is_weekend", "is_holiday"),
+            ],
+        ),
+        rules("dim_placement", "dp", filled("placement_type", "device_type")),
+        rules("kpi_daily", "kd", filled("date", "placement_type", "device_type", "ad_format")),
+        rules("kpi_hourly", "kh", filled("date", "hour", "placement_type")),
     ]
 )
 
@@ -475,6 +489,9 @@ SELECT placement_type, kpi, round(value,6) AS value, unit, n_samples FROM v JOIN
 t AS (SELECT device_type, {KPI_VALUES} FROM a GROUP BY 1), v AS ({long_kpis('t', 'device_type, ')})
 SELECT device_type, kpi, round(value,6) AS value, unit, n_samples FROM v JOIN meta USING (kpi)
 WHERE kpi IN ('fill_rate','ecpm')"""
+    q["kpi_own_by_segment"] = f"""WITH {AUCTIONS}
+SELECT placement_type, 'win margin' AS kpi, round(avg(winning_bid_usd - clearing_price_usd),6) AS value, 'USD' AS unit,
+  count(*) AS n_samples FROM a GROUP BY 1"""
     q["kpi_trend_daily"] = trend("fill_rate", "D")
     q["kpi_trend_weekly_grouped"] = trend("ecpm", "W", "placement_type")
     q["kpi_series_daily"] = f"""WITH {AUCTIONS}, {SERIES}
@@ -779,6 +796,10 @@ UNION ALL SELECT 'kpi_hourly', count(*) FROM (SELECT DISTINCT "date", "hour", pl
     q["upsert_merge"] = f"""WITH {ADVERTISER}
 SELECT advertiser_id, {raised} FROM dim_advertiser
 UNION ALL SELECT advertiser_id || '-2', {plain} FROM dim_advertiser WHERE tier = 'enterprise'"""
+    q["upsert_partitioned"] = f"""WITH {SUPPLY_RAW},
+f AS (SELECT min("date") AS first FROM sraw)
+SELECT supply_event_id, placement_type, CAST(available_slots + ("date" = first)::INT AS INT) AS available_slots, "date" FROM sraw, f
+UNION ALL SELECT supply_event_id || '-2', placement_type, CAST(available_slots + 1 AS INT), "date" FROM sraw, f WHERE "date" = first"""
 
     # Streams
     q["kpi_5min"] = q["stream_kpi_5min"] = windowed_kpis(5)
@@ -786,13 +807,25 @@ UNION ALL SELECT advertiser_id || '-2', {plain} FROM dim_advertiser WHERE tier =
     q["stream_bid_scores"] = q["bid_anomaly_scores"]
 
     # Quality and dimensions
-    q["dq_checks"] = f"WITH {RAW}, {SUPPLY_RAW}, {ADVERTISER}, {CAMPAIGN} {DQ_RULES}"
-    q["dq_primary_keys"] = f"""WITH {RAW}, {SUPPLY_RAW}, {ADVERTISER}, {CAMPAIGN},
+    derived = f"""WITH {RAW}, {SUPPLY_RAW}, {ADVERTISER}, {CAMPAIGN},
 kd AS (SELECT DISTINCT "date", placement_type, device_type, ad_format FROM raw),
-kh AS (SELECT DISTINCT "date", "hour", placement_type FROM raw) """ + " UNION ALL ".join(
+kh AS (SELECT DISTINCT "date", "hour", placement_type FROM raw),
+dd AS (SELECT d AS date_key, year(d) AS "year", quarter(d) AS "quarter", month(d) AS "month", week(d) AS week,
+  dayname(d) AS day_of_week, CAST(isodow(d) >= 6 AS INT) AS is_weekend, 0 AS is_holiday FROM (
+  SELECT CAST(unnest(generate_series((SELECT min("date") FROM raw), (SELECT max("date") FROM raw), INTERVAL 1 DAY)) AS DATE) AS d)),
+dp AS (SELECT DISTINCT placement_type || '|' || device_type AS placement_key, placement_type, device_type FROM raw) """
+    q["dq_checks"] = derived + DQ_RULES
+    q["dq_keys_after_append"] = derived + primary_key(
+        "kpi_daily",
+        """(SELECT * FROM kd UNION ALL SELECT * FROM kd WHERE "date" < DATE '2024-01-08')""",
+        ["date", "placement_type", "device_type", "ad_format"],
+    )
+    q["dq_primary_keys"] = derived + " UNION ALL ".join(
         [
             primary_key("dim_advertiser", "dim_advertiser", ["advertiser_id"]),
             primary_key("dim_campaign", "dim_campaign", ["campaign_id"]),
+            primary_key("dim_date", "dd", ["date_key"]),
+            primary_key("dim_placement", "dp", ["placement_key"]),
             primary_key("fact_auctions", "raw", ["auction_id"]),
             primary_key("fact_supply", "sraw", ["supply_event_id"]),
             primary_key("kpi_daily", "kd", ["date", "placement_type", "device_type", "ad_format"]),

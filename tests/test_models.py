@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from bidscope.operators import forest as forest_ops
 from bidscope.operators.models import EcpmModel, FillModel, hold_out
+from bidscope.plans import registered
 from tests.conftest import rows
 
 
@@ -92,6 +93,18 @@ def test_forest_is_reproducible(forest, auctions):
     assert again.exceptAll(forest.predict(auctions).select("auction_id", "anomaly_score")).count() == 0
 
 
+def test_forest_scores_its_own_rows_in_one_pass(forest, auctions):
+    columns = ["auction_id", "anomaly_score", "is_anomaly"]
+    once = forest_ops.AnomalyForest().fit_predict(auctions).select(columns)
+    assert once.exceptAll(forest.predict(auctions).select(columns)).count() == 0
+
+
+def test_model_is_fitted_anew_when_the_data_differ(auctions):
+    first = registered._fingerprint(auctions)
+    assert registered._fingerprint(auctions.repartition(3)) == first
+    assert registered._fingerprint(auctions.withColumn("ecpm", F.col("ecpm") + 1)) != first
+
+
 def test_forest_finds_a_planted_outlier(forest, make_auctions):
     odd = {"winning_bid_usd": 500.0, "clearing_price_usd": 1.0, "ecpm": 1e6, "bid_floor_usd": 90.0, "auction_depth": 90}
     scored = rows(forest.predict(make_auctions([{}, odd])).orderBy("auction_id"))

@@ -9,6 +9,7 @@ from bidscope.operators import auctions as ops
 from bidscope.operators import causal, kpi_reports, snapshots
 from bidscope.operators import supply as supply_ops
 from bidscope.plans import registered
+from bidscope.streaming import kpi_windows
 from tests.conftest import CHECK_DIR, rows
 
 
@@ -19,6 +20,23 @@ def test_scorecard_has_every_kpi(auctions):
     assert {r["status"] for r in card} <= {"ok", "alert", "on_target", "below_target"}
 
 
+@pytest.mark.parametrize("as_column", [False, True])
+def test_kpi_of_ones_own_in_every_report(auctions, as_column):
+    measure = F.avg(F.col("clicked") * 1.0) if as_column else "avg(clicked * 1.0)"
+    own = KPI("click share", measure, "ratio", "own", "Clicks per request.", ("clicked",), target=2.0, alert_threshold=1.5)
+    total = auctions.agg(F.avg("clicked")).first()[0]
+    found = rows(kpi_reports.alerts(auctions, kpis=[own, "fill_rate"]))
+    assert found[0]["kpi"] == "click share" and found[0]["value"] == pytest.approx(total, abs=1e-6)
+    by = rows(kpi_reports.by_segment(auctions, "device_type", [own, "fill_rate"]))
+    assert sum(r["value"] * r["n_samples"] for r in by if r["kpi"] == own.name) == pytest.approx(total * auctions.count(), rel=1e-4)
+    line = rows(kpi_reports.trend(auctions, own, "W"))
+    assert {r["kpi"] for r in line} == {"click share"} and max(r["value"] or 0 for r in line) > 0
+    status = kpi_windows.window_status(kpi_windows.without_zone(kpi_windows.windowed_kpis(auctions, kpis=[own])), [own])
+    assert status.where("kpi = 'click share' AND status <> 'alert'").isEmpty()
+    absent = rows(kpi_reports.scorecard(auctions.drop("clicked"), kpis=[own]))
+    assert (absent[0]["value"], absent[0]["status"]) == (None, "ok")
+
+
 def test_segment_equals_direct_filter(auctions):
     card = rows(kpi_reports.scorecard(auctions, {"placement_type": "top_of_search"}))
     direct = auctions.where("placement_type = 'top_of_search'").agg(F.avg("filled")).first()[0]

@@ -133,6 +133,35 @@ def test_merge_keeps_the_layout_and_refuses_repeated_keys(spark, store):
     assert {(r["k"], r["v"], r["d"]) for r in rows(store.table("t"))} == kept
 
 
+def test_merge_writes_touched_partitions_only(spark, store):
+    kinds = "k int, v string, d int"
+    store.load(spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, "c", 2), (4, "n", None)], kinds), "t", partition_by=["d"])
+
+    def files():
+        at = store.table("t").select("d", F.col("_metadata.file_path").alias("f")).distinct()
+        return {r["d"]: r["f"] for r in rows(at)}
+
+    before = files()
+    assert store.merge(spark.createDataFrame([(2, "B", 2), (5, "e", 3)], kinds), "t", ["k"]) == 3
+    after = files()
+    assert after[1] == before[1] and after[None] == before[None] and after[2] != before[2]
+    wanted = {(1, "a", 1), (2, "B", 2), (3, "c", 2), (4, "n", None), (5, "e", 3)}
+    assert {(r["k"], r["v"], r["d"]) for r in rows(store.table("t"))} == wanted
+    store.merge(spark.createDataFrame([(4, "N", None)], kinds), "t", ["k"])
+    assert {(r["k"], r["v"], r["d"]) for r in rows(store.table("t"))} == wanted - {(4, "n", None)} | {(4, "N", None)}
+
+
+def test_rules_of_derived_tables_can_fail(spark):
+    day = spark.createDataFrame([(2024, 5, 13, 1, None, 2, 0)], "year int, quarter int, month int, week int, day_of_week string, is_weekend int, is_holiday int")
+    found = {r["rule"]: r["violations"] for r in rows(quality.check_rules(day, "dim_date"))}
+    assert [found[r] for r in ("quarter_1_4", "month_1_12", "is_weekend_0_1", "day_of_week_not_null", "year_not_null")] == [1, 1, 1, 1, 0]
+    hour = spark.createDataFrame([(None, 1, "x"), (None, 1, "x")], "date date, hour int, placement_type string")
+    assert {r["rule"]: r["violations"] for r in rows(quality.check_rules(hour, "kpi_hourly"))}["date_not_null"] == 2
+    place = spark.createDataFrame([("a|b", None, "b"), ("a|b", "a", "b")], "placement_key string, placement_type string, device_type string")
+    assert rows(quality.check_rules(place, "dim_placement"))[0]["violations"] == 1
+    assert rows(quality.check_primary_key(place, "dim_placement"))[0]["repeated_keys"] == 1
+
+
 def test_merge_on_two_keys(spark):
     old = spark.createDataFrame([(1, "x", 1), (1, "y", 1)], "a int, b string, n int")
     new = spark.createDataFrame([(1, "y", 2)], "a int, b string, n int")
