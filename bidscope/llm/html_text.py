@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidscope.llm.common import table
+from bidscope.llm.common import A_TO_Z, table
 
 WINDOW = 3
 SURGE = 86
@@ -43,10 +43,12 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 #: Parts of class, id and role names that mark what is no part of an article.
 _MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs combobox comment comments consent "
-    "contentinfo cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation navigation "
+    "contentinfo cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation "
     "newsletter notice notices pagination popup promo related reply replies respond search share sharing sidebar signup "
     "social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Lower case for tag names, which keeps every place in the page; ``str.lower`` makes some letters two.
+_LOWER = str.maketrans(A_TO_Z, A_TO_Z.lower())
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -64,7 +66,7 @@ def _lines(page: str) -> list[tuple[str, int, bool, bool]]:
     out: list[tuple[str, int, bool, bool]] = []
     text: list[str] = []
     links = article = anchors = 0
-    gap, at, lower = False, 0, page.lower()
+    gap, at, lower = False, 0, page.translate(_LOWER)
 
     def close() -> None:
         nonlocal links, gap
