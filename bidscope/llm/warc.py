@@ -11,7 +11,9 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +24,7 @@ from bidscope.session import scratch_path, stage_table
 
 #: Payloads of fewer bytes are always stored.
 MIN_BYTES = 0
-#: Captures in one archive, so that a task that reads one holds little.
+#: Captures in one archive: a task that reads one holds it compressed, and one record and 16 MB of rows besides.
 PER_FILE = 5_000
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _DATE = "2024-01-01T00:00:00Z"
@@ -139,16 +141,15 @@ def _fields(head: bytes) -> dict[str, str]:
     return {name.strip().lower(): value.strip() for name, _, value in pairs}
 
 
-def records_of(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and block of each record of an archive."""
-    at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        fields = _fields(data[at:stop])
-        begin = stop + 4
-        end = begin + int(fields["content-length"])
-        yield fields, data[begin:end]
-        at = end + 4
+def records_of(archive: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers and block of each record of an archive, one record at a time."""
+    while line := archive.readline():
+        head = [line]
+        while (line := archive.readline()) not in (b"\r\n", b""):
+            head.append(line)
+        fields = _fields(b"".join(head))
+        yield fields, archive.read(int(fields["content-length"]))
+        archive.read(4)
 
 
 def _parsed(fields: dict[str, str], block: bytes) -> tuple:
@@ -176,7 +177,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch["content"]:
                 rows, held = [], 0
-                for fields, block in records_of(gzip.decompress(content)):
+                for fields, block in records_of(gzip.GzipFile(fileobj=io.BytesIO(content))):
                     rows.append(_parsed(fields, block))
                     held += len(block)
                     if held > 1 << 24:
