@@ -133,8 +133,9 @@ def contamination(
     covered = "array_sort(array_distinct(flatten(transform(windows, x -> sequence(x.pos, x.pos + x.len - 1)))))"
     per_doc = per_doc.select("uid", F.expr(covered).alias("hit"), "item_ids")
     joined = narrow.select("uid", "doc_id", "n_words").join(per_doc, "uid", "left")
-    first = "filter(hit, x -> NOT array_contains(hit, x - 1))"
-    last = "filter(hit, x -> NOT array_contains(hit, x + 1))"
+    # The hits are sorted, so a span opens or closes where the place beside is no neighbour.
+    first = "filter(hit, (x, i) -> i = 0 OR get(hit, i - 1) < x - 1)"
+    last = "filter(hit, (x, i) -> i = size(hit) - 1 OR get(hit, i + 1) > x + 1)"
     none = F.expr("CAST(array() AS array<string>)")
     return joined.select(
         "doc_id",
@@ -176,12 +177,14 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text``: each document's words outside the hit spans, joined by spaces; clean texts as they are."""
-    found = contamination(docs, benchmark, id_col, text_col).where("contaminated")
-    spans = found.groupBy("doc_id").agg(F.min("spans").alias("spans"))
-    cut = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body")).join(
-        spans, F.col("id").eqNullSafe(F.col("doc_id")), "left"
-    )
+    """``doc_id, text``: each document's words outside the hit spans, joined by spaces; clean texts as they are.
+
+    Each text is searched once however many rows have it; rows with one id and several texts are cut each by its own.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"), F.md5(text_col).alias("digest"))
+    texts = rows.where("digest IS NOT NULL").dropDuplicates(["digest"])
+    spans = contamination(texts, benchmark, "digest", "body").where("contaminated").select("doc_id", "spans")
+    cut = rows.join(spans, F.col("digest") == F.col("doc_id"), "left")
     rest = "filter(w, (x, i) -> NOT exists(spans, s -> i BETWEEN s.first AND s.last))"
     return cut.withColumn("w", words_of(F.col("body"))).select(
         F.col("id").alias("doc_id"),
