@@ -29,13 +29,14 @@ def crc_of_id(doc_id: str | Column = "doc_id") -> Column:
 def bounded_sample(rows: DataFrame, key: Column, bound: int) -> DataFrame:
     """About ``bound`` rows at most, drawn by a hash of ``key``; all rows where there are fewer.
 
-    The draw depends on the keys alone, so a repeated run draws the same rows. Null keys count as one key.
+    The draw depends on the keys alone, so a repeated run draws the same rows. Null keys count as one key. It has
+    twelve digits, so that a share far below one in a million is drawn too.
     """
     total = rows.count()
     if total <= bound:
         return rows
-    share = F.pmod(F.xxhash64(F.lit("draw"), key), F.lit(1_000_000))
-    return rows.where(share < int(1_000_000 * bound / total))
+    digits = [F.pmod(F.xxhash64(F.lit(salt), key), F.lit(1_000_000)) for salt in ("draw", "finer draw")]
+    return rows.where(digits[0] + digits[1] / 1e6 < 1e6 * bound / total)
 
 
 def components(edges: DataFrame, stage: Callable[[DataFrame, str], DataFrame] = stage_table) -> DataFrame:

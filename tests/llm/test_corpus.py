@@ -5,9 +5,11 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from bidscope.llm import (
+    common,
     decontaminate,
     fingerprint,
     html_text,
@@ -115,6 +117,23 @@ def test_decontamination_odd_rows_and_both_ways(spark):
     assert decontaminate.contamination(docs, bench.where("false")).where("contaminated").count() == 0
 
 
+def test_spans_are_removed_row_by_row(spark):
+    bench = spark.createDataFrame([(1, "one two"), (2, "six seven")], "item_id long, text string")
+    rows = [(1, "a one two six seven b"), (1, "a x one two"), (1, "a x one two"), (2, "One b"), (None, "six seven"), (3, None)]
+    got = decontaminate.remove_spans(make(spark, rows), bench).collect()
+    assert sorted(((r["doc_id"] or 0, r["text"]) for r in got), key=str) == sorted(
+        [(1, "a b"), (1, "a x"), (1, "a x"), (2, "One b"), (0, ""), (3, None)], key=str
+    )
+    spans = decontaminate.contamination(make(spark, [(1, "one two a one two six seven c one two")]), bench).first()["spans"]
+    assert spans == [(0, 1), (3, 6), (8, 9)]
+
+
+def test_sample_of_a_tiny_share(spark):
+    many = spark.range(3_000_000)
+    assert 1 <= common.bounded_sample(many, F.col("id"), 2).count() <= 8
+    assert 900 <= common.bounded_sample(many, F.col("id"), 1_000).count() <= 1_100
+
+
 def test_fingerprints(spark):
     got = fingerprint.fingerprints(make(spark, ODD)).collect()
     order = [LONG, "alpha beta", "alpha beta", "", "", "alpha beta"]
@@ -141,6 +160,9 @@ def test_main_text():
     assert html_text.main_text("<body><nav>menu</nav><article><p>hi</p><div class=ad>no</div>yo</article>") == "hi\nyo"
     assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<p></p><!--") == ""
     assert html_text.main_text("a < b") == "a < b"
+    # A letter whose lower case is longer must not shift what is cut out behind it.
+    odd = "İ" * 40
+    assert html_text.main_text(f"<p>{odd} {long}</p><NAV>x<a>y</a></NAV><p>{long}</p>").endswith(f"{odd} {long}\n{long}")
 
 
 def test_warc_round_trip(spark, tmp_path):
