@@ -31,7 +31,9 @@ HEADLINE = [
     "star_by_tier", "detect_zscore", "detect_iqr", "scan_kpis", "bid_baselines",
     "bid_anomaly_scores", "top_bid_anomalies", "dash_score_histogram", "bid_rolling_baseline",
     "ranking_metrics", "kpi_5min", "kpi_alerts_consecutive", "dq_checks", "dq_primary_keys",
-    "dq_orphans", "dim_placement", "iforest_scores",
+    "dq_orphans", "dim_placement", "iforest_scores", "iforest_summary", "anomaly_union",
+    "kpi_snapshots", "etl_row_counts", "scan_csv", "upsert_partitioned", "bid_rolling_flags",
+    "stream_kpi_5min", "stream_alerts_consecutive", "stream_bid_scores",
 ]
 
 

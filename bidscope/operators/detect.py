@@ -155,8 +155,13 @@ def score_histogram(scored: DataFrame, column: str, bins: int = 40) -> DataFrame
     )
 
 
-def rolling_baseline(auctions: DataFrame, rows_back: int = ROLLING_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Mean and standard deviation of the bids before each one, and its distance from them.
+def rolling_baseline(
+    auctions: DataFrame,
+    rows_back: int = ROLLING_ROWS,
+    chunk_rows: int = CHUNK_ROWS,
+    z_threshold: float = BID_Z_THRESHOLD,
+) -> DataFrame:
+    """Mean and deviation of the bids before each one, the limit they set, and whether the bid is beyond it.
 
     A window per placement would put a whole placement in one task. The rows are numbered in the
     order of placement and time and cut into chunks; the last ``rows_back`` rows of a chunk are
@@ -218,5 +223,10 @@ def rolling_baseline(auctions: DataFrame, rows_back: int = ROLLING_ROWS, chunk_r
             "_center + _sum / nullif(_rows, 0) AS rolling_mean",
             f"{spread} AS rolling_std",
         )
-        .selectExpr("*", "(winning_bid_usd - rolling_mean) / nullif(rolling_std, 0) AS rolling_z")
+        .selectExpr(
+            "*",
+            "(winning_bid_usd - rolling_mean) / nullif(rolling_std, 0) AS rolling_z",
+            f"rolling_mean + {z_threshold!r}D * rolling_std AS rolling_limit",
+        )
+        .withColumn("is_rolling_anomaly", _flag(F.abs("rolling_z") > z_threshold))
     )

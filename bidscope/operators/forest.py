@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,6 +147,12 @@ class AnomalyForest:
             .drop("_score")
         )
 
+    def training_statistics(self, spark: SparkSession) -> DataFrame:
+        """The median that fills gaps, mean and standard deviation of each feature."""
+        self._check_fitted()
+        lines = [(name, self.medians.get(name), *self.scales[name]) for name in self.features]
+        return spark.createDataFrame(lines, "feature string, median double, mean double, std double")
+
     def summary(self, df: DataFrame) -> DataFrame:
         return summarise(self.predict(df))
 

@@ -100,8 +100,9 @@ def tile_totals(
     # Places among the sorted rows of the split values, moved to where each value begins.
     sorted_rows = with_position(rows, [F.desc_nulls_last("_value"), F.asc(tie_break)], "_position")
     starts = sorted_rows.groupBy(F.col("_value").alias("_of")).agg(F.min("_position").alias("_start"))
+    starts = stage_table(starts, "tile-starts")
     tiled = put(
-        sorted_rows.join(F.broadcast(starts), F.col("_value").eqNullSafe(F.col("_of"))),
+        sorted_rows.join(starts, F.col("_value").eqNullSafe(F.col("_of"))),
         {name: _tile_of("(_before + _position - _start)", "_total", tiles)},
     ).select(name, F.lit(1).cast("long").alias("_n"), *sums)
     return whole.unionByName(tiled).groupBy(name).agg(F.sum("_n").alias("n_rows"), *totals)

@@ -16,7 +16,7 @@ from bidscope.operators import supply as supply_ops
 from bidscope.operators import forest as forest_ops
 from bidscope.operators.enrich import derive_auction_columns, enrich_auctions, enrich_supply
 from bidscope.operators.merge import merge_rows
-from bidscope.operators.models import EcpmModel, FillModel
+from bidscope.operators.models import EcpmModel, FillModel, hold_out
 from bidscope.plans import warehouse
 from bidscope.plans.etl import run_etl
 from bidscope.session import apply_runtime_conf, scratch_path, spread, stage_table
@@ -198,7 +198,9 @@ def sql_param_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "SELECT auction_id, placement_type, `date`, round(winning_bid_usd, 9) AS winning_bid_usd "
         "FROM bidscope_auctions WHERE placement_type = ? AND auction_depth >= ? AND `date` >= CAST(? AS DATE)"
     )
-    return Warehouse(spark).query(sql, ["off_amazon", 8, "2024-02-01"])
+    found = Warehouse(spark).query(sql, ["off_amazon", 8, "2024-02-01"])
+    spark.catalog.dropTempView("bidscope_auctions")  # the query is resolved by now
+    return found
 
 
 def sink_append_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,7 +229,7 @@ def loaded_tables(spark: SparkSession, sf_dir: str) -> Warehouse:
     return store
 
 
-def etl_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def etl_run(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The whole run from raw frames to loaded tables."""
     store = own_database(apply_runtime_conf(spark))
     run_etl(
@@ -239,7 +241,12 @@ def etl_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             "campaigns": star.dim_campaign(spark, sf_dir),
         },
     )
-    return store.table_info()
+    return store
+
+
+def etl_kpi_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily snapshot as the run stored it."""
+    return shown(etl_run(spark, sf_dir).table("kpi_daily"))
 
 
 def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,6 +371,17 @@ def ecpm_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.predict(auctions(spark, sf_dir)).select("auction_id", "ecpm", "predicted_ecpm")
 
 
+def iforest_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forest = forest_ops.AnomalyForest().fit(spread_auctions(spark, sf_dir))
+    return shown(forest.training_statistics(spark))
+
+
+def fill_hold_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and test rows per class of the fill model's split."""
+    marked = hold_out(auctions(spark, sf_dir).select("auction_id", "filled"), "auction_id", ["filled"])
+    return marked.groupBy("filled").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("_test").alias("n_test"))
+
+
 def forest_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = dict.fromkeys(["auction_id", "placement_type", "device_type", *forest_ops.FEATURES])
     return forest_ops.AnomalyForest().fit_predict(spread_auctions(spark, sf_dir).select(*columns))
@@ -379,6 +397,9 @@ def queries() -> dict[str, Query]:
         "auctions_enriched": _on(enriched, lambda df: df.select(ENRICHED_COLUMNS), ROW_DIGITS),
         "supply_enriched": _on(supply, lambda df: df, ROW_DIGITS),
         "release_labels": _on(a, release_summary),
+        "release_label_rows": _on(
+            a, lambda df: df.select("auction_id", "release_period", "treatment", "feature_version")
+        ),
         "kpi_scorecard": _on(a, kpi_reports.scorecard),
         "kpi_scorecard_segment": _on(
             a,
@@ -482,6 +503,11 @@ def queries() -> dict[str, Query]:
             ),
             6,
         ),
+        "bid_rolling_flags": _on(
+            a,
+            lambda df: detect.rolling_baseline(df).select("auction_id", "rolling_limit", "is_rolling_anomaly"),
+            6,
+        ),
         "ranking_metrics": _on(
             a,
             lambda df: ranking.ranking_metrics(
@@ -493,7 +519,8 @@ def queries() -> dict[str, Query]:
         "sink_append_counts": sink_append_counts,
         "table_info": lambda spark, sf_dir: loaded_tables(spark, sf_dir).table_info(),
         "warehouse_summary": lambda spark, sf_dir: loaded_tables(spark, sf_dir).summary(),
-        "etl_row_counts": etl_row_counts,
+        "etl_row_counts": lambda spark, sf_dir: etl_run(spark, sf_dir).table_info(),
+        "etl_kpi_daily": etl_kpi_daily,
         "upsert_merge": upsert_merge,
         "upsert_partitioned": upsert_partitioned,
         "kpi_5min": kpi_5min,
@@ -505,9 +532,11 @@ def queries() -> dict[str, Query]:
             forest_scored, lambda df: df.select("auction_id", "anomaly_score", "is_anomaly")
         ),
         "iforest_summary": _on(forest_scored, forest_ops.summarise),
+        "iforest_training": iforest_training,
         "iforest_flag_rate": _on(forest_scored, forest_ops.flag_rate),
         "top_anomalies": _on(forest_scored, forest_ops.top_anomalies),
         "anomaly_union": anomaly_union,
+        "fill_hold_out": fill_hold_out,
         "fill_model_metrics": fill_model_metrics,
         "fill_predictions": fill_predictions,
         "fill_importance": fill_importance,

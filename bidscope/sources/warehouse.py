@@ -103,9 +103,10 @@ class Warehouse:
         self.spark.sql(sql)
 
     def execute_script(self, path: str) -> None:
-        """Run the statements of a file as one Spark SQL script."""
-        text = self.spark.read.text(path, wholetext=True).first()["value"]
-        self.spark.sql(f"BEGIN\n{text}\nEND")
+        """Run the statements of a file as one Spark SQL script, or those of a folder's files in the order of their names."""
+        files = self.spark.read.text(path, wholetext=True).select("value", "_metadata.file_path")
+        for script in files.orderBy("file_path").collect():
+            self.spark.sql(f"BEGIN\n{script['value']}\nEND")
 
     def table_info(self) -> DataFrame:
         """Row count of every table."""

@@ -474,6 +474,7 @@ SELECT supply_event_id, "timestamp", "date", "hour", day_of_week, placement_type
     q["release_labels"] = f"""WITH {AUCTIONS}
 SELECT release_period, treatment, feature_version, placement_type, count(*) AS n_auctions,
   min("timestamp") AS first_ts, max("timestamp") AS last_ts FROM a GROUP BY ALL"""
+    q["release_label_rows"] = f"WITH {AUCTIONS} SELECT auction_id, release_period, treatment, feature_version FROM a"
 
     # KPI reports
     q["kpi_scorecard"] = scorecard()
@@ -755,6 +756,23 @@ SELECT CAST(i AS INT) AS bin, round(low + (i-1)*width,6) AS from_score, round(lo
 SELECT auction_id, placement_type, round(avg(winning_bid_usd) OVER k+1.234567e-9,6) AS rolling_mean,
   round(stddev_samp(winning_bid_usd) OVER k+1.234567e-9,6) AS rolling_std FROM a
 WINDOW k AS (PARTITION BY placement_type ORDER BY "timestamp", auction_id ROWS BETWEEN 1000 PRECEDING AND 1 PRECEDING)"""
+    q["bid_rolling_flags"] = f"""WITH {AUCTIONS},
+r AS (SELECT auction_id, winning_bid_usd AS bid, avg(winning_bid_usd) OVER k AS m, stddev_samp(winning_bid_usd) OVER k AS s FROM a
+  WINDOW k AS (PARTITION BY placement_type ORDER BY "timestamp", auction_id ROWS BETWEEN 1000 PRECEDING AND 1 PRECEDING))
+SELECT auction_id, round(m + 3e0*s+1.234567e-9,6) AS rolling_limit,
+  coalesce(abs((bid - m)/nullif(s,0)) > 3e0, false) AS is_rolling_anomaly FROM r"""
+    features = ["winning_bid_usd", "clearing_price_usd", "bid_spread", "ecpm", "auction_depth", "bid_floor_usd"]
+    q["iforest_training"] = f"WITH {AUCTIONS} " + " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, round(quantile_cont(CAST({f} AS DOUBLE), 0.5)+1.234567e-9,6) AS median, "
+        f"round(avg({f})+1.234567e-9,6) AS mean, round(stddev_pop({f})+1.234567e-9,6) AS std FROM a"
+        for f in features
+    )
+    # The threshold is the interpolated 0.98 quantile of the scores, which have no ties there.
+    q["iforest_flag_rate"] = f"""WITH {RAW},
+n AS (SELECT count(*) AS n, count(*) - CAST(floor(98e-2*(count(*) - 1)) AS BIGINT) - 1 AS above FROM raw)
+SELECT n AS n_auctions, above AS n_anomalies, round(above/n,4) AS anomaly_rate FROM n"""
+    q["fill_hold_out"] = f"""WITH {RAW}
+SELECT filled, count(*) AS n_rows, CAST(floor(2e-1*(count(*) - 1)) AS BIGINT) + 1 AS n_test FROM raw GROUP BY 1"""
     q["ranking_metrics"] = f"""WITH {AUCTIONS},
 g AS (SELECT round(winning_bid_usd,3) AS score, sum(filled) AS h, count(*) AS n FROM a GROUP BY 1),
 c AS (SELECT *, sum(h) OVER k AS ha, sum(n) OVER k AS na FROM g WINDOW k AS (ORDER BY score DESC)),
@@ -785,6 +803,7 @@ SELECT count(*) AS rows_replaced, count(*) AS rows_appended, 2*count(*) AS rows_
 UNION ALL SELECT 'fact_auctions', count(*) FROM raw
 UNION ALL SELECT 'kpi_daily', count(*) FROM (SELECT DISTINCT "date", placement_type, device_type, ad_format FROM raw)
 UNION ALL SELECT 'kpi_hourly', count(*) FROM (SELECT DISTINCT "date", "hour", placement_type FROM raw)"""
+    q["etl_kpi_daily"] = q["kpi_daily"]
     advertiser_columns = (
         "tier, category, {budget} AS daily_budget_usd, bidding_strategy, round(target_cpc_usd,9) AS target_cpc_usd, "
         "round(quality_score,9) AS quality_score, round(identity_match_rate,9) AS identity_match_rate"

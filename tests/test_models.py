@@ -38,6 +38,13 @@ def test_probabilities_and_predictions(fill_model, auctions):
     assert scored.where("predicted_fill <> CAST(fill_probability >= 0.6 AS INT)").count() == 0
 
 
+def test_fit_does_not_depend_on_the_layout(auctions):
+    few = auctions.limit(2000).persist()
+    columns = ["auction_id", F.round("fill_probability", 6).alias("p")]
+    one, other = (FillModel(rounds=3).fit(few.repartition(n)).predict_proba(few).select(columns) for n in (1, 5))
+    assert one.exceptAll(other).isEmpty()
+
+
 def test_importance_has_every_feature(fill_model, auctions):
     lines = rows(fill_model.feature_importance())
     names = {r["feature"] for r in lines}
