@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from bidscope.llm import shingle_links
 from bidscope.llm.common import components, table
 from bidscope.session import stage_table
 
@@ -163,31 +164,29 @@ def _classes(rows: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id; all its columns stay.
+    """``docs`` with one document of each group of near-duplicates: the one with the smallest id; all its columns stay.
 
-    Rows that share an id are one document, of which one row stays. Rows without an id stay only where no row
-    of their component has one, and then one of them.
+    Near-duplicates have five-word shingles of a Jaccard similarity of 0.8 or more, directly or over others; two bits of
+    a fingerprint are far too near for that, so ``shingle_links`` finds them. Rows that share an id are one
+    document, of which one row stays. Rows without an id stay only where no row of their group has one, and then one
+    of them.
     """
-    rows = stage_table(fingerprints(docs, id_col, text_col), "fingerprints")
-    classes = stage_table(_classes(rows), "classes")
-    packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), _fingerprint(F.col(text_col)).alias("fp"))
-    # An id stays if it is the smallest of its component; as many rows as documents, but two numbers wide.
-    kept = classes.where("component_id IS NOT NULL").select(F.col("component_id").alias("keep")).distinct()
-    named = packed.join(kept, F.col("id") == F.col("keep"), "left_semi")
-    counts = rows.agg(F.count(F.lit(1)), F.countDistinct("doc_id")).first()
+    distinct = shingle_links.distinct_texts(docs, id_col, text_col)
+    roots = components(shingle_links.links(docs, distinct, text_col))
+    rooted = distinct.join(roots, F.col("key") == F.col("vertex"), "left").select(
+        "key", "first", F.coalesce("root", "key").alias("root")
+    )
+    lowest = stage_table(rooted.groupBy("root").agg(F.min("first").alias("keep")), "kept_ids")
+    # An id stays if it is the smallest of its group; as many rows as documents, but two numbers wide.
+    packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), shingle_links.key_of(text_col).alias("key"))
+    named = packed.join(lowest.where("keep IS NOT NULL").select("keep"), F.col("id") == F.col("keep"), "left_semi")
+    counts = docs.agg(F.count(F.lit(1)), F.countDistinct(id_col)).first()
     if counts[0] != counts[1]:
-        nameless = packed.join(classes.where("component_id IS NULL").select("own"), F.col("fp") == F.col("own"), "left_semi")
-        roots = nameless.dropDuplicates(["fp"])
-        named = named.dropDuplicates(["id"]).union(_one_per_component(roots, rows))
+        # The root of a group is the key of one of its texts.
+        nameless = packed.join(lowest.where("keep IS NULL"), F.col("key") == F.col("root"), "left_semi")
+        named = named.dropDuplicates(["id"]).union(nameless.dropDuplicates(["key"]))
     return named.select("row.*")
 
 
-def _one_per_component(nameless: DataFrame, rows: DataFrame) -> DataFrame:
-    """Of rows without an id, one of each component."""
-    distinct = rows.select("fp").distinct()
-    roots = components(links(distinct)).where("vertex <> root").select("vertex")
-    return nameless.join(roots, F.col("fp") == F.col("vertex"), "left_anti")
-
-
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

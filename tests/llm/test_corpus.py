@@ -17,6 +17,7 @@ from bidscope.llm import (
     line_dedup,
     mixing,
     quality,
+    shingle_links,
     simhash_dedup,
     toxicity,
     warc,
@@ -101,6 +102,46 @@ def test_simhash_odd_rows(spark):
     assert simhash_dedup.near_duplicates(make(spark, ODD).where("false")).count() == 0
 
 
+def _likeness(a, b):
+    sets = []
+    for text in (a, b):
+        words = text.lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1]) if sets[0] | sets[1] else 1.0
+
+
+@pytest.mark.parametrize("bucket", [2, 64])
+def test_near_duplicates_against_brute_force(spark, bucket):
+    rng = np.random.default_rng(5)
+    texts = []
+    for center in range(12):
+        words = [f"c{center}w{i}" for i in range(int(rng.integers(30, 400)))]
+        for edits in (0, 0, 1, 2, 3, 5, 8, 13):
+            edited = list(words)
+            for at in rng.integers(0, len(words), edits):
+                edited[at] = f"x{rng.integers(1 << 30)}"
+            texts.append(" ".join(edited))
+    texts += ["one two", "One  TWO", "one two three", "", " "]
+    roots = list(range(len(texts)))
+    close = [(a, b) for a in range(len(texts)) for b in range(a) if _likeness(texts[a], texts[b]) >= 0.8]
+    for _ in texts:
+        for a, b in close:
+            roots[a] = roots[b] = min(roots[a], roots[b])
+    docs = make(spark, list(enumerate(texts)))
+    kept = sorted(r["doc_id"] for r in simhash_dedup.drop_near_duplicates(docs).collect())
+    assert kept == sorted(set(roots)) and len(kept) < 60
+    found = shingle_links.links(docs, shingle_links.distinct_texts(docs), bucket=bucket)
+    keys = {r["key"]: r["text"] for r in docs.select(shingle_links.key_of("text").alias("key"), "text").collect()}
+    assert all(_likeness(keys[r["u"]], keys[r["v"]]) >= 0.8 for r in found.collect())
+
+
+def test_near_duplicates_need_the_similarity(spark):
+    # No five words in common, but the same words: the fingerprints' two bits do not decide in the stage.
+    rows = [(1, "a b c"), (2, "a b d"), (3, LONG), (4, " ".join(LONG.split()[:-3000])), (None, "p q"), (None, "P  q")]
+    got = sorted(r["doc_id"] or 0 for r in simhash_dedup.drop_near_duplicates(make(spark, rows)).collect())
+    assert got == [0, 1, 2, 3]
+
+
 def test_decontamination_odd_rows_and_both_ways(spark):
     words = [f"t{i}" for i in range(12)]
     bench = spark.createDataFrame(
