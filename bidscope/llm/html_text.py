@@ -4,8 +4,9 @@ Markup is stripped so that every block element is one line. What stands in an el
 article (menus, page headers, footers, sidebars, notices, adverts, forms, comments: told by tag, role, class or id) leaves
 a gap of empty lines, and so does a line that is mostly links. Text lengths are summed over a window of
 ``WINDOW`` lines: text begins to be kept where a sum surges from zero, and ends where it dives to zero again. A stretch
-between surge and dive is kept if its highest sum reaches ``SURGE``. Where the page marks its article, only the
-lines in it have a length, and any surge there counts; where no stretch is high enough, the highest one is kept.
+between surge and dive is kept if its highest sum reaches ``SURGE``; where none is high enough, the highest one is kept.
+A lower stretch stays too if it stands in the same container as a kept one. A page's article mark is a weight: of
+the stretches inside and outside of it, those with more text decide, and text inside counts ``MARKED`` times.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 from bidscope.llm.common import A_TO_Z, table
 
 WINDOW = 3
+#: About a line of print: ``WINDOW`` labels or captions in a row stay below it, a sentence or two reach it.
 SURGE = 86
 LINKS = 0.6
+MARKED = 2
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
@@ -38,6 +41,7 @@ _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
     "strong sub sup time tt u var wbr".split()
 )
+_HOLDS = frozenset("div section".split())
 _SPACE = frozenset("br td th".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Parts of class, id and role names that mark what is no part of an article.
@@ -61,17 +65,21 @@ def _apart(tag: str, attrs: str, in_article: bool) -> bool:
     return any(part.lower() in _MARKS for part in _PARTS.findall(names))
 
 
-def _lines(page: str) -> list[tuple[str, int, bool, bool]]:
-    """Per line its raw text, the characters in links, whether it is in an article, whether it follows a gap."""
-    out: list[tuple[str, int, bool, bool]] = []
+def _lines(page: str) -> list[tuple[str, int, bool, bool, int]]:
+    """Per line its raw text, the characters in links, whether it is in an article, whether it follows a gap, its container.
+
+    Containers are numbered; all of an article is one.
+    """
+    out: list[tuple[str, int, bool, bool, int]] = []
     text: list[str] = []
-    links = article = anchors = 0
+    links = article = anchors = opened = 0
+    inside: list[int] = [0]
     gap, at, lower = False, 0, page.translate(_LOWER)
 
     def close() -> None:
         nonlocal links, gap
         if any(not piece.isspace() for piece in text):
-            out.append(("".join(text), links, article > 0, gap))
+            out.append(("".join(text), links, article > 0, gap, inside[-1]))
             gap = False
         text.clear()
         links = 0
@@ -101,6 +109,15 @@ def _lines(page: str) -> list[tuple[str, int, bool, bool]]:
             anchors = 0
         if tag in ("article", "main") and not _apart(tag, attrs, False):
             article = max(0, article + (-1 if ends else 1))
+            if article == (0 if ends else 1):
+                opened += 1
+                inside = inside[:1] + [opened] if article else [opened]
+        elif tag in _HOLDS and not article and (ends or not _apart(tag, attrs, False)):
+            if ends:
+                del inside[max(1, len(inside) - 1) :]
+            else:
+                opened += 1
+                inside.append(opened)
         elif not ends and tag not in _VOID and not attrs.endswith("/"):
             if tag in _RAW:
                 stop = lower.find(f"</{tag}", at)
@@ -126,28 +143,33 @@ def _end_of(tag: str, lower: str, at: int) -> int:
 
 def main_text(page: str | None) -> str:
     """The kept lines, character references decoded and white space single, joined by line breaks."""
-    lines = [(" ".join(html.unescape(t).split()), n, a, g) for t, n, a, g in _lines(page or "")]
-    lines = [line for line in lines if line[0]]
-    if not lines:
+    lines = [(" ".join(html.unescape(t).split()), *rest) for t, *rest in _lines(page or "")]
+    lengths, texts, places = [], [], []
+    before = None
+    for text, links, marked, gap, holder in lines:
+        if not text:
+            continue
+        plain = marked or links < LINKS * len(text)
+        # A gap also at the edge of an article, so that a stretch is wholly inside or outside.
+        apart = WINDOW if gap or before not in (None, marked) else 0
+        after = 0 if plain else WINDOW
+        before = marked
+        lengths += [0] * apart + [len(text) if plain else 0] + [0] * after
+        texts += [""] * apart + [text if plain else ""] + [""] * after
+        places += [(marked, holder)] * (apart + 1 + after)
+    if not any(lengths):
         return ""
-    marked = any(a for _, _, a, _ in lines)
-    lengths, texts = [], []
-    for text, links, inside, gap in lines:
-        if gap:
-            lengths += [0] * WINDOW
-            texts += [""] * WINDOW
-        plain = inside if marked else links < LINKS * len(text)
-        lengths += [len(text) if plain else 0] + [0] * (0 if plain else WINDOW)
-        texts += [text if plain else ""] + [""] * (0 if plain else WINDOW)
     sums = np.convolve(lengths, np.ones(WINDOW, dtype=np.int64))[: len(lengths)]  # each line with those before it
     full = np.r_[0, (sums > 0).astype(np.int8), 0]
     surges, dives = np.flatnonzero(np.diff(full) == 1), np.flatnonzero(np.diff(full) == -1)
-    heights = [int(sums[a:b].max()) for a, b in zip(surges, dives)]
-    if not heights:
-        return ""
-    least = 1 if marked else min(SURGE, max(heights))
-    kept = [t for a, b, h in zip(surges, dives, heights) if h >= least for t in texts[a:b] if t]
-    return "\n".join(kept)
+    stretches = [(a, b, int(sums[a:b].max()), places[a][0]) for a, b in zip(surges, dives)]
+    mass = {side: sum(sum(lengths[a:b]) for a, b, _, s in stretches if s == side) for side in (True, False)}
+    side = MARKED * mass[True] >= mass[False] and mass[True] > 0
+    stretches = [stretch for stretch in stretches if stretch[3] == side]
+    least = min(SURGE, max(height for _, _, height, _ in stretches))
+    held = {places[i] for a, b, height, _ in stretches if height >= least for i in range(a, b) if texts[i]}
+    kept = [(a, b) for a, b, h, _ in stretches if h >= least or any(places[i] in held for i in range(a, b) if texts[i])]
+    return "\n".join(t for a, b in kept for t in texts[a:b] if t)
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -206,6 +206,16 @@ def test_main_text():
     assert html_text.main_text(f"<p>{odd} {long}</p><NAV>x<a>y</a></NAV><p>{long}</p>").endswith(f"{odd} {long}\n{long}")
 
 
+def test_main_text_beside_article_cards():
+    long = "Some words of the article that go on for quite a while, until the end of this sentence is reached."
+    cards = "".join(f"<article><h3>Card {i}</h3><p>A teaser.</p></article>" for i in range(4))
+    assert html_text.main_text(f"<div><h1>A</h1><p>{long}</p><p>{long}</p></div>{cards}") == f"A\n{long}\n{long}"
+    # Short text beside what was cut out stays where its container has text that is kept.
+    page = f"<div>Slogan</div><nav>menu</nav><div><h1>A</h1><div class=ad>x</div><p>{long}</p><aside>y</aside><p>End.</p></div>"
+    assert html_text.main_text(page) == f"A\n{long}\nEnd."
+    assert html_text.main_text(f"<p>Slogan</p><article><h1>A</h1><div class=ad>x</div><p>{long}</p></article><p>{long}</p>") == f"A\n{long}"
+
+
 def test_warc_round_trip(spark, tmp_path):
     tricky = "é\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n" * 3
     rows = [(1, "http://a/\r\nx", tricky), (2, "u", tricky), (3, None, None), (4, "v", ""), (None, "w", tricky), (5, "z", LONG), (5, "z", LONG)]
