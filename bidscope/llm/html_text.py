@@ -53,16 +53,67 @@ _MARKS = frozenset(
 )
 #: Lower case for tag names, which keeps every place in the page; ``str.lower`` makes some letters two.
 _LOWER = str.maketrans(A_TO_Z, A_TO_Z.lower())
+#: Marks that are ordinary words too; as the first part of a name they count before one of ``_LISTS`` only.
+_WORDS = frozenset("login notice notices promo related replies reply respond search share sharing signup social subscribe".split())
+_LISTS = frozenset(
+    "area articles bar block box buttons container content entries form icons items links list news panel posts products "
+    "section stories topics widget wrap wrapper".split()
+)
+_HEADERS = frozenset("header masthead".split())
+#: First parts of names that tell of what else there is.
+_ABOUT = frozenset("has hide is no show with without".split())
+_TALK = frozenset("comment comments disqus replies reply respond".split())
+_ARTICLE = re.compile(r"<(?:article|main)(?=[\s/>])[^>]*>", re.I)
+_MARKUP = re.compile(r"<(script|style|noscript|template)(?=[\s>]).*?(?:</\1|\Z)|<[^>]*>", re.I | re.S)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+def _marks(names: str, in_article: bool) -> bool:
+    """Whether a class, id or role says that the element itself is no part of an article.
+
+    A name does whose last part is a mark, or whose first is one and no ordinary word as well. Inside an article such
+    words say nothing, and headers are its own.
+    """
+    for name in names.split():
+        parts = [part.lower() for part in _PARTS.findall(name)]
+        if not parts or parts[0] in _ABOUT:
+            continue
+        first, last = parts[0], parts[-1]
+        if in_article and (last in _HEADERS or len(parts) == 1 and last in _WORDS):
+            continue
+        if last in _MARKS or first in _MARKS and (first not in _WORDS or last in _LISTS):
+            return True
+    return False
+
+
 def _apart(tag: str, attrs: str, in_article: bool) -> bool:
     if tag in _APART:
         return not (tag == "header" and in_article)
     if not attrs or tag in ("body", "html", "article", "main") and "comment" not in attrs.lower():
         return False
-    names = " ".join(next(g for g in found if g) if any(found) else "" for found in _ATTR.findall(attrs))
-    return any(part.lower() in _MARKS for part in _PARTS.findall(names))
+    return _marks(_names(attrs), in_article)
+
+
+def _names(attrs: str) -> str:
+    return " ".join(next(g for g in found if g) if any(found) else "" for found in _ATTR.findall(attrs))
+
+
+def _text_length(markup: str) -> int:
+    return len("".join(_MARKUP.sub(" ", markup).split()))
+
+
+def _articles(markup: str) -> int:
+    return sum("comment" not in found.lower() for found in _ARTICLE.findall(markup))
+
+
+def _holds_main(tag: str, attrs: str, page: str, start: int, stop: int) -> bool:
+    """Whether an element told by its class holds all the page's article marks, or most of its text; comments may."""
+    if tag in _APART or {part.lower() for part in _PARTS.findall(_names(attrs))} & _TALK:
+        return False
+    marks = _articles(page[start:stop])
+    if marks and marks == _articles(page):
+        return True
+    return 2 * _text_length(page[start:stop]) > _text_length(page)
 
 
 def _lines(page: str) -> list[tuple[str, int, bool, bool, int]]:
@@ -112,21 +163,22 @@ def _lines(page: str) -> list[tuple[str, int, bool, bool, int]]:
             if article == (0 if ends else 1):
                 opened += 1
                 inside = inside[:1] + [opened] if article else [opened]
-        elif tag in _HOLDS and not article and (ends or not _apart(tag, attrs, False)):
-            if ends:
-                del inside[max(1, len(inside) - 1) :]
-            else:
-                opened += 1
-                inside.append(opened)
+            continue
+        if tag in _HOLDS and not article and ends:
+            del inside[max(1, len(inside) - 1) :]
         elif not ends and tag not in _VOID and not attrs.endswith("/"):
             if tag in _RAW:
                 stop = lower.find(f"</{tag}", at)
                 at = at if stop < 0 else stop
             elif _apart(tag, attrs, article > 0):
                 stop = _end_of(tag, lower, at)
-                if stop > 0:
+                if stop > 0 and not _holds_main(tag, attrs, page, at, stop):
                     close()
                     at, gap = stop, True
+                    continue
+            if tag in _HOLDS and not article:
+                opened += 1
+                inside.append(opened)
     close()
     return out
 

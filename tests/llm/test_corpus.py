@@ -216,6 +216,20 @@ def test_main_text_beside_article_cards():
     assert html_text.main_text(f"<p>Slogan</p><article><h1>A</h1><div class=ad>x</div><p>{long}</p></article><p>{long}</p>") == f"A\n{long}"
 
 
+def test_main_text_in_wrappers_with_marked_names():
+    long = "Some words of the article that go on for quite a while, until the end of this sentence is reached."
+    for name in ("layout with-sidebar", "no-sidebar", "has-header", "sidebar-layout", "site-search"):
+        assert html_text.main_text(f"<div class='{name}'><article><p>{long}</p></article></div>") == long
+        assert html_text.main_text(f"<div class='{name}'><p>{long}</p></div>") == long
+    assert html_text.main_text(f"<div id='content-sidebar-wrap'><p>{long}</p><div class='sidebar'>{long[:40]}</div></div>") == long
+    head = f"<div class='article-header'><h1>A</h1><p>Lead.</p></div><section class='related-work'><p>{long}</p></section>"
+    rest = f"<section class='share-prices'><p>B</p></section><section class=search><p>C</p></section><p>{long}</p><p>{long}</p>"
+    cut = "<div class='related-posts'>D</div><div class='ad-slot'>E</div><div class='share-buttons'>F</div><div class=ad>G</div>"
+    assert html_text.main_text(f"<article>{head}{rest}{cut}</article>") == f"A\nLead.\n{long}\nB\nC\n{long}\n{long}"
+    talk = f"<section id=comments><article class=comment><p>{long}</p></article><p>{long}</p><p>{long}</p></section>"
+    assert html_text.main_text(f"<div><p>{long}</p></div>{talk}") == long
+
+
 def test_warc_round_trip(spark, tmp_path):
     tricky = "é\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n" * 3
     rows = [(1, "http://a/\r\nx", tricky), (2, "u", tricky), (3, None, None), (4, "v", ""), (None, "w", tricky), (5, "z", LONG), (5, "z", LONG)]
