@@ -14,6 +14,7 @@ from bidscope.llm import (
     langid,
     line_dedup,
     mixing,
+    prefix_trie,
     quality,
     simhash_dedup,
     toxicity,
@@ -33,9 +34,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_langid": langid.op8_langid,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_warc": warc.op10_warc,
+        "op12_prefix_trie": prefix_trie.op12_prefix_trie,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": line_dedup.OP2_SQL, "op5_decontaminate": decontaminate.OP5_SQL}
+    return {
+        "op2_line_dedup": line_dedup.OP2_SQL,
+        "op5_decontaminate": decontaminate.OP5_SQL,
+        "op12_prefix_trie": prefix_trie.OP12_SQL,
+    }
