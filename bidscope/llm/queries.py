@@ -19,6 +19,7 @@ from bidscope.llm import (
     simhash_dedup,
     toxicity,
     warc,
+    whitening,
 )
 
 
@@ -35,6 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_warc": warc.op10_warc,
         "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+        "op13_whitening": whitening.op13_whitening,
         "pipeline": corpus_pipeline.run,
     }
 
