@@ -12,6 +12,7 @@ from bidscope.llm import (
     fingerprint,
     html_text,
     langid,
+    lattice_lm,
     line_dedup,
     mixing,
     prefix_trie,
@@ -35,6 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_langid": langid.op8_langid,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_warc": warc.op10_warc,
+        "op11_lattice_lm": lattice_lm.op11_lattice_lm,
         "op12_prefix_trie": prefix_trie.op12_prefix_trie,
         "op13_whitening": whitening.op13_whitening,
         "pipeline": corpus_pipeline.run,
