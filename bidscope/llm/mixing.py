@@ -123,13 +123,14 @@ def mix(
     text_col: str = "text",
     id_col: str = "doc_id",
 ) -> DataFrame:
-    """The ``columns`` of ``docs`` (all by default) and ``n_tokens, mix_domain, mix_posterior, mix_rate, mix_copies``.
+    """The ``columns`` of ``docs`` (all by default) and ``n_tokens, mix_domain, mix_posterior, mix_rate, mix_copies, mix_error``.
 
     ``weights`` are the target shares by domain, scaled to sum to one; by default all domains are wanted alike, and a
     domain without labelled rows cannot be served and is an error. The rate says how often a document is to be seen;
     the copies are the rate rounded up or down by a hash of the id, which keeps the expectation. Without labelled rows,
     and without tokens, every rate is 1. Every row comes back; null texts have no tokens and the rate of the
-    priors. Clashing column names: the five new ones win.
+    priors. ``mix_error`` is what no rates could mend, or ``STEPS`` steps did not: the greatest difference of a domain's
+    expected share from its target, the same in every row. A column of ``docs`` with a new one's name gets ``_in`` behind it.
     """
     model = classifier(bounded_sample(labelled, F.col(id_col), TRAIN_ROWS), domain_col, text_col)
     wanted = {name: 1.0 for name in model} if weights is None else weights
@@ -143,21 +144,30 @@ def mix(
     )
     narrow = scored.select(F.struct(*[F.col("row")[c].alias(c) for c in {*kept, id_col}]).alias("row"), "tokens", "p")
     rows = stage_table(narrow, "posteriors")
-    moves, _ = fit_rates(rows, shares) if model else ([], None)
+    moves, got = fit_rates(rows, shares) if model else ([], np.zeros(0))
+    total = float(rows.agg(F.sum("tokens")).first()[0] or 0)
+    error = float(np.abs(got / total - shares).max()) if model and total else 0.0
     names = F.array(*map(F.lit, model)) if model else F.array().cast("array<string>")
     share = F.pmod(F.xxhash64(F.lit("copies"), F.col("row")[id_col]), F.lit(1_000_000)) / 1e6
-    new = {"n_tokens", "mix_domain", "mix_posterior", "mix_rate", "mix_copies"}
+    new = {"n_tokens", "mix_domain", "mix_posterior", "mix_rate", "mix_copies", "mix_error"}
     rated = rows.withColumn("rate", _rate(moves)).select(
-        *[F.col("row")[c].alias(c) for c in kept if c.lower() not in new],
+        *[F.col("row")[c].alias(f"{c}_in" if c.lower() in new else c) for c in kept],
         F.col("tokens").alias("n_tokens"),
         F.get(names, F.array_position("p", F.array_max("p")).cast("int") - 1).alias("mix_domain"),
         F.col("p").alias("mix_posterior"),
         F.col("rate").alias("mix_rate"),
         (F.floor("rate") + (share < F.col("rate") - F.floor("rate")).cast("long")).alias("mix_copies"),
+        F.lit(error).alias("mix_error"),
     )
     return rated
 
 
+def sampled(mixed: DataFrame) -> DataFrame:
+    """The mix itself: every row of ``mixed`` ``mix_copies`` times, numbered from 1 in ``mix_copy``; none where there are none."""
+    numbers = F.when(F.col("mix_copies") > 0, F.sequence(F.lit(1).cast("long"), "mix_copies"))
+    return mixed.select("*", F.explode(numbers).alias("mix_copy"))
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mix(docs, docs.where("lang IS NOT NULL"), "lang", columns=["doc_id"])

@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from bidscope.llm import shingle_links
 from bidscope.llm.common import components, table
 from bidscope.session import stage_table
 
@@ -150,7 +149,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _classes(rows: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """``own, component_id`` of each distinct fingerprint."""
+    """``own, root, component_id`` of each distinct fingerprint; the root is one of its component's fingerprints."""
     distinct = stage_table(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct_fingerprints")
     roots = components(links(distinct.select("fp"), bucket))
     rooted = stage_table(
@@ -160,32 +159,28 @@ def _classes(rows: DataFrame, bucket: int = BUCKET) -> DataFrame:
         "rooted",
     )
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rooted.join(lowest, "root").select(F.col("fp").alias("own"), "component_id")
+    return rooted.join(lowest, "root").select(F.col("fp").alias("own"), "root", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates: the one with the smallest id; all its columns stay.
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET
+) -> DataFrame:
+    """``docs`` with one row of each component of ``near_duplicates``; all its columns stay.
 
-    Near-duplicates have five-word shingles of a Jaccard similarity of 0.8 or more, directly or over others; two bits of
-    a fingerprint are far too near for that, so ``shingle_links`` finds them. Rows that share an id are one
-    document, of which one row stays. Rows without an id stay only where no row of their group has one, and then one
-    of them.
+    It is a row with the component's smallest id; of several such rows any one, and of a component without ids too.
+    A null text is an empty one, and texts without words are copies of each other. An empty table stays empty.
     """
-    distinct = shingle_links.distinct_texts(docs, id_col, text_col)
-    roots = components(shingle_links.links(docs, distinct, text_col))
-    rooted = distinct.join(roots, F.col("key") == F.col("vertex"), "left").select(
-        "key", "first", F.coalesce("root", "key").alias("root")
-    )
-    lowest = stage_table(rooted.groupBy("root").agg(F.min("first").alias("keep")), "kept_ids")
-    # An id stays if it is the smallest of its group; as many rows as documents, but two numbers wide.
-    packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), shingle_links.key_of(text_col).alias("key"))
-    named = packed.join(lowest.where("keep IS NOT NULL").select("keep"), F.col("id") == F.col("keep"), "left_semi")
-    counts = docs.agg(F.count(F.lit(1)), F.countDistinct(id_col)).first()
-    if counts[0] != counts[1]:
-        # The root of a group is the key of one of its texts.
-        nameless = packed.join(lowest.where("keep IS NULL"), F.col("key") == F.col("root"), "left_semi")
-        named = named.dropDuplicates(["id"]).union(nameless.dropDuplicates(["key"]))
-    return named.select("row.*")
+    rows = stage_table(fingerprints(docs, id_col, text_col), "fingerprints")
+    classes = stage_table(_classes(rows, bucket), "classes")
+    total, ids = rows.agg(F.count(F.lit(1)), F.countDistinct("doc_id")).first()
+    if total == ids:
+        # Ids tell rows apart, so the texts need no second fingerprint.
+        packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"))
+        kept = classes.select(F.col("component_id").alias("keep")).distinct()
+        return packed.join(kept, F.col("id") == F.col("keep"), "left_semi").select("row.*")
+    packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), _fingerprint(F.col(text_col)).alias("fp"))
+    first = packed.join(classes, (F.col("fp") == F.col("own")) & F.col("id").eqNullSafe(F.col("component_id")))
+    return first.dropDuplicates(["root"]).select("row.*")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 import base64
 import hashlib
+import re
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -17,7 +19,6 @@ from bidscope.llm import (
     line_dedup,
     mixing,
     quality,
-    shingle_links,
     simhash_dedup,
     toxicity,
     warc,
@@ -102,44 +103,47 @@ def test_simhash_odd_rows(spark):
     assert simhash_dedup.near_duplicates(make(spark, ODD).where("false")).count() == 0
 
 
-def _likeness(a, b):
-    sets = []
-    for text in (a, b):
-        words = text.lower().split()
-        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
-    return len(sets[0] & sets[1]) / len(sets[0] | sets[1]) if sets[0] | sets[1] else 1.0
+def _brute_simhash(text):
+    """The fingerprint from the contract's words, bit by bit."""
+    words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+    shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64(s, seed=42).intdigest() for s in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
 
 
-@pytest.mark.parametrize("bucket", [2, 64])
-def test_near_duplicates_against_brute_force(spark, bucket):
+def _near_texts():
+    """Texts of which some are within two bits of each other, made by editing long texts a little."""
     rng = np.random.default_rng(5)
     texts = []
     for center in range(12):
-        words = [f"c{center}w{i}" for i in range(int(rng.integers(30, 400)))]
-        for edits in (0, 0, 1, 2, 3, 5, 8, 13):
+        words = [f"c{center}w{i}" for i in range(int(rng.integers(300, 900)))]
+        for edits in (0, 0, 1, 1, 2, 3, 5, 40):
             edited = list(words)
             for at in rng.integers(0, len(words), edits):
                 edited[at] = f"x{rng.integers(1 << 30)}"
             texts.append(" ".join(edited))
-    texts += ["one two", "One  TWO", "one two three", "", " "]
-    roots = list(range(len(texts)))
-    close = [(a, b) for a in range(len(texts)) for b in range(a) if _likeness(texts[a], texts[b]) >= 0.8]
-    for _ in texts:
-        for a, b in close:
-            roots[a] = roots[b] = min(roots[a], roots[b])
+    return [*texts, "one two", "One  TWO", "one two three", "", " ", "İÀ b\x0bc\x1cd e"]
+
+
+@pytest.mark.parametrize("bucket", [2, 64])
+def test_one_text_of_each_component_stays(spark, bucket):
+    texts = _near_texts()
+    fps = [_brute_simhash(t) for t in texts]
+    assert fps == [simhash_dedup.simhash64(t) for t in texts]
+    roots = _components(fps)
     docs = make(spark, list(enumerate(texts)))
-    kept = sorted(r["doc_id"] for r in simhash_dedup.drop_near_duplicates(docs).collect())
-    assert kept == sorted(set(roots)) and len(kept) < 60
-    found = shingle_links.links(docs, shingle_links.distinct_texts(docs), bucket=bucket)
-    keys = {r["key"]: r["text"] for r in docs.select(shingle_links.key_of("text").alias("key"), "text").collect()}
-    assert all(_likeness(keys[r["u"]], keys[r["v"]]) >= 0.8 for r in found.collect())
+    kept = simhash_dedup.drop_near_duplicates(docs, bucket=bucket)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(roots))
+    differing = {(fps[i], fps[r]) for i, r in enumerate(roots) if fps[i] != fps[r]}
+    assert differing and len(set(roots)) < len(set(texts))
 
 
-def test_near_duplicates_need_the_similarity(spark):
-    # No five words in common, but the same words: the fingerprints' two bits do not decide in the stage.
-    rows = [(1, "a b c"), (2, "a b d"), (3, LONG), (4, " ".join(LONG.split()[:-3000])), (None, "p q"), (None, "P  q")]
-    got = sorted(r["doc_id"] or 0 for r in simhash_dedup.drop_near_duplicates(make(spark, rows)).collect())
-    assert got == [0, 1, 2, 3]
+def test_rows_of_one_id_stay_by_their_own_component(spark):
+    rows = [(3, "a b c d"), (5, "A b c d"), (5, "q r s t u"), (None, "x y z"), (None, "X y  z"), (None, "a b c d"), (None, "m n")]
+    got = simhash_dedup.drop_near_duplicates(make(spark, rows)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"].lower().split()) for r in got) == [
+        (0, ["m", "n"]), (0, ["x", "y", "z"]), (3, ["a", "b", "c", "d"]), (5, ["q", "r", "s", "t", "u"])
+    ]
 
 
 def test_decontamination_odd_rows_and_both_ways(spark):
@@ -286,6 +290,7 @@ def test_mix_meets_targets(spark):
     assert np.abs(mass.sum(axis=0) / got.n_tokens.sum() - 0.25).max() < 1e-5 and got.mix_rate.min() >= 0
     hard = mixing.mix(docs, docs, "lang", {"es": 1}, ["doc_id"]).toPandas()
     assert hard.mix_rate.min() >= 0 and hard[hard.mix_domain == "en"].mix_rate.median() < 0.05
+    assert got.mix_error.max() < 1e-5 and hard.mix_error.nunique() == 1
     odd = mixing.mix(make(spark, ODD), make(spark, ODD).where("false")).collect()
     assert [r["mix_rate"] for r in odd] == [1.0] * len(ODD)
 
@@ -296,3 +301,32 @@ def test_pipeline(spark):
     for name, stage in list(stages.items())[:-1]:
         assert stage(spark, docs, CHECK_DIR).columns == docs.columns, name
     assert 600 < corpus_pipeline.run(spark, CHECK_DIR).count() < 950
+
+
+def test_rates_are_the_nonnegative_least_squares_fit(spark):
+    rng = np.random.default_rng(9)
+    tokens = rng.integers(1, 400, 300)
+    p = rng.dirichlet([0.6, 0.6, 0.6], 300)
+    rows = spark.createDataFrame([(int(t), q.tolist()) for t, q in zip(tokens, p)], "tokens long, p array<double>")
+    targets = np.array([0.7, 0.2, 0.1])
+    moves, got = mixing.fit_rates(rows, targets.tolist())
+    rated = rows.withColumn("rate", mixing._rate(moves)).toPandas()
+    mass = (np.array(rated.p.tolist()) * (rated.tokens * rated.rate).to_numpy()[:, None]).sum(axis=0)
+    assert np.allclose(mass, got) and np.abs(mass / tokens.sum() - targets).max() < 1e-3 and rated.rate.min() >= 0
+    # Projected gradient in plain numpy, from the same start.
+    gram = (p * tokens[:, None]).T @ p
+    rate = np.ones(300)
+    for _ in range(len(moves)):
+        rate = np.maximum(0, rate - p @ np.linalg.solve(gram, (p * (tokens * rate)[:, None]).sum(axis=0) - targets * tokens.sum()))
+    assert np.allclose(rate, rated.rate.to_numpy(), atol=1e-5)
+
+
+def test_mix_emits_copies_and_keeps_clashing_columns(spark):
+    docs = make(spark, [*ODD, *[(i, "der die das und" if i % 3 else "the of and to") for i in range(10, 90)]])
+    docs = docs.withColumn("lang", F.when(F.col("text").startswith("der"), "de").otherwise("en")).withColumn("mix_rate", F.lit("own"))
+    mixed = mixing.mix(docs, docs, "lang")
+    assert {"mix_rate_in", "mix_rate", "mix_error"} <= set(mixed.columns) and mixed.count() == docs.count()
+    wanted = {r["doc_id"]: r["mix_copies"] for r in mixed.collect() if (r["doc_id"] or 0) >= 10}
+    copies = mixing.sampled(mixed).where("doc_id >= 10").groupBy("doc_id").agg(F.count("*").alias("n"), F.max("mix_copy").alias("m"))
+    assert {r["doc_id"]: (r["n"], r["m"]) for r in copies.collect()} == {i: (n, n) for i, n in wanted.items() if n}
+    assert mixing.mix(docs.where("false"), docs, "lang").count() == 0
