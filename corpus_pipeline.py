@@ -10,30 +10,39 @@ from bidscope.session import scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model scores below 0.5; it learns from the labelled rows of the corpus that are not held out."""
+    """Documents that the model scores below 0.5; it learns from the labelled rows of the corpus that are not held out.
+
+    Null and empty texts get the score of a text without words, which is below.
+    """
     labels = table(spark, sf_dir, "labels").where(~toxicity.held_out())
     model = toxicity.train(table(spark, sf_dir, "documents"), labels)
     return docs.where(toxicity.scorer(model)("text") < 0.5)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without later copies of line runs; documents of which nothing is left go."""
+    """Texts without later copies of line runs; documents of which nothing is left go, null and empty texts stay."""
     return line_dedup.without_repeated_lines(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group linked by fingerprints of three-word shingles at two or fewer differing bits.
+
+    Null texts, empty ones and texts without words are one group.
+    """
     return simhash_dedup.drop_near_duplicates(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of the benchmark occurs."""
+    """Documents in which no window of the benchmark occurs; null and empty texts have none."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their rate and number of copies, so that the languages' expected tokens are equal."""
-    return mixing.mix(docs, docs.where("lang IS NOT NULL"), "lang")
+    """The mix in which the languages' expected tokens are equal: a row for each copy of a document, with its rate.
+
+    A document at a rate below 1 is left out by a hash of its id, and one above 1 comes more than once.
+    """
+    return mixing.sampled(mixing.mix(docs, docs.where("lang IS NOT NULL"), "lang"))
 
 
 STAGES = [
