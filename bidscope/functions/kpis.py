@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from bidscope.functions.measures import PythonMeasure
+
 
 def sql_number(value: float | None) -> str:
     return "CAST(NULL AS DOUBLE)" if value is None else f"CAST('{value!r}' AS DOUBLE)"
@@ -15,14 +17,14 @@ def sql_number(value: float | None) -> str:
 
 @dataclass(frozen=True)
 class KPI:
-    """A KPI and its aggregate, as a Spark SQL expression or a Column.
+    """A KPI and its aggregate, as a Spark SQL expression, a Column or a ``PythonMeasure``.
 
     ``inputs`` are the columns the measure reads. Where one is missing the KPI has ``fallback``
     as its value. A KPI of one's own is another instance passed to the reports.
     """
 
     name: str
-    measure: str | Column
+    measure: str | Column | PythonMeasure
     unit: str
     category: str
     description: str
@@ -32,8 +34,14 @@ class KPI:
     higher_is_better: bool = True
     fallback: float | None = None
 
+    def in_python(self, columns: Sequence[str]) -> bool:
+        """Whether the KPI needs ``operators.python_aggregate`` over a frame with the given columns."""
+        return isinstance(self.measure, PythonMeasure) and set(self.inputs) <= set(columns)
+
     def value(self, columns: Sequence[str]) -> Column:
         """The KPI as an aggregate over a frame with the given columns."""
+        if self.in_python(columns):
+            raise TypeError(f"{self.name} is computed in Python and has no Column.")
         measure = self.measure if set(self.inputs) <= set(columns) else sql_number(self.fallback)
         measure = F.expr(measure) if isinstance(measure, str) else measure
         return measure.cast("double").alias(self.name)

@@ -10,12 +10,28 @@ from pyspark.sql import functions as F
 from bidscope.functions.columns import quoted
 from bidscope.functions.kpis import CORE_KPIS, KPI, REGISTRY, pick_kpis, sql_number, status_of
 from bidscope.functions.timebins import fill_empty_bins, time_bin
+from bidscope.operators.python_aggregate import aggregate
 
 
 def measures(kpis: Sequence[KPI], columns: Sequence[str]) -> list[Column]:
     return [kpi.value(columns) for kpi in kpis]
 
 
+def totals_of(rows: DataFrame, keys: Sequence[str], kpis: Sequence[KPI]) -> DataFrame:
+    """``n_samples`` and the KPIs per ``keys``, which are not null: one aggregate, and one more for KPIs in Python."""
+    own = [kpi for kpi in kpis if kpi.in_python(rows.columns)]
+    native = [kpi for kpi in kpis if kpi not in own]
+    totals = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_samples"), *measures(native, rows.columns))
+    if own:
+        states = aggregate(rows, keys, {kpi.name: (kpi.measure, kpi.inputs) for kpi in own})
+        if keys:
+            totals = totals.join(states, list(keys), "left")
+        else:
+            # One row beside one row.
+            totals = totals.withColumn("_one", F.lit(1)).join(states.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
+    return totals.select(*keys, "n_samples", *[quoted(kpi.name) for kpi in kpis])
+
+
 def text(value: str) -> str:
     """An SQL string literal."""
     escaped = value.replace("\\", "\\\\").replace("'", "\\'")
@@ -38,9 +54,7 @@ def scorecard(
     No rows in, no rows out.
     """
     kpis = pick_kpis(kpis)
-    totals = in_segment(auctions, segment).agg(
-        F.count(F.lit(1)).alias("n_samples"), *measures(kpis, auctions.columns)
-    )
+    totals = totals_of(in_segment(auctions, segment), [], kpis)
     cards = [
         f"named_struct('kpi', {text(kpi.name)}, 'value', round({quoted(kpi.name)}, 6), 'unit', {text(kpi.unit)}, "
         f"'target', {sql_number(kpi.target)}, 'alert_threshold', {sql_number(kpi.alert_threshold)}, "
@@ -67,11 +81,7 @@ def alerts(
 def by_segment(auctions: DataFrame, column: str, kpis: Sequence[str | KPI] | None = None) -> DataFrame:
     """KPIs per value of a column, one row per value and KPI."""
     kpis = pick_kpis(kpis)
-    grouped = (
-        auctions.dropna(subset=[column])
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("n_samples"), *measures(kpis, auctions.columns))
-    )
+    grouped = totals_of(auctions.dropna(subset=[column]), [column], kpis)
     cells = [
         f"named_struct('kpi', {text(kpi.name)}, 'value', round({quoted(kpi.name)}, 6), 'unit', {text(kpi.unit)})"
         for kpi in kpis
@@ -90,11 +100,7 @@ def binned_kpis(
     """KPIs per time bin (and group); bins without rows have null values."""
     keys = [group] if group else []
     rows = auctions.dropna(subset=["timestamp", *keys])
-    binned = (
-        rows.withColumn("_bin", time_bin(F.col("timestamp"), freq))
-        .groupBy(*keys, "_bin")
-        .agg(*measures(kpis, auctions.columns))
-    )
+    binned = totals_of(rows.withColumn("_bin", time_bin(F.col("timestamp"), freq)), [*keys, "_bin"], kpis).drop("n_samples")
     return fill_empty_bins(binned, "_bin", freq, keys).withColumnRenamed("_bin", "timestamp")
 
 

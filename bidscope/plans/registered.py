@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidscope.functions.columns import put
 from bidscope.functions.kpis import KPI, REGISTRY
+from bidscope.functions.measures import PythonMeasure
 from bidscope.operators import auctions as auction_ops
 from bidscope.operators import causal, detect, kpi_reports, quality, ranking, snapshots
 from bidscope.operators import supply as supply_ops
@@ -283,6 +285,47 @@ def own_kpi(auctions_: DataFrame) -> DataFrame:
     return kpi_reports.by_segment(auctions_, "placement_type", [margin])
 
 
+def _add_moments(a: tuple, b: tuple) -> tuple:
+    """Count, mean and central sums of the second and third power of two sets of numbers as one."""
+    if not a[0] or not b[0]:
+        return a if a[0] else b
+    n, d = a[0] + b[0], b[1] - a[1]
+    second = a[2] + b[2] + d * d * a[0] * b[0] / n
+    third = a[3] + b[3] + d**3 * a[0] * b[0] * (a[0] - b[0]) / n**2 + 3 * d * (a[0] * b[2] - b[0] * a[2]) / n
+    return n, a[1] + d * b[0] / n, second, third
+
+
+def _moments(rows: pd.DataFrame) -> tuple:
+    x = rows.iloc[:, 0].dropna().to_numpy(dtype=float)
+    if not len(x):
+        return 0, 0.0, 0.0, 0.0
+    d = x - x.mean()
+    return len(x), float(x.mean()), float((d * d).sum()), float((d**3).sum())
+
+
+#: Skewness of a column: the third central moment over the third power of the standard deviation.
+SKEWNESS = PythonMeasure(
+    start=lambda: (0, 0.0, 0.0, 0.0),
+    update=lambda state, rows: _add_moments(state, _moments(rows)),
+    merge=_add_moments,
+    finish=lambda s: None if not s[2] else (s[3] / s[0]) / (s[2] / s[0]) ** 1.5,
+)
+BID_SKEW = KPI(
+    name="bid skew",
+    measure=SKEWNESS,
+    unit="ratio",
+    category="efficiency",
+    description="Skewness of the winning bids.",
+    inputs=("winning_bid_usd",),
+)
+
+
+def python_kpi(auctions_: DataFrame) -> DataFrame:
+    """A KPI computed in Python beside a registered one, per device and day of the week."""
+    days = auctions_.withColumn("segment", F.concat_ws(" ", "device_type", "day_of_week"))
+    return kpi_reports.by_segment(days, "segment", [BID_SKEW, "fill_rate"])
+
+
 #: Files of the facts in one micro-batch; all files are read, in as many triggers as that takes.
 FILES_PER_TRIGGER = 1_000
 
@@ -414,6 +457,7 @@ def queries() -> dict[str, Query]:
             a, lambda df: kpi_reports.by_segment(df, "device_type", ["fill_rate", "ecpm"])
         ),
         "kpi_own_by_segment": _on(a, own_kpi),
+        "kpi_python_by_segment": _on(a, python_kpi),
         "kpi_trend_daily": _on(a, lambda df: kpi_reports.trend(df, "fill_rate"), 6),
         "kpi_trend_weekly_grouped": _on(
             a, lambda df: kpi_reports.trend(df, "ecpm", "W", "placement_type"), 6

@@ -493,6 +493,12 @@ WHERE kpi IN ('fill_rate','ecpm')"""
     q["kpi_own_by_segment"] = f"""WITH {AUCTIONS}
 SELECT placement_type, 'win margin' AS kpi, round(avg(winning_bid_usd - clearing_price_usd),6) AS value, 'USD' AS unit,
   count(*) AS n_samples FROM a GROUP BY 1"""
+    q["kpi_python_by_segment"] = f"""WITH {AUCTIONS},
+m AS (SELECT *, device_type || ' ' || day_of_week AS segment FROM a),
+d AS (SELECT m.*, winning_bid_usd - avg(winning_bid_usd) OVER (PARTITION BY segment) AS off FROM m)
+SELECT segment, 'bid skew' AS kpi, round(avg(off*off*off)/pow(avg(off*off), 1.5e0),6) AS value, 'ratio' AS unit,
+  count(*) AS n_samples FROM d GROUP BY 1
+UNION ALL SELECT segment, 'fill_rate', round(avg(filled),6), 'ratio', count(*) FROM m GROUP BY 1"""
     q["kpi_trend_daily"] = trend("fill_rate", "D")
     q["kpi_trend_weekly_grouped"] = trend("ecpm", "W", "placement_type")
     q["kpi_series_daily"] = f"""WITH {AUCTIONS}, {SERIES}
