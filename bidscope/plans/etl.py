@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from bidscope.operators.enrich import enrich_auctions, enrich_supply
-from bidscope.operators.snapshots import DAILY_GRAIN, HOURLY_GRAIN, kpi_snapshot
+from bidscope.operators.snapshots import DAILY_GRAIN, HOURLY_GRAIN, kpi_snapshot, largest_groups
 from bidscope.sources.csv_files import read_csv
 from bidscope.sources.frames import frame
 from bidscope.sources.warehouse import Warehouse
@@ -49,8 +49,9 @@ def run_etl(
     if "supply" in raw:
         supply_rows = warehouse.load(enrich_supply(raw["supply"]), "fact_supply", partition_by=["date"])
     facts = warehouse.table("fact_auctions")
-    kpi_rows = warehouse.load(kpi_snapshot(facts, DAILY_GRAIN), "kpi_daily")
-    kpi_rows += warehouse.load(kpi_snapshot(facts, HOURLY_GRAIN), "kpi_hourly")
+    daily, hourly = largest_groups(facts, [DAILY_GRAIN, HOURLY_GRAIN])
+    kpi_rows = warehouse.load(kpi_snapshot(facts, DAILY_GRAIN, largest=daily), "kpi_daily")
+    kpi_rows += warehouse.load(kpi_snapshot(facts, HOURLY_GRAIN, largest=hourly), "kpi_hourly")
     return {
         "duration_sec": round(time.monotonic() - started, 2),
         "auction_rows": auction_rows,

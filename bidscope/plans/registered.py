@@ -81,6 +81,13 @@ def kpi_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.kpi_snapshot(auctions(spark, sf_dir), snapshots.HOURLY_GRAIN, quantiles={})
 
 
+def kpi_rollup_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weeks per placement from daily snapshots that were stored; the quantiles, which are estimates, are left to the tests."""
+    store = own_database(apply_runtime_conf(spark))
+    store.load(snapshots.sketch_snapshot(auctions(spark, sf_dir)), "kpi_daily_parts", partition_by=["date"])
+    return shown(snapshots.weekly(store.table("kpi_daily_parts"), quantiles={}))
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = auctions(spark, sf_dir)
     return detect.score_bids(rows, stage_table(detect.bid_baselines(rows, quantiles=False), "baselines"))
@@ -466,6 +473,7 @@ def queries() -> dict[str, Query]:
         "kpi_daily": _on(a, snapshots.kpi_snapshot, 6),
         "kpi_hourly": _on(a, lambda df: snapshots.kpi_snapshot(df, snapshots.HOURLY_GRAIN), 6),
         "kpi_by_category": _on(a, lambda df: snapshots.kpi_snapshot(df, ["category"]), 6),
+        "kpi_rollup_weekly": kpi_rollup_weekly,
         "kpi_snapshots": _on(a, snapshots.all_snapshots, 6),
         "dash_daily_revenue": _on(kpi_daily, snapshots.daily_revenue, 6),
         "dash_fill_by_placement": _on(kpi_daily, snapshots.fill_by_placement, 6),

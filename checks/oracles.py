@@ -508,6 +508,9 @@ SELECT "timestamp", kpi, round(value+1.234567e-9,6) AS value FROM series"""
     q["kpi_daily"] = f"WITH {AUCTIONS} {snapshot(DAILY)}"
     q["kpi_hourly"] = f"WITH {AUCTIONS} {snapshot(HOURLY)}"
     q["kpi_by_category"] = f"WITH {AUCTIONS} {snapshot('category')}"
+    q["kpi_rollup_weekly"] = f"""WITH {AUCTIONS.replace('a AS (', 'a0 AS (')},
+a AS (SELECT *, CAST(date_trunc('week', "date") AS DATE) + 6 AS week_ending FROM a0)
+{snapshot("week_ending, placement_type", quantiles=False)}"""
     q["kpi_snapshots"] = f"""WITH {AUCTIONS}
 SELECT *, NULL::INT AS "hour", 'daily' AS grain FROM ({snapshot(DAILY)})
 UNION ALL BY NAME

@@ -108,6 +108,51 @@ def test_approximate_quantiles_are_near(auctions):
         assert a["p90_winning_bid"] == pytest.approx(b["p90_winning_bid"], rel=0.02)
 
 
+@pytest.mark.parametrize("grain", [snapshots.HOURLY_GRAIN, ["placement_type"]])
+def test_snapshots_are_the_same_however_large_the_groups(auctions, grain):
+    small, large = (
+        {tuple(r[k] for k in grain): r for r in rows(snapshots.kpi_snapshot(auctions, grain, gathered_rows=limit))}
+        for limit in (10**9, 1)
+    )
+    assert small.keys() == large.keys() and len(small) > 3
+    for key, row in small.items():
+        for name, value in row.items():
+            wanted = pytest.approx(value, rel=1e-9) if isinstance(value, float) else value
+            assert large[key][name] == wanted, (key, name)
+
+
+def test_largest_groups_of_several_grains(make_auctions):
+    frame = make_auctions([{}, {"device_type": "ctv"}, {"placement_type": None}, {"timestamp": "2024-01-02 10:00:00"}])
+    assert snapshots.largest_groups(frame, [["placement_type"], ["date", "device_type"]]) == [3, 2]
+    assert snapshots.largest_groups(frame.where("false"), [["placement_type"], ["date"]]) == [0, 0]
+
+
+def test_stored_snapshots_roll_up_without_the_facts(spark, auctions, tmp_path):
+    snapshots.sketch_snapshot(auctions).write.parquet(str(tmp_path / "parts"))
+    stored = spark.read.parquet(str(tmp_path / "parts"))
+    for grain in (["placement_type"], ["date"], ["device_type", "ad_format"]):
+        rolled = {tuple(r[k] for k in grain): r for r in rows(snapshots.roll_up(stored, grain))}
+        exact = {tuple(r[k] for k in grain): r for r in rows(snapshots.kpi_snapshot(auctions, grain, quantiles={}))}
+        assert rolled.keys() == exact.keys()
+        for key, row in exact.items():
+            for name, value in row.items():
+                assert rolled[key][name] == (pytest.approx(value, rel=1e-9) if isinstance(value, float) else value), name
+    # The rank of an estimate among the bids is off by a hundredth at most.
+    bids = {key: part for key, part in auctions.select("placement_type", "winning_bid_usd").toPandas().groupby("placement_type")}
+    for row in rows(snapshots.roll_up(stored, ["placement_type"])):
+        x = bids[row["placement_type"]]["winning_bid_usd"].dropna()
+        for name, p in snapshots.BID_QUANTILES.items():
+            assert (x < row[name]).mean() - 0.01 <= p <= (x <= row[name]).mean() + 0.01
+
+
+def test_rolling_up_groups_without_bids_and_weeks(make_auctions):
+    data = [{"winning_bid_usd": None, "timestamp": f"2024-01-0{d} 10:00:00"} for d in (1, 7)] + [{"timestamp": "2024-01-08 00:00:00"}]
+    weeks = {str(r["week_ending"]): r for r in rows(snapshots.weekly(snapshots.sketch_snapshot(make_auctions(data))))}
+    assert weeks.keys() == {"2024-01-07", "2024-01-14"}
+    assert weeks["2024-01-07"]["total_auctions"] == 2 and weeks["2024-01-07"]["p50_winning_bid"] is None
+    assert weeks["2024-01-14"]["p50_winning_bid"] == 1.0
+
+
 def test_spread_summary_of_ties_and_lone_rows(make_auctions):
     data = [{"placement_type": "lone", "clearing_price_usd": 0.8}] + [{"filled": 0}]
     data += [{"clearing_price_usd": 0.9} for _ in range(5)]
