@@ -25,7 +25,7 @@ from bidscope.session import apply_runtime_conf, scratch_path, spread, stage_tab
 from bidscope.sources import star
 from bidscope.sources.csv_files import read_csv, write_csv
 from bidscope.sources.warehouse import Warehouse
-from bidscope.streaming import kpi_windows
+from bidscope.streaming import kpi_windows, live_alerts
 from bidscope.streaming.bids import score_bid_stream
 from bidscope.streaming.runs import run_append, run_update, table_stream
 
@@ -372,6 +372,12 @@ def stream_alerts_consecutive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(kpi_windows.consecutive_alerts(kpi_windows.window_status(latest)))
 
 
+def stream_alerts_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alerts that the running stream has raised and not withdrawn by its present end."""
+    windows = kpi_windows.windowed_kpis(auction_stream(spark, sf_dir)).drop("window")
+    return shown(live_alerts.run_live_alerts(windows, scratch_path(spark, "live-alerts")))
+
+
 def stream_bid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     baselines = stage_table(detect.bid_baselines(auctions(spark, sf_dir), quantiles=False), "baselines")
     scored_bids = score_bid_stream(auction_stream(spark, sf_dir), baselines).select(
@@ -579,6 +585,7 @@ def queries() -> dict[str, Query]:
         "stream_kpi_5min": stream_kpi_5min,
         "kpi_alerts_consecutive": kpi_alerts_consecutive,
         "stream_alerts_consecutive": stream_alerts_consecutive,
+        "stream_alerts_live": stream_alerts_live,
         "stream_bid_scores": stream_bid_scores,
         "iforest_scores": _on(
             forest_scored, lambda df: df.select("auction_id", "anomaly_score", "is_anomaly")

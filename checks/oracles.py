@@ -831,7 +831,7 @@ UNION ALL SELECT supply_event_id || '-2', placement_type, CAST(available_slots +
 
     # Streams
     q["kpi_5min"] = q["stream_kpi_5min"] = windowed_kpis(5)
-    q["kpi_alerts_consecutive"] = q["stream_alerts_consecutive"] = consecutive_alerts(5)
+    q["kpi_alerts_consecutive"] = q["stream_alerts_consecutive"] = q["stream_alerts_live"] = consecutive_alerts(5)
     q["stream_bid_scores"] = q["bid_anomaly_scores"]
 
     # Quality and dimensions
