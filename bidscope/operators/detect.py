@@ -169,15 +169,30 @@ def rolling_baseline(
     a chunk a row costs the same whatever its look-back: the sums over the rows before it are
     differences of running totals, taken around the chunk's mean to keep their digits.
     """
-    if rows_back > chunk_rows:
-        raise ValueError("A chunk must be at least as long as the rows looked back.")
-    placed = with_position(
+    return rolled(in_bid_order(auctions), rows_back, chunk_rows, z_threshold)
+
+
+def in_bid_order(auctions: DataFrame, others: Sequence[str] = ()) -> DataFrame:
+    """Bids with their ``_position`` in the order of placement, time and id; written down once."""
+    return with_position(
         auctions.dropna(subset=["placement_type"]).select(
-            "auction_id", "placement_type", "timestamp", "winning_bid_usd"
+            "auction_id", "placement_type", "timestamp", "winning_bid_usd", *others
         ),
         [F.col("placement_type"), F.col("timestamp"), F.col("auction_id")],
         "_position",
     )
+
+
+def rolled(
+    placed: DataFrame,
+    rows_back: int = ROLLING_ROWS,
+    chunk_rows: int = CHUNK_ROWS,
+    z_threshold: float = BID_Z_THRESHOLD,
+    others: Sequence[str] = (),
+) -> DataFrame:
+    """``rolling_baseline`` of bids from ``in_bid_order``; ``others`` are columns to keep."""
+    if rows_back > chunk_rows:
+        raise ValueError("A chunk must be at least as long as the rows looked back.")
     chunks = placed.selectExpr("*", f"_position div {chunk_rows} AS _home").selectExpr(
         "*",
         f"explode(CASE WHEN _position % {chunk_rows} >= {chunk_rows - rows_back} "
@@ -220,6 +235,7 @@ def rolling_baseline(
             "placement_type",
             "`timestamp`",
             "winning_bid_usd",
+            *others,
             "_center + _sum / nullif(_rows, 0) AS rolling_mean",
             f"{spread} AS rolling_std",
         )

@@ -25,7 +25,7 @@ from bidscope.session import apply_runtime_conf, scratch_path, spread, stage_tab
 from bidscope.sources import star
 from bidscope.sources.csv_files import read_csv, write_csv
 from bidscope.sources.warehouse import Warehouse
-from bidscope.streaming import kpi_windows, live_alerts
+from bidscope.streaming import kpi_windows, live_alerts, rolling
 from bidscope.streaming.bids import score_bid_stream
 from bidscope.streaming.runs import run_append, run_update, table_stream
 
@@ -386,6 +386,25 @@ def stream_bid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(run_append(scored_bids, "bid-scores"), ROW_DIGITS)
 
 
+#: Landings, one after the other in time, that the rolling stream is run over.
+LANDINGS = 4
+
+
+def stream_rolling_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bids that land in order of time, slice by slice, each followed by a run of the stream."""
+    bids = auctions(spark, sf_dir).select("auction_id", "placement_type", "timestamp", "winning_bid_usd")
+    bids = stage_table(bids.repartitionByRange("timestamp"), "bids")
+    seconds = F.unix_seconds(F.col("timestamp").cast("timestamp"))
+    first, last = bids.agg(F.min(seconds), F.max(seconds)).first()
+    landing, location = scratch_path(spark, "landing"), scratch_path(spark, "rolling")
+    slice_of = F.floor((seconds - F.lit(first)) * LANDINGS / F.lit((last or 0) - (first or 0) + 1))
+    for number in range(LANDINGS):
+        bids.where(slice_of == number).write.mode("append").parquet(landing)
+        rolling.roll_stream(spark.readStream.schema(bids.schema).parquet(landing), location)
+    flags = rolling.rolled_flags(spark, location).select("auction_id", "rolling_limit", "is_rolling_anomaly")
+    return shown(flags, 6)
+
+
 # Boosted models of this process by the rows they were fitted on, so that the queries about one model fit it once.
 _FITTED: dict[tuple, object] = {}
 
@@ -586,6 +605,7 @@ def queries() -> dict[str, Query]:
         "kpi_alerts_consecutive": kpi_alerts_consecutive,
         "stream_alerts_consecutive": stream_alerts_consecutive,
         "stream_alerts_live": stream_alerts_live,
+        "stream_rolling_flags": stream_rolling_flags,
         "stream_bid_scores": stream_bid_scores,
         "iforest_scores": _on(
             forest_scored, lambda df: df.select("auction_id", "anomaly_score", "is_anomaly")

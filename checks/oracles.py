@@ -770,6 +770,7 @@ r AS (SELECT auction_id, winning_bid_usd AS bid, avg(winning_bid_usd) OVER k AS
   WINDOW k AS (PARTITION BY placement_type ORDER BY "timestamp", auction_id ROWS BETWEEN 1000 PRECEDING AND 1 PRECEDING))
 SELECT auction_id, round(m + 3e0*s+1.234567e-9,6) AS rolling_limit,
   coalesce(abs((bid - m)/nullif(s,0)) > 3e0, false) AS is_rolling_anomaly FROM r"""
+    q["stream_rolling_flags"] = q["bid_rolling_flags"]
     features = ["winning_bid_usd", "clearing_price_usd", "bid_spread", "ecpm", "auction_depth", "bid_floor_usd"]
     q["iforest_training"] = f"WITH {AUCTIONS} " + " UNION ALL ".join(
         f"SELECT '{f}' AS feature, round(quantile_cont(CAST({f} AS DOUBLE), 0.5)+1.234567e-9,6) AS median, "
