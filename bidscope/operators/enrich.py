@@ -59,8 +59,13 @@ def add_bid_zscore(df: DataFrame) -> DataFrame:
         ),
         "placement-bids",
     )
+    return scored_against(df, stats)
+
+
+def scored_against(df: DataFrame, statistics: DataFrame) -> DataFrame:
+    """``bid_z_score`` and its flag from ``placement_type, _mean, _std``, which are staged."""
     scored = put(
-        df.join(stats, "placement_type", "left"),
+        df.join(statistics, "placement_type", "left"),
         {"bid_z_score": rounded("(winning_bid_usd - _mean) / nullif(_std, 0)", 3)},
     )
     flagged = put(scored, {"is_bid_anomaly": f"coalesce(abs(bid_z_score) > {Z_LIMIT}, false)"})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import pandas as pd
@@ -21,9 +22,11 @@ from bidscope.operators.merge import merge_rows
 from bidscope.operators.models import EcpmModel, FillModel, hold_out
 from bidscope.plans import warehouse
 from bidscope.plans.etl import run_etl
+from bidscope.plans.incremental import enriched_facts, run_incremental
 from bidscope.session import apply_runtime_conf, scratch_path, spread, stage_table
 from bidscope.sources import star
 from bidscope.sources.csv_files import read_csv, write_csv
+from bidscope.sources.versioned import VersionedStore
 from bidscope.sources.warehouse import Warehouse
 from bidscope.streaming import kpi_windows, live_alerts, rolling
 from bidscope.streaming.bids import score_bid_stream
@@ -258,6 +261,53 @@ def etl_kpi_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(etl_run(spark, sf_dir).table("kpi_daily"))
 
 
+#: The second load begins two days before the first one ends, so both have the rows of these days.
+FIRST_LOAD_UNTIL, SECOND_LOAD_FROM = "2024-02-15", "2024-02-13"
+
+
+def incremental_store(spark: SparkSession, sf_dir: str) -> VersionedStore:
+    """All facts in two loads, of which the second is delivered twice."""
+    store = VersionedStore(apply_runtime_conf(spark), scratch_path(spark, "versions"))
+    rows = raw_auctions(spark, sf_dir)
+    date = F.to_date("timestamp")
+    later = rows.where(date >= F.lit(SECOND_LOAD_FROM).cast("date"))
+    run_incremental(store, "first", rows.where(date < F.lit(FIRST_LOAD_UNTIL).cast("date")))
+    run_incremental(store, "second", later)
+    run_incremental(store, "second", later)
+    return store
+
+
+def etl_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily snapshot that the increments leave."""
+    return shown(incremental_store(spark, sf_dir).table("kpi_daily"))
+
+
+def etl_incremental_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts that the increments leave, enriched from the moments of their dates."""
+    return shown(enriched_facts(incremental_store(spark, sf_dir)).select(ENRICHED_COLUMNS), ROW_DIGITS)
+
+
+def table_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supply stored by date, appended to, merged into and replaced; what each version of the table holds."""
+    store = VersionedStore(apply_runtime_conf(spark), scratch_path(spark, "versions"))
+    rows = raw_supply(spark, sf_dir).select("supply_event_id", "placement_type", "available_slots", "date")
+    ctv = rows.where("placement_type = 'off_amazon'")
+    store.load(rows.where("placement_type <> 'off_amazon'"), "fact_supply", partition_by=["date"])
+    store.load(ctv, "fact_supply", "append")
+    store.merge(put(ctv, {"available_slots": "available_slots + 1"}).select(rows.columns), "fact_supply", ["supply_event_id"])
+    store.load(ctv, "fact_supply", partition_by=["date"])
+    versions = [
+        store.table("fact_supply", as_of=number).agg(
+            F.lit(number).cast("long").alias("version"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.sum("available_slots").alias("available_slots"),
+            F.countDistinct("date").alias("n_dates"),
+        )
+        for number in store.versions("fact_supply")
+    ]
+    return functools.reduce(DataFrame.unionByName, versions)
+
+
 def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Advertisers with raised budgets of the small tier and a copy of each enterprise account."""
     old = star.dim_advertiser(apply_runtime_conf(spark), sf_dir)
@@ -598,6 +648,9 @@ def queries() -> dict[str, Query]:
         "warehouse_summary": lambda spark, sf_dir: loaded_tables(spark, sf_dir).summary(),
         "etl_row_counts": lambda spark, sf_dir: etl_run(spark, sf_dir).table_info(),
         "etl_kpi_daily": etl_kpi_daily,
+        "etl_incremental": etl_incremental,
+        "etl_incremental_facts": etl_incremental_facts,
+        "table_versions": table_versions,
         "upsert_merge": upsert_merge,
         "upsert_partitioned": upsert_partitioned,
         "kpi_5min": kpi_5min,

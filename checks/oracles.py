@@ -813,7 +813,15 @@ SELECT count(*) AS rows_replaced, count(*) AS rows_appended, 2*count(*) AS rows_
 UNION ALL SELECT 'fact_auctions', count(*) FROM raw
 UNION ALL SELECT 'kpi_daily', count(*) FROM (SELECT DISTINCT "date", placement_type, device_type, ad_format FROM raw)
 UNION ALL SELECT 'kpi_hourly', count(*) FROM (SELECT DISTINCT "date", "hour", placement_type FROM raw)"""
-    q["etl_kpi_daily"] = q["kpi_daily"]
+    q["etl_kpi_daily"] = q["etl_incremental"] = q["kpi_daily"]
+    q["etl_incremental_facts"] = q["auctions_enriched"]
+    apart = "placement_type = 'off_amazon'"
+    whole = 'count(DISTINCT "date") AS n_dates FROM sraw'
+    q["table_versions"] = f"""WITH {SUPPLY_RAW}
+SELECT 1::BIGINT AS version, count(*) AS n_rows, sum(available_slots)::BIGINT AS available_slots, {whole} WHERE NOT {apart}
+UNION ALL SELECT 2, count(*), sum(available_slots)::BIGINT, {whole}
+UNION ALL SELECT 3, count(*), (sum(available_slots) + count(*) FILTER ({apart}))::BIGINT, {whole}
+UNION ALL SELECT 4, count(*), sum(available_slots)::BIGINT, {whole} WHERE {apart}"""
     advertiser_columns = (
         "tier, category, {budget} AS daily_budget_usd, bidding_strategy, round(target_cpc_usd,9) AS target_cpc_usd, "
         "round(quality_score,9) AS quality_score, round(identity_match_rate,9) AS identity_match_rate"
