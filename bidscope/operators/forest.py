@@ -3,10 +3,14 @@
 A row is drawn for a tree by a hash of its id and the tree, in the task that reads it; about
 ``2 * sample_rows`` rows a tree, whatever the data, are ever grouped, and one tree grows on
 ``sample_rows`` of them. All rows are scored in Arrow batches.
+
+Every draw and every cut follows from the MD5 of a text, and depths are whole billionths, so the same rows give the same
+forest and the same scores in any engine and in any order.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Sequence
 
@@ -39,9 +43,12 @@ _NODES = T.StructType(
         T.StructField("node", T.IntegerType()),
         T.StructField("feature", T.IntegerType()),
         T.StructField("cut", T.DoubleType()),
-        T.StructField("depth", T.DoubleType()),
+        T.StructField("depth", T.LongType()),
     ]
 )
+#: Draws are whole numbers below this: ten hexadecimal digits of an MD5.
+SPAN = 1 << 40
+BILLION = 10**9
 
 
 def expected_depth(rows: float) -> float:
@@ -53,21 +60,41 @@ def expected_depth(rows: float) -> float:
     return 2.0 * (math.log(rows - 1.0) + np.euler_gamma) - 2.0 * (rows - 1.0) / rows
 
 
-def grow_tree(x: np.ndarray, rng: np.random.Generator, levels: int) -> list[tuple[int, int, float, float]]:
-    """Nodes of one tree in heap order: children of ``i`` are ``2i + 1`` and ``2i + 2``."""
+def drawn(*salt: object) -> int:
+    """A whole number below ``SPAN`` that follows from the salt."""
+    return int(hashlib.md5("|".join(map(str, salt)).encode()).hexdigest()[:10], 16)
+
+
+def drawn_column(*salt: Column) -> Column:
+    """``drawn`` of every row."""
+    text = F.concat_ws("|", *[column.cast("string") for column in salt])
+    return F.conv(F.substring(F.md5(text), 1, 10), 16, 10).cast("long")
+
+
+def leaf_depth(level: int, rows: int) -> int:
+    """How deep a row of a leaf is expected to be, in billionths."""
+    return level * BILLION + math.floor(expected_depth(rows) * BILLION + 0.5)
+
+
+def grow_tree(x: np.ndarray, tree: int, seed: int, levels: int) -> list[tuple[int, int, float, int]]:
+    """Nodes of one tree in heap order: children of ``i`` are ``2i + 1`` and ``2i + 2``.
+
+    A node is cut at a drawn place between the least and the greatest value of one drawn feature that varies in it.
+    """
     nodes = []
     waiting = [(0, 0, x)]
     while waiting:
         node, level, rows = waiting.pop()
         usable = np.flatnonzero(rows.max(axis=0) > rows.min(axis=0)) if len(rows) > 1 else []
         if level == levels or len(usable) == 0:
-            nodes.append((node, -1, math.inf, level + expected_depth(len(rows))))
+            nodes.append((node, -1, math.inf, leaf_depth(level, len(rows))))
             continue
-        feature = int(rng.choice(usable))
+        feature = int(usable[drawn("feature", tree, node, seed) % len(usable)])
         column = rows[:, feature]
-        cut = float(rng.uniform(column.min(), column.max()))
+        low, high = float(column.min()), float(column.max())
+        cut = low + (drawn("cut", tree, node, seed) + 0.5) / SPAN * (high - low)
         below = column < cut
-        nodes.append((node, feature, cut, 0.0))
+        nodes.append((node, feature, cut, 0))
         waiting += [(2 * node + 1, level + 1, rows[below]), (2 * node + 2, level + 1, rows[~below])]
     return nodes
 
@@ -156,32 +183,29 @@ class AnomalyForest:
     def summary(self, df: DataFrame) -> DataFrame:
         return summarise(self.predict(df))
 
-    def _scaled(self, name: str):
-        """A feature with its missing values at the median of the training rows, standardised."""
-        mean, std = self.scales[name]
-        filled = F.coalesce(F.col(name).cast("double"), F.lit(self.medians.get(name, 0.0)))
-        return ((filled - F.lit(mean)) / F.lit(std)).alias(name)
+    def _filled(self, name: str) -> Column:
+        """A feature with its missing values at the median of the training rows.
+
+        Not standardised: a cut between two values parts the same rows on any scale.
+        """
+        return F.coalesce(F.col(name).cast("double"), F.lit(self.medians.get(name, 0.0))).alias(name)
 
     def _tree_samples(self, doubles: DataFrame, id_col: str, rows: int) -> DataFrame:
         """About twice ``sample_rows`` rows per tree: by hash a pool for all trees, and from it each tree's.
 
         Both are conditions on the row, so every task emits its own hits and nothing is sorted or cut.
         """
-        span = 1 << 40
         pool_rows = self.trees * self.sample_rows
         kept, share = min(1.0, pool_rows / rows), min(1.0, 2.0 * self.sample_rows / min(pool_rows, rows))
-
-        def draw(*salt: Column) -> Column:
-            return F.pmod(F.xxhash64(F.col(id_col), *salt, F.lit(self.seed)), F.lit(span))
-
+        own, seed = F.col(id_col), F.lit(self.seed)
         trees = F.sequence(F.lit(0), F.lit(self.trees - 1))
         hits = F.filter(
-            F.transform(trees, lambda t: F.struct(t.alias("tree"), draw(t).alias("_draw"))),
-            lambda hit: hit["_draw"] < int(share * span),
+            F.transform(trees, lambda t: F.struct(t.alias("tree"), drawn_column(own, t, seed).alias("_draw"))),
+            lambda hit: hit["_draw"] < int(share * SPAN),
         )
-        pool = doubles.where(draw() < int(kept * span))
-        drawn = pool.select(F.explode(hits).alias("_hit"), *[self._scaled(name) for name in self.features])
-        return drawn.select("_hit.*", *self.features)
+        pool = doubles.where(drawn_column(own, seed) < int(kept * SPAN))
+        taken = pool.select(F.explode(hits).alias("_hit"), *[self._filled(name) for name in self.features])
+        return taken.select("_hit.*", *self.features)
 
     def _grow(self, sample: DataFrame, sampled: int) -> None:
         features, seed, wanted = list(self.features), self.seed, self.sample_rows
@@ -190,7 +214,7 @@ class AnomalyForest:
         def grow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             tree = int(key[0])
             chosen = rows.sort_values(["_draw", *features])[features].to_numpy()[:wanted]
-            nodes = grow_tree(chosen, np.random.default_rng([seed, tree]), levels)
+            nodes = grow_tree(chosen, tree, seed, levels)
             return pd.DataFrame([(tree, *node) for node in nodes], columns=[f.name for f in _NODES])
 
         # At most 2 * 256 nodes a tree, however large the data.
@@ -198,7 +222,7 @@ class AnomalyForest:
         inner = 2**levels - 1
         feature = np.zeros((self.trees, inner), dtype=np.int32)
         cut = np.full((self.trees, inner), np.inf)
-        depth = np.zeros((self.trees, inner + 1))
+        depth = np.zeros((self.trees, inner + 1), dtype=np.int64)
         for tree, node, of, at, reached in nodes.itertuples(index=False):
             if of >= 0:
                 feature[tree, node], cut[tree, node] = of, at
@@ -219,16 +243,16 @@ class AnomalyForest:
         def forest_score(*columns: pd.Series) -> pd.Series:
             x = np.column_stack([column.to_numpy(dtype="float64") for column in columns])
             cells, row_start = x.ravel(), np.arange(len(x)) * x.shape[1]
-            total = np.zeros(len(x))
+            total = np.zeros(len(x), dtype=np.int64)
             for of_tree, cut_at, depth_at in zip(feature, cut, depth):
                 at = np.zeros(len(x), dtype=np.int64)
                 for _ in range(levels):
                     beyond = cells.take(row_start + of_tree.take(at)) >= cut_at.take(at)
                     at = 2 * at + 1 + beyond
                 total += depth_at.take(at - len(of_tree))
-            return pd.Series(np.exp2(-(total / len(feature)) / typical))
+            return pd.Series(np.exp2(-(total / (len(feature) * BILLION)) / typical))
 
-        return forest_score(*[self._scaled(name) for name in self.features])
+        return forest_score(*[self._filled(name) for name in self.features])
 
     def _check_fitted(self) -> None:
         if self.threshold is None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 PLACEMENT = (
     "CASE {k} % 4 WHEN 0 THEN 'top_of_search' WHEN 1 THEN 'rest_of_search' "
     "WHEN 2 THEN 'product_detail_page' ELSE 'off_amazon' END"
@@ -355,6 +357,64 @@ DQ_RULES = " UNION ALL ".join(
 )
 
 
+FOREST_FEATURES = ["winning_bid_usd", "clearing_price_usd", "bid_spread", "ecpm", "auction_depth", "bid_floor_usd"]
+
+
+def draw(*salt: str) -> str:
+    return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(salt)})), 1, 10) AS BIGINT)"
+
+
+def forest(trees: int = 100, sample: int = 256, levels: int = 8, seed: int = 42) -> str:
+    """CTEs that grow the trees level by level and walk all rows through them; ``f`` has the scored rows."""
+    features = FOREST_FEATURES
+    listed = ", ".join(f"coalesce(CAST({f} AS DOUBLE), (SELECT quantile_cont(CAST({f} AS DOUBLE), 0.5) FROM a))" for f in features)
+    span = 1 << 40
+    expected = "CASE WHEN n <= 1 THEN 0e0 WHEN n = 2 THEN 1e0 ELSE 2e0*(ln(n - 1) + 0.5772156649015329e0) - 2e0*(n - 1)/n END"
+    usable = "list_filter(range(%d), lambda i: hi[i + 1] > lo[i + 1])" % len(features)
+    bounds = ", ".join(f"min(x[{k + 1}])" for k in range(len(features))), ", ".join(f"max(x[{k + 1}])" for k in range(len(features)))
+    steps = []
+    for level in range(levels + 1):
+        stop = "n > 1 AND len(u) > 0" if level < levels else "false"
+        steps.append(f"""c{level} AS MATERIALIZED (
+  SELECT tree, node, CASE WHEN {stop} THEN u[{draw("'feature'", 'tree', 'node', str(seed))} % len(u) + 1] END AS feature,
+    lo, hi, {level * 10**9}::BIGINT + CAST(floor(({expected}) * 1e9 + 5e-1) AS BIGINT) AS depth
+  FROM (SELECT *, {usable} AS u FROM (
+    SELECT tree, node, count(*) AS n, [{bounds[0]}] AS lo, [{bounds[1]}] AS hi FROM m{level} GROUP BY tree, node))),
+d{level} AS MATERIALIZED (
+  SELECT tree, node, feature, depth, lo[feature + 1]
+    + ({draw("'cut'", 'tree', 'node', str(seed))} + 5e-1) / {span}e0 * (hi[feature + 1] - lo[feature + 1]) AS cut FROM c{level})""")
+        if level < levels:
+            steps.append(f"""m{level + 1} AS MATERIALIZED (
+  SELECT tree, 2*node + 1 + CAST(x[feature + 1] >= cut AS INT) AS node, x FROM m{level} JOIN d{level} USING (tree, node)
+  WHERE feature IS NOT NULL)""")
+    walks = [f"""w{level + 1} AS (
+  SELECT id, w.tree, CASE WHEN feature IS NULL THEN node ELSE 2*node + 1 + CAST(x[feature + 1] >= cut AS INT) END AS node, x
+  FROM w{level} w JOIN nodes USING (tree, node))""" for level in range(levels)]
+    return f"""{AUCTIONS},
+rows_of AS MATERIALIZED (SELECT auction_id AS id, [{listed}] AS x FROM a),
+total AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM rows_of),
+pool AS (SELECT id, x FROM rows_of, total WHERE {draw('id', str(seed))} < CAST(floor(least(1e0, {trees * sample}e0/n) * {span}e0) AS BIGINT)),
+hits AS (
+  SELECT tree, draw, x FROM (SELECT CAST(t AS INT) AS tree, {draw('id', 't', str(seed))} AS draw, x FROM pool, range({trees}) g(t)), total
+  WHERE draw < CAST(floor(least(1e0, {2 * sample}e0/least({trees * sample}e0, n)) * {span}e0) AS BIGINT)),
+m0 AS MATERIALIZED (
+  SELECT tree, 0 AS node, x FROM hits QUALIFY row_number() OVER (PARTITION BY tree ORDER BY draw, x) <= {sample}),
+{", ".join(steps)},
+nodes AS MATERIALIZED ({" UNION ALL ".join(f"SELECT tree, node, feature, depth, cut FROM d{level}" for level in range(levels + 1))}),
+w0 AS (SELECT id, CAST(t AS INT) AS tree, 0 AS node, x FROM rows_of, range({trees}) g(t)),
+{", ".join(walks)},
+paths AS MATERIALIZED (
+  SELECT id, pow(2e0, -(CAST(sum(depth) AS DOUBLE) / {trees}000000000e0) / {expected_depth(sample)!r}) AS score
+  FROM w{levels} JOIN nodes USING (tree, node) GROUP BY id),
+f AS MATERIALIZED (
+  SELECT a.*, round(score, 4) AS anomaly_score, score > (SELECT quantile_cont(score, 1 - 2e-2) FROM paths) AS is_anomaly
+  FROM a JOIN paths ON a.auction_id = paths.id)"""
+
+
+def expected_depth(rows: int) -> float:
+    return 2.0 * (math.log(rows - 1.0) + 0.5772156649015329) - 2.0 * (rows - 1.0) / rows
+
+
 def primary_key(table: str, source: str, key: list[str]) -> str:
     columns = ", ".join(f'"{c}"' for c in key)
     missing = " OR ".join(f'"{c}" IS NULL' for c in key)
@@ -777,10 +837,21 @@ SELECT auction_id, round(m + 3e0*s+1.234567e-9,6) AS rolling_limit,
         f"round(avg({f})+1.234567e-9,6) AS mean, round(stddev_pop({f})+1.234567e-9,6) AS std FROM a"
         for f in features
     )
-    # The threshold is the interpolated 0.98 quantile of the scores, which have no ties there.
-    q["iforest_flag_rate"] = f"""WITH {RAW},
-n AS (SELECT count(*) AS n, count(*) - CAST(floor(98e-2*(count(*) - 1)) AS BIGINT) - 1 AS above FROM raw)
-SELECT n AS n_auctions, above AS n_anomalies, round(above/n,4) AS anomaly_rate FROM n"""
+    q["iforest_flag_rate"] = f"""WITH {forest()}
+SELECT count(*) AS n_auctions, count(*) FILTER (is_anomaly) AS n_anomalies, round(count(*) FILTER (is_anomaly)/count(*),4) AS anomaly_rate
+FROM f"""
+    q["iforest_scores"] = f"WITH {forest()} SELECT auction_id, anomaly_score, is_anomaly FROM f"
+    q["iforest_summary"] = f"""WITH {forest()}
+SELECT placement_type, device_type, count(auction_id) AS total, count(*) FILTER (is_anomaly) AS anomalies,
+  round(count(*) FILTER (is_anomaly)/count(*)+1e-9,4) AS anomaly_rate, round(avg(anomaly_score)+1e-9,4) AS avg_anomaly_score
+FROM f GROUP BY 1, 2"""
+    q["top_anomalies"] = f"""WITH {forest()}
+SELECT auction_id, placement_type, device_type, winning_bid_usd, ecpm, bid_spread, anomaly_score FROM f WHERE is_anomaly
+ORDER BY anomaly_score DESC, auction_id LIMIT 20"""
+    q["anomaly_union"] = f"""WITH {forest()},
+st AS (SELECT placement_type, avg(winning_bid_usd) AS m, stddev_samp(winning_bid_usd) AS s FROM a GROUP BY 1),
+b AS (SELECT f.*, coalesce(abs((winning_bid_usd - m)/greatest(s, 1e-9)) > 3, false) AS by_bid FROM f LEFT JOIN st USING (placement_type))
+SELECT auction_id, is_anomaly AS by_forest, by_bid AS by_bid_monitor FROM b WHERE is_anomaly OR by_bid"""
     q["fill_hold_out"] = f"""WITH {RAW}
 SELECT filled, count(*) AS n_rows, CAST(floor(2e-1*(count(*) - 1)) AS BIGINT) + 1 AS n_test FROM raw GROUP BY 1"""
     q["ranking_metrics"] = f"""WITH {AUCTIONS},
