@@ -6,9 +6,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bidscope.session import scratch_path
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -154,6 +156,37 @@ def check_rules(df: DataFrame, table: str, rules: Sequence[Rule] | None = None)
     return totals.select(F.inline(F.array(*lines)))
 
 
+def failures(df: DataFrame, table: str, rules: Sequence[Rule] | None = None, rescued: str | None = None) -> Column:
+    """The sorted names of what is wrong with a row, as an array column.
+
+    That are the rules it breaks, but for informational ones and those on columns the table lacks, and ``unreadable
+    <column>`` for each entry ``column=text`` of the array column ``rescued``. A rule on a cell that could not be read is not
+    counted again.
+    """
+    chosen = [rule for rule in (RULES[table] if rules is None else rules) if rule.name not in INFORMATIONAL and _applies(df, rule)]
+    broken = F.array_compact(F.array(*[F.when(~F.expr(rule.condition), rule.name) for rule in chosen], F.lit(None).cast("string")))
+    if rescued is None:
+        return F.array_sort(broken)
+    lost = F.transform(rescued, lambda entry: F.substring_index(entry, "=", 1))
+    own = F.filter(broken, lambda name: ~F.exists(lost, lambda column: name == F.concat(column, F.lit("_not_null"))))
+    return F.array_sort(F.concat(F.transform(lost, lambda column: F.concat(F.lit("unreadable "), column)), own))
+
+
+def quarantine(
+    df: DataFrame, table: str, rules: Sequence[Rule] | None = None, rescued: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The rows that break no rule, and the others with ``failed``, an array of what is wrong with them.
+
+    Both are written in one pass over ``df``, which is read once, and add up to its rows.
+    """
+    path = scratch_path(df.sparkSession, f"quarantine-{table}")
+    marked = df.withColumn("failed", failures(df, table, rules, rescued))
+    marked.withColumn("accepted", F.size("failed") == 0).write.partitionBy("accepted").parquet(path)
+    back = df.sparkSession.read.schema(marked.schema.add("accepted", "boolean")).parquet(path)
+    kept = [name for name in df.columns if name != rescued]
+    return back.where("accepted").select(*kept), back.where("NOT accepted").drop("accepted")
+
+
 def check_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
     reports = [check_rules(df, name) for name, df in tables.items() if name in RULES]
     result = reports[0]

@@ -25,7 +25,7 @@ from bidscope.plans.etl import run_etl
 from bidscope.plans.incremental import enriched_facts, run_incremental
 from bidscope.session import apply_runtime_conf, scratch_path, spread, stage_table
 from bidscope.sources import star
-from bidscope.sources.csv_files import read_csv, write_csv
+from bidscope.sources.csv_files import RESCUED, read_csv, read_csv_rescued, write_csv
 from bidscope.sources.versioned import VersionedStore
 from bidscope.sources.warehouse import Warehouse
 from bidscope.streaming import kpi_windows, live_alerts, rolling
@@ -197,6 +197,49 @@ def own_database(spark: SparkSession) -> Warehouse:
     return Warehouse(spark, f"bidscope_{location.rsplit('-', 1)[1]}", location)
 
 
+#: Buckets of the tables that are joined by campaign.
+BUCKETS = 16
+
+
+def campaign_store(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Campaigns and their days in buckets by campaign."""
+    store = own_database(apply_runtime_conf(spark))
+    bucketed = {"bucket_by": ["campaign_id"], "buckets": BUCKETS}
+    store.load(warehouse.campaign_days(auctions(spark, sf_dir)), "campaign_days", **bucketed)
+    store.load(star.dim_campaign(spark, sf_dir), "dim_campaign", **bucketed)
+    return store
+
+
+def star_by_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = campaign_store(spark, sf_dir)
+    advertisers = star.dim_advertiser(spark, sf_dir)
+    return warehouse.star_by_campaign(store.table("campaign_days"), store.table("dim_campaign"), advertisers)
+
+
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supply events as CSV with faults in some lines; how many are accepted, and the others by what is wrong with them."""
+    folder, key = scratch_path(spark, "csv"), "CAST(supply_event_id AS BIGINT) % 50"
+    faulty = put(
+        raw_supply(spark, sf_dir),
+        {
+            "available_slots": f"CASE WHEN {key} IN (1, 4) THEN 'n/a' WHEN {key} = 2 THEN '2.5' ELSE CAST(available_slots AS STRING) END",
+            "fill_rate": f"CASE WHEN {key} IN (3, 4) THEN 7e0 ELSE fill_rate END",
+            "placement_type": f"CASE WHEN {key} = 5 THEN NULL ELSE placement_type END",
+        },
+    )
+    write_csv({"supply": faulty}, folder)
+    rows = read_csv_rescued(spark, folder, "supply")
+    accepted, rejected = quality.quarantine(rows, "fact_supply", rescued=RESCUED)
+    good = accepted.agg(
+        F.lit("accepted").alias("outcome"), F.count(F.lit(1)).alias("n_rows"), F.sum("available_slots").alias("available_slots")
+    )
+    return good.unionByName(
+        rejected.groupBy(F.concat_ws(", ", "failed").alias("outcome")).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum("available_slots").alias("available_slots")
+        )
+    )
+
+
 def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw facts through a folder of CSV files and back."""
     folder = scratch_path(spark, "csv")
@@ -596,6 +639,7 @@ def queries() -> dict[str, Query]:
         "q_format_performance": _on(kpi_daily, warehouse.format_performance),
         "q_intraday": _on(kpi_hourly, warehouse.intraday),
         "star_by_tier": star_by_tier,
+        "star_by_campaign": star_by_campaign,
         "detect_zscore": _on(
             a,
             lambda df: detect.detect(df, "winning_bid_usd").select("auction_id", "winning_bid_usd", "is_anomaly"),
@@ -642,6 +686,7 @@ def queries() -> dict[str, Query]:
             ),
         ),
         "scan_csv": scan_csv,
+        "csv_quarantine": csv_quarantine,
         "sql_param_scan": sql_param_scan,
         "sink_append_counts": sink_append_counts,
         "table_info": lambda spark, sf_dir: loaded_tables(spark, sf_dir).table_info(),

@@ -425,3 +425,51 @@ def star_by_tier(auctions: DataFrame, advertisers: DataFrame) -> DataFrame:
         )
         .orderBy("tier", "bidding_strategy")
     )
+
+
+#: Measures of a campaign's day that add up.
+_DAY_SUMS = {"fills": "filled", "clicks": "clicked", "conversions": "converted", "revenue": "revenue_usd"}
+
+
+def campaign_days(auctions: DataFrame) -> DataFrame:
+    """Totals per campaign and day: partial sums, so a campaign with a third of all auctions is a row a day."""
+    return auctions.groupBy("campaign_id", "date").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(column).alias(name) for name, column in _DAY_SUMS.items()]
+    )
+
+
+def star_by_campaign(days: DataFrame, campaigns: DataFrame, advertisers: DataFrame) -> DataFrame:
+    """Auction totals per tier of the campaign's advertiser and format of the campaign.
+
+    ``days`` are ``campaign_days``. Where they and the campaigns are stored in as many buckets by campaign, days are summed
+    and meet their campaign without a shuffle; only totals per advertiser travel on. Days without a campaign and campaigns
+    without an advertiser are lines without a format or tier, so the lines add up to the facts. ``budget_use`` is the
+    revenue as a share of the daily budgets of the days with auctions.
+    """
+    per_campaign = days.groupBy("campaign_id").agg(
+        F.sum("n").alias("n"), *[F.sum(name).alias(name) for name in _DAY_SUMS], F.count("date").alias("active_days")
+    )
+    named = campaigns.select("campaign_id", "advertiser_id", F.col("ad_format").alias("campaign_format"), "daily_budget_usd")
+    met = per_campaign.join(named.hint("merge"), "campaign_id", "left")
+    totals = ["n", *_DAY_SUMS, "budget", "n_campaigns"]
+    per_owner = met.groupBy("advertiser_id", "campaign_format").agg(
+        *[F.sum(name).alias(name) for name in ["n", *_DAY_SUMS]],
+        F.sum(F.col("daily_budget_usd") * F.col("active_days")).alias("budget"),
+        F.count("campaign_id").alias("n_campaigns"),
+    )
+    return (
+        per_owner.join(advertisers.select("advertiser_id", "tier"), "advertiser_id", "left")
+        .groupBy("tier", "campaign_format")
+        .agg(*[F.sum(name).alias(name) for name in totals])
+        .select(
+            "tier",
+            "campaign_format",
+            "n_campaigns",
+            F.col("n").alias("n_auctions"),
+            round_mean(ratio(F.col("fills"), F.col("n")), 4).alias("fill_rate"),
+            round_mean(ratio(F.col("clicks"), F.col("fills")), 4).alias("ctr"),
+            F.round("revenue", 2).alias("revenue_usd"),
+            round_mean(ratio(F.col("revenue"), F.col("budget")), 6).alias("budget_use"),
+        )
+        .orderBy("tier", "campaign_format")
+    )

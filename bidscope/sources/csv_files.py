@@ -60,6 +60,51 @@ def read_csv(
         raise
 
 
+#: Column of ``read_csv_rescued``: what could not be read of a row, a text per cell or one for the whole line.
+RESCUED = "_rescued"
+_LINE = "_line"
+
+
+def read_csv_rescued(
+    spark: SparkSession, folder: str, table: str, schema: T.StructType | None = None, **options: str
+) -> DataFrame:
+    """A table of which every line is a row, with ``_rescued``: empty where the whole line was read.
+
+    A cell that does not parse is null and ``column=text`` is rescued; of a line with too few or too many cells all columns
+    that could be read are kept and ``line=text`` is rescued. A part file with another header is still an error, as its
+    cells would be mistaken for others.
+    """
+    path = f"{folder.rstrip('/')}/{table}.csv"
+    known = schema or RAW_TABLES.get(table)
+    if known is None:
+        raise ValueError(f"The table {table} has no schema to read it by.")
+    reader = spark.read.option("header", True).options(**{"enforceSchema": "false"} | options)
+    try:
+        header = reader.csv(path).columns
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"The table {table} has no file or folder {path}") from error
+        raise
+    texts = T.StructType([T.StructField(name, T.StringType()) for name in [*header, _LINE]])
+    rows = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE).schema(texts).csv(path)
+    types = {field.name: field.dataType for field in known.fields}
+    typed, lost = [], [F.when(F.col(_LINE).isNotNull(), F.concat(F.lit("line="), _LINE))]
+    for name in header:
+        text, kind = F.col(quoted(name)), types.get(name, T.StringType())
+        value = _parsed(text, kind)
+        typed.append(value.alias(name))
+        lost.append(F.when(text.isNotNull() & value.isNull(), F.concat(F.lit(f"{name}="), text)))
+    return rows.select(*typed, F.array_compact(F.array(*lost)).alias(RESCUED))
+
+
+def _parsed(text: Column, kind: T.DataType) -> Column:
+    """A cell as the type, or null; ``3.0`` is a whole number and ``3.5`` is not."""
+    if not isinstance(kind, T.IntegralType):
+        return text.try_cast(kind)
+    number = text.try_cast(_WHOLE)
+    return F.when(number == F.floor(number), number.try_cast(kind))
+
+
 def list_csv(spark: SparkSession, folder: str) -> list[str]:
     """Names of the CSV tables of a folder, sorted, on whatever file system it is."""
     jvm = spark.sparkContext._jvm

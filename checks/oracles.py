@@ -791,6 +791,14 @@ SELECT tier, bidding_strategy, count(DISTINCT advertiser_id) AS n_advertisers, c
   round(avg(filled)+1e-9,4) AS fill_rate, round(avg(winning_bid_usd)+1e-9,4) AS avg_winning_bid, round(sum(revenue_usd),2) AS revenue_usd
 FROM a LEFT JOIN dim_advertiser USING (advertiser_id) GROUP BY 1,2"""
 
+    q["star_by_campaign"] = f"""WITH {AUCTIONS}, {ADVERTISER}, {CAMPAIGN},
+c AS (SELECT campaign_id, count(*) AS n, sum(filled) AS fills, sum(clicked) AS clicks, sum(revenue_usd) AS revenue,
+  count(DISTINCT "date") AS days FROM a GROUP BY 1)
+SELECT tier, d.ad_format AS campaign_format, count(*) AS n_campaigns, CAST(sum(n) AS BIGINT) AS n_auctions,
+  round(sum(fills)/sum(n)+1e-9,4) AS fill_rate, round(sum(clicks)/sum(fills)+1e-9,4) AS ctr, round(sum(revenue),2) AS revenue_usd,
+  round(sum(revenue)/sum(d.daily_budget_usd*days)+1e-9,6) AS budget_use
+FROM c LEFT JOIN dim_campaign d USING (campaign_id) LEFT JOIN dim_advertiser v ON v.advertiser_id = d.advertiser_id GROUP BY 1,2"""
+
     # Detectors
     q["detect_zscore"] = f"""WITH {AUCTIONS}
 SELECT auction_id, round(winning_bid_usd,9) AS winning_bid_usd, coalesce(abs((winning_bid_usd - avg(winning_bid_usd) OVER ())
@@ -888,6 +896,12 @@ UNION ALL SELECT 'kpi_hourly', count(*) FROM (SELECT DISTINCT "date", "hour", pl
     q["etl_incremental_facts"] = q["auctions_enriched"]
     apart = "placement_type = 'off_amazon'"
     whole = 'count(DISTINCT "date") AS n_dates FROM sraw'
+    fault = "CAST(supply_event_id AS BIGINT) % 50"
+    q["csv_quarantine"] = f"""WITH {SUPPLY_RAW},
+x AS (SELECT CASE {fault} WHEN 1 THEN 'unreadable available_slots' WHEN 2 THEN 'unreadable available_slots' WHEN 3 THEN 'fill_rate_0_1'
+    WHEN 4 THEN 'fill_rate_0_1, unreadable available_slots' WHEN 5 THEN 'placement_type_not_null' ELSE 'accepted' END AS outcome,
+  CASE WHEN {fault} NOT IN (1, 2, 4) THEN available_slots END AS available_slots FROM sraw)
+SELECT outcome, count(*) AS n_rows, CAST(sum(available_slots) AS BIGINT) AS available_slots FROM x GROUP BY 1"""
     q["table_versions"] = f"""WITH {SUPPLY_RAW}
 SELECT 1::BIGINT AS version, count(*) AS n_rows, sum(available_slots)::BIGINT AS available_slots, {whole} WHERE NOT {apart}
 UNION ALL SELECT 2, count(*), sum(available_slots)::BIGINT, {whole}
