@@ -29,7 +29,6 @@ from bidscope.sources.csv_files import RESCUED, read_csv, read_csv_rescued, writ
 from bidscope.sources.versioned import VersionedStore
 from bidscope.sources.warehouse import Warehouse
 from bidscope.streaming import kpi_windows, live_alerts, rolling
-from bidscope.streaming.bids import score_bid_stream
 from bidscope.streaming.runs import run_append, run_update, table_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -473,7 +472,8 @@ def stream_alerts_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_bid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     baselines = stage_table(detect.bid_baselines(auctions(spark, sf_dir), quantiles=False), "baselines")
-    scored_bids = score_bid_stream(auction_stream(spark, sf_dir), baselines).select(
+    # No state and no shuffle of the stream: the staged baselines are as small as there are placements.
+    scored_bids = detect.score_bids(auction_stream(spark, sf_dir), baselines).select(
         "auction_id", "placement_type", "winning_bid_usd", "bid_z_score", "bid_is_anomaly"
     )
     return shown(run_append(scored_bids, "bid-scores"), ROW_DIGITS)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,11 +58,19 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share.")
         named = tempfile.mkdtemp(prefix="bidscope-")
+    elif not context.master.startswith("local") and _is_local(context, named):
+        warnings.warn(f"spark.checkpoint.dir is {named}: every machine must have the same folder mounted there.", stacklevel=2)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named.rstrip("/")
 
 
+def _is_local(context: SparkContext, path: str) -> bool:
+    """Whether a path, by its scheme or the default one, is on the machine that reads it."""
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()).getUri().getScheme() == "file"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/bidscope/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"

@@ -95,15 +95,15 @@ class Warehouse:
 
     def _replace_partitions(self, df: DataFrame, table: str, layout: Sequence[str]) -> int:
         """Overwrite the partitions that ``df`` has rows of, and no others."""
-        written, setting = Observation(), "spark.sql.sources.partitionOverwriteMode"
+        written = Observation()
         ordered = df.select(self.table(table).columns).hint("rebalance", *layout)
-        before = self.spark.conf.get(setting)
-        self.spark.conf.set(setting, "dynamic")
-        try:
-            counted = ordered.observe(written, F.count(F.lit(1)).alias("rows"))
-            counted.write.insertInto(self.name(table), overwrite=True)
-        finally:
-            self.spark.conf.set(setting, before)
+        counted = ordered.observe(written, F.count(F.lit(1)).alias("rows"))
+        told = {r["col_name"]: r["data_type"] for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").collect()}
+        # Written below the table's own path, where the mode is an option of this write and no setting of the session.
+        writer = counted.write.format(told["Provider"]).mode("overwrite").partitionBy(*layout)
+        writer.option("partitionOverwriteMode", "dynamic").save(told["Location"])
+        self.spark.catalog.recoverPartitions(self.name(table))
+        self.spark.catalog.refreshTable(self.name(table))
         return int(written.get["rows"] or 0)
 
     def execute(self, sql: str) -> None:

@@ -8,7 +8,6 @@ from bidscope.operators import detect
 from bidscope.operators.enrich import derive_auction_columns
 from bidscope.session import stage_table
 from bidscope.streaming import kpi_windows
-from bidscope.streaming.bids import score_bid_stream
 from bidscope.streaming.runs import run_append, run_update, table_stream
 from tests.conftest import rows
 
@@ -92,7 +91,7 @@ def test_an_alert_joins_windows_whatever_came_between(stream_of):
 def test_bids_are_scored_as_in_a_batch(stream_of, make_auctions):
     data = [{"winning_bid_usd": b} for b in (1.0, 1.1, 0.9, 9.0)] + [{"placement_type": "new"}]
     baselines = stage_table(detect.bid_baselines(make_auctions(data[:3])))
-    scored = run_append(score_bid_stream(stream_of(data[:2], data[2:]), baselines))
+    scored = run_append(detect.score_bids(stream_of(data[:2], data[2:]), baselines))
     columns = ["placement_type", "winning_bid_usd", "bid_z_score", "bid_is_anomaly"]
     batch = detect.score_bids(make_auctions(data), baselines)
     left = sorted(json.dumps(list(r)) for r in scored.select(columns).collect())
