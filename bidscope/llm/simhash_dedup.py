@@ -143,7 +143,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``docs``, whatever their names, are not read.
     """
     rows = stage_table(fingerprints(docs, id_col, text_col), "fingerprints")
-    return rows.join(_classes(rows, bucket), F.col("fp") == F.col("own")).select(
+    # As many classes as distinct fingerprints: merged whatever their files' size, which is small for what they are.
+    return rows.join(_classes(rows, bucket).hint("merge"), F.col("fp") == F.col("own")).select(
         "doc_id", as_hex("fp").alias("fingerprint"), "component_id"
     )
 
@@ -179,7 +180,7 @@ def drop_near_duplicates(
         kept = classes.select(F.col("component_id").alias("keep")).distinct()
         return packed.join(kept, F.col("id") == F.col("keep"), "left_semi").select("row.*")
     packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), _fingerprint(F.col(text_col)).alias("fp"))
-    first = packed.join(classes, (F.col("fp") == F.col("own")) & F.col("id").eqNullSafe(F.col("component_id")))
+    first = packed.join(classes.hint("merge"), (F.col("fp") == F.col("own")) & F.col("id").eqNullSafe(F.col("component_id")))
     return first.dropDuplicates(["root"]).select("row.*")
 
 

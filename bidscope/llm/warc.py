@@ -3,7 +3,9 @@
 Writing: each page is a request, a response or revisit, and a metadata record, which name the response by
 WARC-Concurrent-To. Of pages with equal payloads the one with the largest id is stored, the others revisit it. Spark's
 text writer puts the records into gzip files in the shared folder. Reading: a task walks the records of a file by
-their Content-Length, and the three records of a capture are joined by the identifiers.
+their Content-Length, and the three records of a capture are joined by the identifiers. Archives of other writers are
+read as well: payloads are bytes, what a header does not say is null, and a record that cannot be read is one row that
+says why.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ import base64
 import gzip
 import hashlib
 import io
+import re
+import zlib
 from collections.abc import Iterator
 from typing import BinaryIO
 
@@ -24,13 +28,15 @@ from bidscope.session import scratch_path, stage_table
 
 #: Payloads of fewer bytes are always stored.
 MIN_BYTES = 0
-#: Captures in one archive: a task that reads one holds it compressed, and one record and 16 MB of rows besides.
+#: Captures in one archive, and their bytes by the table's average, at most: a task that reads an archive holds it
+#: compressed, and one record and 16 MB of rows besides.
 PER_FILE = 5_000
+FILE_BYTES = 256 << 20
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _DATE = "2024-01-01T00:00:00Z"
 _RECORD = (
     "type string, record_id string, concurrent_to string, target string, refers_to string, page_id long, "
-    "payload_bytes long, payload_digest string, intact boolean, payload string"
+    "status int, payload_bytes long, payload_digest string, intact boolean, payload binary, broken string"
 )
 
 
@@ -132,54 +138,140 @@ def write_archives(
         ),
         _record("metadata", _urn(F.lit("metadata"), row_name), "application/warc-fields", about, [target, beside]),
     )
+    average = rows.agg(F.avg(F.octet_length("body"))).first()[0] or 0.0
+    per_file = max(1, min(PER_FILE, int(FILE_BYTES / max(average, 1.0))))
     # The writer's line separator is the last of the two line breaks that end a record.
-    named.select(F.regexp_replace(records, "\r\n\\z", "").alias("value")).write.option("lineSep", "\r\n").option("compression", "gzip").option("maxRecordsPerFile", PER_FILE).text(path)
+    lines = named.select(F.regexp_replace(records, "\r\n\\z", "").alias("value"))
+    lines.write.option("lineSep", "\r\n").option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
+
+
+def _text(raw: bytes) -> str:
+    try:
+        return raw.decode()
+    except UnicodeDecodeError:
+        return raw.decode("latin-1")
 
 
 def _fields(head: bytes) -> dict[str, str]:
-    pairs = (line.partition(":") for line in head.decode().split("\r\n")[1:])
-    return {name.strip().lower(): value.strip() for name, _, value in pairs}
+    """Header fields by lower-case name; of a repeated one the first, and folded lines are one."""
+    found: dict[str, str] = {}
+    for line in re.split(r"\r?\n", re.sub(r"\r?\n[ \t]+", " ", _text(head))):
+        name, colon, value = line.partition(":")
+        if colon:
+            found.setdefault(name.strip().lower(), value.strip())
+    return found
 
 
-def records_of(archive: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and block of each record of an archive, one record at a time."""
-    while line := archive.readline():
-        head = [line]
-        while (line := archive.readline()) not in (b"\r\n", b""):
-            head.append(line)
-        fields = _fields(b"".join(head))
-        yield fields, archive.read(int(fields["content-length"]))
-        archive.read(4)
+def _opened(content: bytes) -> BinaryIO:
+    """An archive, compressed or not."""
+    raw = io.BytesIO(content)
+    return gzip.GzipFile(fileobj=raw) if content[:2] == b"\x1f\x8b" else raw
 
 
-def _parsed(fields: dict[str, str], block: bytes) -> tuple:
-    kind = fields["warc-type"]
-    page_id = size = digest = intact = payload = None
+def records_of(archive: BinaryIO) -> Iterator[tuple[dict[str, str], bytes, str | None]]:
+    """Headers and block of each record of an archive, one record at a time, and what is wrong with it.
+
+    Where a record is not as long as it says or has no readable head, nothing tells where the next one begins: it is
+    the archive's last.
+    """
+    fields: dict[str, str] = {}
+    try:
+        while line := archive.readline():
+            if not line.strip():
+                continue
+            fields = {}
+            if not line.startswith(b"WARC/"):
+                yield fields, b"", "no WARC record"
+                return
+            head = []
+            while (line := archive.readline()).strip():
+                head.append(line)
+            fields = _fields(b"".join(head))
+            length = fields.get("content-length", "")
+            if not (length.isascii() and length.isdigit()):
+                yield fields, b"", "no length"
+                return
+            block = archive.read(int(length))
+            yield fields, block, "truncated" if len(block) < int(length) else None
+            fields = {}
+    except (EOFError, OSError, zlib.error):
+        yield fields, b"", "unreadable compression"
+
+
+def _unchunked(body: bytes) -> bytes | None:
+    """The body of a chunked message, or None where it is none."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\n", at)
+        size = body[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not re.fullmatch(rb"[0-9A-Fa-f]{1,15}", size):
+            return None
+        n = int(size, 16)
+        if n == 0:
+            return b"".join(out)
+        if end + 1 + n > len(body):
+            return None
+        out.append(body[end + 1 : end + 1 + n])
+        at = end + 1 + n
+        at += 2 if body[at : at + 2] == b"\r\n" else 1
+
+
+def _digests(payload: bytes) -> set[str]:
+    """The ways in which a SHA-1 is written."""
+    raw = hashlib.sha1(payload).digest()  # noqa: S324
+    return {base64.b32encode(raw).decode(), raw.hex().upper()}
+
+
+def _parsed(fields: dict[str, str], block: bytes, broken: str | None, payloads: bool) -> tuple:
+    kind = fields.get("warc-type", "").lower() or None
+    page_id = status = size = digest = intact = payload = None
     if kind == "metadata":
-        found = _fields(b"\r\n" + block).get("page-id")
-        page_id = int(found) if found else None
-    elif kind in ("response", "revisit"):
-        head, _, body = block.partition(b"\r\n\r\n")
-        digest = fields["warc-payload-digest"].removeprefix("sha1:")
-        size = int(_fields(head)["content-length"])
-        if kind == "response":
-            made = base64.b32encode(hashlib.sha1(body).digest()).decode()  # noqa: S324
-            intact, size, digest, payload = made == digest and size == len(body), len(body), made, body.decode()
-    target = fields.get("warc-target-uri")
-    return kind, fields["warc-record-id"], fields.get("warc-concurrent-to"), target, fields.get("warc-refers-to"), page_id, size, digest, intact, payload
-
-
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """A row per record of the archives below ``path``."""
+        found = _fields(block).get("page-id", "")
+        page_id = int(found) if re.fullmatch(r"-?[0-9]{1,18}", found) else None
+    elif kind in ("response", "revisit", "resource"):
+        head, body = b"", block
+        if kind == "resource":
+            body = block
+        elif block.startswith(b"HTTP/"):
+            parts = re.split(rb"\r?\n\r?\n", block, maxsplit=1)
+            head, body = parts[0], parts[1] if len(parts) > 1 else b""
+        http = _fields(head)
+        if told := re.match(rb"HTTP/[0-9.]+ ([0-9]{3})", head):
+            status = int(told[1])
+        algorithm, _, told = fields.get("warc-payload-digest", "").rpartition(":")
+        if kind == "revisit":
+            length = http.get("content-length", "")
+            size, digest = int(length) if re.fullmatch("[0-9]{1,18}", length) else None, told or None
+        else:
+            plain = _unchunked(body) if http.get("transfer-encoding", "").lower() == "chunked" else None
+            payload = body if plain is None else plain
+            made = _digests(payload)
+            size, digest = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()  # noqa: S324
+            if algorithm.lower() in ("sha1", "sha-1") and told:
+                # Some writers digest what went over the wire.
+                intact = broken is None and told.upper() in made | _digests(body)
+    target = fields.get("warc-target-uri", "").strip("<>") or None
+    told = (fields.get(name) for name in ("warc-record-id", "warc-concurrent-to"))
+    shown = payload if payloads else None
+    return kind, *told, target, fields.get("warc-refers-to"), page_id, status, size, digest, intact, shown, broken
+
+
+def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """A row per record of the archives below ``path``, compressed or not.
+
+    ``broken`` says why a record could not be read whole, which ends its archive; ``intact`` is whether a payload has the
+    SHA-1 that its record tells, null where it tells none. Payloads are bytes, without transfer encoding; without
+    ``payloads`` they are measured and digested only. A folder without archives gives no rows.
+    """
     names = [c.split()[0] for c in _RECORD.split(", ")]
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for content in batch["content"]:
                 rows, held = [], 0
-                for fields, block in records_of(gzip.GzipFile(fileobj=io.BytesIO(content))):
-                    rows.append(_parsed(fields, block))
-                    held += len(block)
+                for fields, block, broken in records_of(_opened(content)):
+                    rows.append(_parsed(fields, block, broken, payloads))
+                    held += len(block) if payloads else 256
                     if held > 1 << 24:
                         yield _frame(rows)
                         rows, held = [], 0
@@ -187,26 +279,36 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                     yield _frame(rows)
 
     def _frame(rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "payload_bytes": "Int64"})
+        whole = {"page_id": "Int64", "status": "Int32", "payload_bytes": "Int64"}
+        return pd.DataFrame(rows, columns=names, dtype=object).astype(whole)
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
     return files.mapInPandas(parse, _RECORD)
 
 
 def captures(records: DataFrame) -> DataFrame:
-    """One nested row per capture: the response or revisit with its request and metadata records.
+    """One nested row per capture: the response, revisit or resource with its request and metadata records.
 
     The records are joined on their identifiers: request and metadata, one per identifier and url, by
-    WARC-Concurrent-To, and a revisit with the page it refers to by WARC-Refers-To. A response without one of them
-    has null there; records that name no response in the archives are left out.
+    WARC-Concurrent-To, whichever of the two names the other. A response without one of them has null there; records
+    that name no response in the archives, and broken ones without an identifier, are left out. ``records`` is read
+    several times: pass one that is written down, or one that is cheap.
     """
-    main = records.where("type IN ('response', 'revisit')").drop("concurrent_to", "page_id")
-    key = [F.col("record_id") == F.col("of"), F.col("target").eqNullSafe(F.col("at"))]
+    main = records.where("type IN ('response', 'revisit', 'resource') AND record_id IS NOT NULL").drop("page_id")
+    # Responses that name their request themselves are few or all, depending on the writer.
+    naming = main.where("concurrent_to IS NOT NULL").select(
+        F.col("record_id").alias("named_by"), F.col("concurrent_to").alias("names")
+    ).distinct()
 
     def beside(kind: str, value: Column, name: str) -> DataFrame:
-        own = records.where(F.col("type") == kind)
-        return own.groupBy(F.col("concurrent_to").alias("of"), F.col("target").alias("at")).agg(F.first(value).alias(name))
+        own = records.where(F.col("type") == kind).select("record_id", "concurrent_to", "target", value.alias("value"))
+        forth = own.where("concurrent_to IS NOT NULL").select(F.col("concurrent_to").alias("of"), F.col("target").alias("at"), "value")
+        back = own.join(naming, F.col("record_id") == F.col("names")).select(
+            F.col("named_by").alias("of"), F.col("target").alias("at"), "value"
+        )
+        return forth.union(back).groupBy("of", "at").agg(F.min("value").alias(name))
 
+    key = [F.col("record_id") == F.col("of"), F.col("target").eqNullSafe(F.col("at"))]
     requests = beside("request", F.struct("record_id", "target"), "request")
     about = beside("metadata", F.struct("record_id", "page_id"), "metadata")
     whole = main.join(requests, key, "left").drop("of", "at").join(about, key, "left").drop("of", "at")
@@ -214,7 +316,7 @@ def captures(records: DataFrame) -> DataFrame:
         F.col("metadata.page_id").alias("page_id"),
         F.col("record_id").alias("capture"),
         "refers_to",
-        F.struct("type", "record_id", "target", "payload_bytes", "payload_digest", "intact", "payload").alias("response"),
+        F.struct("type", "record_id", "target", "status", "payload_bytes", "payload_digest", "intact", "payload", "broken").alias("response"),
         "request",
         "metadata",
     )
@@ -223,7 +325,7 @@ def captures(records: DataFrame) -> DataFrame:
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
-    found = captures(read_records(spark, path).drop("payload").withColumn("payload", F.lit(None).cast("string")))
+    found = captures(stage_table(read_records(spark, path, payloads=False), "records"))
     rows = stage_table(
         found.select(
             "page_id",

@@ -1,6 +1,7 @@
 """The corpus operators on small frames: defined results for odd input, and brute force where there is no SQL."""
 
 import base64
+import gzip
 import hashlib
 import re
 
@@ -243,7 +244,7 @@ def test_warc_round_trip(spark, tmp_path):
     found = warc.captures(warc.read_records(spark, path)).collect()
     assert len(found) == len(rows)
     stored = {r["page_id"]: r["response"]["payload"] for r in found if r["response"]["type"] == "response"}
-    assert stored == {2: tricky, 4: "", 5: LONG} and all(r["response"]["intact"] is not False for r in found)
+    assert stored == {2: tricky.encode(), 4: b"", 5: LONG.encode()} and all(r["response"]["intact"] is not False for r in found)
     pages.write.parquet(f"{tmp_path}/pages.parquet")
     got = {r["page_id"]: r for r in warc.op10_warc(spark, str(tmp_path)).collect()}
     assert (got[1]["record_type"], got[1]["refers_to"], got[3]["refers_to"], got[None]["refers_to"]) == ("revisit", 2, 4, 2)
@@ -251,6 +252,79 @@ def test_warc_round_trip(spark, tmp_path):
     assert got[1]["payload_bytes"] == len(tricky.encode()) and got[5]["refers_to"] is None
 
 
+def test_warc_query_equals_brute_force(spark):
+    pages = [(r["page_id"], (r["html"] or "").encode()) for r in common.table(spark, CHECK_DIR, "pages").collect()]
+    keeper = {}
+    for page_id, body in pages:
+        keeper[body] = max(page_id, keeper.get(body, page_id))
+    got = {r["page_id"]: r for r in queries()["op10_warc"](spark, CHECK_DIR).collect()}
+    assert len(got) == len(pages)
+    for page_id, body in pages:
+        kept = keeper[body] == page_id
+        digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
+        want = (len(body), digest, "response" if kept else "revisit", None if kept else keeper[body])
+        assert tuple(got[page_id][c] for c in ("payload_bytes", "payload_digest", "record_type", "refers_to")) == want
+
+
+def _warc(kind, record_id, block, *headers, length=None):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id}", *headers, f"Content-Length: {len(block) if length is None else length}"]
+    return "\r\n".join(lines).encode("latin-1") + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    sha = base64.b32encode(hashlib.sha1(b"hello world").digest()).decode()
+    records = [
+        b"\r\n",
+        _warc("warcinfo", "<i>", b"software: other\r\n"),
+        _warc("response", "<a>", b"HTTP/1.0 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n5;x=y\r\nhello\r\n6\r\n world\r\n0\r\n\r\n",
+              "WARC-Target-URI: <http://a/\xe9>", f"WARC-Payload-Digest: sha1:{sha}", "WARC-Concurrent-To: <ar>"),
+        _warc("request", "<ar>", b"GET / HTTP/1.0\r\n\r\n", "WARC-Target-URI: http://a/\xe9"),
+        _warc("response", "<b>", b"HTTP/1.1 404 Not\nContent-Type: text/html; charset=latin-1\n\nna\xefve", "WARC-Target-URI: http://b/",
+              "X-Folded: one\r\n two", f"WARC-Payload-Digest: sha1:{sha}"),
+        _warc("metadata", "<bm>", b"page-id: seven\r\n", "WARC-Concurrent-To: <b>", "WARC-Target-URI: http://b/"),
+        _warc("response", "<c>", b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\nnot chunked", "WARC-Payload-Digest: md5:abc"),
+        _warc("resource", "<d>", b"\x00\xff", f"WARC-Payload-Digest: SHA1:{hashlib.sha1(bytes([0, 255])).hexdigest()}"),
+        _warc("revisit", "<e>", b"", "WARC-Refers-To: <a>"),
+        _warc("response", "<f>", b"HTTP/1.1 200 OK\r\n\r\ncut", length=10_000),
+        _warc("response", "<never>", b""),
+    ]
+    (tmp_path / "warc").mkdir()
+    (tmp_path / "warc" / "plain.warc").write_bytes(b"".join(records))
+    # One gzip member a record, as others write them, cut off in the last one.
+    members = [gzip.compress(_warc("response", f"<g{i}>", b"HTTP/1.1 200 OK\r\n\r\n" + b"x" * 50_000 + bytes([i]))) for i in range(3)]
+    (tmp_path / "warc" / "members.warc.gz").write_bytes(b"".join(members)[:-30])
+    (tmp_path / "warc" / "odd.warc").write_bytes(b"<html>no archive</html>")
+    (tmp_path / "warc" / "empty.warc").write_bytes(b"")
+    (tmp_path / "warc" / "long.warc").write_bytes(_warc("response", "<h>", b"", length="many"))
+    found = warc.read_records(spark, f"file://{tmp_path}/warc").collect()
+    by = {r["record_id"]: r for r in found}
+    assert (by["<a>"]["payload"], by["<a>"]["intact"], by["<a>"]["status"], by["<a>"]["target"]) == (b"hello world", True, 200, "http://a/é")
+    assert (by["<b>"]["payload"], by["<b>"]["intact"], by["<b>"]["status"]) == (b"na\xefve", False, 404)
+    assert (by["<c>"]["payload"], by["<c>"]["intact"]) == (b"not chunked", None)
+    assert (by["<d>"]["payload"], by["<d>"]["intact"], by["<d>"]["status"]) == (b"\x00\xff", True, None)
+    assert (by["<e>"]["payload_bytes"], by["<e>"]["payload_digest"], by["<e>"]["refers_to"]) == (None, None, "<a>")
+    assert by["<f>"]["broken"] == "truncated" and by["<f>"]["payload"].startswith(b"cut") and "<never>" not in by
+    assert by["<g1>"]["broken"] is None and len(by["<g1>"]["payload"]) == 50_001
+    assert sorted(r["broken"] for r in found if r["broken"]) == ["no WARC record", "no length", "truncated", "unreadable compression"]
+    lean = {r["record_id"]: r for r in warc.read_records(spark, f"file://{tmp_path}/warc", payloads=False).collect()}
+    assert lean["<a>"]["payload"] is None and lean["<a>"]["payload_bytes"] == 11 and lean["<a>"]["intact"]
+    whole = {r["capture"]: r for r in warc.captures(warc.read_records(spark, f"file://{tmp_path}/warc")).collect()}
+    assert whole["<a>"]["request"]["record_id"] == "<ar>" and whole["<a>"]["metadata"] is None
+    assert whole["<b>"]["metadata"]["record_id"] == "<bm>" and whole["<b>"]["page_id"] is None and "<i>" not in whole
+
+
+def test_warc_of_nothing_and_of_clashing_names(spark, tmp_path):
+    pages = spark.createDataFrame(
+        [(1, "u", "x", 5, "d", True), (2, "u", "x", 6, "e", False)],
+        "page_id long, url string, html string, digest long, body string, revisit boolean",
+    )
+    pages.where("false").write.parquet(f"{tmp_path}/none/pages.parquet")
+    assert warc.op10_warc(spark, f"{tmp_path}/none").count() == 0
+    pages.write.parquet(f"{tmp_path}/two/pages.parquet")
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.op10_warc(spark, f"{tmp_path}/two").collect()}
+    assert got == {1: ("revisit", 2), 2: ("response", None)}
+
+
 def test_languages_held_out(spark):
     got = queries()["op8_langid"](spark, CHECK_DIR)
     langs = spark.read.parquet(f"{CHECK_DIR}/documents.parquet").select("doc_id", "lang")
