@@ -2,7 +2,7 @@
 
 Markup is stripped so that every block element is one line. What stands in an element that is no part of an
 article (menus, page headers, footers, sidebars, notices, adverts, forms, comments: told by tag, role, class or id) leaves
-a gap of empty lines, and so does a line that is mostly links. Text lengths are summed over a window of
+a gap of empty lines, and so do a line that is mostly links and the edge of a container. Text lengths are summed over a window of
 ``WINDOW`` lines: text begins to be kept where a sum surges from zero, and ends where it dives to zero again. A stretch
 between surge and dive is kept if its highest sum reaches ``SURGE``; where none is high enough, the highest one is kept.
 A lower stretch stays too if it stands in the same container as a kept one. A page's article mark is a weight: of
@@ -63,8 +63,7 @@ _HEADERS = frozenset("header masthead".split())
 #: First parts of names that tell of what else there is.
 _ABOUT = frozenset("has hide is no show with without".split())
 _TALK = frozenset("comment comments disqus replies reply respond".split())
-_ARTICLE = re.compile(r"<(?:article|main)(?=[\s/>])[^>]*>", re.I)
-_MARKUP = re.compile(r"<(script|style|noscript|template)(?=[\s>]).*?(?:</\1|\Z)|<[^>]*>", re.I | re.S)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -98,45 +97,88 @@ def _names(attrs: str) -> str:
     return " ".join(next(g for g in found if g) if any(found) else "" for found in _ATTR.findall(attrs))
 
 
-def _text_length(markup: str) -> int:
-    return len("".join(_MARKUP.sub(" ", markup).split()))
-
-
-def _articles(markup: str) -> int:
-    return sum("comment" not in found.lower() for found in _ARTICLE.findall(markup))
+class _Page:
+    """The tokens of a page, with the end of every element and running totals of text and article marks.
 
+    All of it is one walk: an element's end tag is found by a stack for each tag, and how much an element holds is the
+    difference of two totals.
+    """
 
-def _holds_main(tag: str, attrs: str, page: str, start: int, stop: int) -> bool:
-    """Whether an element told by its class holds all the page's article marks, or most of its text; comments may."""
-    if tag in _APART or {part.lower() for part in _PARTS.findall(_names(attrs))} & _TALK:
-        return False
-    marks = _articles(page[start:stop])
-    if marks and marks == _articles(page):
-        return True
-    return 2 * _text_length(page[start:stop]) > _text_length(page)
+    def __init__(self, page: str) -> None:
+        self.tokens: list[re.Match[str]] = []
+        #: Per token the token that ends its element, or -1.
+        self.ends: list[int] = []
+        #: Characters of text, and article marks, before each token.
+        self.texts, self.marks = [0], [0]
+        lower, at = page.translate(_LOWER), 0
+        waiting: dict[str, list[int]] = {}
+        while found := _TOKEN.match(page, at):
+            at, tag, text, mark = found.end(), found["tag"], 0, 0
+            number = len(self.tokens)
+            self.tokens.append(found)
+            self.ends.append(-1)
+            if tag is None:
+                if found[0][0] != "<" or len(found[0]) == 1:
+                    text = len("".join(found[0].split()))
+            else:
+                tag = tag.lower()
+                if found["end"]:
+                    if waiting.get(tag):
+                        self.ends[waiting[tag].pop()] = number
+                elif tag not in _VOID:
+                    waiting.setdefault(tag, []).append(number)
+                    mark = tag in ("article", "main") and "comment" not in found["attrs"].lower()
+                    if tag in _RAW and not found["attrs"].endswith("/"):
+                        # What is in there is no markup.
+                        stop = lower.find(f"</{tag}", at)
+                        at = at if stop < 0 else stop
+            self.texts.append(self.texts[-1] + text)
+            self.marks.append(self.marks[-1] + mark)
+
+    def holds_main(self, number: int, stop: int) -> bool:
+        """Whether an element told by its class holds all the page's article marks, or most of its text; comments may."""
+        found = self.tokens[number]
+        if found["tag"].lower() in _APART or {part.lower() for part in _PARTS.findall(_names(found["attrs"]))} & _TALK:
+            return False
+        marks = self.marks[stop] - self.marks[number + 1]
+        if marks and marks == self.marks[-1]:
+            return True
+        return 2 * (self.texts[stop] - self.texts[number + 1]) > self.texts[-1]
 
 
-def _lines(page: str) -> list[tuple[str, int, bool, bool, int]]:
-    """Per line its raw text, the characters in links, whether it is in an article, whether it follows a gap, its container.
+def _lines(page: str) -> list[tuple[str, int, bool, bool, int, bool]]:
+    """Per line its raw text, the characters in links, whether it is in an article, whether it follows a gap, its container, whether it is a heading.
 
-    Containers are numbered; all of an article is one.
+    Containers are numbered; all of an article is one, and one that holds a single line and no other is its parent's.
     """
-    out: list[tuple[str, int, bool, bool, int]] = []
+    out: list[tuple[str, int, bool, bool, int, bool]] = []
     text: list[str] = []
     links = article = anchors = opened = 0
     inside: list[int] = [0]
-    gap, at, lower = False, 0, page.translate(_LOWER)
+    #: Per container its parent, and what it holds: lines and containers.
+    parents, held = {0: 0}, {0: 2}
+    gap = heading = False
+    walk = _Page(page)
 
     def close() -> None:
         nonlocal links, gap
         if any(not piece.isspace() for piece in text):
-            out.append(("".join(text), links, article > 0, gap, inside[-1]))
+            out.append(("".join(text), links, article > 0, gap, inside[-1], heading))
+            held[inside[-1]] = held.get(inside[-1], 0) + 1
             gap = False
         text.clear()
         links = 0
 
-    while found := _TOKEN.match(page, at):
-        at = found.end()
+    def enter() -> None:
+        nonlocal opened
+        opened += 1
+        parents[opened] = inside[-1]
+        held[inside[-1]] = held.get(inside[-1], 0) + 2
+        inside.append(opened)
+
+    number = -1
+    while (number := number + 1) < len(walk.tokens):
+        found = walk.tokens[number]
         tag = found["tag"]
         if tag is None:
             piece = found[0]
@@ -158,39 +200,28 @@ def _lines(page: str) -> list[tuple[str, int, bool, bool, int]]:
         else:
             close()
             anchors = 0
+            heading = tag in _HEADINGS and not ends
         if tag in ("article", "main") and not _apart(tag, attrs, False):
             article = max(0, article + (-1 if ends else 1))
             if article == (0 if ends else 1):
                 opened += 1
+                parents[opened], held[opened] = 0, 2
                 inside = inside[:1] + [opened] if article else [opened]
             continue
         if tag in _HOLDS and not article and ends:
             del inside[max(1, len(inside) - 1) :]
         elif not ends and tag not in _VOID and not attrs.endswith("/"):
-            if tag in _RAW:
-                stop = lower.find(f"</{tag}", at)
-                at = at if stop < 0 else stop
-            elif _apart(tag, attrs, article > 0):
-                stop = _end_of(tag, lower, at)
-                if stop > 0 and not _holds_main(tag, attrs, page, at, stop):
+            if tag not in _RAW and _apart(tag, attrs, article > 0):
+                stop = walk.ends[number]
+                if stop > 0 and not walk.holds_main(number, stop):
                     close()
-                    at, gap = stop, True
+                    number, gap = stop, True
                     continue
             if tag in _HOLDS and not article:
-                opened += 1
-                inside.append(opened)
+                enter()
     close()
-    return out
-
-
-def _end_of(tag: str, lower: str, at: int) -> int:
-    """Behind the end tag that belongs to an element just opened; -1 where it is never closed."""
-    depth = 1
-    for found in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>").finditer(lower, at):
-        depth += -1 if found[1] else 1
-        if not depth:
-            return found.end()
-    return -1
+    alone = {holder for holder, count in held.items() if count == 1}
+    return [(t, n, m, g, parents[c] if c in alone else c, h) for t, n, m, g, c, h in out]
 
 
 def main_text(page: str | None) -> str:
@@ -198,14 +229,15 @@ def main_text(page: str | None) -> str:
     lines = [(" ".join(html.unescape(t).split()), *rest) for t, *rest in _lines(page or "")]
     lengths, texts, places = [], [], []
     before = None
-    for text, links, marked, gap, holder in lines:
+    for text, links, marked, gap, holder, heading in lines:
         if not text:
             continue
         plain = marked or links < LINKS * len(text)
-        # A gap also at the edge of an article, so that a stretch is wholly inside or outside.
-        apart = WINDOW if gap or before not in (None, marked) else 0
+        # A gap also at the edge of an article, so that a stretch is wholly inside or outside, and of a container, but not
+        # behind a heading.
+        apart = WINDOW if gap or before and (before[0] != marked or before[1] != holder and not before[2]) else 0
         after = 0 if plain else WINDOW
-        before = marked
+        before = (marked, holder, heading)
         lengths += [0] * apart + [len(text) if plain else 0] + [0] * after
         texts += [""] * apart + [text if plain else ""] + [""] * after
         places += [(marked, holder)] * (apart + 1 + after)

@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import re
+import time
 
 import numpy as np
 import pytest
@@ -221,6 +222,63 @@ def test_main_text_beside_article_cards():
     assert html_text.main_text(f"<p>Slogan</p><article><h1>A</h1><div class=ad>x</div><p>{long}</p></article><p>{long}</p>") == f"A\n{long}"
 
 
+def test_surge_and_dive_decide_on_pages_without_names(monkeypatch):
+    long = "Some words of the article that go on for quite a while, until the end of this sentence is reached."
+    bare = f"<body><div>Buy shoes now</div><div><h1>A</h1><p>{long}</p><p>ok</p><p>{long}</p></div><div>(c) 2024 example</div></body>"
+    divs = (
+        f"<body><table><tr><td>Offers<td>today</table><div><span>Buy</span> shoes now</div><div><div><h2>A</h2></div><div>{long}</div>"
+        f"<div>ok</div><div>{long}</div></div><div>(c) 2024<br>example</div><div><div>More</div><div>Even more</div></div></body>"
+    )
+    want = f"A\n{long}\nok\n{long}"
+    assert html_text.main_text(bare) == want and html_text.main_text(divs).endswith(want)
+    assert "(c)" not in html_text.main_text(divs) and "More" not in html_text.main_text(divs)
+    # Without a threshold for the windows nothing of this is left out: it is they that decide.
+    monkeypatch.setattr(html_text, "SURGE", 0)
+    assert html_text.main_text(bare) == f"Buy shoes now\n{want}\n(c) 2024 example" and "Even more" in html_text.main_text(divs)
+
+
+def test_short_pages_keep_their_text():
+    assert html_text.main_text("<div>Title</div><div>Short text.</div>") == "Title\nShort text."
+    assert html_text.main_text("<div><h1>Title</h1></div><div><p>Short.</p><p>Text.</p></div>") == "Title\nShort.\nText."
+
+
+def test_large_pages_take_linear_time():
+    pages = ["<div class=ad>x" * 70_000, "<div class=ad>x</div>" * 50_000, "<div class=sidebar-layout>x" * 30_000 + "</div>" * 30_000]
+    pages += ["".join(f"<x{i} class=ad>y" for i in range(60_000)), "<p>words of it " * 70_000]
+    for page in pages:
+        start = time.process_time()
+        html_text.main_text(page)
+        assert len(page) > 900_000 and time.process_time() - start < 6
+
+
+def test_elements_end_where_their_own_tag_does():
+    long = "Some words of the article that go on for quite a while, until the end of this sentence is reached."
+    nested = f"<p>{long}</p><div class=ad>a<div>b</div><!-- </div> --><script>'</div>'</script>c</div><p>{long}</p>"
+    assert html_text.main_text(nested) == f"{long}\n{long}"
+    assert html_text.main_text(f"<div class=ad title='</div>'>a</div><p>{long}</p>") == long
+
+
+def test_pages_of_odd_tables(spark):
+    schema = "page_id long, url string, html string, page string, text string, n_chars int"
+    rows = [(1, "u", "<p>é a</p>", "p", "t", 9), (1, "u", "<p>é a</p>", "p", "t", 9), (None, None, None, None, None, None), (2, "v", "", "", "", 0)]
+    got = html_text.extract(spark.createDataFrame(rows, schema))
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(
+        map(str, [(1, "u", "é a", 3), (1, "u", "é a", 3), (None, None, "", 0), (2, "v", "", 0)])
+    )
+    assert html_text.extract(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_toxicity_held_out(spark):
+    got = queries()["op9_toxicity"](spark, CHECK_DIR)
+    labels = common.table(spark, CHECK_DIR, "labels").where("toxic IS NOT NULL").select("doc_id", "toxic")
+    held = got.where("held_out").join(labels, "doc_id").toPandas()
+    toxic = held["toxic"] > 0
+    assert toxic.sum() >= 3 and (~toxic).sum() > 50
+    pairs = held["score"].to_numpy()[toxic.to_numpy()][:, None] - held["score"].to_numpy()[~toxic.to_numpy()][None, :]
+    assert ((pairs > 0) + 0.5 * (pairs == 0)).mean() > 0.8
+    assert (held["predicted"] == (held["score"] >= 0.5)).all() and held["score"].between(0, 1).all()
+
+
 def test_main_text_in_wrappers_with_marked_names():
     long = "Some words of the article that go on for quite a while, until the end of this sentence is reached."
     for name in ("layout with-sidebar", "no-sidebar", "has-header", "sidebar-layout", "site-search"):
