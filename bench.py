@@ -33,7 +33,9 @@ HEADLINE = [
     "ranking_metrics", "kpi_5min", "kpi_alerts_consecutive", "dq_checks", "dq_primary_keys",
     "dq_orphans", "dim_placement", "iforest_scores", "iforest_summary", "anomaly_union",
     "kpi_snapshots", "etl_row_counts", "scan_csv", "upsert_partitioned", "bid_rolling_flags",
-    "stream_kpi_5min", "stream_alerts_consecutive", "stream_bid_scores",
+    "stream_kpi_5min", "stream_alerts_consecutive", "stream_bid_scores", "kpi_python_by_segment",
+    "kpi_rollup_weekly", "stream_alerts_live", "stream_rolling_flags", "etl_incremental", "table_versions",
+    "csv_quarantine", "star_by_campaign",
 ]
 
 
