@@ -65,10 +65,15 @@ def drawn(*salt: object) -> int:
     return int(hashlib.md5("|".join(map(str, salt)).encode()).hexdigest()[:10], 16)
 
 
-def drawn_column(*salt: Column) -> Column:
-    """``drawn`` of every row."""
-    text = F.concat_ws("|", *[column.cast("string") for column in salt])
-    return F.conv(F.substring(F.md5(text), 1, 10), 16, 10).cast("long")
+def digits_of(*salt: Column) -> Column:
+    """``drawn`` of every row as its ten digits: they sort and compare as the number does, and need no conversion."""
+    return F.substring(F.md5(F.concat_ws("|", *[column.cast("string") for column in salt])), 1, 10)
+
+
+def below(digits: Column, share: float) -> Column:
+    """Whether a draw is in the first ``share`` of the span."""
+    limit = int(share * SPAN)
+    return F.lit(True) if limit >= SPAN else digits < f"{limit:010x}"
 
 
 def leaf_depth(level: int, rows: int) -> int:
@@ -200,10 +205,10 @@ class AnomalyForest:
         own, seed = F.col(id_col), F.lit(self.seed)
         trees = F.sequence(F.lit(0), F.lit(self.trees - 1))
         hits = F.filter(
-            F.transform(trees, lambda t: F.struct(t.alias("tree"), drawn_column(own, t, seed).alias("_draw"))),
-            lambda hit: hit["_draw"] < int(share * SPAN),
+            F.transform(trees, lambda t: F.struct(t.alias("tree"), digits_of(own, t, seed).alias("_draw"))),
+            lambda hit: below(hit["_draw"], share),
         )
-        pool = doubles.where(drawn_column(own, seed) < int(kept * SPAN))
+        pool = doubles.where(below(digits_of(own, seed), kept))
         taken = pool.select(F.explode(hits).alias("_hit"), *[self._filled(name) for name in self.features])
         return taken.select("_hit.*", *self.features)
 
