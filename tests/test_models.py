@@ -137,3 +137,22 @@ def test_forest_on_the_columns_there_are(make_auctions):
     assert forest.features == ["winning_bid_usd", "clearing_price_usd", "bid_spread", "auction_depth"]
     with pytest.raises(ValueError):
         forest_ops.AnomalyForest().fit(make_auctions(data).where("false"))
+
+
+@pytest.fixture(scope="module")
+def whole_models(auctions):
+    """Both models at their own settings."""
+    return FillModel().fit(auctions), EcpmModel().fit(auctions)
+
+
+@pytest.mark.slow
+def test_models_at_their_settings_have_all_rounds_and_predict(whole_models, auctions):
+    fill, ecpm = whole_models
+    assert fill.rounds == ecpm.rounds == 200
+    # Bid and floor decide fill here, and the bid most of the eCPM, so boosted trees come close to both.
+    assert fill.metrics["roc_auc"] > 0.95 and fill.metrics["avg_precision"] > 0.95
+    assert ecpm.metrics["r2"] > 0.8 and 0 < ecpm.metrics["mae_log"] < 0.5
+    # What the metrics say is what the predictions of the held-out rows give.
+    held = hold_out(auctions, "auction_id", ["filled"]).where("_test")
+    scored = fill.predict(held).agg(F.avg(F.abs(F.col("fill_probability") - F.col("filled"))), F.count(F.lit(1))).first()
+    assert scored[0] < 0.1 and scored[1] == fill.metrics["test_samples"]
