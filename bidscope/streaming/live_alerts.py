@@ -11,10 +11,10 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.utils import AnalysisException
 
 from bidscope.functions.kpis import KPI, REGISTRY
 from bidscope.streaming.kpi_windows import window_status
@@ -134,8 +134,11 @@ def follow_alerts(spark: SparkSession, location: str, watermark: str | None = No
 def open_alerts(spark: SparkSession, location: str) -> DataFrame:
     """``kpi, window_start, value`` of the alerts that are raised now."""
     try:
-        changes = spark.read.parquet(f"{location}/alerts")
-    except AnalysisException:  # nothing was written yet
+        changes = spark.read.schema(f"{_CHANGES}, batch long").parquet(f"{location}/alerts")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # Nothing was written yet.
         changes = spark.createDataFrame([], _CHANGES)
     latest = changes.groupBy("kpi", "start").agg(F.max_by(F.struct("value", "raised"), "revision").alias("last"))
     return latest.where("last.raised").select(
