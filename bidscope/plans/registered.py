@@ -20,6 +20,7 @@ from bidscope.operators import forest as forest_ops
 from bidscope.operators.enrich import derive_auction_columns, enrich_auctions, enrich_supply
 from bidscope.operators.merge import merge_rows
 from bidscope.operators.models import EcpmModel, FillModel, hold_out
+from bidscope.operators.tree_tables import NODES, ensemble_sum
 from bidscope.plans import warehouse
 from bidscope.plans.etl import run_etl
 from bidscope.plans.incremental import enriched_facts, run_incremental
@@ -550,9 +551,37 @@ def fill_hold_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.groupBy("filled").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("_test").alias("n_test"))
 
 
-def forest_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def forest_scored(spark: SparkSession, sf_dir: str, native: bool = False) -> DataFrame:
     columns = dict.fromkeys(["auction_id", "placement_type", "device_type", *forest_ops.FEATURES])
-    return forest_ops.AnomalyForest().fit_predict(spread_auctions(spark, sf_dir).select(*columns))
+    return forest_ops.AnomalyForest(native=native).fit_predict(spread_auctions(spark, sf_dir).select(*columns))
+
+
+def iforest_scores_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forest's scores by its node table and Spark's expressions."""
+    return forest_scored(spark, sf_dir, native=True).select("auction_id", "anomaly_score", "is_anomaly")
+
+
+#: Three trees over bid, floor and depth: a stump, one cut twice, a leaf alone.
+LITERAL_TREES = [
+    (0, 0, 0, 1.25, 1, 2, None),
+    (0, 1, -1, None, None, None, 0.5),
+    (0, 2, -1, None, None, None, -0.25),
+    (1, 0, 2, 4.0, 1, 2, None),
+    (1, 1, 1, 0.4, 3, 4, None),
+    (1, 2, 0, 2.0, 5, 6, None),
+    (1, 3, -1, None, None, None, 1.0),
+    (1, 4, -1, None, None, None, 2.0),
+    (1, 5, -1, None, None, None, 4.0),
+    (1, 6, -1, None, None, None, 8.0),
+    (2, 7, -1, None, None, None, 16.0),
+]
+
+
+def tree_table_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What three given trees add up to for each auction; a missing bid, floor or depth goes to the right."""
+    nodes = spark.createDataFrame(LITERAL_TREES, NODES)
+    features = [F.col("winning_bid_usd"), F.col("bid_floor_usd"), F.col("auction_depth")]
+    return raw_auctions(spark, sf_dir).select("auction_id", ensemble_sum(nodes, features).alias("tree_sum"))
 
 
 def anomaly_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -708,6 +737,8 @@ def queries() -> dict[str, Query]:
         "iforest_scores": _on(
             forest_scored, lambda df: df.select("auction_id", "anomaly_score", "is_anomaly")
         ),
+        "iforest_scores_native": iforest_scores_native,
+        "tree_table_scores": tree_table_scores,
         "iforest_summary": _on(forest_scored, forest_ops.summarise),
         "iforest_training": iforest_training,
         "iforest_flag_rate": _on(forest_scored, forest_ops.flag_rate),

@@ -848,7 +848,11 @@ SELECT auction_id, round(m + 3e0*s+1.234567e-9,6) AS rolling_limit,
     q["iforest_flag_rate"] = f"""WITH {forest()}
 SELECT count(*) AS n_auctions, count(*) FILTER (is_anomaly) AS n_anomalies, round(count(*) FILTER (is_anomaly)/count(*),4) AS anomaly_rate
 FROM f"""
-    q["iforest_scores"] = f"WITH {forest()} SELECT auction_id, anomaly_score, is_anomaly FROM f"
+    q["iforest_scores"] = q["iforest_scores_native"] = f"WITH {forest()} SELECT auction_id, anomaly_score, is_anomaly FROM f"
+    q["tree_table_scores"] = f"""WITH {RAW}
+SELECT auction_id, CASE WHEN winning_bid_usd <= 1.25 THEN 0.5 ELSE -0.25 END::DOUBLE
+  + CASE WHEN auction_depth <= 4 THEN CASE WHEN bid_floor_usd <= 0.4 THEN 1 ELSE 2 END
+    ELSE CASE WHEN winning_bid_usd <= 2.0 THEN 4 ELSE 8 END END + 16 AS tree_sum FROM raw"""
     q["iforest_summary"] = f"""WITH {forest()}
 SELECT placement_type, device_type, count(auction_id) AS total, count(*) FILTER (is_anomaly) AS anomalies,
   round(count(*) FILTER (is_anomaly)/count(*)+1e-9,4) AS anomaly_rate, round(avg(anomaly_score)+1e-9,4) AS avg_anomaly_score
