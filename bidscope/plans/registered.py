@@ -14,7 +14,7 @@ from bidscope.functions.columns import put
 from bidscope.functions.kpis import KPI, REGISTRY
 from bidscope.functions.measures import PythonMeasure
 from bidscope.operators import auctions as auction_ops
-from bidscope.operators import causal, detect, kpi_reports, quality, ranking, snapshots
+from bidscope.operators import causal, detect, key_filters, kpi_reports, quality, ranking, snapshots
 from bidscope.operators import supply as supply_ops
 from bidscope.operators import forest as forest_ops
 from bidscope.operators.enrich import derive_auction_columns, enrich_auctions, enrich_supply
@@ -149,6 +149,37 @@ def dq_keys_after_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.check_primary_key(store.table("kpi_daily"), "kpi_daily")
 
 
+def _filtered_append(
+    stored: DataFrame, new: DataFrame, table: str, key: list[str], by: list[str]
+) -> DataFrame:
+    """The report on an append by filters that are built from ``stored`` and kept as a table of their own."""
+    fullest = stored.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    blocks = key_filters.blocks_for(fullest)
+    filters = stage_table(key_filters.build_filters(stored, key, by, blocks), "key-filters")
+    found = key_filters.check_append(new, stored, filters, table, key, by, blocks)
+    return found.drop("partitions_read", "partitions_stored")
+
+
+def dq_append_by_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ``dq_keys_after_append`` finds, told before the append from the filters of the days."""
+    store = own_database(spark)
+    store.load(kpi_daily(spark, sf_dir), "kpi_daily", partition_by=["date"])
+    stored = store.table("kpi_daily")
+    again = stored.where(F.col("date") < F.lit(APPENDED_BEFORE).cast("date"))
+    return _filtered_append(stored, again, "kpi_daily", quality.PRIMARY_KEYS["kpi_daily"], ["date"])
+
+
+def dq_fact_append_by_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An append to the facts: their first days again, and the others under new ids, which midnight's rows lack."""
+    store = own_database(spark)
+    store.load(raw_auctions(spark, sf_dir).select("auction_id", "hour", "date"), "facts", partition_by=["date"])
+    stored = store.table("facts")
+    fresh = F.when(F.col("hour") > 0, F.concat(F.lit("new-"), F.col("auction_id")))
+    again = F.col("date") < F.lit(APPENDED_BEFORE).cast("date")
+    new = stored.withColumn("auction_id", F.when(again, F.col("auction_id")).otherwise(fresh))
+    return _filtered_append(stored, new, "fact_auctions", ["auction_id"], ["date"])
+
+
 def dq_primary_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = raw_auctions(spark, sf_dir)
     store = own_database(spark)
@@ -753,6 +784,8 @@ def queries() -> dict[str, Query]:
         "dq_checks": dq_checks,
         "dq_primary_keys": dq_primary_keys,
         "dq_keys_after_append": dq_keys_after_append,
+        "dq_append_by_filters": dq_append_by_filters,
+        "dq_fact_append_by_filters": dq_fact_append_by_filters,
         "dq_orphans": dq_orphans,
         "dim_date": _on(raw_auctions, quality.dim_date),
         "dim_placement": _on(raw_auctions, quality.dim_placement),

@@ -941,11 +941,21 @@ dd AS (SELECT d AS date_key, year(d) AS "year", quarter(d) AS "quarter", month(d
   SELECT CAST(unnest(generate_series((SELECT min("date") FROM raw), (SELECT max("date") FROM raw), INTERVAL 1 DAY)) AS DATE) AS d)),
 dp AS (SELECT DISTINCT placement_type || '|' || device_type AS placement_key, placement_type, device_type FROM raw) """
     q["dq_checks"] = derived + DQ_RULES
-    q["dq_keys_after_append"] = derived + primary_key(
+    q["dq_keys_after_append"] = q["dq_append_by_filters"] = derived + primary_key(
         "kpi_daily",
         """(SELECT * FROM kd UNION ALL SELECT * FROM kd WHERE "date" < DATE '2024-01-08')""",
         ["date", "placement_type", "device_type", "ad_format"],
     )
+    # Only keys of the append are reported, so a key counts where the append has it.
+    q["dq_fact_append_by_filters"] = f"""WITH {RAW},
+old AS (SELECT auction_id, count(*) AS held FROM raw GROUP BY 1),
+new AS (SELECT CASE WHEN "date" < DATE '2024-01-08' THEN auction_id WHEN "hour" > 0 THEN 'new-' || auction_id END AS auction_id FROM raw),
+n AS (SELECT auction_id, count(*) AS n FROM new GROUP BY 1),
+b AS (SELECT n.auction_id, n.n, n.n + coalesce(held, 0) AS total FROM n LEFT JOIN old ON n.auction_id = old.auction_id)
+SELECT 'fact_auctions' AS table_name, 'auction_id' AS key_columns,
+  count(*) FILTER (auction_id IS NOT NULL AND total > 1) AS repeated_keys,
+  CAST(coalesce(sum(total) FILTER (auction_id IS NOT NULL AND total > 1), 0) AS BIGINT) AS rows_with_repeated_key,
+  CAST(coalesce(sum(n) FILTER (auction_id IS NULL), 0) AS BIGINT) AS rows_without_key FROM b"""
     q["dq_primary_keys"] = derived + " UNION ALL ".join(
         [
             primary_key("dim_advertiser", "dim_advertiser", ["advertiser_id"]),
