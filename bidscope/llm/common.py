@@ -35,8 +35,30 @@ def bounded_sample(rows: DataFrame, key: Column, bound: int) -> DataFrame:
     total = rows.count()
     if total <= bound:
         return rows
+    return rows.where(_draw(key) < 1e6 * bound / total)
+
+
+def _draw(key: Column) -> Column:
     digits = [F.pmod(F.xxhash64(F.lit(salt), key), F.lit(1_000_000)) for salt in ("draw", "finer draw")]
-    return rows.where(digits[0] + digits[1] / 1e6 < 1e6 * bound / total)
+    return digits[0] + digits[1] / 1e6
+
+
+def bounded_sample_per_class(rows: DataFrame, of: str, key: Column, bound: int, least: int) -> DataFrame:
+    """``bounded_sample``, but of each value of ``of`` about ``least`` rows at least, all where there are fewer.
+
+    About ``bound`` rows and ``least`` for each rare class at most. Rows without a class are left out. The rows of frequent
+    classes are those that ``bounded_sample`` draws.
+    """
+    known = rows.where(F.col(of).isNotNull())
+    counts = known.groupBy(of).agg(F.count(F.lit(1)).alias("n")).collect()  # a row per class
+    total = sum(r["n"] for r in counts)
+    if total <= bound:
+        return known
+    share = F.lit(bound / total)
+    for r in counts:
+        if r["n"] * bound < least * total:
+            share = F.when(F.col(of) == r[of], min(1.0, least / r["n"])).otherwise(share)
+    return known.where(_draw(key) < 1e6 * share)
 
 
 def components(edges: DataFrame, stage: Callable[[DataFrame, str], DataFrame] = stage_table) -> DataFrame:

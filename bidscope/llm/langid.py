@@ -15,12 +15,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidscope.llm.common import bounded_sample, crc_of_id, table
+from bidscope.llm.common import bounded_sample_per_class, crc_of_id, table
 
 DIMENSIONS = 1024
 SEED = 7
 #: Labelled documents the prototypes are bundled from, at most.
 TRAIN_ROWS = 20_000
+#: Of a language with fewer than that many in the sample, about that many are drawn beside it, or all there are.
+LEAST_ROWS = 200
 UNKNOWN = "und"
 _SPACE = 32
 #: Trigram vectors a task keeps, one byte per dimension; beyond it they are made anew.
@@ -148,5 +150,5 @@ def held_out() -> Column:
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     learn = docs.where(~held_out() & F.col("lang").isNotNull()).select("doc_id", "lang", "text")
-    known = prototypes(bounded_sample(learn, F.col("doc_id"), TRAIN_ROWS))
+    known = prototypes(bounded_sample_per_class(learn, "lang", F.col("doc_id"), TRAIN_ROWS, LEAST_ROWS))
     return identify(docs, known).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

@@ -181,6 +181,21 @@ def test_sample_of_a_tiny_share(spark):
     assert 900 <= common.bounded_sample(many, F.col("id"), 1_000).count() <= 1_100
 
 
+def test_sample_keeps_rare_classes(spark):
+    many = spark.range(200_000).selectExpr(
+        "id", "CASE WHEN id < 3 THEN 'rarest' WHEN id < 2000 THEN 'rare' WHEN id % 50 > 0 THEN 'frequent' END AS c"
+    )
+    drawn = common.bounded_sample_per_class(many, "c", F.col("id"), 2_000, 100)
+    counts = {r["c"]: r["count"] for r in drawn.groupBy("c").count().collect()}
+    assert counts.keys() == {"rarest", "rare", "frequent"}
+    assert counts["rarest"] == 3 and 60 <= counts["rare"] <= 140 and 1_800 <= counts["frequent"] <= 2_200
+    known = many.where("c IS NOT NULL")
+    plain = common.bounded_sample(known, F.col("id"), 2_000).where("c = 'frequent'")
+    assert plain.exceptAll(drawn).isEmpty() and drawn.where("c = 'frequent'").exceptAll(plain).isEmpty()
+    assert common.bounded_sample_per_class(many, "c", F.col("id"), 200_000, 100).count() == known.count()
+    assert common.bounded_sample_per_class(many.limit(0), "c", F.col("id"), 10, 1).isEmpty()
+
+
 def test_fingerprints(spark):
     got = fingerprint.fingerprints(make(spark, ODD)).collect()
     order = [LONG, "alpha beta", "alpha beta", "", "", "alpha beta"]
