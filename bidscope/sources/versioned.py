@@ -142,7 +142,7 @@ class VersionedStore:
         balanced = df.hint("rebalance", *partition_by) if partition_by else df
         counted = balanced.observe(seen, F.count(F.lit(1)).alias("rows"))
         folder = f"{self._data(table)}/load={load}"
-        counted.write.partitionBy(*partition_by).parquet(folder)
+        counted.write.partitionBy(*partition_by).option("compression", "zstd").parquet(folder)
         rows = int(seen.get["rows"] or 0)
         if not partition_by:
             return load, [""], rows
@@ -231,7 +231,8 @@ class VersionedStore:
         held = self._read(table, now)
         touched = held.join(new.select(*key), list(key), "left_semi").select("_part")
         if now.partition_by:
-            named = new.select(*[F.col(c).alias(f"_at_{c}") for c in now.partition_by]).distinct()
+            # Staged, so that its size is known and the rows held are not sent about to meet it.
+            named = stage_table(new.select(*[F.col(c).alias(f"_at_{c}") for c in now.partition_by]).distinct(), "merge-parts")
             same = [held[c].eqNullSafe(named[f"_at_{c}"]) for c in now.partition_by]
             touched = touched.union(held.join(named, same, "left_semi").select("_part"))
         # As many rows as there are partitions.
