@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from bidscope.functions.numbers import ratio, round_mean
 from bidscope.operators.quantiles import grouped_quantiles
-from bidscope.operators.tree_tables import NODES, ensemble_sum
+from bidscope.operators.tree_tables import NODES, ensemble_sum, with_ensemble_sum
 from bidscope.session import stage_table
 
 # Default features and settings.
@@ -135,13 +135,13 @@ class AnomalyForest:
     def fit(self, df: DataFrame, id_col: str = "auction_id") -> AnomalyForest:
         """Grow the trees and set the threshold at the scores' quantile."""
         doubles = self._grow_on(df, id_col)
-        self._limit(stage_table(doubles.select(self.score().alias("_score")), "forest-scores"))
+        self._limit(stage_table(self._scored(doubles).select("_score"), "forest-scores"))
         return self
 
     def fit_predict(self, df: DataFrame, id_col: str = "auction_id") -> DataFrame:
         """``predict`` of the rows the forest is fitted on; each row is scored once."""
         self._grow_on(df, id_col)
-        scored = stage_table(df.withColumn("_score", self.score()), "forest-scored")
+        scored = stage_table(self._scored(df), "forest-scored")
         self._limit(scored)
         return self._flagged(scored)
 
@@ -175,7 +175,7 @@ class AnomalyForest:
     def predict(self, df: DataFrame) -> DataFrame:
         """Add ``anomaly_score`` (higher is stranger) and ``is_anomaly``."""
         self._check_fitted()
-        return self._flagged(df.withColumn("_score", self.score()))
+        return self._flagged(self._scored(df))
 
     def _flagged(self, scored: DataFrame) -> DataFrame:
         return (
@@ -268,12 +268,10 @@ class AnomalyForest:
     def score(self) -> Column:
         """The anomaly score as a column over the feature columns."""
         feature, cut, depth, levels = self._nodes
-        typical = max(expected_depth(self._sampled), 1e-9)
+        typical = self._typical()
+        filled = [self._filled(name) for name in self.features]
         if self.native:
-            nodes = self.tree_table(SparkSession.getActiveSession())
-            # Whole billionths below 2 ** 53: the sum is exact in any order.
-            total = ensemble_sum(nodes, [self._filled(name) for name in self.features])
-            return F.pow(F.lit(2.0), -(total / float(len(feature) * BILLION)) / typical)
+            return self._strangeness(ensemble_sum(self.tree_table(SparkSession.getActiveSession()), filled))
 
         @F.pandas_udf(T.DoubleType())
         def forest_score(*columns: pd.Series) -> pd.Series:
@@ -288,7 +286,23 @@ class AnomalyForest:
                 total += depth_at.take(at - len(of_tree))
             return pd.Series(np.exp2(-(total / (len(feature) * BILLION)) / typical))
 
-        return forest_score(*[self._filled(name) for name in self.features])
+        return forest_score(*filled)
+
+    def _scored(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``_score``; natively the trees are conditions over columns of their own, see ``tree_tables``."""
+        if not self.native:
+            return df.withColumn("_score", self.score())
+        filled = [self._filled(name) for name in self.features]
+        # Whole billionths below 2 ** 53: the sum is exact in any order.
+        summed = with_ensemble_sum(df, "_depths", self.tree_table(df.sparkSession), filled)
+        return summed.withColumn("_score", self._strangeness(F.col("_depths"))).drop("_depths")
+
+    def _typical(self) -> float:
+        return max(expected_depth(self._sampled), 1e-9)
+
+    def _strangeness(self, depths: Column) -> Column:
+        """The score of a row from the depths of its leaves, added up in billionths."""
+        return F.pow(F.lit(2.0), -(depths / float(len(self._nodes[0]) * BILLION)) / self._typical())
 
     def _check_fitted(self) -> None:
         if self.threshold is None:

@@ -1,10 +1,12 @@
+import random
+
 import pytest
 from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
 from bidscope.operators import forest as forest_ops
 from bidscope.operators.models import EcpmModel, FillModel
-from bidscope.operators.tree_tables import NODES, boosted_nodes, ensemble_sum
+from bidscope.operators.tree_tables import CONDITION_LEVELS, NODES, boosted_nodes, ensemble_sum, with_ensemble_sum
 from bidscope.session import stage_table
 
 
@@ -95,3 +97,57 @@ def test_broken_tables_are_refused(spark):
         ensemble_sum(table((0, 0, 0, 1.0, 1, 2, None), leaf, (0, 2, 0, 1.0, 0, 1, None)), [F.lit(1.0)])
     with pytest.raises(ValueError, match="features"):
         ensemble_sum(table((0, 0, 3, 1.0, 1, 2, None), leaf, (0, 2, -1, None, None, None, 1.0)), [F.lit(1.0)])
+
+
+def _drawn_trees(trees, levels, features, draw):
+    """Trees with a leaf here and there above the last level, in heap order."""
+    lines = []
+    for tree in range(trees):
+        waiting = [(0, 0)]
+        while waiting:
+            node, level = waiting.pop()
+            if level == levels or (level and draw.random() < 0.1):
+                lines.append((tree, node, -1, None, None, None, float(draw.randrange(10**9))))
+                continue
+            cut = draw.choice([0.0, -0.5, 1e-7, 2.5, 1e9, draw.uniform(-3, 3)])
+            lines.append((tree, node, draw.randrange(features), cut, 2 * node + 1, 2 * node + 2, None))
+            waiting += [(2 * node + 1, level + 1), (2 * node + 2, level + 1)]
+    return lines
+
+
+@pytest.mark.parametrize("trees, levels", [(1, 1), (40, 4), (100, 8)])
+def test_conditions_reach_the_leaves_of_the_walk(spark, trees, levels):
+    """100 trees of 8 levels are more than one compiled method holds."""
+    draw = random.Random(levels)
+    nodes = spark.createDataFrame(_drawn_trees(trees, levels, 3, draw), NODES)
+    values = [None, float("nan"), float("inf"), -float("inf"), -0.0, 0.0, -0.5, 1e-7, 2.5, 1e9]
+    rows = [(i, *[draw.choice([*values, draw.uniform(-3, 3)]) for _ in range(2)], draw.randrange(-3, 4)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, x double, y double, n int")
+    features = [F.col("x"), F.col("y") * 2, F.col("n")]
+    walked = df.withColumn("s", ensemble_sum(nodes, features))
+    written = with_ensemble_sum(df, "s", nodes, features)
+    assert written.columns == walked.columns
+    expected = {row["id"]: row["s"] for row in walked.collect()}
+    assert len(expected) == 300 and {row["id"]: row["s"] for row in written.collect()} == expected
+
+
+def test_the_forest_is_scored_by_generated_code(auctions):
+    """Functions of arrays run without it: no tree is walked by one, and no method holds all trees."""
+    df = stage_table(auctions.select("auction_id", *forest_ops.FEATURES), "features")
+    scored = forest_ops.AnomalyForest(trees=100, native=True).fit(df).predict(df).select("auction_id", "anomaly_score")
+    lines = scored._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert "*(" in "".join(lines) and not any("from_json" in line for line in lines)
+    (trees,) = [line for line in lines if "if ((_feature_" in line]
+    assert "aggregate(array(_feature_0" in trees and not trees.lstrip(" :+-").startswith("*(")
+
+
+def test_deep_trees_and_none_are_walked(spark):
+    deep = CONDITION_LEVELS + 1
+    lines = [(0, 2 * i, 0, float(-i), 2 * i + 2, 2 * i + 1, None) for i in range(deep)]
+    lines += [(0, 2 * i + 1, -1, None, None, None, float(i)) for i in range(deep)]
+    nodes = spark.createDataFrame([*lines, (0, 2 * deep, -1, None, None, None, 100.0)], NODES)
+    df = spark.createDataFrame([(0.5,), (-3.5,), (-99.0,), (None,)], "x double")
+    assert [r["s"] for r in with_ensemble_sum(df, "s", nodes, [F.col("x")]).collect()] == [0.0, 4.0, 100.0, 0.0]
+    assert [r["s"] for r in with_ensemble_sum(df, "s", nodes.where("tree < 0"), [F.col("x")]).collect()] == [0.0] * 4
+    with pytest.raises(ValueError, match="features"):
+        with_ensemble_sum(df, "s", spark.createDataFrame([(0, 0, 3, 1.0, 1, 2, None), *[(0, i, -1, None, None, None, 1.0) for i in (1, 2)]], NODES), [F.col("x")])
