@@ -114,20 +114,27 @@ def links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 
 def _cliques(fps: DataFrame) -> DataFrame:
-    """Star links over the groups of fingerprints that agree outside two wiped bits."""
+    """Star links over the groups of distinct fingerprints that agree outside two wiped bits.
+
+    Such a group has four members at most, one for each setting of the two bits. So it is kept as the settings found, and
+    its members follow from those: nothing is joined.
+    """
     masks = F.array(*[F.lit(_signed((1 << i) | (1 << j))) for i in range(64) for j in range(i)])
-    wiped = fps.select("fp", F.explode(masks).alias("mask")).select(
-        "fp", "mask", F.col("fp").bitwiseAND(F.bitwise_not("mask")).alias("rest")
-    )
-    groups = wiped.groupBy("mask", "rest").agg(
-        F.count(F.lit(1)).alias("n"), F.min("fp").alias("lo"), F.max("fp").alias("hi")
+    low = F.col("mask").bitwiseAND(-F.col("mask"))
+    bits = [low, F.col("mask").bitwiseXOR(low)]
+    setting = sum((F.col("fp").bitwiseAND(bit) != 0).cast("int") * (at + 1) for at, bit in enumerate(bits))
+    groups = (
+        fps.select("fp", F.explode(masks).alias("mask"))
+        .select("mask", F.col("fp").bitwiseAND(F.bitwise_not("mask")).alias("rest"), setting.alias("setting"))
+        .groupBy("mask", "rest")
+        .agg(F.bit_or(F.expr("shiftleft(1, setting)")).alias("found"))
     )
-    stars = stage_table(groups.where("n > 1"), "stars")
-    pairs = stars.where("n = 2").select(F.col("hi").alias("u"), F.col("lo").alias("v"))
-    fuller = stars.where("n > 2").select("mask", "rest", "lo")
-    return pairs.union(
-        wiped.join(fuller, ["mask", "rest"]).where("fp <> lo").select(F.col("fp").alias("u"), F.col("lo").alias("v"))
+    settings = [F.col("rest").bitwiseOR(bit) for bit in (F.lit(0), *bits, F.col("mask"))]
+    members = F.array_compact(
+        F.array(*[F.when(F.col("found").bitwiseAND(1 << at) != 0, one) for at, one in enumerate(settings)])
     )
+    stars = groups.where(F.bit_count("found") > 1).select(members.alias("all"))
+    return stars.select(F.explode(F.slice("all", 2, 3)).alias("u"), F.col("all")[0].alias("v"))
 
 
 def _signed(value: int) -> int:

@@ -93,6 +93,23 @@ def test_links_against_brute_force(spark, bucket):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, wanted.values()))
 
 
+def test_crowded_fingerprints_are_linked_without_a_join(spark):
+    """A joined table of groups is small as a file and was broadcast at 160 times that size."""
+    center = 0x8123_4567_89AB_CDEF
+    flips = [(), (0,), (63,), (0, 63), (5, 9), (31, 32), (31,), (62, 63), (7, 8, 9), (20, 21, 22, 23), (1, 2, 3, 63)]
+    fps = sorted({center ^ sum(1 << bit for bit in flip) for flip in flips} | {0, 1 << 63, 1, 1 << 63 | 1, 6, 1 << 62 | 1 << 40})
+    signed = {simhash_dedup._signed(f): f for f in fps}
+    links = simhash_dedup._cliques(spark.createDataFrame([(f,) for f in signed], "fp long"))
+    assert "Join" not in links._jdf.queryExecution().toString()
+    pairs = {(signed[r["u"]], signed[r["v"]]) for r in links.collect()}
+    assert all(0 < (u ^ v).bit_count() <= 2 for u, v in pairs)
+    roots = {f: f for f in fps}
+    for _ in fps:
+        for u, v in pairs:
+            roots[u] = roots[v] = min(roots[u], roots[v])
+    assert [fps.index(roots[f]) for f in fps] == _components(fps)
+
+
 def test_simhash_odd_rows(spark):
     got = simhash_dedup.near_duplicates(make(spark, ODD)).collect()
     assert len(got) == len(ODD)
